@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark import settings
@@ -429,9 +429,11 @@ def add_versions(books: DataFrame, new: DataFrame, as_of, family: str = "parent_
     return closed.unionByName(accepted), judged.filter(F.col("reason").isNotNull()).drop("_current")
 
 
-def uncovered_dates(books: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Days of a range on whose start no book is in force."""
-    spark = books.sparkSession
-    days = spark.sql(f"SELECT explode(sequence(DATE '{first_day}', DATE '{last_day}')) AS day")
-    found = attach_book(days.withColumn("_at", F.col("day").cast("timestamp")), books, "_at", ["day"])
-    return found.filter(F.col("price_book_id").isNull()).select("day")
+def uncovered_dates(books: DataFrame, dates: DataFrame, date: str = "day") -> DataFrame:
+    """Dates on which no book is in force."""
+    return effective_book(books, dates, date).filter(F.col("price_book_id").isNull()).select(date)
+
+
+def date_range(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """All days of a range, as the start of each day."""
+    return spark.sql(f"SELECT explode(sequence(TIMESTAMP '{first}', TIMESTAMP '{last}', INTERVAL 1 DAY)) AS day")
