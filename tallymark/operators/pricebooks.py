@@ -10,11 +10,25 @@ from pyspark.sql import functions as F
 from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.functions.money import plain_number
+from tallymark.schemas import TIERS
+from tallymark.schemas import TIERS_APPLIED as APPLIED
 from tallymark.operators.scans import neighbours
 from tallymark.operators.skew import keyed_join
 
-APPLIED = "array<struct<tier:int,units:decimal(20,6),unitPrice:decimal(12,6),flatFee:decimal(12,2),charge:decimal(18,2)>>"
-MODELS = ["flat", "per_unit", "tiered", "volume", "committed"]
+
+STEP_FIELDS = {
+    "quantity_from": "decimal(20,6)",
+    "quantity_to": "decimal(20,6)",
+    "step_start": "decimal(20,6)",
+    "base": "decimal(18,2)",
+    "step_price": "decimal(18,6)",
+    "step_fee": "decimal(12,2)",
+    "tier": "int",
+    "tier_price": "decimal(12,6)",
+    "lower_formula": "string",
+    "lower_tiers": APPLIED,
+}
+STEPS = "array<struct<" + ",".join(f"{name}:{kind}" for name, kind in STEP_FIELDS.items()) + ">>"
 
 
 def is_effective(when: Column, start="effective_from", until="effective_until") -> Column:
@@ -22,6 +36,24 @@ def is_effective(when: Column, start="effective_from", until="effective_until")
     return (F.col(start) <= when) & (F.col(until).isNull() | (F.col(until) > when))
 
 
+def price_lookup(
+    facts: DataFrame,
+    rules: DataFrame,
+    steps: DataFrame,
+    row_id: Sequence[str],
+    broadcast_rows: int = settings.BROADCAST_ROWS,
+    rows_per_task: int = settings.ROWS_PER_TASK,
+) -> DataFrame:
+    """Add the price step for book, metric and quantity; ``steps`` come from ``rules``."""
+    quantity = F.col("quantity")
+    in_step = (F.col("quantity_from").isNull() | (quantity > F.col("quantity_from"))) & (
+        F.col("quantity_to").isNull() | (quantity <= F.col("quantity_to"))
+    )
+    keys = ["price_book_id", "metric_type"]
+    small = _few_steps(rules, broadcast_rows)
+    return keyed_join(facts, steps, keys, row_id, "left", in_step, broadcast_rows, rows_per_task, small)
+
+
 def effective_book(books: DataFrame, dates: DataFrame, date: str = "as_of") -> DataFrame:
     """Book in force on each date; dates without one are kept with nulls."""
     return attach_book(dates.withColumn("_id", V.stable_id(date)), books, date, ["_id"]).drop("_id")
@@ -41,27 +73,15 @@ def lookup_intervals(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
     # One row per (keys, month) with the books that touch the month: a book is
     # listed once per month it is valid in, the best candidate first.
-    listed = (
-        spans.withColumn("_high", high).withColumn(
-            "_month",
-            F.explode(
-                F.sequence(
-                    F.date_trunc("month", "effective_from"),
-                    F.least(F.date_trunc("month", F.coalesce("effective_until", "_high")), F.col("_high")),
-                    F.expr("interval 1 month"),
-                )
-            ),
-        )
-        .withColumn(
-            "_candidate",
-            F.struct(
-                (-F.unix_micros("effective_from")).alias("rank"),
-                "price_book_id",
-                "version",
-                "effective_from",
-                "effective_until",
-            ),
-        )
+    listed = spans.withColumn("_month", F.explode(_months(high))).withColumn(
+        "_candidate",
+        F.struct(
+            (-F.unix_micros("effective_from")).alias("rank"),
+            "price_book_id",
+            "version",
+            "effective_from",
+            "effective_until",
+        ),
     )
     candidates = listed.groupBy(*keys, "_month").agg(F.array_sort(F.collect_list("_candidate")).alias("_books"))
 
@@ -100,6 +120,27 @@ def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
     return books.filter(valid).select(*keys, "price_book_id", "version", "effective_from", "effective_until")
 
 
+def _months(high: Column) -> Column:
+    """Months a book touches, up to the last month in which anything changes."""
+    last = F.least(F.date_trunc("month", F.coalesce("effective_until", high)), high)
+    return F.sequence(F.date_trunc("month", "effective_from"), last, F.expr("interval 1 month"))
+
+
+def _few_pieces(books: DataFrame, limit: int) -> bool:
+    """Whether there are at most ``limit`` lookup pieces.
+
+    A book adds at most one piece per month it touches and two for its own ends, so
+    summing its months bounds them without building them.
+    """
+    bound = F.sum(F.size(_months(_last_month(books))) + 2)
+    return (_spans(books, []).agg(bound.alias("n")).first()["n"] or 0) <= limit
+
+
+def _few_steps(rules: DataFrame, limit: int) -> bool:
+    """Whether there are at most ``limit`` price steps; a rule has up to its tiers plus two."""
+    return (rules.agg(F.sum(F.coalesce(F.size("tiers"), F.lit(0)) + 2).alias("n")).first()["n"] or 0) <= limit
+
+
 def _last_month(books: DataFrame) -> Column:
     """Month of the last change, as a scalar subquery: nothing changes after it."""
     latest = F.greatest(F.max("effective_from"), F.max("effective_until"))
@@ -129,26 +170,39 @@ def attach_book(
         during,
         broadcast_rows,
         rows_per_task,
+        _few_pieces(books, broadcast_rows),
     )
     return joined.drop("book_month", "piece_from", "piece_until")
 
 
-def price_steps(rules: DataFrame, price_scale: int = 2, flat_mode: str = "once", committed_mode: str = "per_unit") -> DataFrame:
+def price_steps(
+    rules: DataFrame,
+    price_scale: int = 2,
+    flat_mode: str = "once",
+    committed_mode: str = "per_unit",
+    trail: bool = True,
+) -> DataFrame:
     """Rules as quantity ranges with a closed charge formula.
 
     Every model becomes rows (quantity_from, quantity_to] with
     charge = base + round(step_price * (quantity - step_start)) + step_fee, where
     ``base`` is what the full lower tiers cost.  Rating is then one lookup and one
-    multiplication per row, whatever the number of tiers.
+    multiplication per row, whatever the number of tiers.  Steps come from the tier
+    array of their own rule, without a shuffle.
 
     ``price_scale``     decimals kept of a unit price (2, or 6 for unrounded prices)
     ``flat_mode``       'once' charges the price once, 'per_unit' per unit
     ``committed_mode``  'per_unit', or 'overage' for first tier then overage price
+    ``trail``           also give the lower tiers as text and records
     """
     if flat_mode not in ("once", "per_unit") or committed_mode not in ("per_unit", "overage"):
         raise ValueError("unknown flat_mode or committed_mode")
-    price_type = f"decimal({6 + price_scale},{price_scale})"
-    first = F.get(F.col("tiers"), F.lit(0))
+    model = F.col("pricing_model")
+    graduated = model.isin(["tiered"] if committed_mode == "per_unit" else ["tiered", "committed"])
+    simple = model.isin("flat", "per_unit", "committed") & ~graduated
+    once = (model == "flat") & F.lit(flat_mode == "once")
+
+    first = F.get("tiers", F.lit(0))
     known = rules.select(
         "rule_id",
         "price_book_id",
@@ -156,212 +210,173 @@ def price_steps(rules: DataFrame, price_scale: int = 2, flat_mode: str = "once",
         "pricing_model",
         F.col("unit").alias("rule_unit"),
         F.coalesce(first["unitPrice"], F.lit(0)).cast("decimal(12,6)").alias("unit_price"),
-        "tiers",
-    )
-    wide = "decimal(20,6)"
-    single = F.col("pricing_model").isin("flat", "per_unit")
-    if committed_mode == "per_unit":
-        single = single | (F.col("pricing_model") == "committed")
-        graduated = F.col("pricing_model") == "tiered"
-    else:
-        graduated = F.col("pricing_model").isin("tiered", "committed")
-    once = (F.col("pricing_model") == "flat") & F.lit(flat_mode == "once")
-    whole = known.filter(single).select(
-        *_rule_columns(),
-        F.lit(None).cast(wide).alias("quantity_from"),
-        F.lit(None).cast(wide).alias("quantity_to"),
-        F.lit(0).cast(wide).alias("step_start"),
-        F.when(once, F.col("unit_price")).otherwise(0).cast(price_type).cast("decimal(18,2)").alias("base"),
-        F.when(once, 0).otherwise(F.col("unit_price")).cast(price_type).alias("step_price"),
-        F.lit(0).cast("decimal(12,2)").alias("step_fee"),
-        F.lit(1).alias("tier"),
-        F.col("unit_price").alias("tier_price"),
-        F.lit(None).cast("string").alias("lower_formula"),
-        F.lit(None).cast(APPLIED).alias("lower_tiers"),
+        _reachable(F.coalesce("tiers", F.array().cast(TIERS))).alias("tiers"),
     )
-    # Rules that cannot be applied keep one row without amounts.
-    broken = ~F.col("pricing_model").isin(MODELS) | (
-        (F.col("pricing_model") == "volume") & (F.coalesce(F.size("tiers"), F.lit(0)) <= 0)
+    price_type = f"decimal({6 + price_scale},{price_scale})"
+    known = known.withColumn("_tiers_in_full", _in_full(price_type)).withColumn(
+        "_full_tiers", F.filter("_tiers_in_full", lambda a: a["units"].isNull() | (a["units"] > 0))
     )
-    unusable = known.filter(broken).select(
-        *_rule_columns(),
-        F.lit(None).cast(wide).alias("quantity_from"),
-        F.lit(None).cast(wide).alias("quantity_to"),
-        F.lit(0).cast(wide).alias("step_start"),
-        F.lit(None).cast("decimal(18,2)").alias("base"),
-        F.lit(None).cast(price_type).alias("step_price"),
-        F.lit(None).cast("decimal(12,2)").alias("step_fee"),
-        F.lit(None).cast("int").alias("tier"),
-        F.lit(None).cast("decimal(12,6)").alias("tier_price"),
-        F.lit(None).cast("string").alias("lower_formula"),
-        F.lit(None).cast(APPLIED).alias("lower_tiers"),
+    steps = (
+        F.when(simple, F.array(_whole_step(once, price_type)))
+        .when(model == "volume", _volume_steps(price_type))
+        .when(graduated, _graduated_steps(price_type, trail))
     )
-    return (
-        whole.unionByName(_volume_steps(known, price_type))
-        .unionByName(_graduated_steps(known.filter(graduated), price_type))
-        .unionByName(unusable)
+    # Rules that cannot be applied keep one row without amounts.
+    usable = F.coalesce(F.size(steps), F.lit(0)) > 0
+    shown = F.when(usable, steps).otherwise(F.array(_step()))
+    exploded = known.withColumn("_step", F.explode(shown))
+    return exploded.select(
+        "rule_id", "price_book_id", "metric_type", "pricing_model", "rule_unit", "unit_price", "_step.*"
+    ).drop(*([] if trail else ["lower_formula", "lower_tiers"]))
+
+
+def _step(**given: Column) -> Column:
+    """One price step; fields not given are null."""
+    return F.struct(
+        *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in STEP_FIELDS.items()]
     )
 
 
-def _rule_columns() -> list[str]:
-    return ["rule_id", "price_book_id", "metric_type", "pricing_model", "rule_unit", "unit_price"]
+def _reachable(tiers: Column) -> Column:
+    """Tiers up to the first one without a limit; later ones are never reached."""
+    first_open = F.array_position(F.transform(tiers, lambda t: t["upTo"].isNull()), F.lit(True))
+    return F.when(first_open > 0, F.slice(tiers, 1, first_open.cast("int"))).otherwise(tiers)
 
 
-def _tier_rows(rules: DataFrame) -> DataFrame:
-    tiers = rules.select(*_rule_columns(), F.size("tiers").alias("_count"), F.posexplode("tiers").alias("_pos", "_tier"))
-    return tiers.select(
-        *_rule_columns(),
-        "_count",
-        (F.col("_pos") + 1).alias("tier"),
-        F.col("_tier.upTo").alias("up_to"),
-        F.col("_tier.unitPrice").alias("tier_price"),
-        F.coalesce("_tier.flatFee", F.lit(0)).cast("decimal(12,2)").alias("step_fee"),
+def _whole_step(once: Column, price_type: str) -> Column:
+    rounded = F.col("unit_price").cast(price_type)
+    zero = F.lit(0)
+    return _step(
+        step_start=zero,
+        base=F.when(once, rounded.cast("decimal(18,2)")).otherwise(zero),
+        step_price=F.when(once, zero).otherwise(rounded),
+        step_fee=zero,
+        tier=F.lit(1),
+        tier_price=F.col("unit_price"),
     )
 
 
-def _volume_steps(rules: DataFrame, price_type: str) -> DataFrame:
+def _volume_steps(price_type: str) -> Column:
     """A tier prices all units when it is the first whose limit holds the quantity."""
-    in_order = Window.partitionBy("rule_id").orderBy("tier")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    tiers = (
-        _tier_rows(rules.filter(F.col("pricing_model") == "volume"))
-        .withColumn("_open_before", F.coalesce(F.max(F.col("up_to").isNull()).over(earlier), F.lit(False)))
-        .withColumn("_limit_before", F.max("up_to").over(earlier))
-        .filter(~F.col("_open_before"))
+    tiers = F.col("tiers")
+
+    def before(position: Column) -> Column:
+        return F.array_max(F.transform(F.slice(tiers, 1, position), lambda e: e["upTo"]))
+
+    def step(tier: Column, position: Column, start: Column, end: Column) -> Column:
+        return _step(
+            quantity_from=start,
+            quantity_to=end,
+            step_start=F.lit(0),
+            base=F.lit(0),
+            step_price=tier["unitPrice"].cast(price_type),
+            step_fee=F.coalesce(tier["flatFee"], F.lit(0)),
+            tier=position + 1,
+            tier_price=tier["unitPrice"],
+        )
+
+    in_order = F.transform(tiers, lambda t, i: step(t, i, before(i), t["upTo"]))
+    reached = F.filter(
+        in_order,
+        lambda s: s["quantity_from"].isNull() | s["quantity_to"].isNull() | (s["quantity_to"] > s["quantity_from"]),
     )
-    reached = tiers.filter(
-        F.col("_limit_before").isNull() | F.col("up_to").isNull() | (F.col("up_to") > F.col("_limit_before"))
-    ).withColumns({"quantity_from": F.col("_limit_before"), "quantity_to": F.col("up_to")})
     # Above every limit the last tier applies.
-    above = tiers.filter((F.col("tier") == F.col("_count")) & F.col("up_to").isNotNull()).withColumns(
-        {
-            "quantity_from": F.greatest("up_to", "_limit_before"),
-            "quantity_to": F.lit(None).cast("decimal(20,6)"),
-        }
-    )
-    return reached.unionByName(above).select(
-        *_rule_columns(),
-        "quantity_from",
-        "quantity_to",
-        F.lit(0).cast("decimal(20,6)").alias("step_start"),
-        F.lit(0).cast("decimal(18,2)").alias("base"),
-        F.col("tier_price").cast(price_type).alias("step_price"),
-        "step_fee",
-        "tier",
-        "tier_price",
-        F.lit(None).cast("string").alias("lower_formula"),
-        F.lit(None).cast(APPLIED).alias("lower_tiers"),
-    )
+    count = F.size(tiers)
+    last = F.element_at(tiers, -1)
+    above = F.array(step(last, count - 1, before(count), F.lit(None)))
+    return F.when(count == 0, F.array().cast(STEPS)).when(last["upTo"].isNull(), reached).otherwise(F.concat(reached, above))
+
+
+def _in_full(price_type: str) -> Column:
+    """What every tier costs when used up to its limit; no units where it has none."""
+    tiers, zero = F.col("tiers"), F.lit(0)
+
+    def applied(tier: Column, position: Column) -> Column:
+        room = (tier["upTo"] - F.coalesce(F.get(tiers, position - 1)["upTo"], zero)).cast("decimal(20,6)")
+        fee = F.coalesce(tier["flatFee"], zero).cast("decimal(12,2)")
+        charge = (tier["unitPrice"].cast(price_type) * room).cast("decimal(18,2)") + fee
+        return F.struct(
+            (position + 1).alias("tier"),
+            room.alias("units"),
+            tier["unitPrice"].cast("decimal(12,6)").alias("unitPrice"),
+            fee.alias("flatFee"),
+            charge.cast("decimal(18,2)").alias("charge"),
+        )
+
+    return F.transform(tiers, applied)
 
 
-def _graduated_steps(rules: DataFrame, price_type: str) -> DataFrame:
+def _graduated_steps(price_type: str, trail: bool) -> Column:
     """Each tier prices the units between its limit and the one before it.
 
     Tiers are taken in stored order.  One without room (limit not above the limit
     before it) is skipped, except that quantity 0 always falls into the first tier.
     Units above the last limit stay unpriced.
     """
-    in_order = Window.partitionBy("rule_id").orderBy("tier")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    wide = "decimal(20,6)"
-    tiers = (
-        _tier_rows(rules)
-        .withColumn("_open_before", F.coalesce(F.max(F.col("up_to").isNull()).over(earlier), F.lit(False)))
-        .filter(~F.col("_open_before"))
-        .withColumn("_room", (F.col("up_to") - F.coalesce(F.lag("up_to").over(in_order), F.lit(0))).cast(wide))
-        .withColumn("_price", F.col("tier_price").cast(price_type))
-    )
-    roomy = tiers.filter(F.col("_room").isNull() | (F.col("_room") > 0)).withColumn(
-        "_full", ((F.col("_price") * F.col("_room")).cast("decimal(18,2)") + F.col("step_fee")).cast("decimal(18,2)")
-    )
-    applied = F.struct(
-        "tier",
-        F.col("_room").alias("units"),
-        F.col("tier_price").cast("decimal(12,6)").alias("unitPrice"),
-        F.col("step_fee").alias("flatFee"),
-        F.col("_full").alias("charge"),
-    )
-    text = F.concat(
-        F.lit("("), plain_number("tier_price"), F.lit(" × "), plain_number("_room"),
-        F.lit(" + "), plain_number("step_fee"), F.lit(")"),
-    )
-    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    roomy = roomy.withColumns(
-        {
-            "_start": F.coalesce(F.sum("_room").over(earlier), F.lit(0)).cast(wide),
-            "_end": F.when(F.col("_room").isNotNull(), F.sum("_room").over(upto)).cast(wide),
-            "base": F.coalesce(F.sum("_full").over(earlier), F.lit(0)).cast("decimal(18,2)"),
-            "_total": F.sum("_full").over(upto).cast("decimal(18,2)"),
-            "lower_tiers": F.collect_list(applied).over(earlier),
-            "all_tiers": F.collect_list(applied).over(upto),
-            "_texts": F.collect_list(text).over(earlier),
-            "_all_texts": F.collect_list(text).over(upto),
-            "_place": F.row_number().over(in_order),
-            "_more": F.lead("tier").over(in_order).isNotNull(),
-        }
-    )
-    wanted = [*_rule_columns(), "quantity_from", "quantity_to", "step_start", "base", "step_price", "step_fee", "tier", "tier_price", "lower_formula", "lower_tiers"]
-    none = F.lit(None).cast(wide)
-    within = roomy.withColumns(
-        {
-            # Quantity 0 belongs to the first tier as long as that one has room.
-            "quantity_from": F.when(F.col("tier") == 1, none).otherwise(F.col("_start")),
-            "quantity_to": F.col("_end"),
-            "step_start": F.col("_start"),
-            "step_price": F.col("_price"),
-            "lower_formula": F.array_join("_texts", " + "),
-        }
-    ).select(*wanted)
-    above = roomy.filter(~F.col("_more") & F.col("_end").isNotNull()).select(
-        *_rule_columns(),
-        F.col("_end").alias("quantity_from"),
-        none.alias("quantity_to"),
-        F.col("_end").alias("step_start"),
-        F.col("_total").alias("base"),
-        F.lit(0).cast(price_type).alias("step_price"),
-        F.lit(0).cast("decimal(12,2)").alias("step_fee"),
-        F.lit(None).cast("int").alias("tier"),
-        F.lit(0).cast("decimal(12,6)").alias("tier_price"),
-        F.array_join("_all_texts", " + ").alias("lower_formula"),
-        F.col("all_tiers").alias("lower_tiers"),
-    )
-    empty_tiers = F.array().cast(APPLIED)
-    zero_in_first = tiers.filter((F.col("tier") == 1) & (F.col("_room") <= 0)).select(
-        *_rule_columns(),
-        none.alias("quantity_from"),
-        F.lit(0).cast(wide).alias("quantity_to"),
-        F.lit(0).cast(wide).alias("step_start"),
-        F.lit(0).cast("decimal(18,2)").alias("base"),
-        F.col("_price").alias("step_price"),
-        "step_fee",
-        "tier",
-        "tier_price",
-        F.lit("").alias("lower_formula"),
-        empty_tiers.alias("lower_tiers"),
+    tiers, full, zero = F.col("tiers"), F.col("_full_tiers"), F.lit(0)
+    wide, cents = "decimal(20,6)", "decimal(18,2)"
+
+    def total(rows: Column, field: str, kind: str) -> Column:
+        return F.aggregate(rows, zero.cast(kind), lambda sum_, a: (sum_ + a[field]).cast(kind))
+
+    def formula(rows: Column) -> Column:
+        def text(a: Column) -> Column:
+            return F.concat(
+                F.lit("("), plain_number(a["unitPrice"]), F.lit(" × "), plain_number(a["units"]),
+                F.lit(" + "), plain_number(a["flatFee"]), F.lit(")"),
+            )
+
+        return F.array_join(F.transform(rows, text), " + ")
+
+    def explained(rows: Column) -> dict[str, Column]:
+        return {"lower_formula": formula(rows), "lower_tiers": rows}
+
+    def within(a: Column, position: Column) -> Column:
+        lower = F.slice(full, 1, position)
+        start = total(lower, "units", wide)
+        return _step(
+            quantity_from=F.when(a["tier"] > 1, start),
+            quantity_to=start + a["units"],
+            step_start=start,
+            base=total(lower, "charge", cents),
+            step_price=a["unitPrice"].cast(price_type),
+            step_fee=a["flatFee"],
+            tier=a["tier"],
+            tier_price=a["unitPrice"],
+            **(explained(lower) if trail else {}),
+        )
+
+    priced = F.transform(full, within)
+    end = total(full, "units", wide)
+    beyond = _step(
+        quantity_from=F.when((F.size(full) > 0) | (F.size(tiers) > 0), end),
+        step_start=end,
+        base=total(full, "charge", cents),
+        step_price=zero,
+        step_fee=zero,
+        tier_price=zero,
+        **(explained(full) if trail else {}),
     )
-    # A rule without any tier charges nothing; without a roomy tier it charges nothing above 0.
-    bare = rules.filter(F.coalesce(F.size("tiers"), F.lit(0)) <= 0).select(*_rule_columns(), none.alias("quantity_from"))
-    roomless = (
-        tiers.groupBy(*_rule_columns())
-        .agg(F.max(F.col("_room").isNull() | (F.col("_room") > 0)).alias("_any"))
-        .filter(~F.col("_any"))
-        .select(*_rule_columns(), F.lit(0).cast(wide).alias("quantity_from"))
+    first = F.get("_tiers_in_full", zero)
+    zero_quantity = _step(
+        quantity_to=zero,
+        step_start=zero,
+        base=zero,
+        step_price=first["unitPrice"].cast(price_type),
+        step_fee=first["flatFee"],
+        tier=F.lit(1),
+        tier_price=first["unitPrice"],
+        lower_formula=F.lit(""),
+        lower_tiers=F.array().cast(APPLIED),
     )
-    free = bare.unionByName(roomless).select(
-        *_rule_columns(),
-        "quantity_from",
-        none.alias("quantity_to"),
-        F.lit(0).cast(wide).alias("step_start"),
-        F.lit(0).cast("decimal(18,2)").alias("base"),
-        F.lit(0).cast(price_type).alias("step_price"),
-        F.lit(0).cast("decimal(12,2)").alias("step_fee"),
-        F.lit(None).cast("int").alias("tier"),
-        F.lit(0).cast("decimal(12,6)").alias("tier_price"),
-        F.lit("").alias("lower_formula"),
-        empty_tiers.alias("lower_tiers"),
+    none = F.array().cast(STEPS)
+    endless = F.exists(tiers, lambda t: t["upTo"].isNull())
+    roomless_start = F.coalesce(first["units"] <= 0, F.lit(False))
+    return F.concat(
+        priced,
+        F.when(endless, none).otherwise(F.array(beyond)),
+        F.when(roomless_start, F.array(zero_quantity)).otherwise(none),
     )
-    # Where the first roomy tier is not the first one, its range starts above 0.
-    return within.unionByName(above).unionByName(zero_in_first).unionByName(free)
 
 
 def books_newest_first(books: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.functions.money import plain_number
-from tallymark.operators.pricebooks import APPLIED, attach_book, price_steps
+from tallymark.operators.pricebooks import attach_book, price_lookup, price_steps
 from tallymark.operators.skew import keyed_join
+from tallymark.schemas import TIERS_APPLIED as APPLIED
 
 
 @dataclass(frozen=True)
@@ -91,14 +92,8 @@ def priced(usage: DataFrame, books: DataFrame, rules: DataFrame, options: Rating
     else:
         raise ValueError("lookup must be 'book_first' or 'rule_first'")
 
-    steps = price_steps(rules, options.price_scale, options.flat_mode, options.committed_mode)
-    if not options.trail:
-        steps = steps.drop("lower_formula", "lower_tiers")
-    quantity = F.col("quantity")
-    in_step = (F.col("quantity_from").isNull() | (quantity > F.col("quantity_from"))) & (
-        F.col("quantity_to").isNull() | (quantity <= F.col("quantity_to"))
-    )
-    stepped = keyed_join(dated, steps, ["price_book_id", "metric_type"], row_id, "left", in_step, **limits)
+    steps = price_steps(rules, options.price_scale, options.flat_mode, options.committed_mode, options.trail)
+    stepped = price_lookup(dated, rules, steps, row_id, **limits)
     units = F.col("quantity") - F.col("step_start")
     # Tiers never take a negative number of units.
     graduated = F.col("pricing_model") == "tiered"

@@ -27,17 +27,21 @@ def keyed_join(
     condition: Column | None = None,
     broadcast_rows: int = settings.BROADCAST_ROWS,
     rows_per_task: int = settings.ROWS_PER_TASK,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equal ``keys`` plus an optional condition.
 
     A counted, small lookup is broadcast and the facts are not shuffled.  A larger
     one is joined by shuffle, with keys that hold more than ``rows_per_task`` facts
     spread over several tasks by a hash of ``row_id``.
-    Columns of both sides must differ except for the keys.
+    Columns of both sides must differ except for the keys.  ``small`` passes on the
+    answer when the caller has already bounded the lookup by ``broadcast_rows``.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
-    if at_most(lookup, broadcast_rows):
+    if small is None:
+        small = at_most(lookup, broadcast_rows)
+    if small:
         return _join(facts, F.broadcast(lookup), list(keys), condition, how)
     keys = list(keys)
     # At most rows / rows_per_task keys can be this heavy, which bounds the broadcast.

@@ -2,99 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+TIERS = "array<struct<tier:int,upTo:decimal(20,6),unitPrice:decimal(12,6),flatFee:decimal(12,2)>>"
 
-MONEY = T.DecimalType(12, 2)
-MONEY_SUM = T.DecimalType(18, 2)
-QUANTITY = T.DecimalType(20, 6)
-UNIT_PRICE = T.DecimalType(12, 6)
-
-TIER = T.StructType(
-    [
-        T.StructField("tier", T.IntegerType()),
-        T.StructField("upTo", QUANTITY),
-        T.StructField("unitPrice", UNIT_PRICE),
-        T.StructField("flatFee", MONEY),
-    ]
-)
-TIERS = T.ArrayType(TIER)
-
-TIER_APPLIED = T.StructType(
-    [
-        T.StructField("tier", T.IntegerType()),
-        T.StructField("units", QUANTITY),
-        T.StructField("unitPrice", UNIT_PRICE),
-        T.StructField("flatFee", MONEY),
-        T.StructField("charge", MONEY_SUM),
-    ]
+# A tier as it was used by a charge.
+TIERS_APPLIED = (
+    "array<struct<tier:int,units:decimal(20,6),unitPrice:decimal(12,6),flatFee:decimal(12,2),charge:decimal(18,2)>>"
 )
 
-
-def _table(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-TABLES: dict[str, T.StructType] = {
-    "telemetry_events": _table(
+TABLES: dict[str, str] = {
+    "telemetry_events": (
         "event_id string, event_type string, customer_id string, event_time timestamp, "
         "ingestion_time timestamp, metadata string, source string, processed_at timestamp, "
         "processing_version string, created_at timestamp"
     ),
-    "aggregated_usage": _table(
+    "aggregated_usage": (
         "aggregation_id string, customer_id string, metric_type string, window_start timestamp, "
         "window_end timestamp, value decimal(20,6), unit string, event_count bigint, "
         "is_final boolean, version int, computed_at timestamp, rerating_job_id string"
     ),
-    "usage_events": _table("aggregation_id string, event_id string"),
-    "price_books": _table(
+    "usage_events": ("aggregation_id string, event_id string"),
+    "price_books": (
         "price_book_id string, name string, description string, parent_id string, version string, "
         "effective_from timestamp, effective_until timestamp, currency string, created_by string"
     ),
-    "price_rules": _table(
+    "price_rules": (
         "rule_id string, price_book_id string, metric_type string, pricing_model string, "
-        "tiers array<struct<tier:int,upTo:decimal(20,6),unitPrice:decimal(12,6),flatFee:decimal(12,2)>>, "
+        f"tiers {TIERS}, "
         "unit string"
     ),
-    "rated_charges": _table(
+    "rated_charges": (
         "charge_id string, customer_id string, aggregation_id string, source_event_id string, "
         "price_book_id string, price_version string, rule_id string, quantity decimal(20,6), "
         "unit_price decimal(12,6), subtotal decimal(12,2), currency string, "
         "calculated_at timestamp, created_at timestamp, rerating_job_id string, "
         "supersedes_charge_id string"
     ),
-    "invoices": _table(
+    "invoices": (
         "invoice_id string, invoice_number string, invoice_type string, customer_id string, "
         "billing_period_start timestamp, billing_period_end timestamp, subtotal decimal(12,2), "
         "tax decimal(12,2), credits_applied decimal(12,2), total decimal(12,2), currency string, "
         "status string, issued_at timestamp, due_at timestamp, paid_at timestamp, "
         "reference_invoice_id string, correction_reason string, metadata string, created_at timestamp"
     ),
-    "invoice_line_items": _table(
+    "invoice_line_items": (
         "line_item_id string, invoice_id string, line_number int, description string, "
         "metric_type string, quantity decimal(20,6), unit string, unit_price decimal(12,6), "
         "amount decimal(12,2)"
     ),
-    "invoice_line_charges": _table("line_item_id string, charge_id string"),
-    "invoice_adjustments": _table(
+    "invoice_line_charges": ("line_item_id string, charge_id string"),
+    "invoice_adjustments": (
         "adjustment_id string, invoice_id string, credit_id string, amount decimal(12,2), "
         "type string, reason string"
     ),
-    "customers": _table(
+    "customers": (
         "customer_id string, external_id string, name string, email string, "
         "billing_currency string, billing_cycle string, status string, tax_region string"
     ),
-    "customer_credits": _table(
+    "customer_credits": (
         "credit_id string, customer_id string, amount decimal(12,2), remaining_amount decimal(12,2), "
         "currency string, status string, expires_at timestamp, created_at timestamp"
     ),
-    "rerating_jobs": _table(
+    "rerating_jobs": (
         "job_id string, triggered_by string, reason string, window_start timestamp, "
         "window_end timestamp, status string, started_at timestamp, completed_at timestamp, "
         "charges_created bigint, total_adjustment_amount decimal(18,2)"
     ),
 }
 
-EVENT_MESSAGE = _table(
+EVENT_MESSAGE = (
     "eventId string, eventType string, customerId string, eventTime string, "
     "ingestionTime string, metadata string, source string, receivedAt string, watermark string"
 )

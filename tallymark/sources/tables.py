@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymark.functions import values as V
 from tallymark.schemas import TABLES
@@ -26,13 +27,14 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Scan with the declared schema; the month partition is added where there is one."""
     schema = TABLES[name]
     if name in TIME_COLUMNS:
-        schema = type(schema)([*schema.fields]).add(MONTH, "string")
+        schema += f", {MONTH} string"
     return spark.read.schema(schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, name: str, mode: str = "append") -> None:
     """Write with the declared columns, partitioned by month where the table has a time."""
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields if f.name in df.columns])
+    fields = StructType.fromDDL(TABLES[name]).fields
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in fields if f.name in df.columns])
     writer = rows.write
     if name in TIME_COLUMNS:
         writer = rows.withColumn(MONTH, V.month_key(TIME_COLUMNS[name])).write.partitionBy(MONTH)

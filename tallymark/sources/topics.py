@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallymark.functions import values as V
 
@@ -72,7 +71,7 @@ def send(rows: DataFrame, target: str, servers: str | None = None) -> None:
         rows.select("key", "value", "sent_at").write.mode("append").json(target)
 
 
-MESSAGE = StructType.fromDDL("key string, value string, sent_at timestamp")
+MESSAGE = "key string, value string, sent_at timestamp"
 
 
 def receive(spark: SparkSession, source: str, servers: str | None = None, from_start: bool = False) -> DataFrame:
