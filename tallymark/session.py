@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Recording the caller of every column expression slows down plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
