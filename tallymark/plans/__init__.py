@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["metering_queries", "rating_queries", "invoice_queries"]
+MODULES = ["metering_queries", "rating_queries", "invoice_queries", "control_queries", "stream_queries"]
 
 
 def load():

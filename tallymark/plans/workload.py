@@ -87,6 +87,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_of(table(spark, sf_dir, "events"))
+
+
+def telemetry_of(events: DataFrame) -> DataFrame:
+    """Events, from a table or a stream, as telemetry."""
     event_type = F.col("event_type")
     metric = (
         F.when(event_type == "click", "api_calls")
@@ -96,7 +101,7 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(event_type)
     )
     value = F.col("value").cast("decimal(20,6)")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "event_id",
         "event_type",
         metric.alias("metric_type"),
