@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark import settings
 from tallymark.functions import values as V
+from tallymark.operators.skew import keyed_join
 
 REVENUE = "decimal(18,2)"
 
@@ -152,7 +153,8 @@ def charges_of_customer(charges: DataFrame, customer_id) -> DataFrame:
     return charges.filter(F.col("customer_id") == customer_id)
 
 
-def charges_of_invoices(line_items: DataFrame, line_charges: DataFrame, charges: DataFrame) -> DataFrame:
+def charges_of_invoices(line_items: DataFrame, line_charges: DataFrame, charges: DataFrame, **limits) -> DataFrame:
     """Charges with the invoice and line they appear on."""
-    placed = line_charges.join(line_items.select("line_item_id", "invoice_id", "line_number"), "line_item_id")
+    lines = line_items.select("line_item_id", "invoice_id", "line_number")
+    placed = keyed_join(line_charges, lines, ["line_item_id"], ["charge_id"], "inner", small=False, **limits)
     return charges.join(placed, "charge_id")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.skew import keyed_join
+
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -34,8 +36,9 @@ def later_copies(events: DataFrame, key: str = "event_id", arrival: str = "inges
     variants = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("copies"))
     marked = variants.withColumn("_order", F.struct(F.col(arrival), *[F.col(c) for c in others]))
     winner = marked.groupBy(key).agg(F.min("_order").alias("_winner"), F.sum("copies").alias("_all")).filter("_all > 1")
+    # A heavily repeated id may still have many variants: they are spread over tasks.
     return (
-        marked.join(winner.drop("_all"), key)
+        keyed_join(marked, winner.drop("_all"), [key], [arrival, *others], "inner", small=False)
         .withColumn("copies", F.col("copies") - F.when(F.col("_order") == F.col("_winner"), 1).otherwise(0))
         .filter("copies > 0")
         .withColumn("reason", F.lit("DUPLICATE_EVENT_ID"))
@@ -57,7 +60,7 @@ def conflicts(events: DataFrame, key: str = "event_id", arrival: str = "ingestio
 
 
 def not_stored(events: DataFrame, stored: DataFrame, key: str = "event_id") -> DataFrame:
-    """Events whose id is not in the stored table yet."""
+    """Events whose id is not in the stored table yet; ``events`` has each id once."""
     return events.join(stored.select(key), key, "left_anti")
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.skew import keyed_join
+
 VIOLATION = ["rule", "row_key"]
 
 
@@ -107,7 +109,9 @@ def violations(name: str, tables: dict[str, DataFrame]) -> DataFrame:
             continue
         targets = tables[other].select(F.col(other_key).alias(column))
         rows = table.filter(F.col(column).isNotNull()).select(column, F.col(rules.key).alias("_key"))
-        dangling = rows.join(targets, column, "left_anti")
+        # Referenced values are compared once each, however many rows name them.
+        missing = rows.select(column).distinct().join(targets, column, "left_anti")
+        dangling = keyed_join(rows, missing, [column], ["_key"], "inner", small=False)
         found.append(dangling.select(F.lit(rule).alias("rule"), F.col("_key").cast("string").alias("row_key")))
     return reduce(DataFrame.unionByName, found)
 

@@ -92,7 +92,7 @@ def line_sums(charges: DataFrame) -> DataFrame:
 
 
 def invoice_headers(
-    requests: DataFrame, customers: DataFrame, sums: DataFrame, prior: DataFrame
+    requests: DataFrame, customers: DataFrame, sums: DataFrame, prior: DataFrame, **limits
 ) -> tuple[DataFrame, DataFrame]:
     """(new headers before credits, billed invoices that stay unchanged)."""
     totals = sums.groupBy(*PERIOD).agg(
@@ -101,7 +101,7 @@ def invoice_headers(
     )
     known = customers.select("customer_id", "billing_currency", "tax_region")
     joined = (
-        requests.join(known, "customer_id")
+        keyed_join(requests, known, ["customer_id"], ["period_start", "period_end"], "inner", **limits)
         .join(_prior_by_period(prior), PERIOD, "left")
         .join(totals, PERIOD, "left")
         .withColumn("charge_count", F.coalesce("charge_count", F.lit(0)))
@@ -199,15 +199,15 @@ def generate_invoices(
     charges calculated since then, or stays unchanged.  Periods without charges still
     get an invoice of 0.
     """
-    known = requests.join(customers.select("customer_id"), "customer_id", "left_semi")
-    rejected = requests.join(customers.select("customer_id"), "customer_id", "left_anti").withColumn(
-        "reason", F.lit("CUSTOMER_NOT_FOUND")
-    )
+    exists = customers.select("customer_id", F.lit(True).alias("_exists"))
+    checked = keyed_join(requests, exists, ["customer_id"], ["period_start", "period_end"], "left", **limits)
+    known = checked.filter("_exists").drop("_exists")
+    rejected = checked.filter("_exists IS NULL").drop("_exists").withColumn("reason", F.lit("CUSTOMER_NOT_FOUND"))
     prior = billed_invoices(invoices)
     billable = with_rule(billable_charges(known, charges, prior, basis, **limits), rules, **limits)
     # Sums are one row per period and metric: kept once, used by lines and headers.
     sums = materialise(line_sums(billable))
-    headers, unchanged = invoice_headers(known, customers, sums, prior)
+    headers, unchanged = invoice_headers(known, customers, sums, prior, **limits)
     usable = usable_credits(credits, as_of, honour_expiry)
     totals = headers.select(
         "customer_id", "invoice_id", "period_start", F.col("total_before_credits").alias("amount")

@@ -23,6 +23,7 @@ def charge_events(charges: DataFrame, usage_events: DataFrame, events: DataFrame
         ["aggregation_id"],
         ["event_id"],
         "inner",
+        small=False,
         **limits,
     ).select("charge_id", "subtotal", "event_id")
     direct = charges.filter(F.col("source_event_id").isNotNull()).select(
@@ -31,10 +32,15 @@ def charge_events(charges: DataFrame, usage_events: DataFrame, events: DataFrame
     return through_windows.unionByName(direct).join(details, "event_id")
 
 
-def line_events(line_items: DataFrame, line_charges: DataFrame, traced: DataFrame) -> DataFrame:
-    """Invoice lines with the events behind them; ``traced`` is from ``charge_events``."""
+def line_events(line_items: DataFrame, line_charges: DataFrame, traced: DataFrame, **limits) -> DataFrame:
+    """Invoice lines with the events behind them; ``traced`` is from ``charge_events``.
+
+    Line names are joined to the charges first, so that the long event side is
+    joined once, on the charge.
+    """
     named = line_items.select("line_item_id", "invoice_id", "description", "amount")
-    return traced.join(line_charges, "charge_id").join(named, "line_item_id")
+    placed = keyed_join(line_charges, named, ["line_item_id"], ["charge_id"], "inner", small=False, **limits)
+    return keyed_join(traced, placed, ["charge_id"], ["event_id"], "inner", small=False, **limits)
 
 
 def explain_charges(charges: DataFrame, books: DataFrame, traced: DataFrame, sample: int = 3) -> DataFrame:

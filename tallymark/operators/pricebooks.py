@@ -437,7 +437,7 @@ def add_versions(books: DataFrame, new: DataFrame, as_of, family: str = "parent_
     accepted = judged.filter(F.col("reason").isNull()).drop("_current", "reason")
     closing = accepted.select(family, F.col("effective_from").alias("_closes_at"))
     closed = (
-        books.join(closing, family, "left")
+        keyed_join(books, closing, [family], ["price_book_id"])
         .withColumn("effective_until", F.coalesce("effective_until", "_closes_at"))
         .drop("_closes_at")
     )

@@ -38,7 +38,12 @@ class RatingOptions:
 
 
 def usage_to_rate(usage: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """Usage windows in the shape ``rate`` takes: priced at the window start."""
+    """Final usage windows in the shape ``rate`` takes: priced at the window start.
+
+    Usage without an ``is_final`` column counts as final; ``carry`` keeps columns.
+    """
+    if "is_final" in usage.columns:
+        usage = usage.filter("is_final")
     return usage.select(
         "customer_id",
         "metric_type",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import values as V
+from tallymark.operators.skew import keyed_join
 
 
 def in_scope(
@@ -22,7 +23,7 @@ def in_scope(
     if metrics:
         scope = scope.filter(F.col("metric_type").isin(metrics))
     if customers is not None:
-        scope = scope.join(customers.select("customer_id"), "customer_id", "left_semi")
+        scope = keyed_join(scope, customers.select("customer_id").distinct(), ["customer_id"], ["aggregation_id"], "inner")
     return scope
 
 

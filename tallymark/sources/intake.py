@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import values as V
+from tallymark.operators.skew import keyed_join
 from tallymark.schemas import EVENT_MESSAGE
 
 # The fields a request may carry, and the shape of ids and times.
@@ -93,6 +94,6 @@ def with_metric(events: DataFrame, mapping: DataFrame | None = None) -> DataFram
     """Metric of an event: its type, or what a small (event_type, metric_type) table says."""
     if mapping is None:
         return events.withColumn("metric_type", F.col("event_type"))
-    return events.join(mapping.select("event_type", F.col("metric_type").alias("_mapped")), "event_type", "left").withColumn(
-        "metric_type", F.coalesce("_mapped", "event_type")
-    ).drop("_mapped")
+    names = mapping.select("event_type", F.col("metric_type").alias("_mapped"))
+    joined = keyed_join(events, names, ["event_type"], ["event_id"])
+    return joined.withColumn("metric_type", F.coalesce("_mapped", "event_type")).drop("_mapped")

@@ -35,10 +35,16 @@ def write_table(df: DataFrame, path: str, name: str, mode: str = "append") -> No
     """Write with the declared columns, partitioned by month where the table has a time."""
     fields = StructType.fromDDL(TABLES[name]).fields
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in fields if f.name in df.columns])
-    writer = rows.write
-    if name in TIME_COLUMNS:
-        writer = rows.withColumn(MONTH, V.month_key(TIME_COLUMNS[name])).write.partitionBy(MONTH)
-    writer.mode(mode).parquet(path)
+    if name not in TIME_COLUMNS:
+        rows.write.mode(mode).parquet(path)
+        return
+    _write_by_month(rows, TIME_COLUMNS[name], path, mode)
+
+
+def _write_by_month(rows: DataFrame, time: str, path: str, mode: str) -> None:
+    """Rows of a month meet in few files; a heavy month is split, light ones merged."""
+    dated = rows.withColumn(MONTH, V.month_key(time))
+    dated.hint("rebalance", F.col(MONTH)).write.mode(mode).partitionBy(MONTH).parquet(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int) -> DataFrame:
@@ -83,5 +89,5 @@ def split_by_age(table: DataFrame, time: str, as_of, keep: str = "30 days") -> t
 def archive(table: DataFrame, time: str, as_of, live_path: str, archive_path: str, keep: str = "30 days") -> None:
     """Write both parts, each laid out by month; the source is left as it is."""
     live, old = split_by_age(table, time, as_of, keep)
-    old.withColumn(MONTH, V.month_key(time)).write.mode("append").partitionBy(MONTH).parquet(archive_path)
-    live.withColumn(MONTH, V.month_key(time)).write.mode("overwrite").partitionBy(MONTH).parquet(live_path)
+    _write_by_month(old, time, archive_path, "append")
+    _write_by_month(live, time, live_path, "overwrite")

@@ -52,14 +52,20 @@ def route_events(
     return _start(stamped, checkpoint, write, trigger)
 
 
-def current_usage(spark: SparkSession, folder: str, size: str = settings.WINDOW_SIZE) -> DataFrame:
-    """Usage windows as far as all batches have counted them."""
-    return metering.merge_partials(spark.read.parquet(f"{folder}/usage_parts"), size)
+def current_usage(spark: SparkSession, folder: str, size: str = settings.WINDOW_SIZE, since=None) -> DataFrame:
+    """Usage windows as far as all batches have counted them.
+
+    ``since`` leaves out windows that started earlier; the filter reaches the files.
+    """
+    parts = spark.read.parquet(f"{folder}/usage_parts")
+    if since is not None:
+        parts = parts.filter(F.col("window_start") >= V.moment(since))
+    return metering.merge_partials(parts, size)
 
 
-def final_usage(spark: SparkSession, folder: str, as_of, size: str = settings.WINDOW_SIZE) -> DataFrame:
-    """Windows that are due at ``as_of``; run on a timer, every five minutes by default."""
-    marked = metering.finalise(current_usage(spark, folder, size), as_of)
+def final_usage(spark: SparkSession, folder: str, as_of, size: str = settings.WINDOW_SIZE, since=None) -> DataFrame:
+    """Windows due at ``as_of``, for a timed run; ``since`` skips those already final."""
+    marked = metering.finalise(current_usage(spark, folder, size, since), as_of)
     return marked.filter("is_final")
 
 
