@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymark import settings
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
 def moment(value) -> Column:
@@ -34,8 +35,12 @@ def iso(ts) -> Column:
 
 
 def parse_iso(text) -> Column:
-    """Timestamp from ISO-8601 text; null when it is malformed."""
-    return _col(text).try_cast("timestamp")
+    """Timestamp from ISO-8601 text; null when it is malformed.
+
+    The pattern also keeps out words such as 'now', which a cast would accept.
+    """
+    text = _col(text)
+    return F.when(text.rlike(ISO_PATTERN), F.regexp_replace(text, ",", ".").try_cast("timestamp"))
 
 
 def month_key(ts) -> Column:
