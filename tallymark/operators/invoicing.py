@@ -13,7 +13,7 @@ from tallymark.functions.money import divide_money, multiply_money, zero_money
 from tallymark.operators.credits import adjustments, allocate, spend, usable_credits
 from tallymark.operators.dedup import best_row
 from tallymark.operators.rating import charges_for_periods
-from tallymark.operators.skew import keyed_join
+from tallymark.operators.skew import at_most, keyed_join
 from tallymark.session import materialise
 
 PERIOD = ["customer_id", "period_start", "period_end"]
@@ -200,14 +200,19 @@ def generate_invoices(
     get an invoice of 0.
     """
     exists = customers.select("customer_id", F.lit(True).alias("_exists"))
-    checked = keyed_join(requests, exists, ["customer_id"], ["period_start", "period_end"], "left", **limits)
+    few_customers = at_most(customers, limits.get("broadcast_rows", settings.BROADCAST_ROWS))
+    few_requests = at_most(requests, limits.get("broadcast_rows", settings.BROADCAST_ROWS))
+    by_period = ["period_start", "period_end"]
+    checked = keyed_join(requests, exists, ["customer_id"], by_period, "left", small=few_customers, **limits)
     known = checked.filter("_exists").drop("_exists")
     rejected = checked.filter("_exists IS NULL").drop("_exists").withColumn("reason", F.lit("CUSTOMER_NOT_FOUND"))
     prior = billed_invoices(invoices)
-    billable = with_rule(billable_charges(known, charges, prior, basis, **limits), rules, **limits)
+    matched = billable_charges(known, charges, prior, basis, small=few_requests, **limits)
+    billable = with_rule(matched, rules, **limits)
     # Sums are one row per period and metric: kept once, used by lines and headers.
     sums = materialise(line_sums(billable))
-    headers, unchanged = invoice_headers(known, customers, sums, prior, **limits)
+    headers, unchanged = invoice_headers(known, customers, sums, prior, small=few_customers, **limits)
+    headers = materialise(headers)
     usable = usable_credits(credits, as_of, honour_expiry)
     totals = headers.select(
         "customer_id", "invoice_id", "period_start", F.col("total_before_credits").alias("amount")
@@ -222,7 +227,7 @@ def generate_invoices(
     return InvoiceRun(
         invoices=final,
         line_items=line_items(headers, sums),
-        line_charges=line_charges(headers, billable, **limits),
+        line_charges=line_charges(headers, billable, small=few_requests, **limits),
         adjustments=adjustments(paid),
         credits=spend(credits, paid),
         unchanged=unchanged,

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tallymark import settings
 from tallymark.functions import values as V
-from tallymark.functions.money import plain_number
-from tallymark.schemas import TIERS
 from tallymark.schemas import TIERS_APPLIED as APPLIED
 from tallymark.operators.scans import neighbours
 from tallymark.operators.skew import keyed_join
@@ -28,7 +26,6 @@ STEP_FIELDS = {
     "lower_formula": "string",
     "lower_tiers": APPLIED,
 }
-STEPS = "array<struct<" + ",".join(f"{name}:{kind}" for name, kind in STEP_FIELDS.items()) + ">>"
 
 
 def is_effective(when: Column, start="effective_from", until="effective_until") -> Column:
@@ -197,186 +194,154 @@ def price_steps(
     """
     if flat_mode not in ("once", "per_unit") or committed_mode not in ("per_unit", "overage"):
         raise ValueError("unknown flat_mode or committed_mode")
-    model = F.col("pricing_model")
-    graduated = model.isin(["tiered"] if committed_mode == "per_unit" else ["tiered", "committed"])
-    simple = model.isin("flat", "per_unit", "committed") & ~graduated
-    once = (model == "flat") & F.lit(flat_mode == "once")
-
-    first = F.get("tiers", F.lit(0))
-    known = rules.select(
-        "rule_id",
-        "price_book_id",
-        "metric_type",
-        "pricing_model",
-        F.col("unit").alias("rule_unit"),
-        F.coalesce(first["unitPrice"], F.lit(0)).cast("decimal(12,6)").alias("unit_price"),
-        _reachable(F.coalesce("tiers", F.array().cast(TIERS))).alias("tiers"),
-    )
-    price_type = f"decimal({6 + price_scale},{price_scale})"
-    known = known.withColumn("_tiers_in_full", _in_full(price_type)).withColumn(
-        "_full_tiers", F.filter("_tiers_in_full", lambda a: a["units"].isNull() | (a["units"] > 0))
-    )
-    steps = (
-        F.when(simple, F.array(_whole_step(once, price_type)))
-        .when(model == "volume", _volume_steps(price_type))
-        .when(graduated, _graduated_steps(price_type, trail))
-    )
-    # Rules that cannot be applied keep one row without amounts.
-    usable = F.coalesce(F.size(steps), F.lit(0)) > 0
-    shown = F.when(usable, steps).otherwise(F.array(_step()))
-    exploded = known.withColumn("_step", F.explode(shown))
-    return exploded.select(
-        "rule_id", "price_book_id", "metric_type", "pricing_model", "rule_unit", "unit_price", "_step.*"
-    ).drop(*([] if trail else ["lower_formula", "lower_tiers"]))
-
-
-def _step(**given: Column) -> Column:
-    """One price step; fields not given are null."""
-    return F.struct(
-        *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in STEP_FIELDS.items()]
+    single = ["flat", "per_unit"] + (["committed"] if committed_mode == "per_unit" else [])
+    graduated = ["tiered"] + (["committed"] if committed_mode == "overage" else [])
+    price = f"decimal({6 + price_scale},{price_scale})"
+    steps = f"""CASE
+        WHEN pricing_model IN {_in(single)} THEN array({_single_step(price, flat_mode)})
+        WHEN pricing_model = 'volume' THEN {_volume_steps(price)}
+        WHEN pricing_model IN {_in(graduated)} THEN {_graduated_steps(price, trail)} END"""
+    return (
+        rules.selectExpr(*RULE_COLUMNS, "coalesce(tiers, array()) AS tiers")
+        # Tiers after the first one without a limit are never reached.
+        .withColumn("_open", F.expr("array_position(transform(tiers, t -> t.upTo IS NULL), true)"))
+        .withColumn("tiers", F.expr("CASE WHEN _open > 0 THEN slice(tiers, 1, CAST(_open AS INT)) ELSE tiers END"))
+        .withColumn("_used_up", F.expr(_used_up(price)))
+        .withColumn("_roomy", F.expr("filter(_used_up, u -> u.units IS NULL OR u.units > 0)"))
+        # Rules that cannot be applied keep one row without amounts.
+        .withColumn("_steps", F.expr(steps))
+        .withColumn("_step", F.expr(f"explode(CASE WHEN size(_steps) > 0 THEN _steps ELSE array({_step()}) END)"))
+        .select(*RULE_KEYS, "_step.*")
+        .drop(*([] if trail else ["lower_formula", "lower_tiers"]))
     )
 
 
-def _reachable(tiers: Column) -> Column:
-    """Tiers up to the first one without a limit; later ones are never reached."""
-    first_open = F.array_position(F.transform(tiers, lambda t: t["upTo"].isNull()), F.lit(True))
-    return F.when(first_open > 0, F.slice(tiers, 1, first_open.cast("int"))).otherwise(tiers)
+RULE_KEYS = ["rule_id", "price_book_id", "metric_type", "pricing_model", "rule_unit", "unit_price"]
+RULE_COLUMNS = [
+    "rule_id",
+    "price_book_id",
+    "metric_type",
+    "pricing_model",
+    "unit AS rule_unit",
+    "CAST(coalesce(get(tiers, 0).unitPrice, 0) AS decimal(12,6)) AS unit_price",
+]
+
+
+def _in(names: list[str]) -> str:
+    return "(" + ", ".join(f"'{name}'" for name in names) + ")"
+
 
+def _step(**given: str) -> str:
+    """One price step as SQL; fields not given are null."""
+    fields = [f"'{name}', CAST({given.get(name, 'NULL')} AS {kind})" for name, kind in STEP_FIELDS.items()]
+    return f"named_struct({', '.join(fields)})"
 
-def _whole_step(once: Column, price_type: str) -> Column:
-    rounded = F.col("unit_price").cast(price_type)
-    zero = F.lit(0)
+
+def _single_step(price: str, flat_mode: str) -> str:
+    """First price for all units, or once."""
+    once = f"(pricing_model = 'flat' AND {str(flat_mode == 'once').lower()})"
     return _step(
-        step_start=zero,
-        base=F.when(once, rounded.cast("decimal(18,2)")).otherwise(zero),
-        step_price=F.when(once, zero).otherwise(rounded),
-        step_fee=zero,
-        tier=F.lit(1),
-        tier_price=F.col("unit_price"),
+        step_start="0",
+        base=f"CASE WHEN {once} THEN CAST(unit_price AS {price}) ELSE 0 END",
+        step_price=f"CASE WHEN {once} THEN 0 ELSE CAST(unit_price AS {price}) END",
+        step_fee="0",
+        tier="1",
+        tier_price="unit_price",
     )
 
 
-def _volume_steps(price_type: str) -> Column:
+def _volume_steps(price: str) -> str:
     """A tier prices all units when it is the first whose limit holds the quantity."""
-    tiers = F.col("tiers")
-
-    def before(position: Column) -> Column:
-        return F.array_max(F.transform(F.slice(tiers, 1, position), lambda e: e["upTo"]))
 
-    def step(tier: Column, position: Column, start: Column, end: Column) -> Column:
+    def step(tier: str, position: str, end: str) -> str:
         return _step(
-            quantity_from=start,
+            quantity_from=f"array_max(transform(slice(tiers, 1, {position}), e -> e.upTo))",
             quantity_to=end,
-            step_start=F.lit(0),
-            base=F.lit(0),
-            step_price=tier["unitPrice"].cast(price_type),
-            step_fee=F.coalesce(tier["flatFee"], F.lit(0)),
-            tier=position + 1,
-            tier_price=tier["unitPrice"],
+            step_start="0",
+            base="0",
+            step_price=f"CAST({tier}.unitPrice AS {price})",
+            step_fee=f"coalesce({tier}.flatFee, 0)",
+            tier=f"least({position} + 1, size(tiers))",
+            tier_price=f"{tier}.unitPrice",
         )
 
-    in_order = F.transform(tiers, lambda t, i: step(t, i, before(i), t["upTo"]))
-    reached = F.filter(
-        in_order,
-        lambda s: s["quantity_from"].isNull() | s["quantity_to"].isNull() | (s["quantity_to"] > s["quantity_from"]),
-    )
+    reached = f"""filter(transform(tiers, (t, i) -> {step('t', 'i', 't.upTo')}),
+        s -> s.quantity_from IS NULL OR s.quantity_to IS NULL OR s.quantity_to > s.quantity_from)"""
     # Above every limit the last tier applies.
-    count = F.size(tiers)
-    last = F.element_at(tiers, -1)
-    above = F.array(step(last, count - 1, before(count), F.lit(None)))
-    return F.when(count == 0, F.array().cast(STEPS)).when(last["upTo"].isNull(), reached).otherwise(F.concat(reached, above))
+    last = "element_at(tiers, -1)"
+    above = f"CASE WHEN {last}.upTo IS NULL THEN array() ELSE array({step(last, 'size(tiers)', 'NULL')}) END"
+    return f"CASE WHEN size(tiers) = 0 THEN array() ELSE concat({reached}, {above}) END"
 
 
-def _in_full(price_type: str) -> Column:
+def _used_up(price: str) -> str:
     """What every tier costs when used up to its limit; no units where it has none."""
-    tiers, zero = F.col("tiers"), F.lit(0)
-
-    def applied(tier: Column, position: Column) -> Column:
-        room = (tier["upTo"] - F.coalesce(F.get(tiers, position - 1)["upTo"], zero)).cast("decimal(20,6)")
-        fee = F.coalesce(tier["flatFee"], zero).cast("decimal(12,2)")
-        charge = (tier["unitPrice"].cast(price_type) * room).cast("decimal(18,2)") + fee
-        return F.struct(
-            (position + 1).alias("tier"),
-            room.alias("units"),
-            tier["unitPrice"].cast("decimal(12,6)").alias("unitPrice"),
-            fee.alias("flatFee"),
-            charge.cast("decimal(18,2)").alias("charge"),
-        )
+    room = "CAST(t.upTo - coalesce(get(tiers, i - 1).upTo, 0) AS decimal(20,6))"
+    fee = "CAST(coalesce(t.flatFee, 0) AS decimal(12,2))"
+    charge = f"CAST(CAST(CAST(t.unitPrice AS {price}) * {room} AS decimal(18,2)) + {fee} AS decimal(18,2))"
+    return f"""transform(tiers, (t, i) -> named_struct('tier', i + 1, 'units', {room},
+        'unitPrice', CAST(t.unitPrice AS decimal(12,6)), 'flatFee', {fee}, 'charge', {charge}))"""
+
+
+def _total(rows: str, field: str, kind: str) -> str:
+    return f"aggregate({rows}, CAST(0 AS {kind}), (total, u) -> CAST(total + u.{field} AS {kind}))"
 
-    return F.transform(tiers, applied)
 
+def _formula(rows: str) -> str:
+    def number(field: str) -> str:
+        return f"regexp_replace(CAST(u.{field} AS string), '[.]?0+$', '')"
 
-def _graduated_steps(price_type: str, trail: bool) -> Column:
+    text = f"concat('(', {number('unitPrice')}, ' × ', {number('units')}, ' + ', {number('flatFee')}, ')')"
+    return f"array_join(transform({rows}, u -> {text}), ' + ')"
+
+
+def _graduated_steps(price: str, trail: bool) -> str:
     """Each tier prices the units between its limit and the one before it.
 
     Tiers are taken in stored order.  One without room (limit not above the limit
     before it) is skipped, except that quantity 0 always falls into the first tier.
     Units above the last limit stay unpriced.
     """
-    tiers, full, zero = F.col("tiers"), F.col("_full_tiers"), F.lit(0)
-    wide, cents = "decimal(20,6)", "decimal(18,2)"
-
-    def total(rows: Column, field: str, kind: str) -> Column:
-        return F.aggregate(rows, zero.cast(kind), lambda sum_, a: (sum_ + a[field]).cast(kind))
-
-    def formula(rows: Column) -> Column:
-        def text(a: Column) -> Column:
-            return F.concat(
-                F.lit("("), plain_number(a["unitPrice"]), F.lit(" × "), plain_number(a["units"]),
-                F.lit(" + "), plain_number(a["flatFee"]), F.lit(")"),
-            )
-
-        return F.array_join(F.transform(rows, text), " + ")
-
-    def explained(rows: Column) -> dict[str, Column]:
-        return {"lower_formula": formula(rows), "lower_tiers": rows}
 
-    def within(a: Column, position: Column) -> Column:
-        lower = F.slice(full, 1, position)
-        start = total(lower, "units", wide)
-        return _step(
-            quantity_from=F.when(a["tier"] > 1, start),
-            quantity_to=start + a["units"],
-            step_start=start,
-            base=total(lower, "charge", cents),
-            step_price=a["unitPrice"].cast(price_type),
-            step_fee=a["flatFee"],
-            tier=a["tier"],
-            tier_price=a["unitPrice"],
-            **(explained(lower) if trail else {}),
-        )
-
-    priced = F.transform(full, within)
-    end = total(full, "units", wide)
+    def explained(rows: str) -> dict[str, str]:
+        return {"lower_formula": _formula(rows), "lower_tiers": rows} if trail else {}
+
+    lower = "slice(_roomy, 1, i)"
+    start = _total(lower, "units", "decimal(20,6)")
+    within = _step(
+        quantity_from=f"CASE WHEN u.tier > 1 THEN {start} END",
+        quantity_to=f"{start} + u.units",
+        step_start=start,
+        base=_total(lower, "charge", "decimal(18,2)"),
+        step_price=f"CAST(u.unitPrice AS {price})",
+        step_fee="u.flatFee",
+        tier="u.tier",
+        tier_price="u.unitPrice",
+        **explained(lower),
+    )
+    end = _total("_roomy", "units", "decimal(20,6)")
     beyond = _step(
-        quantity_from=F.when((F.size(full) > 0) | (F.size(tiers) > 0), end),
+        quantity_from=f"CASE WHEN size(tiers) > 0 THEN {end} END",
         step_start=end,
-        base=total(full, "charge", cents),
-        step_price=zero,
-        step_fee=zero,
-        tier_price=zero,
-        **(explained(full) if trail else {}),
+        base=_total("_roomy", "charge", "decimal(18,2)"),
+        step_price="0",
+        step_fee="0",
+        tier_price="0",
+        **explained("_roomy"),
     )
-    first = F.get("_tiers_in_full", zero)
     zero_quantity = _step(
-        quantity_to=zero,
-        step_start=zero,
-        base=zero,
-        step_price=first["unitPrice"].cast(price_type),
-        step_fee=first["flatFee"],
-        tier=F.lit(1),
-        tier_price=first["unitPrice"],
-        lower_formula=F.lit(""),
-        lower_tiers=F.array().cast(APPLIED),
-    )
-    none = F.array().cast(STEPS)
-    endless = F.exists(tiers, lambda t: t["upTo"].isNull())
-    roomless_start = F.coalesce(first["units"] <= 0, F.lit(False))
-    return F.concat(
-        priced,
-        F.when(endless, none).otherwise(F.array(beyond)),
-        F.when(roomless_start, F.array(zero_quantity)).otherwise(none),
+        quantity_to="0",
+        step_start="0",
+        base="0",
+        step_price=f"CAST(_used_up[0].unitPrice AS {price})",
+        step_fee="_used_up[0].flatFee",
+        tier="1",
+        tier_price="_used_up[0].unitPrice",
+        **({"lower_formula": "''", "lower_tiers": "array()"} if trail else {}),
     )
+    return f"""concat(
+        transform(_roomy, (u, i) -> {within}),
+        CASE WHEN exists(tiers, t -> t.upTo IS NULL) THEN array() ELSE array({beyond}) END,
+        CASE WHEN coalesce(get(_used_up, 0).units <= 0, false) THEN array({zero_quantity}) ELSE array() END)"""
 
 
 def books_newest_first(books: DataFrame) -> DataFrame:
