@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.operators.skew import keyed_join
+from tallymark.session import materialise
 
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -29,20 +30,29 @@ def first_copies(events: DataFrame, key: str = "event_id", arrival: str = "inges
 def later_copies(events: DataFrame, key: str = "event_id", arrival: str = "ingestion_time") -> DataFrame:
     """Refused copies with their number in ``copies``.
 
-    Equal rows are counted before the shuffle, and the first copy is a minimum with
-    a partial step, so a heavily repeated event stays cheap.
+    Repeated ids are found first, by a hash aggregate over two columns; only their
+    events are looked at in full.  Equal rows are counted before the shuffle, so a
+    heavily repeated event stays cheap.
     """
     others = [c for c in events.columns if c not in (key, arrival)]
-    variants = events.groupBy(*events.columns).agg(F.count(F.lit(1)).alias("copies"))
-    marked = variants.withColumn("_order", F.struct(F.col(arrival), *[F.col(c) for c in others]))
-    winner = marked.groupBy(key).agg(F.min("_order").alias("_winner"), F.sum("copies").alias("_all")).filter("_all > 1")
-    # A heavily repeated id may still have many variants: they are spread over tasks.
+    repeated = materialise(
+        events.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"), F.min(arrival).alias("_first"))
+        .filter("n > 1")
+    )
+    counts = repeated.select(key, "n")
+    found = keyed_join(events, repeated.drop("n"), [key], [arrival, *others], "inner", counts=counts)
+    variants = materialise(found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("copies")))
+    rest = F.struct(*[F.col(c) for c in others])
+    winner = variants.filter(F.col(arrival) == F.col("_first")).groupBy(key).agg(F.min(rest).alias("_winner"))
+    is_winner = (F.col(arrival) == F.col("_first")) & (rest == F.col("_winner"))
+    # An id may have very many variants: they are spread over tasks.
     return (
-        keyed_join(marked, winner.drop("_all"), [key], [arrival, *others], "inner", small=False)
-        .withColumn("copies", F.col("copies") - F.when(F.col("_order") == F.col("_winner"), 1).otherwise(0))
+        keyed_join(variants, winner, [key], [arrival, *others], "inner", counts=counts)
+        .withColumn("copies", F.col("copies") - F.when(is_winner, 1).otherwise(0))
         .filter("copies > 0")
         .withColumn("reason", F.lit("DUPLICATE_EVENT_ID"))
-        .drop("_order", "_winner")
+        .drop("_first", "_winner")
     )
 
 

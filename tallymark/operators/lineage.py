@@ -10,26 +10,40 @@ from tallymark.operators.skew import keyed_join
 from tallymark.session import materialise
 
 
-def charge_events(charges: DataFrame, usage_events: DataFrame, events: DataFrame, **limits) -> DataFrame:
-    """(charge_id, subtotal, event_id, ...): events behind every charge.
-
-    Charges of windows go through (aggregation_id, event_id); late charges name their
-    event themselves.  A window with very many events is spread over several tasks.
+def charge_events(
+    charges: DataFrame,
+    window_events: DataFrame,
+    single_events: DataFrame,
+    usage: DataFrame | None = None,
+    **limits,
+) -> DataFrame:
+    """(charge_id, subtotal, event_id, event_time, metric_type): events behind charges.
+
+    ``window_events`` says which window counted an event (``usage_events`` carrying
+    event_time and metric_type).  Late charges name their event themselves; it is
+    looked up in ``single_events``, the late events.  A window with very many events
+    is spread over several tasks; ``usage`` gives the counts when it is at hand.
     """
-    details = events.select("event_id", "event_time", "metric_type")
+    counts = None if usage is None else usage.select("aggregation_id", F.col("event_count").alias("n"))
+    details = ["event_id", "event_time", "metric_type"]
+    windows = charges.filter(F.col("aggregation_id").isNotNull()).select("aggregation_id", "charge_id", "subtotal")
     through_windows = keyed_join(
-        usage_events,
-        charges.filter(F.col("aggregation_id").isNotNull()).select("aggregation_id", "charge_id", "subtotal"),
+        window_events.select("aggregation_id", *details),
+        windows,
         ["aggregation_id"],
         ["event_id"],
         "inner",
         small=False,
+        counts=counts,
         **limits,
-    ).select("charge_id", "subtotal", "event_id")
-    direct = charges.filter(F.col("source_event_id").isNotNull()).select(
-        "charge_id", "subtotal", F.col("source_event_id").cast(events.schema["event_id"].dataType).alias("event_id")
     )
-    return through_windows.unionByName(direct).join(details, "event_id")
+    id_type = single_events.schema["event_id"].dataType
+    named = charges.filter(F.col("source_event_id").isNotNull()).select(
+        "charge_id", "subtotal", F.col("source_event_id").cast(id_type).alias("event_id")
+    )
+    direct = named.join(single_events.select(*details), "event_id")
+    columns = ["charge_id", "subtotal", *details]
+    return through_windows.select(*columns).unionByName(direct.select(*columns))
 
 
 def line_events(line_items: DataFrame, line_charges: DataFrame, traced: DataFrame, **limits) -> DataFrame:

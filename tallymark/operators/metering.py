@@ -98,15 +98,18 @@ def _pick(grouped: DataFrame, size: str, with_average: bool) -> DataFrame:
     return grouped.select(*columns)
 
 
-def usage_events(events: DataFrame, size: str = settings.WINDOW_SIZE, event_id: str = "event_id") -> DataFrame:
+def usage_events(
+    events: DataFrame, size: str = settings.WINDOW_SIZE, event_id: str = "event_id", carry: Sequence[str] = ()
+) -> DataFrame:
     """(aggregation_id, event_id): which window an event was counted in.
 
     The id of a window is a hash of its key, so this is a projection.  It replaces an
-    id list on the usage row, which would grow without bound.
+    id list on the usage row, which would grow without bound.  ``carry`` adds columns
+    of the event, which saves joining the events again when tracing.
     """
     start = V.window_start("event_time", size)
     keyed = events.withColumn("window_start", start)
-    return keyed.select(V.stable_id(*USAGE_KEY, F.lit(size)).alias("aggregation_id"), F.col(event_id))
+    return keyed.select(V.stable_id(*USAGE_KEY, F.lit(size)).alias("aggregation_id"), F.col(event_id), *carry)
 
 
 def finalise(usage: DataFrame, as_of, lateness: str = settings.ALLOWED_LATENESS) -> DataFrame:

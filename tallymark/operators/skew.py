@@ -28,6 +28,7 @@ def keyed_join(
     broadcast_rows: int = settings.BROADCAST_ROWS,
     rows_per_task: int = settings.ROWS_PER_TASK,
     small: bool | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on equal ``keys`` plus an optional condition.
 
@@ -35,7 +36,8 @@ def keyed_join(
     one is joined by shuffle, with keys that hold more than ``rows_per_task`` facts
     spread over several tasks by a hash of ``row_id``.
     Columns of both sides must differ except for the keys.  ``small`` passes on the
-    answer when the caller has already bounded the lookup by ``broadcast_rows``.
+    answer when the caller has already bounded the lookup by ``broadcast_rows``, and
+    ``counts`` (keys, n) the number of facts per key, which is counted otherwise.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -45,11 +47,10 @@ def keyed_join(
         return _join(facts, F.broadcast(lookup), list(keys), condition, how)
     keys = list(keys)
     # At most rows / rows_per_task keys can be this heavy, which bounds the broadcast.
-    heavy = (
-        facts.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(SPLITS))
-        .filter(F.col(SPLITS) > rows_per_task)
-        .withColumn(SPLITS, F.ceil(F.col(SPLITS) / rows_per_task).cast("int"))
+    if counts is None:
+        counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    heavy = counts.filter(F.col("n") > rows_per_task).select(
+        *keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias(SPLITS)
     )
     salted = facts.join(F.broadcast(heavy), keys, "left").withColumn(
         SALT, F.when(F.col(SPLITS).isNull(), 0).otherwise(F.pmod(F.xxhash64(*row_id), F.col(SPLITS)).cast("int"))

@@ -207,8 +207,9 @@ def conservation_all(spark, sf_dir):
 
 def _traced(spark, sf_dir):
     events = W.telemetry(spark, sf_dir)
-    on_time, _ = metering.split_late(events, F.col("ingestion_time"))
-    return lineage.charge_events(charges(spark, sf_dir), metering.usage_events(on_time), events)
+    on_time, late = metering.split_late(events, F.col("ingestion_time"))
+    counted = metering.usage_events(on_time, carry=["event_time", "metric_type"])
+    return lineage.charge_events(charges(spark, sf_dir), counted, late)
 
 
 _TRACED = {
