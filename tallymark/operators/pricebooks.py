@@ -56,60 +56,88 @@ def effective_book(books: DataFrame, dates: DataFrame, date: str = "as_of") -> D
     return attach_book(dates.withColumn("_id", V.stable_id(date)), books, date, ["_id"]).drop("_id")
 
 
-def lookup_intervals(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def lookup_intervals(books: DataFrame, keys: Sequence[str] = (), few: bool = True) -> DataFrame:
     """Books as disjoint intervals (per ``keys``), the latest start winning.
 
     Books may overlap or be nested.  Between two neighbouring start or end dates the
-    answer cannot change, so the winner is looked up once per such piece, among the
-    books that touch its month, and neighbouring pieces are cut into months.  A fact
-    row then meets at most one piece through an equality on the month.
+    answer cannot change, so the winner is looked up once per date of change.  Each
+    interval is then listed under every month (``few`` books) or hour it touches, so
+    that a fact row finds its one interval through an equality on that bucket.
     """
-    keys = list(keys)
-    spans = _spans(books, keys)
-    high = _last_month(books)
-
-    # One row per (keys, month) with the books that touch the month: a book is
-    # listed once per month it is valid in, the best candidate first.
-    listed = spans.withColumn("_month", F.explode(_months(high))).withColumn(
-        "_candidate",
-        F.struct(
-            (-F.unix_micros("effective_from")).alias("rank"),
-            "price_book_id",
-            "version",
-            "effective_from",
-            "effective_until",
-        ),
+    groups = list(keys) or [ALL]
+    spans = _spans(books, keys).withColumn(ALL, F.lit(1))
+    dates = spans.select(*groups, F.col("effective_from").alias("piece_from")).unionByName(
+        spans.filter("effective_until IS NOT NULL").select(*groups, F.col("effective_until").alias("piece_from"))
     )
-    candidates = listed.groupBy(*keys, "_month").agg(F.array_sort(F.collect_list("_candidate")).alias("_books"))
-
-    # Pieces: every date at which something changes, plus the start of every month.
-    changes = listed.select(*keys, "_month", F.col("_month").alias("_at"))
-    for column in ("effective_from", "effective_until"):
-        changes = changes.unionByName(
-            listed.filter(F.date_trunc("month", column) == F.col("_month")).select(*keys, "_month", F.col(column).alias("_at"))
-        )
-    pieces = changes.distinct()
-    by_month = Window.partitionBy(*keys, "_month").orderBy("_at")
-    pieces = pieces.withColumn("_next", F.lead("_at").over(by_month))
-    winner = F.get(
-        F.filter(
-            "_books",
-            lambda b: (b["effective_from"] <= F.col("_at"))
-            & (b["effective_until"].isNull() | (b["effective_until"] > F.col("_at"))),
-        ),
-        F.lit(0),
+    dates = dates.distinct()
+    winners = _winners_by_list(spans, dates, groups) if few else _winners_by_halving(spans, dates, groups)
+    ended = neighbours(
+        dates, groups, [F.col("piece_from").asc()], next_row={"piece_until": "piece_from"}, split=False if few else None
     )
-    joined = pieces.join(candidates, [*keys, "_month"]).withColumn("_book", winner).filter(F.col("_book").isNotNull())
-    month_end = F.col("_month") + F.expr("interval 1 month")
-    return joined.withColumn("_high", high).select(
+    bucket = _bucket(few)
+    last = _last_bucket(books, few)
+    until = F.coalesce(F.col("piece_until") - F.expr("interval 1 microsecond"), last)
+    listed = F.sequence(F.date_trunc(bucket, "piece_from"), F.date_trunc(bucket, until), F.expr(f"interval 1 {bucket}"))
+    return winners.join(ended, [*groups, "piece_from"]).select(
         *keys,
-        F.col("_month").alias("book_month"),
+        F.explode(listed).alias("book_bucket"),
         F.col("_book.price_book_id").alias("price_book_id"),
         F.col("_book.version").alias("price_version"),
-        F.col("_at").alias("piece_from"),
-        # The last month stands for all later ones, so its last piece is open.
-        F.coalesce("_next", F.when(F.col("_month") < F.col("_high"), month_end)).alias("piece_until"),
+        "piece_from",
+        "piece_until",
+    )
+
+
+ALL = "_all"
+# Up to this many books, the candidates of a group are kept in one array.
+LISTED_BOOKS = 2_000
+# Microseconds since 1970 fit into this many bits until the year 2255.
+TIME_BITS = 53
+
+
+def _winners_by_list(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
+    """Winner at every date, from a sorted array of the group's few books."""
+    candidate = F.struct(
+        (-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version", "effective_from", "effective_until"
+    )
+    candidates = spans.groupBy(*groups).agg(F.array_sort(F.collect_list(candidate)).alias("_books"))
+    valid = F.filter(
+        "_books",
+        lambda b: (b["effective_from"] <= F.col("piece_from"))
+        & (b["effective_until"].isNull() | (b["effective_until"] > F.col("piece_from"))),
+    )
+    found = dates.join(candidates, groups).withColumn("_book", F.get(valid, F.lit(0)))
+    return found.filter("_book IS NOT NULL").select(*groups, "piece_from", "_book")
+
+
+def _winners_by_halving(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
+    """Winner at every date without comparing dates and books in pairs.
+
+    Time is halved again and again into aligned slots.  A book is written to the few
+    largest slots that make up its interval, each slot keeps its best book, and a date
+    asks the one slot per size that contains it.
+    """
+    size = F.explode(F.sequence(F.lit(0), F.lit(TIME_BITS))).alias("_size")
+    sized = spans.select(
+        *groups,
+        F.unix_micros("effective_from").alias("_a"),
+        F.coalesce(F.unix_micros("effective_until"), F.lit(1 << TIME_BITS)).alias("_b"),
+        F.struct((-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version").alias("_book"),
+        size,
+    )
+    # First slot inside the interval, and first slot behind it.
+    inside = F.expr("shiftright(_a + shiftleft(1L, _size) - 1, _size)")
+    behind = F.expr("shiftright(_b, _size)")
+    slots = sized.withColumns({"_i": inside, "_j": behind}).filter("_i < _j")
+    slots = slots.withColumn(
+        "_slot", F.explode(F.expr("array_compact(array(IF(_i % 2 = 1, _i, NULL), IF(_j % 2 = 1, _j - 1, NULL)))"))
+    )
+    best = slots.groupBy(*groups, "_size", "_slot").agg(F.min("_book").alias("_book"))
+    asked = dates.select(*groups, "piece_from", size).withColumn(
+        "_slot", F.expr("shiftright(unix_micros(piece_from), _size)")
     )
+    answers = keyed_join(asked, best, [*groups, "_size", "_slot"], ["piece_from"], "inner", small=False)
+    return answers.groupBy(*groups, "piece_from").agg(F.min("_book").alias("_book"))
 
 
 def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,20 +145,26 @@ def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
     return books.filter(valid).select(*keys, "price_book_id", "version", "effective_from", "effective_until")
 
 
-def _months(high: Column) -> Column:
-    """Months a book touches, up to the last month in which anything changes."""
-    last = F.least(F.date_trunc("month", F.coalesce("effective_until", high)), high)
-    return F.sequence(F.date_trunc("month", "effective_from"), last, F.expr("interval 1 month"))
+def _bucket(few: bool) -> str:
+    return "month" if few else "hour"
 
 
-def _few_pieces(books: DataFrame, limit: int) -> bool:
-    """Whether there are at most ``limit`` lookup pieces.
+def _last_bucket(books: DataFrame, few: bool) -> Column:
+    """Bucket of the last change, as a scalar subquery: nothing changes after it."""
+    latest = F.greatest(F.max("effective_from"), F.max("effective_until"))
+    return _spans(books, []).agg(F.date_trunc(_bucket(few), latest).alias("last_bucket")).scalar()
+
+
+def _few_books(books: DataFrame, limit: int) -> bool:
+    """Whether the books fit into arrays and their pieces into ``limit`` rows.
 
-    A book adds at most one piece per month it touches and two for its own ends, so
-    summing its months bounds them without building them.
+    A book adds at most one piece per month up to the last change and two for its own
+    ends, which bounds the pieces without building them.
     """
-    bound = F.sum(F.size(_months(_last_month(books))) + 2)
-    return (_spans(books, []).agg(bound.alias("n")).first()["n"] or 0) <= limit
+    last = F.coalesce("effective_until", _last_bucket(books, True))
+    months = F.ceil(F.greatest(F.months_between(last, "effective_from"), F.lit(0))) + 3
+    found = _spans(books, []).agg(F.count(F.lit(1)).alias("books"), F.sum(months).alias("pieces")).first()
+    return found["books"] <= LISTED_BOOKS and (found["pieces"] or 0) <= limit
 
 
 def _few_steps(rules: DataFrame, limit: int) -> bool:
@@ -138,12 +172,6 @@ def _few_steps(rules: DataFrame, limit: int) -> bool:
     return (rules.agg(F.sum(F.coalesce(F.size("tiers"), F.lit(0)) + 2).alias("n")).first()["n"] or 0) <= limit
 
 
-def _last_month(books: DataFrame) -> Column:
-    """Month of the last change, as a scalar subquery: nothing changes after it."""
-    latest = F.greatest(F.max("effective_from"), F.max("effective_until"))
-    return _spans(books, []).agg(F.date_trunc("month", latest).alias("last_month")).scalar()
-
-
 def attach_book(
     facts: DataFrame,
     books: DataFrame,
@@ -155,21 +183,23 @@ def attach_book(
 ) -> DataFrame:
     """Add price_book_id and price_version valid at ``date``; null where none is."""
     keys = list(keys)
-    pieces = lookup_intervals(books, keys)
-    dated = facts.withColumn("book_month", F.least(F.date_trunc("month", F.col(date)), _last_month(books)))
+    few = _few_books(books, broadcast_rows)
+    pieces = lookup_intervals(books, keys, few)
+    bucket = F.least(F.date_trunc(_bucket(few), F.col(date)), _last_bucket(books, few))
+    dated = facts.withColumn("book_bucket", bucket)
     during = (F.col("piece_from") <= F.col(date)) & (F.col("piece_until").isNull() | (F.col("piece_until") > F.col(date)))
     joined = keyed_join(
         dated,
         pieces,
-        [*keys, "book_month"],
+        [*keys, "book_bucket"],
         row_id,
         "left",
         during,
         broadcast_rows,
         rows_per_task,
-        _few_pieces(books, broadcast_rows),
+        few,
     )
-    return joined.drop("book_month", "piece_from", "piece_until")
+    return joined.drop("book_bucket", "piece_from", "piece_until")
 
 
 def price_steps(

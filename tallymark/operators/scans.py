@@ -25,7 +25,7 @@ def groups_fit(df: DataFrame, keys: Sequence[str], rows_per_task: int = settings
     if at_most(df, rows_per_task):
         return True
     large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows_per_task)
-    return at_most(large, 0)
+    return large.isEmpty()
 
 
 def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], parts: int | None = None) -> DataFrame:

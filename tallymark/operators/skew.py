@@ -14,8 +14,8 @@ SPLITS = "_splits"
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; reads no more than needed."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has no more than ``rows`` rows; only one number leaves each task."""
+    return df.count() <= rows
 
 
 def keyed_join(
