@@ -1,7 +1,6 @@
 """Intake, duplicates, lateness and windows."""
 
 import json
-import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -181,21 +180,14 @@ def test_versions(spark, rows):
     assert got == {"a": (1, 1), "b": (4, 5), "c": (1, 1)}
 
 
-def test_demo_events(spark):
-    """Three hourly windows and one older event, made by spark.range."""
+def test_sample_events(spark):
+    """Windows one hour old or more have started before the watermark."""
+    from tallymark.sources import samples
+
     now = "2024-01-15 12:20:00"
-    made = spark.range(11).select(
-        F.lit(str(uuid.UUID(int=1))).alias("customer_id"),
-        F.col("id").alias("event_id"),
-        F.lit("api_call").alias("metric_type"),
-        F.expr(
-            f"CASE WHEN id < 5 THEN TIMESTAMP '{now}' - INTERVAL 2 HOUR + id * INTERVAL 10 MINUTE "
-            f"WHEN id < 8 THEN TIMESTAMP '{now}' - INTERVAL 1 HOUR + (id - 5) * INTERVAL 15 MINUTE "
-            f"WHEN id < 10 THEN TIMESTAMP '2024-01-15 12:00:00' + (id - 8) * INTERVAL 5 MINUTE ELSE TIMESTAMP '{now}' - INTERVAL 3 HOUR END"
-        ).alias("event_time"),
-        F.lit(1).cast("decimal(20,6)").alias("value"),
-    )
-    on_time, late = metering.split_late(made, now)
-    # The window of an event one hour old has started before the watermark.
-    assert (on_time.count(), late.count()) == (2, 9)
-    assert metering.meter(made).agg(F.sum("event_count")).first()[0] == 11
+    usable, refused = metering.event_values(samples.sample_events(spark, now))
+    assert refused.isEmpty()
+    on_time, late = metering.split_late(usable, now)
+    assert (on_time.count(), late.count()) == (5, 11)
+    usage = metering.meter(usable)
+    assert usage.count() == 4 and usage.agg(F.sum("event_count")).first()[0] == 16

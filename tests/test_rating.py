@@ -221,13 +221,21 @@ def test_price_boundary_is_inclusive(spark):
 
 def test_sample_books(spark):
     """Three books with one start: the smallest id answers, whatever the row order."""
-    books = book_table(spark, [(b, datetime(2024, 1, 1), None) for b in ("pb-volume", "pb-enterprise", "pb-standard")])
-    rules = rule_table(spark, [("api_call", "flat", [(None, D("0.01"), D(0))])]).withColumn("price_book_id", F.lit("pb-standard"))
-    usage = usage_table(spark, [("api_call", 10, NOON)])
-    _, unrated = rating.rate(usage, books, rules, NOON)
+    from tallymark.operators import integrity
+    from tallymark.sources import samples
+
+    books, rules = samples.sample_books(spark), samples.sample_rules(spark)
+    usage = usage_table(spark, [("api_call", 10, NOON), ("api_calls", 10, NOON)])
+    charges, unrated = rating.rate(usage, books, rules, NOON)
+    charge = charges.first()
+    assert (charge["price_book_id"], charge["subtotal"]) == ("pb-enterprise-v1", Decimal("0.01"))
     assert unrated.first()["reason"] == "NO_PRICE_RULE"
-    charges, _ = rating.rate(usage, books, rules, NOON, rating.RatingOptions(lookup="rule_first"))
-    assert charges.first()["price_book_id"] == "pb-standard"
+    volume = usage_table(spark, [("api_call", 12500, NOON)])
+    one = books.filter("price_book_id = 'pb-volume-v1'")
+    assert rating.rate(volume, one, rules, NOON)[0].first()["subtotal"] == Decimal("225.00")
+    assert {r["rule_count"] for r in pricebooks.rules_per_book(books, rules).collect()} == {3}
+    tables = {"price_rules": rules, "price_books": books, "customers": samples.sample_customers(spark)}
+    assert all(integrity.violations(name, tables).isEmpty() for name in tables)
 
 
 def test_both_join_ways_give_the_same_charges(spark, sf_dir):
