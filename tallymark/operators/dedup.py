@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark import settings
 from tallymark.operators.skew import keyed_join
 from tallymark.session import materialise
 
@@ -27,12 +28,18 @@ def first_copies(events: DataFrame, key: str = "event_id", arrival: str = "inges
     return best_row(events, [key], [F.col(arrival).asc_nulls_last(), *others])
 
 
-def later_copies(events: DataFrame, key: str = "event_id", arrival: str = "ingestion_time") -> DataFrame:
+def later_copies(
+    events: DataFrame,
+    key: str = "event_id",
+    arrival: str = "ingestion_time",
+    rows_per_task: int = settings.ROWS_PER_TASK,
+) -> DataFrame:
     """Refused copies with their number in ``copies``.
 
     Repeated ids are found first, by a hash aggregate over two columns; only their
-    events are looked at in full.  Equal rows are counted before the shuffle, so a
-    heavily repeated event stays cheap.
+    events are looked at in full.  Events of a heavily repeated id are picked by
+    broadcast (there are at most rows / rows_per_task such ids), and equal rows are
+    counted before the shuffle.
     """
     others = [c for c in events.columns if c not in (key, arrival)]
     repeated = materialise(
@@ -40,15 +47,20 @@ def later_copies(events: DataFrame, key: str = "event_id", arrival: str = "inges
         .agg(F.count(F.lit(1)).alias("n"), F.min(arrival).alias("_first"))
         .filter("n > 1")
     )
-    counts = repeated.select(key, "n")
-    found = keyed_join(events, repeated.drop("n"), [key], [arrival, *others], "inner", counts=counts)
+    heavy = repeated.filter(F.col("n") > rows_per_task)
+    light = repeated.filter(F.col("n") <= rows_per_task)
+    often = events.join(F.broadcast(heavy.drop("n")), key)
+    rarely = events.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    row_id, sizes = [arrival, *others], {"rows_per_task": rows_per_task}
+    rare = keyed_join(rarely, light.drop("n"), [key], row_id, "inner", counts=light.select(key, "n"), **sizes)
+    found = often.unionByName(rare)
     variants = materialise(found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("copies")))
     rest = F.struct(*[F.col(c) for c in others])
     winner = variants.filter(F.col(arrival) == F.col("_first")).groupBy(key).agg(F.min(rest).alias("_winner"))
     is_winner = (F.col(arrival) == F.col("_first")) & (rest == F.col("_winner"))
     # An id may have very many variants: they are spread over tasks.
     return (
-        keyed_join(variants, winner, [key], [arrival, *others], "inner", counts=counts)
+        keyed_join(variants, winner, [key], row_id, "inner", counts=repeated.select(key, "n"), **sizes)
         .withColumn("copies", F.col("copies") - F.when(is_winner, 1).otherwise(0))
         .filter("copies > 0")
         .withColumn("reason", F.lit("DUPLICATE_EVENT_ID"))

@@ -262,7 +262,8 @@ def csv_rows(invoices: DataFrame, lines: DataFrame, customers: DataFrame) -> Dat
 
     One row per line, so a writer can range-partition by invoice and position.
     """
-    rated = invoices.join(customers.select("customer_id", "tax_region"), "customer_id", "left")
+    regions = customers.select("customer_id", "tax_region")
+    rated = keyed_join(invoices, regions, ["customer_id"], ["invoice_id"])
     percent = V.percentage(V.tax_rate("tax_region"))
     period = F.concat(V.iso("period_start"), F.lit(" to "), V.iso("period_end"))
 

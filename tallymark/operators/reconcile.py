@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark import settings
 from tallymark.functions import values as V
+from tallymark.operators.skew import keyed_join
 
 MONEY = "decimal(18,2)"
 
@@ -150,9 +151,13 @@ def duplicate_charges(charges: DataFrame) -> DataFrame:
 
 def charges_to_void(charges: DataFrame) -> DataFrame:
     """All but the newest charge of windows charged more than once."""
-    repeated = duplicate_charges(charges).select("aggregation_id", "kept_charge_id")
+    repeated = duplicate_charges(charges)
+    counts = repeated.select("aggregation_id", F.col("charge_count").alias("n"))
     originals = charges.filter(F.col("supersedes_charge_id").isNull())
-    return originals.join(repeated, "aggregation_id").filter(F.col("charge_id") != F.col("kept_charge_id")).drop("kept_charge_id")
+    joined = keyed_join(
+        originals, repeated.drop("charge_count"), ["aggregation_id"], ["charge_id"], "inner", small=False, counts=counts
+    )
+    return joined.filter(F.col("charge_id") != F.col("kept_charge_id")).drop("kept_charge_id")
 
 
 def quality_metrics(events: DataFrame, as_of, size: str = settings.WINDOW_SIZE, lateness: str = settings.ALLOWED_LATENESS) -> DataFrame:

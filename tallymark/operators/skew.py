@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tallymark import settings
 
 SALT = "_salt"
 SPLITS = "_splits"
+NULL_SALTS = 1 << 16
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -34,7 +37,8 @@ def keyed_join(
 
     A counted, small lookup is broadcast and the facts are not shuffled.  A larger
     one is joined by shuffle, with keys that hold more than ``rows_per_task`` facts
-    spread over several tasks by a hash of ``row_id``.
+    spread over several tasks by a hash of ``row_id``, which must tell rows apart.
+    Facts with a null key match nothing and are spread as well.
     Columns of both sides must differ except for the keys.  ``small`` passes on the
     answer when the caller has already bounded the lookup by ``broadcast_rows``, and
     ``counts`` (keys, n) the number of facts per key, which is counted otherwise.
@@ -52,8 +56,13 @@ def keyed_join(
     heavy = counts.filter(F.col("n") > rows_per_task).select(
         *keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias(SPLITS)
     )
+    place = F.xxhash64(*row_id)
+    unmatched = reduce(or_, [F.col(key).isNull() for key in keys])
     salted = facts.join(F.broadcast(heavy), keys, "left").withColumn(
-        SALT, F.when(F.col(SPLITS).isNull(), 0).otherwise(F.pmod(F.xxhash64(*row_id), F.col(SPLITS)).cast("int"))
+        SALT,
+        F.when(unmatched, F.pmod(place, F.lit(NULL_SALTS)).cast("int"))
+        .when(F.col(SPLITS).isNull(), 0)
+        .otherwise(F.pmod(place, F.col(SPLITS)).cast("int")),
     )
     copies = lookup.join(F.broadcast(heavy), keys, "left").withColumn(
         SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SPLITS), F.lit(1)) - 1))

@@ -123,7 +123,9 @@ def duplicate_charges_to_void(spark, sf_dir):
 def reconcile_charges(spark, sf_dir):
     """Line item charges against invoices per customer and month."""
     orders = W.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("invoice_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("calculated_at"))
-    lines = W.order_lines(spark, sf_dir).select("invoice_id", F.col("amount").alias("subtotal")).join(orders, "invoice_id")
+    # Lines are summed per order first: one order may have very many.
+    sums = W.order_lines(spark, sf_dir).groupBy("invoice_id").agg(F.sum("amount").alias("subtotal"))
+    lines = sums.join(orders, "invoice_id")
     return reconcile.charges_to_invoices(lines, W.order_invoices(spark, sf_dir)).select("customer_id", "month", "charged", "invoiced", "status")
 
 

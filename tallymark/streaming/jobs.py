@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tallymark.operators.rating import RatingOptions, late_events_to_rate, rate
 from tallymark.sources.topics import event_message, messages
 
 BATCH = "batch_id"
+LOG = logging.getLogger(__name__)
 
 
 def route_events(
@@ -84,7 +86,7 @@ def store_and_publish(
         try:
             publish(messages(stored, event_message()))
         except Exception as error:  # the events are stored; delivery can be repeated
-            print(f"batch {batch_id} was stored but not published: {error}")
+            LOG.warning("batch %s was stored but not published: %s", batch_id, error)
 
     return _start(distinct_events(events), checkpoint, write, trigger)
 

@@ -87,6 +87,18 @@ def test_first_copy_wins_and_all_others_are_reported(spark, rows):
     assert dedup.already_stored(kept, kept.filter("event_id = 'a'")).first()["reason"] == "DUPLICATE_EVENT_ID"
 
 
+def test_heavily_repeated_event(spark):
+    """One id holds most rows, half of them equal."""
+    events = spark.range(300).select(
+        F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id")).alias("event_id"),
+        F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("ingestion_time"),
+    ).unionByName(spark.sql("SELECT 8L AS event_id, 8L AS ingestion_time"))
+    refused = dedup.later_copies(events.withColumn("v", F.lit(1)), rows_per_task=20)
+    per_id = {r["event_id"]: r["n"] for r in refused.groupBy("event_id").agg(F.sum("copies").alias("n")).collect()}
+    assert per_id == {1: 239, 8: 1}
+    assert refused.filter("event_id = 1 AND ingestion_time = 0").first()["copies"] == 119
+
+
 EVENTS = "event_id int, customer_id string, metric_type string, event_time timestamp, value decimal(20,6)"
 
 

@@ -57,6 +57,13 @@ def test_heavy_keys_are_spread(skewed, spark, how):
     assert same(wanted, ranged.select(*wanted.columns))
 
 
+def test_null_keys_match_nothing_and_are_kept(spark):
+    facts = spark.range(40).select(F.when(F.col("id") % 2 == 0, F.col("id") % 4).alias("k"), "id")
+    lookup = spark.range(4).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    got = keyed_join(facts, lookup, ["k"], ["id"], "left", broadcast_rows=0, rows_per_task=3)
+    assert got.count() == 40 and got.filter("name IS NULL").count() == 20
+
+
 def spend_in_order(invoices, balances):
     """Plain loop: invoices in order, each taking from the credits in order."""
     paid, left = [], dict(balances)
