@@ -3,10 +3,11 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tallymark.plans import load
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = load()
 
 
 @pytest.fixture(scope="module")
