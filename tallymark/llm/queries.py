@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import topk
+from tallymark.llm import licenses, quality, secrets, topk
 from tallymark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,31 @@ def op1_exact_top_k(spark, sf_dir):
     """Five best vectors by integer inner product for every 50th vector."""
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return topk.top_k(vectors, vectors.filter(F.col("id") % 50 == 0), 5)
+
+
+@query()
+def op9_quality_rules(spark, sf_dir):
+    """Rule statistics and verdicts of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    judge = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.statistics(docs, judge)
+
+
+@query()
+def op10_license_scan(spark, sf_dir):
+    """Licence phrases and templates in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return licenses.scan_documents(docs, licenses.fit(docs))
+
+
+@query()
+def op4_secret_scan(spark, sf_dir):
+    """Secrets by pattern and by character models in all documents."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secrets.BASE_KINDS),
+        F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"),
+    )
