@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import licenses, quality, secrets, topk
-from tallymark.llm.common import table
+from tallymark.llm import bpe, licenses, packing, quality, secrets, topk, urls
+from tallymark.llm.common import doc_bytes, slices, table, values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +75,46 @@ def op4_secret_scan(spark, sf_dir):
         "doc_id", *map(count, secrets.BASE_KINDS),
         F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"),
     )
+
+
+WORD_BPE = "word_bpe_49k.json"
+#: Ids decoded at a time.
+DECODED_IDS = 4096
+
+
+@query()
+def op2_bpe_round_trip(spark, sf_dir):
+    """Ids of all documents by the transducer, decoded again piece by piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, names = bpe.encoder(WORD_BPE).encode, bpe.token_list(WORD_BPE)
+        for batch in slices(batches, 500):
+            rows = []
+            for doc, text in zip(values(batch, "doc_id"), doc_bytes(batch, "text"), strict=True):
+                ids = encode(text)
+                decoder, digest = bpe.TokenDecoder(names), hashlib.sha256()
+                listed = np.frombuffer(ids, dtype="<u4").tolist()
+                for start in range(0, len(listed), DECODED_IDS):
+                    digest.update(decoder.push(listed[start : start + DECODED_IDS]).encode())
+                rows.append((doc, len(listed), hashlib.sha256(ids).hexdigest(), digest.hexdigest()))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+@query()
+def op8_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of 2048 ids."""
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), digest=True))
+
+
+# The rules of the URL query.
+URL_RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "/en/"), urls.Rule("block", "example.com", "/de/"), urls.Rule("allow", "org", "/fr/")]
+
+
+@query()
+def op3_url_filter(spark, sf_dir):
+    """Verdicts on all pages by rule, else by host words and path tokens."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
