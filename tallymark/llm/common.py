@@ -34,13 +34,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield batch.slice(start, rows)
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], row_bytes: int, rows: int, how: str = "left") -> DataFrame:
-    """Join on equal keys; the lookup of known ``rows`` is broadcast only if it fits ``BROADCAST_BYTES``.
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hashes of ``key``; the same ones on every run.
 
-    Beyond that both sides are shuffled and adaptive execution splits heavy keys.
+    A bound on the hash, from the number of rows, leaves few more than are wanted, so that
+    no task sorts or sends its whole part.
     """
-    small = rows * row_bytes <= BROADCAST_BYTES
-    return facts.join(F.broadcast(lookup) if small else lookup, keys, how)
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    bound = int((1 << 30) * min(1.0, 1.5 * rows / max(1, df.count())))
+    return df.filter(place <= bound).orderBy(place, F.xxhash64(*[col(c) for c in df.columns])).limit(rows)
 
 
 def free_name(taken, wanted: str) -> str:

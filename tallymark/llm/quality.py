@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import col, doc_bytes, slices, values
+from tallymark.llm.common import bounded_sample, col, doc_bytes, slices, values
 
 #: Labelled rows the trees may grow from, trees, and rows per tree.
 TRAIN_ROWS, TREES, SAMPLE = 8192, 100, 256
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Documents the base rules reject are decided already.
     rows = rows.filter("fine").join(marked, "id").select("id", "shares", "good").persist()
     try:
-        sample = rows.orderBy(F.xxhash64("id"), "id").limit(train_rows).select("shares", "good").collect()
+        sample = bounded_sample(rows, F.col("id"), train_rows).select("shares", "good").collect()
         good = np.array([r["good"] for r in sample], dtype=bool)
         if not good.any() or good.all():
             return Judge(None, 1.0)

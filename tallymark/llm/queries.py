@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, licenses, packing, quality, secrets, topk, urls
+from tallymark.llm import bpe, licenses, packing, quality, secrets, suffixes, topk, urls
 from tallymark.llm.common import doc_bytes, slices, table, values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,9 @@ URL_RULES = [urls.Rule("block", "net", "/"), urls.Rule("allow", "example.net", "
 def op3_url_filter(spark, sf_dir):
     """Verdicts on all pages by rule, else by host words and path tokens."""
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query()
+def op7_suffix_array_dedup(spark, sf_dir):
+    """All documents without the strings of 200 bytes that occur elsewhere."""
+    return suffixes.report(table(spark, sf_dir, "documents"))

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import col, free_name
+from tallymark.llm.common import bounded_sample, col, free_name
 
 # Patterns by kind, and the length from which a match (an assignment's value) counts.
 KINDS = ["assign", "access", "hex", "random"]
@@ -124,7 +124,7 @@ def _transitions(values: DataFrame, kind: str) -> DataFrame:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
     """Both models from labelled strings, and the limit between their scores."""
     random = _long_enough(_matches(_texts(docs, text_col, BASE_KINDS), BASE_KINDS)).select("value")
-    some = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).orderBy(F.xxhash64("id"), F.xxhash64("text"), "text").limit(train_docs)
+    some = bounded_sample(docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")), F.col("id"), train_docs)
     words = some.select(F.explode(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0))).alias("value"))
     labelled = random.withColumn("kind", F.lit("random")).unionByName(words.withColumn("kind", F.lit("word"))).persist()
     try:
