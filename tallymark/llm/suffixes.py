@@ -361,7 +361,8 @@ def _checked(docs: DataFrame, key: str, text: str, found: DataFrame, length: int
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for entries in _by_group(batches, _WINDOW):
             entries = entries[np.lexsort((entries["at"], entries["doc"], entries["anchor"], entries["hash"]))]
-            # The same window, reached from the same anchor at one place, is one.
+            # A window may hold its anchor twice; it is one window all the same.
+            entries = entries[np.append(True, entries[1:] != entries[:-1])]
             run = _runs(entries["hash"], entries["anchor"])
             twice = entries[np.bincount(run)[run] > 1]
             yield _found(COVERED, twice["doc"], twice["at"].astype(np.int64), twice["at"].astype(np.int64) + length)
