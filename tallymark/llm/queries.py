@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, licenses, packing, quality, secrets, similarity, suffixes, topk, urls
+from tallymark.llm import bpe, codec, licenses, packing, quality, secrets, similarity, suffixes, topk, urls
 from tallymark.llm.common import doc_bytes, slices, table, values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,9 @@ def op7_suffix_array_dedup(spark, sf_dir):
 def op6_ngram_jaccard_join(spark, sf_dir):
     """Class and number of links of all documents at a similarity of 0.8 or more."""
     return similarity.classes_of(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query()
+def op5_token_files(spark, sf_dir):
+    """Ids of all documents, written in compressed segments and read back."""
+    return codec.round_trip(table(spark, sf_dir, "documents"))
