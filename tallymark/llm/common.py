@@ -56,3 +56,9 @@ def free_name(taken, wanted: str) -> str:
 def col(name: str) -> Column:
     """A column by its literal name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns c0, c1, ..., and which is which; ``mapInArrow`` does not take names with dots."""
+    names = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import bounded_sample, col, doc_bytes, slices, values
+from tallymark.llm.common import bounded_sample, col, doc_bytes, plain_names, slices, values
 
 #: Labelled rows the trees may grow from, trees, and rows per tree.
 TRAIN_ROWS, TREES, SAMPLE = 8192, 100, 256
@@ -214,9 +214,10 @@ def statistics(docs: DataFrame, judge: Judge, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, judge: Judge, text_col: str = "text") -> DataFrame:
     """The rows that pass, with all their columns."""
+    plain, name = plain_names(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
-            yield batch.filter(pa.array(judge.kept(*_statistics_of(batch, text_col))[0]))
+            yield batch.filter(pa.array(judge.kept(*_statistics_of(batch, name[text_col]))[0]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

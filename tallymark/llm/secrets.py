@@ -13,8 +13,8 @@ the two labelled samples.  Only transition counts, at most two per pair of chara
 the token alphabet, reach the driver.
 
 Defined cases: a null text is empty and has no spans.  Equal texts are scanned once, so
-copies and repeated rows get equal spans.  Without labelled strings of a kind its model
-is uniform.  Spans of different kinds may overlap; redaction masks their union.
+copies and repeated rows get equal spans.  Without labelled strings a model gives all
+characters equal shares.  Spans of different kinds may overlap; redaction masks their union.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ _WORDS = r"(?<![A-Za-z])[A-Za-z]{8,}"
 #: Least score per character, in nats, whatever the samples say.
 LEAST = 0.5
 MASK = "[SECRET]"
+#: Weight of the fall-back shares, in characters, and the largest ratio of a pair, in nats.
+BACKOFF, MOST = 5.0, 4.0
 
 _SPAN = "array<struct<kind:string,nth:int,gap:int,length:int,value:string>>"
 
@@ -142,14 +144,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_d
 
 
 def _ratios(counted) -> list[float]:
+    """Log-likelihood ratios of all pairs, bounded so that one character cannot decide alone."""
     size = len(ALPHABET) + 1
-    n = {"random": [[1.0] * size for _ in range(size)], "word": [[1.0] * size for _ in range(size)]}
+    n = {kind: [[0] * size for _ in range(size)] for kind in ("random", "word")}
     for r in counted:
         n[r["kind"]][r["a"]][r["b"]] += r["n"]
+    # Words fall back on the shares of their characters, random strings on equal shares:
+    # labelled secrets are of a few alphabets, others may use any.
+    chars = [sum(row[b] for row in n["word"]) + 0.5 for b in range(size)]
+    shares = [c / sum(chars) for c in chars]
     out = []
     for a in range(size):
-        sums = {k: sum(rows[a]) for k, rows in n.items()}
-        out += [round(math.log(n["random"][a][b] / sums["random"]) - math.log(n["word"][a][b] / sums["word"]), 4) for b in range(size)]
+        random, word = sum(n["random"][a]), sum(n["word"][a])
+        for b in range(size):
+            p_random = 0.5 / size + 0.5 * (n["random"][a][b] + BACKOFF / size) / (random + BACKOFF)
+            p_word = (n["word"][a][b] + BACKOFF * shares[b]) / (word + BACKOFF)
+            out.append(round(max(-MOST, min(MOST, math.log(p_random / p_word))), 4))
     return out
 
 

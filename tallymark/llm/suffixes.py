@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import BROADCAST_BYTES, col, doc_bytes, free_name, slices, values
+from tallymark.llm.common import BROADCAST_BYTES, col, doc_bytes, free_name, plain_names, slices, values
 from tallymark.session import materialise
 
 LENGTH = 200
@@ -444,17 +444,18 @@ def character_runs(text: bytes, runs: np.ndarray) -> np.ndarray:
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """All rows and columns, the texts without their repeated passages; characters stay whole, null stays null."""
     rows, at = attach_spans(docs, id_col, text_col, length)
-    names = docs.columns
+    rows, name = plain_names(rows.select(*[col(c) for c in docs.columns], at))
+    kept = list(name.values())[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 500):
-            place = batch.schema.names.index(text_col)
+            place = batch.schema.names.index(name[text_col])
             nulls = batch.column(place).is_null().to_pylist()
             texts = []
-            for text, found, null in zip(doc_bytes(batch, text_col), values(batch, at), nulls, strict=True):
+            for text, found, null in zip(doc_bytes(batch, name[text_col]), values(batch, name[at]), nulls, strict=True):
                 runs = clean_spans(found, len(text))
                 texts.append(None if null else (without(text, character_runs(text, runs)) if len(runs) else text).decode())
-            columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(kept))]
+            yield pa.RecordBatch.from_arrays(columns, names=kept)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.select(*kept).schema).toDF(*docs.columns)
