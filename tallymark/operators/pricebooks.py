@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.schemas import TIERS_APPLIED as APPLIED
-from tallymark.operators.scans import neighbours
-from tallymark.operators.skew import keyed_join
+from tallymark.operators.scans import groups_fit, neighbours
+from tallymark.operators.skew import at_most, keyed_join
 
 
 STEP_FIELDS = {
@@ -56,68 +56,40 @@ def effective_book(books: DataFrame, dates: DataFrame, date: str = "as_of") -> D
     return attach_book(dates.withColumn("_id", V.stable_id(date)), books, date, ["_id"]).drop("_id")
 
 
-def lookup_intervals(books: DataFrame, keys: Sequence[str] = (), few: bool = True) -> DataFrame:
-    """Books as disjoint intervals (per ``keys``), the latest start winning.
+def disjoint_pieces(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Books as disjoint intervals (per ``keys``), the latest start winning, the smaller id among equals.
 
     Books may overlap or be nested.  Between two neighbouring start or end dates the
-    answer cannot change, so the winner is looked up once per date of change.  Each
-    interval is then listed under every month (``few`` books) or hour it touches, so
-    that a fact row finds its one interval through an equality on that bucket.
+    answer cannot change, so the winner is looked up once per date of change; where no
+    book is in force a piece without one says so.  A piece ends where the next begins.
     """
     groups = list(keys) or [ALL]
     spans = _spans(books, keys).withColumn(ALL, F.lit(1))
-    dates = spans.select(*groups, F.col("effective_from").alias("piece_from")).unionByName(
-        spans.filter("effective_until IS NOT NULL").select(*groups, F.col("effective_until").alias("piece_from"))
+    starts = F.unix_micros("effective_from").alias("piece_from")
+    dates = spans.select(*groups, starts).unionByName(
+        spans.filter("effective_until IS NOT NULL").select(*groups, F.unix_micros("effective_until").alias("piece_from"))
     )
     dates = dates.distinct()
-    winners = _winners_by_list(spans, dates, groups) if few else _winners_by_halving(spans, dates, groups)
-    ended = neighbours(
-        dates, groups, [F.col("piece_from").asc()], next_row={"piece_until": "piece_from"}, split=False if few else None
-    )
-    bucket = _bucket(few)
-    last = _last_bucket(books, few)
-    until = F.coalesce(F.col("piece_until") - F.expr("interval 1 microsecond"), last)
-    listed = F.sequence(F.date_trunc(bucket, "piece_from"), F.date_trunc(bucket, until), F.expr(f"interval 1 {bucket}"))
-    return winners.join(ended, [*groups, "piece_from"]).select(
-        *keys,
-        F.explode(listed).alias("book_bucket"),
-        F.col("_book.price_book_id").alias("price_book_id"),
-        F.col("_book.version").alias("price_version"),
-        "piece_from",
-        "piece_until",
+    return dates.join(_winners(spans, dates, groups), [*groups, "piece_from"], "left").select(
+        *groups, "piece_from", F.col("_book.price_book_id").alias("price_book_id"), F.col("_book.version").alias("price_version")
     )
 
 
 ALL = "_all"
-# Up to this many books, the candidates of a group are kept in one array.
-LISTED_BOOKS = 2_000
-# Microseconds since 1970 fit into this many bits until the year 2255.
-TIME_BITS = 53
-
-
-def _winners_by_list(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
-    """Winner at every date, from a sorted array of the group's few books."""
-    candidate = F.struct(
-        (-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version", "effective_from", "effective_until"
-    )
-    candidates = spans.groupBy(*groups).agg(F.array_sort(F.collect_list(candidate)).alias("_books"))
-    valid = F.filter(
-        "_books",
-        lambda b: (b["effective_from"] <= F.col("piece_from"))
-        & (b["effective_until"].isNull() | (b["effective_until"] > F.col("piece_from"))),
-    )
-    found = dates.join(candidates, groups).withColumn("_book", F.get(valid, F.lit(0)))
-    return found.filter("_book IS NOT NULL").select(*groups, "piece_from", "_book")
+# Microseconds of all dates Spark knows, before and after 1970, lie within 2 to this power.
+TIME_BITS = 58
+# A piece in memory takes about this many bytes; steps of a search over an array of pieces.
+PIECE_BYTES, SEARCH_BITS = 120, 20
 
 
-def _winners_by_halving(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
+def _winners(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
     """Winner at every date without comparing dates and books in pairs.
 
     Time is halved again and again into aligned slots.  A book is written to the few
     largest slots that make up its interval, each slot keeps its best book, and a date
     asks the one slot per size that contains it.
     """
-    size = F.explode(F.sequence(F.lit(0), F.lit(TIME_BITS))).alias("_size")
+    size = F.explode(F.sequence(F.lit(0), F.lit(TIME_BITS + 1))).alias("_size")
     sized = spans.select(
         *groups,
         F.unix_micros("effective_from").alias("_a"),
@@ -125,18 +97,16 @@ def _winners_by_halving(spans: DataFrame, dates: DataFrame, groups: list[str]) -
         F.struct((-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version").alias("_book"),
         size,
     )
-    # First slot inside the interval, and first slot behind it.
+    # First slot inside the interval, and first slot behind it; slots before 1970 have negative numbers.
     inside = F.expr("shiftright(_a + shiftleft(1L, _size) - 1, _size)")
     behind = F.expr("shiftright(_b, _size)")
     slots = sized.withColumns({"_i": inside, "_j": behind}).filter("_i < _j")
     slots = slots.withColumn(
-        "_slot", F.explode(F.expr("array_compact(array(IF(_i % 2 = 1, _i, NULL), IF(_j % 2 = 1, _j - 1, NULL)))"))
+        "_slot", F.explode(F.expr("array_compact(array(IF(pmod(_i, 2) = 1, _i, NULL), IF(pmod(_j, 2) = 1, _j - 1, NULL)))"))
     )
     best = slots.groupBy(*groups, "_size", "_slot").agg(F.min("_book").alias("_book"))
-    asked = dates.select(*groups, "piece_from", size).withColumn(
-        "_slot", F.expr("shiftright(unix_micros(piece_from), _size)")
-    )
-    answers = keyed_join(asked, best, [*groups, "_size", "_slot"], ["piece_from"], "inner", small=False)
+    asked = dates.select(*groups, "piece_from", size).withColumn("_slot", F.expr("shiftright(piece_from, _size)"))
+    answers = asked.join(best, [*groups, "_size", "_slot"])
     return answers.groupBy(*groups, "piece_from").agg(F.min("_book").alias("_book"))
 
 
@@ -145,28 +115,6 @@ def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
     return books.filter(valid).select(*keys, "price_book_id", "version", "effective_from", "effective_until")
 
 
-def _bucket(few: bool) -> str:
-    return "month" if few else "hour"
-
-
-def _last_bucket(books: DataFrame, few: bool) -> Column:
-    """Bucket of the last change, as a scalar subquery: nothing changes after it."""
-    latest = F.greatest(F.max("effective_from"), F.max("effective_until"))
-    return _spans(books, []).agg(F.date_trunc(_bucket(few), latest).alias("last_bucket")).scalar()
-
-
-def _few_books(books: DataFrame, limit: int) -> bool:
-    """Whether the books fit into arrays and their pieces into ``limit`` rows.
-
-    A book adds at most one piece per month up to the last change and two for its own
-    ends, which bounds the pieces without building them.
-    """
-    last = F.coalesce("effective_until", _last_bucket(books, True))
-    months = F.ceil(F.greatest(F.months_between(last, "effective_from"), F.lit(0))) + 3
-    found = _spans(books, []).agg(F.count(F.lit(1)).alias("books"), F.sum(months).alias("pieces")).first()
-    return found["books"] <= LISTED_BOOKS and (found["pieces"] or 0) <= limit
-
-
 def _few_steps(rules: DataFrame, limit: int) -> bool:
     """Whether there are at most ``limit`` price steps; a rule has up to its tiers plus two."""
     return (rules.agg(F.sum(F.coalesce(F.size("tiers"), F.lit(0)) + 2).alias("n")).first()["n"] or 0) <= limit
@@ -181,25 +129,53 @@ def attach_book(
     broadcast_rows: int = settings.BROADCAST_ROWS,
     rows_per_task: int = settings.ROWS_PER_TASK,
 ) -> DataFrame:
-    """Add price_book_id and price_version valid at ``date``; null where none is."""
+    """Add price_book_id and price_version valid at ``date``; null where none is.
+
+    The last piece that begins at or before the date answers.  Pieces whose size is
+    checked are broadcast as one sorted array per group, and every fact searches its
+    array by halving; otherwise facts and pieces are put in order together and each
+    piece is carried forward, in parts where a group is too large for one task.
+    """
     keys = list(keys)
-    few = _few_books(books, broadcast_rows)
-    pieces = lookup_intervals(books, keys, few)
-    bucket = F.least(F.date_trunc(_bucket(few), F.col(date)), _last_bucket(books, few))
-    dated = facts.withColumn("book_bucket", bucket)
-    during = (F.col("piece_from") <= F.col(date)) & (F.col("piece_until").isNull() | (F.col("piece_until") > F.col(date)))
-    joined = keyed_join(
-        dated,
-        pieces,
-        [*keys, "book_bucket"],
-        row_id,
-        "left",
-        during,
-        broadcast_rows,
-        rows_per_task,
-        few,
+    pieces = disjoint_pieces(books, keys)
+    # A book makes two dates of change at most.
+    most = min(broadcast_rows, settings.BROADCAST_BYTES // PIECE_BYTES, (1 << SEARCH_BITS) - 1)
+    if at_most(books, most // 2):
+        return _search_book(facts, pieces, date, keys or [ALL])
+    return _carry_book(facts, pieces, date, row_id, keys or [ALL], rows_per_task)
+
+
+def _search_book(facts: DataFrame, pieces: DataFrame, date: str, groups: list[str]) -> DataFrame:
+    listed = pieces.groupBy(*groups).agg(
+        F.array_sort(F.collect_list(F.struct("piece_from", "price_book_id", "price_version"))).alias("_pieces")
     )
-    return joined.drop("book_bucket", "piece_from", "piece_until")
+    dated = facts if ALL not in groups else facts.withColumn(ALL, F.lit(1))
+    found = dated.join(F.broadcast(listed), groups, "left")
+    when = F.unix_micros(F.col(date).cast("timestamp"))
+
+    def later(count: Column, step: Column) -> Column:
+        """Number of pieces known to begin at or before the date, after one more halving."""
+        reached = (count + step <= F.size("_pieces")) & (F.get("_pieces", count + step - 1)["piece_from"] <= when)
+        return F.when(reached, count + step).otherwise(count)
+
+    steps = F.array(*[F.lit(1 << bit) for bit in range(SEARCH_BITS - 1, -1, -1)])
+    count = F.aggregate(F.filter(steps, lambda s: s <= F.size("_pieces")), F.lit(0), later)
+    # A struct, so that the search is done once for both columns.
+    found = found.withColumn("_piece", F.when(F.col("_pieces").isNotNull(), F.get("_pieces", count - 1)))
+    return found.select(*facts.columns, F.col("_piece.price_book_id").alias("price_book_id"), F.col("_piece.price_version").alias("price_version"))
+
+
+def _carry_book(facts: DataFrame, pieces: DataFrame, date: str, row_id: Sequence[str], groups: list[str], rows_per_task: int) -> DataFrame:
+    dated = facts if ALL not in groups else facts.withColumn(ALL, F.lit(1))
+    dated = dated.withColumn("_when", F.unix_micros(F.col(date).cast("timestamp")))
+    begun = pieces.select(*groups, F.col("piece_from").alias("_when"), F.struct("price_book_id", "price_version").alias("_piece"))
+    both = dated.unionByName(begun, allowMissingColumns=True).withColumn("_fact", F.col("_piece").isNull())
+    # Backwards in time, so that the piece of a fact is the first one that follows; facts come before pieces of their time.
+    order = [F.col("_when").desc_nulls_last(), F.col("_fact").desc(), *[F.col(c) for c in row_id]]
+    split = not groups_fit(both, groups, rows_per_task)
+    carried = neighbours(both, groups, order, following={"_found": "_piece"}, split=split)
+    found = F.when(F.col("_when").isNotNull(), F.col("_found"))
+    return carried.filter("_fact").select(*facts.columns, found["price_book_id"].alias("price_book_id"), found["price_version"].alias("price_version"))
 
 
 def price_steps(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,21 +106,23 @@ def priced(usage: DataFrame, books: DataFrame, rules: DataFrame, options: Rating
     graduated = F.col("pricing_model") == "tiered"
     if options.committed_mode == "overage":
         graduated = F.col("pricing_model").isin("tiered", "committed")
-    units = F.when(graduated, F.greatest(units, F.lit(0))).otherwise(units).cast("decimal(20,6)")
+    units = F.when(graduated, F.greatest(units, F.lit(0))).otherwise(units).try_cast("decimal(20,6)")
+    no_amount = reduce(or_, [F.col(c).isNull() for c in ("base", "step_start", "step_price", "step_fee")])
     return (
         stepped.withColumn("step_units", units)
         .withColumn(
             "step_charge",
-            ((F.col("step_price") * F.col("step_units")).cast("decimal(18,2)") + F.col("step_fee")).cast("decimal(18,2)"),
+            ((F.col("step_price") * F.col("step_units")).try_cast("decimal(18,2)") + F.col("step_fee")).try_cast("decimal(18,2)"),
         )
-        .withColumn("subtotal", (F.col("base") + F.col("step_charge")).cast("decimal(18,2)"))
+        # Amounts that are too large become null instead of ending the job.
+        .withColumn("subtotal", (F.col("base") + F.col("step_charge")).try_cast("decimal(12,2)").cast("decimal(18,2)"))
         .withColumn(
             "reason",
             F.when(F.col("price_book_id").isNull(), _no_book(options))
             .when(F.col("quantity").isNull(), "CALCULATION_ERROR")
             .when(F.col("rule_id").isNull(), "NO_PRICE_RULE")
-            .when(F.col("subtotal").isNull(), "INVALID_PRICE_RULE")
-            .when(F.col("subtotal") < 0, "CALCULATION_ERROR"),
+            .when(no_amount, "INVALID_PRICE_RULE")
+            .when(F.col("subtotal").isNull() | (F.col("subtotal") < 0), "CALCULATION_ERROR"),
         )
     )
 

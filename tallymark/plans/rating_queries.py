@@ -117,6 +117,25 @@ _ORDER_BOOKS = {
 }
 
 
+@query(
+    W.sql(
+        [],
+        """SELECT l_orderkey, l_linenumber, b.price_book_id FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+           LEFT JOIN LATERAL (SELECT price_book_id FROM versions v WHERE v.parent_id = o_custkey AND v.effective_from <= l_shipdate
+             AND (v.effective_until IS NULL OR v.effective_until > l_shipdate) ORDER BY v.effective_from DESC, v.price_book_id LIMIT 1) b ON TRUE""",
+        _ORDER_BOOKS,
+    )
+)
+def book_as_of_join_by_customer(spark, sf_dir):
+    """Order book of the customer in force at every ship date."""
+    customers = W.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("parent_id"))
+    lines = W.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    found = pricebooks.attach_book(
+        lines.join(customers, "l_orderkey"), _order_books(spark, sf_dir), "l_shipdate", ["l_orderkey", "l_linenumber"], ["parent_id"]
+    )
+    return found.select("l_orderkey", "l_linenumber", "price_book_id")
+
+
 @query(
     W.sql(
         [],

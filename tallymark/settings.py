@@ -40,5 +40,7 @@ BILLED_STATUSES = ["issued", "paid"]
 
 # A lookup side above this many rows is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 200_000
+# Nor is one above this many bytes, where a row's size is known.
+BROADCAST_BYTES = 16 << 20
 # A join or window key with more rows than this is split over several tasks.
 ROWS_PER_TASK = 4_000_000

@@ -212,6 +212,38 @@ def test_as_of_join_with_overlapping_books(spark, shuffled):
         assert got[i] == want, at
 
 
+@pytest.mark.parametrize("limits", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "rows_per_task": 500}])
+def test_any_dates_and_any_number_of_books(spark, limits):
+    """One book since 1900, some until 9999, and more short ones than fit a list."""
+    short = [(f"s{n:05d}", datetime(2030, 1, 1) + timedelta(hours=n), datetime(2030, 1, 1) + timedelta(hours=n + 1)) for n in range(2_100)]
+    books = [("old", datetime(1900, 1, 1), None), ("far", datetime(1960, 1, 1), datetime(1965, 1, 1)), ("end", datetime(2031, 1, 1), datetime(9999, 12, 31)), *short]
+    times = {
+        "none": datetime(1899, 12, 31), "old": datetime(1900, 1, 1), "far": datetime(1961, 5, 5), "old ": datetime(1969, 6, 1), "old  ": datetime(2024, 6, 1),
+        "s00000": datetime(2030, 1, 1), "s02099": datetime(2030, 3, 29, 11, 59), "old   ": datetime(2030, 3, 29, 12), "end": datetime(5000, 1, 1), "old    ": datetime(9999, 12, 31),
+    }
+    facts = spark.createDataFrame([*times.items(), ("null", None)], "n string, at timestamp")
+    found = pricebooks.attach_book(facts, book_table(spark, books), "at", ["n"], **limits)
+    got = {r["n"]: r["price_book_id"] for r in found.collect()}
+    assert got == {n: None if n in ("none", "null") else n.strip() for n in [*times, "null"]}
+
+
+def test_amounts_too_large_are_reported_not_raised(spark):
+    from tallymark.operators import rating
+
+    books = book_table(spark, [("b", datetime(2024, 1, 1), None)])
+    rules = spark.sql(
+        "SELECT 'r' AS rule_id, 'b' AS price_book_id, 'm' AS metric_type, 'per_unit' AS pricing_model, 'count' AS unit,"
+        " array(named_struct('tier', 1, 'upTo', CAST(NULL AS decimal(20,6)), 'unitPrice', CAST(5 AS decimal(12,6)), 'flatFee', CAST(0 AS decimal(12,2)))) AS tiers"
+    )
+    usage = spark.sql(
+        "SELECT 'c' AS customer_id, 'm' AS metric_type, CAST(q AS decimal(20,6)) AS quantity, TIMESTAMP '2024-02-01' AS effective_date,"
+        " a AS aggregation_id, CAST(NULL AS string) AS source_event_id FROM VALUES ('1', 90000000000), ('2', 10) AS t(a, q)"
+    )
+    charges, unrated = rating.rate(usage, books, rules, "2024-03-01")
+    assert [(r["aggregation_id"], str(r["subtotal"])) for r in charges.collect()] == [("2", "50.00")]
+    assert [(r["aggregation_id"], r["reason"]) for r in unrated.collect()] == [("1", "CALCULATION_ERROR")]
+
+
 def test_price_boundary_is_inclusive(spark):
     books = book_table(spark, [("v1", datetime(2024, 1, 1), datetime(2024, 1, 15)), ("v2", datetime(2024, 1, 15), None)])
     dates = spark.createDataFrame([(datetime(2024, 1, 14, 23, 59, 59),), (datetime(2024, 1, 15),), (datetime(2030, 1, 1),), (datetime(2023, 1, 1),)], "as_of timestamp")
