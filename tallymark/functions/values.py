@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallymark import settings
 
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+DAY_MICROS = 86_400_000_000
 ISO_PATTERN = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}([.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
@@ -30,21 +30,50 @@ def window_start(event_time, size: str = settings.WINDOW_SIZE) -> Column:
     return F.window(_col(event_time), size)["start"]
 
 
+def _utc_parts(ts) -> tuple[Column, Column]:
+    """Date and microsecond of the day in UTC, whatever the session's time zone."""
+    micros = F.unix_micros(_col(ts).cast("timestamp"))
+    of_day = F.pmod(micros, F.lit(DAY_MICROS))
+    days = ((micros - of_day) / DAY_MICROS).cast("int")
+    return F.date_from_unix_date(days), of_day
+
+
+def _clock(of_day: Column) -> Column:
+    """hh:mm:ss of a microsecond of the day."""
+    seconds = F.floor(of_day / 1_000_000).cast("int")
+    parts = [F.floor(seconds / 3600), F.floor(seconds / 60) % 60, seconds % 60]
+    return F.concat_ws(":", *[F.lpad(p.cast("int").cast("string"), 2, "0") for p in parts])
+
+
 def iso(ts) -> Column:
-    return F.date_format(_col(ts), ISO_FORMAT)
+    """UTC time to the millisecond, as 2024-01-15T14:23:45.000Z."""
+    day, of_day = _utc_parts(ts)
+    millis = F.lpad((F.floor(of_day / 1000) % 1000).cast("int").cast("string"), 3, "0")
+    return F.concat(day.cast("string"), F.lit("T"), _clock(of_day), F.lit("."), millis, F.lit("Z"))
+
+
+def utc_text(ts) -> Column:
+    """UTC time as text, fractions only where there are any; for ids."""
+    day, of_day = _utc_parts(ts)
+    fraction = F.lpad((of_day % 1_000_000).cast("string"), 6, "0")
+    ended = F.regexp_replace(F.concat(F.lit("."), fraction), "[.]?0+$", "")
+    return F.concat(day.cast("string"), F.lit(" "), _clock(of_day), ended)
 
 
 def parse_iso(text) -> Column:
     """Timestamp from ISO-8601 text; null when it is malformed.
 
     The pattern also keeps out words such as 'now', which a cast would accept.
+    Without a zone it is UTC.
     """
     text = _col(text)
-    return F.when(text.rlike(ISO_PATTERN), F.regexp_replace(text, ",", ".").try_cast("timestamp"))
+    zone = F.when(text.rlike(r"T.*(Z|[+-]\d{2}:?\d{2})$"), "").when(text.contains("T"), "Z").otherwise("T00:00:00Z")
+    return F.when(text.rlike(ISO_PATTERN), F.concat(F.regexp_replace(text, ",", "."), zone).try_cast("timestamp"))
 
 
 def month_key(ts) -> Column:
-    return F.date_format(_col(ts), "yyyy-MM")
+    """UTC month, as 2024-01."""
+    return F.substring(_utc_parts(ts)[0].cast("string"), 1, 7)
 
 
 def strategy(metric) -> Column:
@@ -125,7 +154,10 @@ def percentage(rate) -> Column:
 
 
 def stable_id(*columns) -> Column:
-    """Same key columns, same id: reruns do not create new rows."""
+    """Same key columns, same id: reruns do not create new rows.
+
+    Times go in as ``utc_text``, so that the id does not depend on the session.
+    """
     parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in columns]
     return F.sha2(F.concat_ws("|", *parts), 256)
 

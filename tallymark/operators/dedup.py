@@ -11,6 +11,8 @@ from tallymark import settings
 from tallymark.operators.skew import keyed_join
 from tallymark.session import materialise
 
+KEY = "_key"
+
 
 def best_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the first in ``order``.
@@ -39,32 +41,38 @@ def later_copies(
     Repeated ids are found first, by a hash aggregate over two columns; only their
     events are looked at in full.  Events of a heavily repeated id are picked by
     broadcast (there are at most rows / rows_per_task such ids), and equal rows are
-    counted before the shuffle.
+    counted before the shuffle.  Events without an id are copies of one event, and a
+    copy without an arrival time comes after those with one, as in ``first_copies``:
+    first copies and refused copies add up to the events.
     """
     others = [c for c in events.columns if c not in (key, arrival)]
+    # A struct equals another one where both hold null.
+    events = events.withColumn(KEY, F.struct(F.col(key).alias("id")))
     repeated = materialise(
-        events.groupBy(key)
+        events.groupBy(KEY)
         .agg(F.count(F.lit(1)).alias("n"), F.min(arrival).alias("_first"))
         .filter("n > 1")
     )
     heavy = repeated.filter(F.col("n") > rows_per_task)
     light = repeated.filter(F.col("n") <= rows_per_task)
-    often = events.join(F.broadcast(heavy.drop("n")), key)
-    rarely = events.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    often = events.join(F.broadcast(heavy.drop("n")), KEY)
+    rarely = events.join(F.broadcast(heavy.select(KEY)), KEY, "left_anti")
     row_id, sizes = [arrival, *others], {"rows_per_task": rows_per_task}
-    rare = keyed_join(rarely, light.drop("n"), [key], row_id, "inner", counts=light.select(key, "n"), **sizes)
+    rare = keyed_join(rarely, light.drop("n"), [KEY], row_id, "inner", counts=light.select(KEY, "n"), **sizes)
     found = often.unionByName(rare)
     variants = materialise(found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("copies")))
+    # Compared as ``first_copies`` orders them; a struct also equals one with the same nulls.
     rest = F.struct(*[F.col(c) for c in others])
-    winner = variants.filter(F.col(arrival) == F.col("_first")).groupBy(key).agg(F.min(rest).alias("_winner"))
-    is_winner = (F.col(arrival) == F.col("_first")) & (rest == F.col("_winner"))
+    earliest = F.col(arrival).eqNullSafe(F.col("_first"))
+    winner = variants.filter(earliest).groupBy(KEY).agg(F.min(rest).alias("_winner"))
+    is_winner = earliest & (rest == F.col("_winner"))
     # An id may have very many variants: they are spread over tasks.
     return (
-        keyed_join(variants, winner, [key], row_id, "inner", counts=repeated.select(key, "n"), **sizes)
+        keyed_join(variants, winner, [KEY], row_id, "inner", counts=repeated.select(KEY, "n"), **sizes)
         .withColumn("copies", F.col("copies") - F.when(is_winner, 1).otherwise(0))
         .filter("copies > 0")
         .withColumn("reason", F.lit("DUPLICATE_EVENT_ID"))
-        .drop("_first", "_winner")
+        .drop("_first", "_winner", KEY)
     )
 
 

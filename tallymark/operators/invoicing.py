@@ -120,7 +120,7 @@ def invoice_headers(
         .withColumn("subtotal", multiply_money(rated, F.col("exchange_rate")))
         .withColumn("tax", multiply_money("subtotal", V.tax_rate("tax_region")))
         .withColumn("total_before_credits", (F.col("subtotal") + F.col("tax")).cast("decimal(18,2)"))
-        .withColumn("invoice_id", V.stable_id(*PERIOD, "invoice_type", "prior_invoice_id"))
+        .withColumn("invoice_id", V.stable_id("customer_id", V.utc_text("period_start"), V.utc_text("period_end"), "invoice_type", "prior_invoice_id"))
         .select(
             "invoice_id",
             V.invoice_number("invoice_type", "invoice_id").alias("invoice_number"),

@@ -76,18 +76,21 @@ def explain_charges(charges: DataFrame, books: DataFrame, traced: DataFrame, sam
     )
 
 
-def correction_chains(invoices: DataFrame, max_doublings: int = 30) -> DataFrame:
+def correction_chains(invoices: DataFrame) -> DataFrame:
     """(invoice_id, root_invoice_id, depth) for every invoice.
 
     Each round every invoice jumps to the ancestor of its ancestor, so a chain of n
-    corrections takes log2(n) rounds, and each round is cut off by a checkpoint.
+    corrections takes log2(n) rounds, and each round is cut off by a checkpoint.  An
+    invoice that still has an ancestor after more steps than there are references goes
+    back to a cycle: it has neither root nor depth.
     """
     ids = invoices.select("invoice_id", "reference_invoice_id")
     links = ids.select("invoice_id", F.col("reference_invoice_id").alias("ancestor"), F.lit(1).cast("bigint").alias("steps"))
     links = links.filter(F.col("ancestor").isNotNull())
     # A reference to an unknown invoice starts a chain of its own.
     links = materialise(links.join(ids.select(F.col("invoice_id").alias("ancestor")), "ancestor", "left_semi"))
-    for _ in range(max_doublings):
+    cyclic = None
+    for _ in range(links.count().bit_length() + 1):
         above = links.select(
             F.col("invoice_id").alias("ancestor"), F.col("ancestor").alias("_next"), F.col("steps").alias("_more")
         )
@@ -102,12 +105,14 @@ def correction_chains(invoices: DataFrame, max_doublings: int = 30) -> DataFrame
         links = jumped.drop("_moved")
         if jumped.filter("_moved").isEmpty():
             break
+        cyclic = jumped
     else:
-        raise ValueError("invoice references form a cycle")
+        links = cyclic
+    rooted = ~F.coalesce("_moved", F.lit(False)) if "_moved" in links.columns else F.lit(True)
     return ids.select("invoice_id").join(links, "invoice_id", "left").select(
         "invoice_id",
-        F.coalesce("ancestor", "invoice_id").alias("root_invoice_id"),
-        F.coalesce("steps", F.lit(0)).alias("depth"),
+        F.when(rooted, F.coalesce("ancestor", "invoice_id")).alias("root_invoice_id"),
+        F.when(rooted, F.coalesce("steps", F.lit(0))).alias("depth"),
     )
 
 

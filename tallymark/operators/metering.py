@@ -78,6 +78,11 @@ def merge_partials(partials: DataFrame, size: str = settings.WINDOW_SIZE) -> Dat
     return _pick(merged, size, False)
 
 
+def window_id(size: str = settings.WINDOW_SIZE) -> Column:
+    """Id of a usage window."""
+    return V.stable_id("customer_id", "metric_type", V.utc_text("window_start"), F.lit(size))
+
+
 def _pick(grouped: DataFrame, size: str, with_average: bool) -> DataFrame:
     kind = V.strategy("metric_type")
     value = (
@@ -86,7 +91,7 @@ def _pick(grouped: DataFrame, size: str, with_average: bool) -> DataFrame:
         .otherwise(F.col("event_count"))
     )
     columns = [
-        V.stable_id(*USAGE_KEY, F.lit(size)).alias("aggregation_id"),
+        window_id(size).alias("aggregation_id"),
         *USAGE_KEY,
         (F.col("window_start") + F.expr(f"interval {size}")).alias("window_end"),
         value.cast("decimal(20,6)").alias("value"),
@@ -109,7 +114,7 @@ def usage_events(
     """
     start = V.window_start("event_time", size)
     keyed = events.withColumn("window_start", start)
-    return keyed.select(V.stable_id(*USAGE_KEY, F.lit(size)).alias("aggregation_id"), F.col(event_id), *carry)
+    return keyed.select(window_id(size).alias("aggregation_id"), F.col(event_id), *carry)
 
 
 def finalise(usage: DataFrame, as_of, lateness: str = settings.ALLOWED_LATENESS) -> DataFrame:

@@ -53,7 +53,7 @@ def price_lookup(
 
 def effective_book(books: DataFrame, dates: DataFrame, date: str = "as_of") -> DataFrame:
     """Book in force on each date; dates without one are kept with nulls."""
-    return attach_book(dates.withColumn("_id", V.stable_id(date)), books, date, ["_id"]).drop("_id")
+    return attach_book(dates.withColumn("_id", V.stable_id(V.utc_text(date))), books, date, ["_id"]).drop("_id")
 
 
 def disjoint_pieces(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

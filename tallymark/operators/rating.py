@@ -79,7 +79,7 @@ def period_usage(usage: DataFrame) -> DataFrame:
     ).withColumns(
         {
             "unit": V.unit_of("metric_type"),
-            "aggregation_id": V.stable_id("customer_id", "metric_type", "window_start", F.lit("month")),
+            "aggregation_id": V.stable_id("customer_id", "metric_type", V.utc_text("window_start"), F.lit("month")),
         }
     )
 
@@ -151,7 +151,7 @@ def rate(
 
 def _charge_columns(options: RatingOptions) -> list[Column]:
     columns = [
-        V.stable_id("customer_id", "metric_type", "aggregation_id", "source_event_id", "rule_id", "effective_date").alias("charge_id"),
+        V.stable_id("customer_id", "metric_type", "aggregation_id", "source_event_id", "rule_id", V.utc_text("effective_date")).alias("charge_id"),
         F.col("customer_id"),
         F.col("metric_type"),
         F.col("aggregation_id"),

@@ -83,6 +83,9 @@ def decode_messages(messages: DataFrame, value: str = "value") -> tuple[DataFram
         V.parse_iso("_event.ingestionTime").alias("ingestion_time"),
         F.coalesce("_event.metadata", F.lit("{}")).alias("metadata"),
         F.col("_event.source").alias("source"),
+        # Only late events carry when they were received and what refused them.
+        V.parse_iso("_event.receivedAt").alias("received_at"),
+        V.parse_iso("_event.watermark").alias("watermark"),
     )
     return events, decoded.filter(broken).select(*messages.columns)
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallymark import settings
 from tallymark.functions import values as V
-from tallymark.operators import metering
+from tallymark.operators import dedup, metering
 from tallymark.operators.rating import RatingOptions, late_events_to_rate, rate
 from tallymark.sources.topics import event_message, messages
 
@@ -39,17 +41,16 @@ def route_events(
     stamped = events.withColumn("received_at", F.current_timestamp() if clock is None else clock)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        on_time, late = metering.split_late(batch, F.col("received_at"), size, lateness)
-        parts = on_time.groupBy(
-            "customer_id", "metric_type", V.window_start("event_time", size).alias("window_start")
-        ).agg(*metering.partial_aggregates())
-        replace = {"mode": "overwrite"}
-        parts.write.parquet(f"{folder}/usage_parts/{BATCH}={batch_id}", **replace)
-        metering.usage_events(on_time, size).write.parquet(f"{folder}/usage_events/{BATCH}={batch_id}", **replace)
-        enveloped = late.withColumn("watermark", V.before(F.col("received_at"), lateness))
-        enveloped.write.parquet(f"{folder}/late_events/{BATCH}={batch_id}", **replace)
-        batch.unpersist()
+        with _kept(batch):
+            on_time, late = metering.split_late(batch, F.col("received_at"), size, lateness)
+            parts = on_time.groupBy(
+                "customer_id", "metric_type", V.window_start("event_time", size).alias("window_start")
+            ).agg(*metering.partial_aggregates())
+            replace = {"mode": "overwrite"}
+            parts.write.parquet(f"{folder}/usage_parts/{BATCH}={batch_id}", **replace)
+            metering.usage_events(on_time, size).write.parquet(f"{folder}/usage_events/{BATCH}={batch_id}", **replace)
+            enveloped = late.withColumn("watermark", V.before(F.col("received_at"), lateness))
+            enveloped.write.parquet(f"{folder}/late_events/{BATCH}={batch_id}", **replace)
 
     return _start(stamped, checkpoint, write, trigger)
 
@@ -76,24 +77,47 @@ def store_and_publish(
 ) -> StreamingQuery:
     """Store accepted events once per id, then publish them.
 
-    A failed delivery does not undo the write.
+    An id is refused for ever once it is stored: each batch is compared with the ids of
+    all others, and refused copies are written with their number and the reason.  A
+    failed delivery does not undo the write.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        path = f"{folder}/{BATCH}={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        stored = batch.sparkSession.read.parquet(path)
+        spark = batch.sparkSession
+        with _kept(batch):
+            first, again = dedup.first_copies(batch), dedup.later_copies(batch)
+            known = _stored_ids(spark, folder, batch_id)
+            if known is not None:
+                seen = dedup.already_stored(first, known).withColumn("copies", F.lit(1).cast("bigint"))
+                first, again = dedup.not_stored(first, known), again.unionByName(seen)
+            path = f"{folder}/events/{BATCH}={batch_id}"
+            first.write.mode("overwrite").parquet(path)
+            again.write.mode("overwrite").parquet(f"{folder}/refused/{BATCH}={batch_id}")
         try:
-            publish(messages(stored, event_message()))
+            publish(messages(spark.read.parquet(path), event_message()))
         except Exception as error:  # the events are stored; delivery can be repeated
             LOG.warning("batch %s was stored but not published: %s", batch_id, error)
 
-    return _start(distinct_events(events), checkpoint, write, trigger)
+    return _start(events, checkpoint, write, trigger)
+
 
+def _stored_ids(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
+    """Ids stored by other batches; a repeated batch does not refuse its own."""
+    try:
+        stored = spark.read.parquet(f"{folder}/events")
+    except AnalysisException:  # nothing is stored yet
+        return None
+    return stored.filter(F.col(BATCH) != batch_id).select("event_id")
 
-def distinct_events(events: DataFrame, within: str = "2 days", arrival: str = "ingestion_time") -> DataFrame:
-    """First copy of every event id; ids are remembered for ``within``."""
-    return events.withWatermark(arrival, within).dropDuplicatesWithinWatermark(["event_id"])
+
+@contextmanager
+def _kept(batch: DataFrame):
+    """The batch stays in memory while it is written, and no longer."""
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
 
 
 def rate_late_events(
@@ -108,12 +132,11 @@ def rate_late_events(
     """Rate every late event at once as a charge of its own; failures go to quarantine."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        wanted = late_events_to_rate(batch, carry=["received_at"])
-        charges, unrated = rate(wanted, books, rules, F.col("received_at"), options)
-        charges.write.mode("overwrite").parquet(f"{folder}/charges/{BATCH}={batch_id}")
-        unrated.write.mode("overwrite").parquet(f"{folder}/unrated/{BATCH}={batch_id}")
-        batch.unpersist()
+        with _kept(batch):
+            wanted = late_events_to_rate(batch, carry=["received_at"])
+            charges, unrated = rate(wanted, books, rules, F.col("received_at"), options)
+            charges.write.mode("overwrite").parquet(f"{folder}/charges/{BATCH}={batch_id}")
+            unrated.write.mode("overwrite").parquet(f"{folder}/unrated/{BATCH}={batch_id}")
 
     return _start(late, checkpoint, write, trigger)
 

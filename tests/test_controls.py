@@ -18,10 +18,11 @@ def test_chains(spark):
     assert lineage.corrections_of(invoices, 50).count() == 50
 
 
-def test_cycles_are_refused(spark):
-    ring = spark.createDataFrame([(1, 2), (2, 1)], "invoice_id int, reference_invoice_id int")
-    with pytest.raises(ValueError):
-        lineage.correction_chains(ring, max_doublings=4)
+def test_cycles_are_reported_and_lose_no_other_invoice(spark):
+    pairs = [(1, 2), (2, 1), (3, 2), (4, 4), (5, None), (6, 5), (7, 6)]
+    invoices = spark.createDataFrame(pairs, "invoice_id int, reference_invoice_id int")
+    got = {r["invoice_id"]: (r["root_invoice_id"], r["depth"]) for r in lineage.correction_chains(invoices).collect()}
+    assert got == {1: (None, None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (5, 0), 6: (5, 1), 7: (5, 2)}
 
 
 def test_heavy_charge_is_traced(spark):

@@ -87,6 +87,35 @@ def test_first_copy_wins_and_all_others_are_reported(spark, rows):
     assert dedup.already_stored(kept, kept.filter("event_id = 'a'")).first()["reason"] == "DUPLICATE_EVENT_ID"
 
 
+def test_no_copy_is_lost_without_id_or_arrival(spark, rows):
+    events = rows(
+        "event_id string, ingestion_time timestamp, value int",
+        "('a', NULL, 1), ('a', NULL, 2), ('a', NULL, 2), ('b', NULL, 5), (NULL, '2024-01-01', 1), (NULL, NULL, 1), ('c', '2024-01-01', 1), ('c', NULL, 0)",
+    )
+    first, again = dedup.first_copies(events), dedup.later_copies(events)
+    assert sorted((str(r["event_id"]), r["value"], r["copies"]) for r in again.collect()) == [("None", 1, 1), ("a", 2, 2), ("c", 0, 1)]
+    assert first.count() + again.agg(F.sum("copies")).first()[0] == events.count()
+
+
+def test_times_do_not_depend_on_the_session(spark):
+    from tallymark.functions import values
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    moments = spark.sql("SELECT timestamp_micros(m) AS t FROM VALUES (1704067200000000), (1710037800123456), (-1), (253402300799999999) AS v(m)")
+    found = []
+    try:
+        for name in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            texts = moments.select(values.iso("t"), values.utc_text("t"), values.month_key("t"), values.stable_id(values.utc_text("t"))).collect()
+            back = spark.sql("SELECT '2024-01-15' AS a, '2024-03-10T02:30:00' AS b, '2024-01-15T10:00:00+05:30' AS c")
+            found.append((texts, back.select(*[F.unix_micros(values.parse_iso(c)) for c in "abc"]).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found[0] == found[1] == found[2]
+    assert [r[0] for r in found[0][0]] == ["2024-01-01T00:00:00.000Z", "2024-03-10T02:30:00.123Z", "1969-12-31T23:59:59.999Z", "9999-12-31T23:59:59.999Z"]
+    assert [r[1] for r in found[0][0]][:2] == ["2024-01-01 00:00:00", "2024-03-10 02:30:00.123456"]
+
+
 def test_heavily_repeated_event(spark):
     """One id holds most rows, half of them equal."""
     events = spark.range(300).select(

@@ -66,8 +66,16 @@ def test_duplicates_are_dropped_and_publishing_may_fail(spark, sf_dir, tmp_path)
 
     stream = spark.readStream.schema(events.schema).parquet(source)
     jobs.store_and_publish(stream, out, str(tmp_path / "state"), publish, ONCE).awaitTermination()
-    stored = spark.read.parquet(out)
-    assert stored.count() == events.count() == sum(sent)
+    stored = spark.read.parquet(f"{out}/events")
+    refused = spark.read.parquet(f"{out}/refused")
+    copies = events.filter("event_id % 5 = 0").count()
+    assert stored.count() == events.count() == sum(sent) and refused.agg(F.sum("copies")).first()[0] == copies
+    # A copy that comes in much later is refused as well.
+    late = events.filter("event_id % 50 = 0").withColumn("ingestion_time", F.col("ingestion_time") + F.expr("interval 100 days"))
+    late.write.mode("append").parquet(source)
+    jobs.store_and_publish(spark.readStream.schema(events.schema).parquet(source), out, str(tmp_path / "state"), publish, ONCE).awaitTermination()
+    assert spark.read.parquet(f"{out}/events").count() == events.count()
+    assert spark.read.parquet(f"{out}/refused").agg(F.sum("copies")).first()[0] == copies + late.count()
 
 
 def test_windows_close_in_append_mode(spark, sf_dir, tmp_path):
