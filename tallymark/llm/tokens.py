@@ -78,6 +78,8 @@ class Encoder:
     def __init__(self, name: str):
         self.library = load(name)
         self.special = special_pattern(self.library)
+        self.normalize = self.library.normalizer.normalize_str if self.library.normalizer else None
+        self.split, self.merge = self.library.pre_tokenizer.pre_tokenize_str, self.library.model.tokenize
         spec = self.library.pre_tokenizer.__getstate__()
         byte_level = b'"use_regex":true' in spec
         # The other kind drops white space, so any of it ends a chunk.
@@ -85,8 +87,11 @@ class Encoder:
         self.cache = ChunkCache(self._ids)
 
     def _ids(self, chunk) -> bytes:
+        """The library's steps one by one, which spares what else it notes of a short text."""
         text = chunk if isinstance(chunk, str) else chunk.decode()
-        return packed(self.library.encode(text, add_special_tokens=False).ids)
+        if self.normalize is not None:
+            text = self.normalize(text)
+        return packed(token.id for part, _ in self.split(text) for token in self.merge(part))
 
     def encode(self, text: str) -> bytes:
         if "<|" not in text:
