@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.operators.skew import keyed_join
 
 VIOLATION = ["rule", "row_key"]
 
@@ -42,7 +41,10 @@ RULES: dict[str, Rules] = {
     "aggregated_usage": Rules(
         "aggregation_id",
         {"window_order": "window_start < window_end", "positive_value": "value >= 0"},
-        {"usage_window": (["customer_id", "metric_type", "window_start", "window_end"], "rerating_job_id IS NULL")},
+        {
+            "usage_key": (["aggregation_id"], None),
+            "usage_window": (["customer_id", "metric_type", "window_start", "window_end"], "rerating_job_id IS NULL"),
+        },
     ),
     "price_books": Rules(
         "price_book_id",
@@ -53,7 +55,7 @@ RULES: dict[str, Rules] = {
     "price_rules": Rules(
         "rule_id",
         {"pricing_model": "pricing_model IN ('flat', 'per_unit', 'tiered', 'volume', 'committed')"},
-        {"rule_metric": (["price_book_id", "metric_type"], None)},
+        {"rule_key": (["rule_id"], None), "rule_metric": (["price_book_id", "metric_type"], None)},
         {"rule_book": ("price_book_id", "price_books", "price_book_id")},
     ),
     "rated_charges": Rules(
@@ -74,45 +76,61 @@ RULES: dict[str, Rules] = {
             "invoice_type": "invoice_type IN ('standard', 'correction', 'credit_memo')",
             "invoice_status": "status IN ('draft', 'issued', 'paid', 'void', 'overdue')",
         },
-        {"invoice_number": (["invoice_number"], None)},
+        {"invoice_key": (["invoice_id"], None), "invoice_number": (["invoice_number"], None)},
         {"invoice_reference": ("reference_invoice_id", "invoices", "invoice_id")},
     ),
     "invoice_line_items": Rules(
         "line_item_id",
         {"line_number": "line_number > 0"},
-        {},
+        {"line_key": (["line_item_id"], None)},
         {"line_invoice": ("invoice_id", "invoices", "invoice_id")},
     ),
+    "invoice_adjustments": Rules(
+        "adjustment_id",
+        {},
+        {"adjustment_key": (["adjustment_id"], None)},
+        {
+            "adjustment_invoice": ("invoice_id", "invoices", "invoice_id"),
+            "adjustment_credit": ("credit_id", "customer_credits", "credit_id"),
+        },
+    ),
+    "customer_credits": Rules(
+        "credit_id",
+        {"credit_amount": "remaining_amount >= 0 AND remaining_amount <= amount"},
+        {"credit_key": (["credit_id"], None)},
+        {"credit_customer": ("customer_id", "customers", "customer_id")},
+    ),
 }
 
 
 def violations(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     """(rule, row_key) of every violation in one table.
 
-    References are checked against the tables given; others are left out.
+    References are checked against the tables given; others are left out.  Checks and
+    references are judged in one pass over the rows; each unique key is one aggregate.
     """
     rules, table = RULES[name], tables[name]
-    found = [
-        table.filter(F.expr(f"NOT ({check})")).select(F.lit(rule).alias("rule"), F.col(rules.key).cast("string").alias("row_key"))
-        for rule, check in rules.checks.items()
-    ]
+    references = {rule: r for rule, r in rules.references.items() if r[1] in tables}
+    needed = {rules.key, *(r[0] for r in references.values())}
+    failed = {rule: F.expr(f"NOT ({check})") for rule, check in rules.checks.items()}
+    rows = table.select(*sorted(needed), *[condition.alias(f"_fails_{rule}") for rule, condition in failed.items()])
+    for rule, (column, other, other_key) in references.items():
+        # Each target once; heavy values on the rows' side are split by adaptive execution.
+        targets = tables[other].select(F.col(other_key).alias(f"_to_{rule}")).filter(F.col(f"_to_{rule}").isNotNull()).distinct()
+        rows = rows.join(targets, F.col(column) == F.col(f"_to_{rule}"), "left")
+        rows = rows.withColumn(f"_fails_{rule}", F.col(column).isNotNull() & F.col(f"_to_{rule}").isNull()).drop(f"_to_{rule}")
+    found = []
+    if failed or references:
+        names = F.array_compact(F.array(*[F.when(F.col(f"_fails_{rule}"), F.lit(rule)) for rule in [*failed, *references]]))
+        found.append(rows.select(F.explode(names).alias("rule"), F.col(rules.key).cast("string").alias("row_key")))
     for rule, (columns, only) in rules.unique.items():
-        rows = table.filter(only) if only else table
-        repeated = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        kept = table.filter(only) if only else table
+        repeated = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         found.append(
             repeated.select(
                 F.lit(rule).alias("rule"), F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("row_key")
             )
         )
-    for rule, (column, other, other_key) in rules.references.items():
-        if other not in tables:
-            continue
-        targets = tables[other].select(F.col(other_key).alias(column))
-        rows = table.filter(F.col(column).isNotNull()).select(column, F.col(rules.key).alias("_key"))
-        # Referenced values are compared once each, however many rows name them.
-        missing = rows.select(column).distinct().join(targets, column, "left_anti")
-        dangling = keyed_join(rows, missing, [column], ["_key"], "inner", small=False)
-        found.append(dangling.select(F.lit(rule).alias("rule"), F.col("_key").cast("string").alias("row_key")))
     return reduce(DataFrame.unionByName, found)
 
 

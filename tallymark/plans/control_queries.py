@@ -474,6 +474,124 @@ def violations_charges(spark, sf_dir):
     return integrity.violations("rated_charges", known)
 
 
+@query(
+    W.sql(
+        ["telemetry"],
+        """SELECT 'event_time' AS rule, CAST(event_id AS VARCHAR) AS row_key FROM telemetry WHERE event_id % 40 = 3
+           UNION ALL SELECT 'event_key', CAST(event_id AS VARCHAR) FROM telemetry WHERE event_id % 30 = 7""",
+    )
+)
+def violations_events(spark, sf_dir):
+    """Events from the future and repeated event ids."""
+    events = W.telemetry(spark, sf_dir).withColumn(
+        "event_time", F.when(F.col("event_id") % 40 == 3, F.col("ingestion_time") + F.expr("interval 2 days")).otherwise(F.least("event_time", "ingestion_time"))
+    )
+    again = events.filter("event_id % 30 = 7").withColumn("event_time", F.col("ingestion_time"))
+    return integrity.violations("telemetry_events", {"telemetry_events": events.unionByName(again)})
+
+
+@query(
+    W.sql(
+        ["usage"],
+        """SELECT 'window_order' AS rule, aggregation_id AS row_key FROM usage WHERE metric_type = 'api_calls' AND event_count > 1
+           UNION ALL SELECT 'positive_value', aggregation_id FROM usage WHERE metric_type <> 'api_calls' AND event_count = 1
+           UNION ALL SELECT 'usage_key', aggregation_id FROM usage WHERE customer_id % 10 = 4""",
+    )
+)
+def violations_usage(spark, sf_dir):
+    """Windows that end at their start, negative values and repeated ids."""
+    usage = on_time_usage(spark, sf_dir).withColumns(
+        {
+            "window_end": F.when((F.col("metric_type") == "api_calls") & (F.col("event_count") > 1), F.col("window_start")).otherwise(F.col("window_end")),
+            "value": F.when((F.col("metric_type") != "api_calls") & (F.col("event_count") == 1), -1).otherwise(F.abs("value")),
+            "rerating_job_id": F.lit(None).cast("string"),
+        }
+    )
+    again = usage.filter("customer_id % 10 = 4").withColumns(
+        {"rerating_job_id": F.lit("again"), "window_end": F.col("window_start") + F.expr("interval 1 hour"), "value": F.lit(1)}
+    )
+    return integrity.violations("aggregated_usage", {"aggregated_usage": usage.unionByName(again)})
+
+
+@query(
+    """WITH b AS (SELECT o_orderkey AS id, o_custkey + 1 AS parent FROM orders)
+       SELECT 'effective_dates' AS rule, CAST(id AS VARCHAR) AS row_key FROM b WHERE id % 7 = 1
+       UNION ALL SELECT 'book_parent', CAST(id AS VARCHAR) FROM b WHERE parent NOT IN (SELECT o_orderkey FROM orders)
+       UNION ALL SELECT 'version_start', o_custkey + 1 || '|' || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+         FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1"""
+)
+def violations_books(spark, sf_dir):
+    """Price books that end before they start, without their parent, or with a shared start."""
+    orders = W.table(spark, sf_dir, "orders")
+    start = F.col("o_orderdate").cast("timestamp")
+    books = orders.select(
+        F.col("o_orderkey").alias("price_book_id"), (F.col("o_custkey") + 1).alias("parent_id"), start.alias("effective_from"),
+        F.when(F.col("o_orderkey") % 7 == 1, start - F.expr("interval 1 day")).alias("effective_until"),
+    )
+    return integrity.violations("price_books", {"price_books": books})
+
+
+@query(
+    """SELECT 'pricing_model' AS rule, CAST(p_partkey AS VARCHAR) AS row_key FROM part WHERE p_size % 5 = 0
+       UNION ALL SELECT 'rule_book', CAST(p_partkey AS VARCHAR) FROM part WHERE p_size NOT IN (SELECT n_nationkey FROM nation)
+       UNION ALL SELECT 'rule_metric', p_size || '|' || p_brand FROM part GROUP BY p_size, p_brand HAVING count(*) > 1"""
+)
+def violations_rules(spark, sf_dir):
+    """Price rules of an unknown model, without their book, or twice for a metric."""
+    rules = W.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("rule_id"), F.col("p_size").alias("price_book_id"), F.col("p_brand").alias("metric_type"),
+        F.when(F.col("p_size") % 5 == 0, "barter").otherwise("flat").alias("pricing_model"),
+    )
+    books = W.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("price_book_id"))
+    return integrity.violations("price_rules", {"price_rules": rules, "price_books": books})
+
+
+@query(
+    """SELECT 'line_number' AS rule, l_orderkey || '-' || l_linenumber AS row_key FROM lineitem WHERE l_linenumber = 7
+       UNION ALL SELECT 'line_invoice', l_orderkey || '-' || l_linenumber FROM lineitem WHERE l_orderkey % 11 = 0
+       UNION ALL SELECT 'line_key', l_orderkey || '-' || l_linenumber FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+)
+def violations_lines(spark, sf_dir):
+    """Invoice lines with a number below one, without their invoice, or with a repeated id."""
+    lines = W.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_item_id"), F.col("l_orderkey").alias("invoice_id"),
+        F.when(F.col("l_linenumber") == 7, 0).otherwise(F.col("l_linenumber")).alias("line_number"),
+    )
+    invoices = W.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("invoice_id")).filter("invoice_id % 11 <> 0")
+    return integrity.violations("invoice_line_items", {"invoice_line_items": lines, "invoices": invoices})
+
+
+@query(
+    """SELECT 'adjustment_credit' AS rule, CAST(o_orderkey AS VARCHAR) AS row_key FROM orders WHERE o_custkey % 5 = 0
+       UNION ALL SELECT 'adjustment_invoice', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 13 = 0"""
+)
+def violations_adjustments(spark, sf_dir):
+    """Adjustments without their invoice or credit."""
+    orders = W.table(spark, sf_dir, "orders")
+    rows = orders.select(F.col("o_orderkey").alias("adjustment_id"), F.col("o_orderkey").alias("invoice_id"), F.col("o_custkey").alias("credit_id"))
+    known = {
+        "invoice_adjustments": rows,
+        "invoices": rows.select("invoice_id").filter("invoice_id % 13 <> 0"),
+        "customer_credits": rows.select("credit_id").filter("credit_id % 5 <> 0"),
+    }
+    return integrity.violations("invoice_adjustments", known)
+
+
+@query(
+    """SELECT 'credit_amount' AS rule, CAST(c_custkey AS VARCHAR) AS row_key FROM customer WHERE c_acctbal < 0
+       UNION ALL SELECT 'credit_customer', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_nationkey = 3"""
+)
+def violations_credits(spark, sf_dir):
+    """Credits with a negative balance, or without their customer."""
+    rows = W.table(spark, sf_dir, "customer")
+    credits = rows.select(
+        F.col("c_custkey").alias("credit_id"), F.col("c_custkey").alias("customer_id"),
+        F.col("c_acctbal").alias("remaining_amount"), F.lit(1_000_000).alias("amount"),
+    )
+    known = {"customer_credits": credits, "customers": rows.filter("c_nationkey <> 3").select(F.col("c_custkey").alias("customer_id"))}
+    return integrity.violations("customer_credits", known)
+
+
 @query(
     """SELECT 'customer_status' AS rule, CAST(c_custkey AS VARCHAR) AS row_key FROM customer WHERE c_nationkey = 7
        UNION ALL SELECT 'customer_external_id', c_mktsegment || '-' || c_nationkey FROM customer GROUP BY c_mktsegment, c_nationkey HAVING count(*) > 1"""
