@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,19 +19,6 @@ from tallymark.session import materialise
 PERIOD = ["customer_id", "period_start", "period_end"]
 
 
-@dataclass(frozen=True)
-class InvoiceRun:
-    """Output tables of one invoice run."""
-
-    invoices: DataFrame
-    line_items: DataFrame
-    line_charges: DataFrame
-    adjustments: DataFrame
-    credits: DataFrame
-    unchanged: DataFrame
-    rejected: DataFrame
-
-
 def billed_invoices(invoices: DataFrame) -> DataFrame:
     """Latest issued or paid invoice per customer and period."""
     billed = invoices.filter(F.col("status").isin(settings.BILLED_STATUSES))
@@ -179,6 +166,115 @@ def line_charges(headers: DataFrame, charges: DataFrame, **limits) -> DataFrame:
     return keyed.select(V.stable_id("invoice_id", "metric_type").alias("line_item_id"), "charge_id")
 
 
+class InvoiceRun:
+    """Output tables of one invoice run, each worked out when it is asked for.
+
+    What several outputs hang on (line sums, headers, credit use) is written once and
+    kept; an output that needs none of these does not wait for them.
+    """
+
+    def __init__(
+        self,
+        requests: DataFrame,
+        customers: DataFrame,
+        charges: DataFrame,
+        rules: DataFrame,
+        invoices: DataFrame,
+        credits: DataFrame,
+        as_of,
+        basis: str,
+        honour_expiry: bool,
+        split_credits: bool | None,
+        limits: dict,
+    ):
+        self._requests, self._customers, self._charges, self._rules = requests, customers, charges, rules
+        self._credits, self._as_of = credits, as_of
+        self._basis, self._honour_expiry, self._split_credits, self._limits = basis, honour_expiry, split_credits, limits
+        self._prior = billed_invoices(invoices)
+
+    def _few(self, df: DataFrame) -> bool:
+        return at_most(df, self._limits.get("broadcast_rows", settings.BROADCAST_ROWS))
+
+    @cached_property
+    def _few_customers(self) -> bool:
+        return self._few(self._customers)
+
+    @cached_property
+    def _few_requests(self) -> bool:
+        return self._few(self._requests)
+
+    @cached_property
+    def _checked(self) -> DataFrame:
+        exists = self._customers.select("customer_id", F.lit(True).alias("_exists"))
+        by_period = ["period_start", "period_end"]
+        return keyed_join(self._requests, exists, ["customer_id"], by_period, "left", small=self._few_customers, **self._limits)
+
+    @cached_property
+    def _known(self) -> DataFrame:
+        return self._checked.filter("_exists").drop("_exists")
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Requests for customers that do not exist."""
+        missing = self._checked.filter("_exists IS NULL").drop("_exists")
+        return missing.withColumn("reason", F.lit("CUSTOMER_NOT_FOUND"))
+
+    @cached_property
+    def _billable(self) -> DataFrame:
+        matched = billable_charges(self._known, self._charges, self._prior, self._basis, small=self._few_requests, **self._limits)
+        return with_rule(matched, self._rules, **self._limits)
+
+    @cached_property
+    def _sums(self) -> DataFrame:
+        # One row per period and metric.
+        return materialise(line_sums(self._billable))
+
+    @cached_property
+    def _split(self) -> tuple[DataFrame, DataFrame]:
+        return invoice_headers(self._known, self._customers, self._sums, self._prior, small=self._few_customers, **self._limits)
+
+    @cached_property
+    def _headers(self) -> DataFrame:
+        return materialise(self._split[0])
+
+    @property
+    def unchanged(self) -> DataFrame:
+        """Billed periods without new charges."""
+        return self._split[1]
+
+    @cached_property
+    def _paid(self) -> DataFrame:
+        usable = usable_credits(self._credits, self._as_of, self._honour_expiry)
+        amount = F.col("total_before_credits").alias("amount")
+        totals = self._headers.select("customer_id", "invoice_id", "period_start", amount)
+        return materialise(allocate(totals, usable, self._split_credits))
+
+    @property
+    def invoices(self) -> DataFrame:
+        applied = self._paid.groupBy("invoice_id").agg(F.sum("amount").cast("decimal(18,2)").alias("credits_applied"))
+        return (
+            self._headers.join(applied, "invoice_id", "left")
+            .withColumn("credits_applied", F.coalesce("credits_applied", zero_money()))
+            .withColumn("total", (F.col("total_before_credits") - F.col("credits_applied")).cast("decimal(18,2)"))
+        )
+
+    @property
+    def line_items(self) -> DataFrame:
+        return line_items(self._headers, self._sums)
+
+    @property
+    def line_charges(self) -> DataFrame:
+        return line_charges(self._headers, self._billable, small=self._few_requests, **self._limits)
+
+    @property
+    def adjustments(self) -> DataFrame:
+        return adjustments(self._paid)
+
+    @property
+    def credits(self) -> DataFrame:
+        return spend(self._credits, self._paid)
+
+
 def generate_invoices(
     requests: DataFrame,
     customers: DataFrame,
@@ -199,39 +295,8 @@ def generate_invoices(
     charges calculated since then, or stays unchanged.  Periods without charges still
     get an invoice of 0.
     """
-    exists = customers.select("customer_id", F.lit(True).alias("_exists"))
-    few_customers = at_most(customers, limits.get("broadcast_rows", settings.BROADCAST_ROWS))
-    few_requests = at_most(requests, limits.get("broadcast_rows", settings.BROADCAST_ROWS))
-    by_period = ["period_start", "period_end"]
-    checked = keyed_join(requests, exists, ["customer_id"], by_period, "left", small=few_customers, **limits)
-    known = checked.filter("_exists").drop("_exists")
-    rejected = checked.filter("_exists IS NULL").drop("_exists").withColumn("reason", F.lit("CUSTOMER_NOT_FOUND"))
-    prior = billed_invoices(invoices)
-    matched = billable_charges(known, charges, prior, basis, small=few_requests, **limits)
-    billable = with_rule(matched, rules, **limits)
-    # Sums are one row per period and metric: kept once, used by lines and headers.
-    sums = materialise(line_sums(billable))
-    headers, unchanged = invoice_headers(known, customers, sums, prior, small=few_customers, **limits)
-    headers = materialise(headers)
-    usable = usable_credits(credits, as_of, honour_expiry)
-    totals = headers.select(
-        "customer_id", "invoice_id", "period_start", F.col("total_before_credits").alias("amount")
-    )
-    paid = materialise(allocate(totals, usable, split_credits))
-    applied = paid.groupBy("invoice_id").agg(F.sum("amount").cast("decimal(18,2)").alias("credits_applied"))
-    final = (
-        headers.join(applied, "invoice_id", "left")
-        .withColumn("credits_applied", F.coalesce("credits_applied", zero_money()))
-        .withColumn("total", (F.col("total_before_credits") - F.col("credits_applied")).cast("decimal(18,2)"))
-    )
     return InvoiceRun(
-        invoices=final,
-        line_items=line_items(headers, sums),
-        line_charges=line_charges(headers, billable, small=few_requests, **limits),
-        adjustments=adjustments(paid),
-        credits=spend(credits, paid),
-        unchanged=unchanged,
-        rejected=rejected,
+        requests, customers, charges, rules, invoices, credits, as_of, basis, honour_expiry, split_credits, limits
     )
 
 
