@@ -11,6 +11,7 @@ from tallymark.plans.invoice_queries import _run_ctes, run
 from tallymark.plans.metering_queries import AS_OF, on_time_usage
 from tallymark.plans.rating_queries import charges, to_rate
 from tallymark.plans.registry import money, query, ts, ts_sql
+from tallymark.session import materialise
 from tallymark.sources import tables
 
 # --- events, usage, charges ------------------------------------------------------------
@@ -207,11 +208,13 @@ def conservation_all(spark, sf_dir):
 # --- lineage ---------------------------------------------------------------------------
 
 
-def _traced(spark, sf_dir):
+def _traced(spark, sf_dir, rated=None):
+    """Events behind charges; charges and usage are stored tables, written once."""
     events = W.telemetry(spark, sf_dir)
     on_time, late = metering.split_late(events, F.col("ingestion_time"))
     counted = metering.usage_events(on_time, carry=["event_time", "metric_type"])
-    return lineage.charge_events(charges(spark, sf_dir), counted, late)
+    usage = materialise(on_time_usage(spark, sf_dir).select("aggregation_id", "event_count"))
+    return lineage.charge_events(rated or materialise(charges(spark, sf_dir)), counted, late, usage)
 
 
 _TRACED = {
@@ -250,7 +253,8 @@ def trace_invoice_lines(spark, sf_dir):
 )
 def explain_charges(spark, sf_dir):
     """Price book, event count and sample events of every charge."""
-    rows = lineage.explain_charges(charges(spark, sf_dir), W.books(spark), _traced(spark, sf_dir), sample=2)
+    rated = materialise(charges(spark, sf_dir))
+    rows = lineage.explain_charges(rated, W.books(spark), materialise(_traced(spark, sf_dir, rated)), sample=2)
     sample = F.array_join(F.transform("source_event_sample", lambda e: e["event_id"].cast("string")), ",")
     return rows.select("charge_id", "price_book_name", "source_event_count", ts("first_event_at", "first_event_at"), sample.alias("sample"))
 
