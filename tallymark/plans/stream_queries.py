@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallymark.operators import metering
 from tallymark.plans import workload as W
 from tallymark.plans.registry import money, query, ts, ts_sql
 from tallymark.session import work_path
+from tallymark.sources import intake, topics
 from tallymark.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -58,6 +60,37 @@ def stream_late_charges(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rated/charges").select("charge_id", "customer_id", "source_event_id", money("subtotal", "subtotal"))
 
 
+@query(W.sql(["usage"], "SELECT aggregation_id, value, event_count, CAST(1 AS BIGINT) AS times FROM usage WHERE window_end <= TIMESTAMP '2024-01-20 12:30:00' - INTERVAL 1 HOUR"))
+def stream_finalised_once(spark, sf_dir):
+    """Windows stored as final by three runs, one of them repeated, and how often each was published."""
+    folder = _routed(spark, sf_dir)
+    for run, as_of in (("1", "2024-01-10 00:30:00"), ("2", "2024-01-20 12:30:00"), ("2", "2024-01-20 12:30:00")):
+        again = work_path(spark, "published") if run == "1" else f"{folder}/published-2"
+        jobs.finalise_due(spark, folder, as_of, run, lambda rows, to=again: rows.write.mode("overwrite").json(to))
+    final = jobs.finalised_usage(spark, folder)
+    return final.groupBy("aggregation_id").agg(F.first("value").alias("value"), F.first("event_count").alias("event_count"), F.count(F.lit(1)).alias("times"))
+
+
+@query(
+    W.rated_sql("SELECT CAST(customer_id AS VARCHAR) AS customer_id, source_event_id, subtotal FROM rated WHERE reason IS NULL AND source_event_id IS NOT NULL")
+)
+def message_path_late_charges(spark, sf_dir):
+    """Events sent, received, decoded, metered and routed; late ones sent on, received and rated."""
+    folder = work_path(spark, "messages")
+    events = W.telemetry(spark, sf_dir).withColumn("source", F.lit(None).cast("string"))
+    topics.send(topics.messages(events, topics.event_message(), sent_at=F.col("ingestion_time")), f"{folder}/events")
+    decoded, _ = intake.decode_messages(topics.receive(spark, f"{folder}/events"))
+    names = W.telemetry(spark, sf_dir).select("event_type", "metric_type").distinct()
+    valued, _ = metering.event_values(intake.with_metric(decoded.drop("received_at", "watermark"), names))
+    jobs.route_events(valued, f"{folder}/routed", f"{folder}/_routing", clock=F.col("ingestion_time"), trigger=ONCE).awaitTermination()
+    late = spark.read.parquet(f"{folder}/routed/late_events")
+    topics.send(topics.messages(late, topics.late_message(), sent_at=F.col("received_at")), f"{folder}/late")
+    received, _ = intake.decode_messages(topics.receive(spark, f"{folder}/late"))
+    named = intake.with_metric(received, names)
+    jobs.rate_late_events(named, W.books(spark), W.rules(spark), f"{folder}/rated", f"{folder}/_rating", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{folder}/rated/charges").select("customer_id", "source_event_id", money("subtotal", "subtotal"))
+
+
 @query(
     W.sql(
         ["telemetry"],

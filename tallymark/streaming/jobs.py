@@ -15,7 +15,7 @@ from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.operators import dedup, metering
 from tallymark.operators.rating import RatingOptions, late_events_to_rate, rate
-from tallymark.sources.topics import event_message, messages
+from tallymark.sources.topics import event_message, messages, usage_message
 
 BATCH = "batch_id"
 LOG = logging.getLogger(__name__)
@@ -72,6 +72,54 @@ def final_usage(spark: SparkSession, folder: str, as_of, size: str = settings.WI
     return marked.filter("is_final")
 
 
+def finalise_due(
+    spark: SparkSession,
+    folder: str,
+    as_of,
+    run: str,
+    publish: Callable[[DataFrame], None] | None = None,
+    size: str = settings.WINDOW_SIZE,
+    lateness: str = settings.ALLOWED_LATENESS,
+) -> DataFrame:
+    """Store windows that are due at ``as_of`` as final, publish them, and return them; for a timed job.
+
+    A window becomes final once: runs leave out what others stored, and a run that is
+    repeated replaces its own rows.  Stored windows are compacted by month, and a run
+    reads no parts of windows that were due at the latest earlier run.
+    """
+    others = _read(spark, f"{folder}/final_usage")
+    since = None
+    if others is not None:
+        others = others.filter(F.col("run") != run)
+        since = others.agg(F.max("finalised_at")).first()[0]
+    if since is not None:
+        # Nothing on time arrives any more for windows that start earlier.
+        since = V.before(V.before(since, lateness), size)
+    due = metering.finalise(current_usage(spark, folder, size, since), as_of, lateness).filter("is_final")
+    if others is not None:
+        due = due.join(others.select("aggregation_id"), "aggregation_id", "left_anti")
+    path = f"{folder}/final_usage/run={run}"
+    stamped = due.withColumns({"finalised_at": V.moment(as_of), "month": V.month_key("window_start")})
+    stamped.repartition("month").write.mode("overwrite").partitionBy("month").parquet(path)
+    stored = spark.read.schema(stamped.schema).parquet(path)
+    if publish is not None:
+        publish(messages(stored, usage_message()))
+    return stored
+
+
+def finalised_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """All windows stored as final."""
+    return spark.read.parquet(f"{folder}/final_usage")
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table of parts, or nothing where none was written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
 def store_and_publish(
     events: DataFrame, folder: str, checkpoint: str, publish: Callable[[DataFrame], None], trigger: dict | None = None
 ) -> StreamingQuery:
@@ -103,11 +151,8 @@ def store_and_publish(
 
 def _stored_ids(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
     """Ids stored by other batches; a repeated batch does not refuse its own."""
-    try:
-        stored = spark.read.parquet(f"{folder}/events")
-    except AnalysisException:  # nothing is stored yet
-        return None
-    return stored.filter(F.col(BATCH) != batch_id).select("event_id")
+    stored = _read(spark, f"{folder}/events")
+    return None if stored is None else stored.filter(F.col(BATCH) != batch_id).select("event_id")
 
 
 @contextmanager
