@@ -192,13 +192,20 @@ def orphan_events(spark, sf_dir):
     return reconcile.orphan_events(events, metering.usage_events(on_time)).select("event_id", "customer_id", ts("event_time", "event_time"))
 
 
-@query(W.sql(["telemetry", "usage"], "SELECT (SELECT count(*) FROM telemetry) AS event_count, CAST((SELECT sum(event_count) FROM usage) AS BIGINT) AS counted_events, false AS conserved"))
+@query(W.sql(["telemetry", "usage"], "SELECT event_count, counted_events, event_count = counted_events AS conserved FROM (SELECT (SELECT count(*) FROM telemetry) AS event_count, CAST((SELECT sum(event_count) FROM usage) AS BIGINT) AS counted_events)"))
 def conservation_on_time(spark, sf_dir):
     """On-time usage leaves the late events uncounted."""
     return reconcile.conservation(W.telemetry(spark, sf_dir), on_time_usage(spark, sf_dir))
 
 
-@query("SELECT count(*) AS event_count, count(*) AS counted_events, true AS conserved FROM events")
+@query(
+    W.sql(
+        ["telemetry"],
+        """SELECT event_count, counted_events, event_count = counted_events AS conserved FROM (SELECT count(*) AS event_count,
+             CAST((SELECT sum(n) FROM (SELECT count(*) AS n FROM telemetry GROUP BY customer_id, metric_type, date_trunc('day', event_time))) AS BIGINT) AS counted_events
+           FROM events)""",
+    )
+)
 def conservation_all(spark, sf_dir):
     """Without the late split every event is counted once."""
     events = W.telemetry(spark, sf_dir)
@@ -399,6 +406,17 @@ def rerate_scope(spark, sf_dir):
     return scope.select("aggregation_id", "customer_id", "metric_type", "value")
 
 
+@query(W.rated_sql("SELECT count(*) AS charges, CAST(0 AS BIGINT) AS differences FROM rated WHERE reason IS NULL"))
+def determinism_of_one_run(spark, sf_dir):
+    """The same usage rated twice, the second time in another order and over other tasks."""
+    options = rating.RatingOptions(trail=False)
+    usage, books, rules = to_rate(spark, sf_dir), W.books(spark), W.rules(spark)
+    one = rating.rate(usage, books, rules, F.col("calculated_at"), options)[0]
+    two = rating.rate(usage.repartition(7, "metric_type"), books, rules.orderBy("rule_id"), F.col("calculated_at"), options)[0]
+    differences = reconcile.differences(one, two).agg(F.count(F.lit(1)).alias("differences"))
+    return one.agg(F.count(F.lit(1)).alias("charges")).withColumn("differences", differences.scalar())
+
+
 @query(W.rated_sql("SELECT charge_id, subtotal, 'first' AS side FROM rated WHERE reason IS NULL AND rule_id = 'a-peak'"))
 def determinism_differences(spark, sf_dir):
     """Charges of one run that a run without one rule lacks."""

@@ -597,7 +597,8 @@ def event_retention(spark, sf_dir):
               CAST(max(epoch_us(ingestion_time) - epoch_us(event_time)) / 1000000 AS DECIMAL(18,3)) AS max_lag_seconds,
               CAST(avg((epoch_us(ingestion_time) - epoch_us(event_time)) / 1000000) AS DECIMAL(18,3)) AS mean_lag_seconds,
               CAST(quantile_disc((epoch_us(ingestion_time) - epoch_us(event_time)) / 1000000, 0.99) AS DECIMAL(18,3)) AS p99_lag_seconds,
-              true AS lag_alert, true AS late_alert
+              quantile_disc((epoch_us(ingestion_time) - epoch_us(event_time)) / 1000000, 0.99) > 300 AS lag_alert,
+              count(*) FILTER (date_trunc('hour', event_time) < ingestion_time - INTERVAL 1 HOUR) > 0.01 * count(*) AS late_alert
             FROM telemetry""",
     )
 )

@@ -305,25 +305,25 @@ def charges_rule_first(spark, sf_dir):
 
 
 _MONTHLY = {
-    "monthly": """SELECT customer_id, metric_type, CAST(sum(value) AS DECIMAL(20,6)) AS quantity, TIMESTAMP '2024-01-31' AS effective_date,
-        customer_id || metric_type AS aggregation_id, CAST(NULL AS VARCHAR) AS source_event_id, TIMESTAMP '2024-02-01' AS calculated_at
-        FROM usage GROUP BY customer_id, metric_type"""
+    "monthly": """SELECT customer_id, metric_type, CAST(sum(value) AS DECIMAL(20,6)) AS quantity, date_trunc('month', window_start) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS effective_date,
+        customer_id || metric_type || date_trunc('month', window_start) AS aggregation_id, CAST(NULL AS VARCHAR) AS source_event_id, TIMESTAMP '2024-02-01' AS calculated_at
+        FROM usage GROUP BY customer_id, metric_type, date_trunc('month', window_start)"""
 }
 
 
 @query(
     W.rated_sql(
-        "SELECT customer_id, metric_type, CAST(quantity AS DECIMAL(20,6)) AS quantity, subtotal FROM rated WHERE reason IS NULL",
+        f"SELECT customer_id, metric_type, {ts_sql('effective_date')} AS month, CAST(quantity AS DECIMAL(20,6)) AS quantity, subtotal FROM rated WHERE reason IS NULL",
         source="monthly", before=_MONTHLY,
     )
 )
 def charges_period_tiers(spark, sf_dir):
     """Usage rated once per month, so that tiers cover the month."""
     monthly = rating.period_usage(on_time_usage(spark, sf_dir))
-    usage = rating.usage_to_rate(monthly).withColumns(
-        {"effective_date": F.lit("2024-01-31").cast("timestamp"), "calculated_at": F.lit("2024-02-01").cast("timestamp")}
-    )
-    return rated(spark, sf_dir, usage=usage)[0].select("customer_id", "metric_type", "quantity", money("subtotal", "subtotal"))
+    last_day = F.col("effective_date") + F.expr("interval 1 month") - F.expr("interval 1 day")
+    usage = rating.usage_to_rate(monthly).withColumns({"effective_date": last_day, "calculated_at": F.lit("2024-02-01").cast("timestamp")})
+    found = rated(spark, sf_dir, usage=usage)[0]
+    return found.select("customer_id", "metric_type", ts("effective_date", "month"), "quantity", money("subtotal", "subtotal"))
 
 
 def _plain(expression: str) -> str:
