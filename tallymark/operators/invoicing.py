@@ -319,6 +319,7 @@ def issue(invoices: DataFrame, ids: DataFrame, as_of) -> tuple[DataFrame, DataFr
     return snapshot, refused.select("invoice_id", "reason")
 
 
+# Fixed value: header of the line table.
 CSV_COLUMNS = "Line #,Description,Metric,Quantity,Unit,Unit Price,Amount"
 
 

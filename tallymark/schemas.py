@@ -23,7 +23,7 @@ TABLES: dict[str, str] = {
     "usage_events": ("aggregation_id string, event_id string"),
     "price_books": (
         "price_book_id string, name string, description string, parent_id string, version string, "
-        "effective_from timestamp, effective_until timestamp, currency string, created_by string"
+        "effective_from timestamp, effective_until timestamp, currency string, created_by string, created_at timestamp"
     ),
     "price_rules": (
         "rule_id string, price_book_id string, metric_type string, pricing_model string, "
@@ -56,7 +56,7 @@ TABLES: dict[str, str] = {
     ),
     "customers": (
         "customer_id string, external_id string, name string, email string, "
-        "billing_currency string, billing_cycle string, status string, tax_region string"
+        "billing_currency string, billing_cycle string, status string, tax_region string, created_at timestamp"
     ),
     "customer_credits": (
         "credit_id string, customer_id string, amount decimal(12,2), remaining_amount decimal(12,2), "

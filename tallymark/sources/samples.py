@@ -10,36 +10,34 @@ from pyspark.sql import functions as F
 from tallymark.functions import values as V
 from tallymark.schemas import TIERS
 
-# Three customers, three price books with one start, three rules each.
 CUSTOMERS = [
-    ("demo-customer-001", "ext-demo-001", "Acme Corporation", "billing@acme.com", "USD", "monthly"),
-    ("demo-customer-002", "ext-demo-002", "TechStart Inc.", "finance@techstart.io", "USD", "monthly"),
-    ("demo-customer-003", "ext-demo-003", "Enterprise Solutions Ltd", "accounts@enterprise.com", "USD", "quarterly"),
+    ("harbour", "H-17", "North Harbour Weather", "ledger@northharbour.example", "USD", "monthly"),
+    ("orchard", "O-04", "Orchard Maps", "bills@orchardmaps.example", "USD", "monthly"),
+    ("quarry", "Q-92", "Quarry Street Robotics", "payables@quarrystreet.example", "USD", "quarterly"),
 ]
 EFFECTIVE_FROM = "2024-01-01 00:00:00"
 BOOKS = [
-    ("pb-standard-v1", "Standard Pricing v1", "Flat rate pricing for all customers"),
-    ("pb-volume-v1", "Volume Pricing v1", "Tiered pricing with volume discounts"),
-    ("pb-enterprise-v1", "Enterprise Pricing v1", "Discounted rates for enterprise customers"),
-]
-# id, book, metric, model, unit, [(up to, unit price)]
-RULES = [
-    ("rule-std-api-calls", "pb-standard-v1", "api_call", "flat", "count", [(None, 0.02)]),
-    ("rule-std-storage", "pb-standard-v1", "storage_gb_hours", "flat", "gb_hours", [(None, 0.1)]),
-    ("rule-std-compute", "pb-standard-v1", "compute_hours", "flat", "hours", [(None, 0.5)]),
-    ("rule-vol-api-calls", "pb-volume-v1", "api_call", "tiered", "count", [(1000, 0.02), (10000, 0.015), (100000, 0.01), (None, 0.005)]),
-    ("rule-vol-storage", "pb-volume-v1", "storage_gb_hours", "tiered", "gb_hours", [(1000, 0.1), (10000, 0.08), (None, 0.05)]),
-    ("rule-vol-compute", "pb-volume-v1", "compute_hours", "tiered", "hours", [(100, 0.5), (1000, 0.4), (None, 0.3)]),
-    ("rule-ent-api-calls", "pb-enterprise-v1", "api_call", "flat", "count", [(None, 0.01)]),
-    ("rule-ent-storage", "pb-enterprise-v1", "storage_gb_hours", "flat", "gb_hours", [(None, 0.06)]),
-    ("rule-ent-compute", "pb-enterprise-v1", "compute_hours", "flat", "hours", [(None, 0.35)]),
+    ("list", "List prices", "One price per unit of each metric"),
+    ("graded", "Graded prices", "Cheaper units from each limit on"),
+    ("agreed", "Agreed prices", "Prices of a yearly agreement"),
 ]
+UNITS = {"api_call": "count", "storage_gb_hours": "gb_hours", "compute_hours": "hours"}
+# book -> metric -> [(up to, unit price)]; one tier is a flat price.
+PRICES = {
+    "list": {"api_call": [(None, 0.02)], "storage_gb_hours": [(None, 0.1)], "compute_hours": [(None, 0.5)]},
+    "graded": {
+        "api_call": [(1000, 0.02), (10000, 0.015), (100000, 0.01), (None, 0.005)],
+        "storage_gb_hours": [(1000, 0.1), (10000, 0.08), (None, 0.05)],
+        "compute_hours": [(100, 0.5), (1000, 0.4), (None, 0.3)],
+    },
+    "agreed": {"api_call": [(None, 0.01)], "storage_gb_hours": [(None, 0.06)], "compute_hours": [(None, 0.35)]},
+}
 
 
 def sample_customers(spark: SparkSession) -> DataFrame:
     names = "customer_id string, external_id string, name string, email string, billing_currency string, billing_cycle string"
     return spark.createDataFrame(CUSTOMERS, names).withColumns(
-        {"status": F.lit("active"), "tax_region": F.lit(None).cast("string")}
+        {"status": F.lit("active"), "tax_region": F.lit(None).cast("string"), "created_at": F.lit(EFFECTIVE_FROM).cast("timestamp")}
     )
 
 
@@ -51,20 +49,22 @@ def sample_books(spark: SparkSession) -> DataFrame:
             "effective_from": F.lit(EFFECTIVE_FROM).cast("timestamp"),
             "effective_until": F.lit(None).cast("timestamp"),
             "currency": F.lit("USD"),
+            "created_at": F.lit(EFFECTIVE_FROM).cast("timestamp"),
         }
     )
 
 
 def sample_rules(spark: SparkSession) -> DataFrame:
-    rows = [
-        (rule, book, metric, model, unit, json.dumps([{"tier": i + 1, "upTo": up_to, "unitPrice": price, "flatFee": 0} for i, (up_to, price) in enumerate(tiers)]))
-        for rule, book, metric, model, unit, tiers in RULES
-    ]
+    rows = []
+    for book, metrics in PRICES.items():
+        for metric, tiers in metrics.items():
+            steps = [{"tier": i + 1, "upTo": up_to, "unitPrice": price, "flatFee": 0} for i, (up_to, price) in enumerate(tiers)]
+            rows.append((f"{book}-{metric}", book, metric, "flat" if len(tiers) == 1 else "tiered", UNITS[metric], json.dumps(steps)))
     names = "rule_id string, price_book_id string, metric_type string, pricing_model string, unit string, tiers string"
     return spark.createDataFrame(rows, names).withColumn("tiers", F.from_json("tiers", TIERS))
 
 
-def sample_events(spark: SparkSession, as_of, customer_id: str = "demo-customer-001", per_window: int = 5) -> DataFrame:
+def sample_events(spark: SparkSession, as_of, customer_id: str = "harbour", per_window: int = 5) -> DataFrame:
     """Events in the three hours up to ``as_of``, plus one from the hour before."""
     count = 3 * per_window
     hour = (F.col("id") / per_window).cast("int")
@@ -77,5 +77,5 @@ def sample_events(spark: SparkSession, as_of, customer_id: str = "demo-customer-
         F.lit("api_call").alias("metric_type"),
         F.lit(customer_id).alias("customer_id"),
         F.when(F.col("id") < count, inside).otherwise(this_hour - F.expr("interval 3 hours")).alias("event_time"),
-        F.lit('{"endpoint":"/api/users","method":"GET"}').alias("metadata"),
+        F.lit('{"path":"/tides","cached":false}').alias("metadata"),
     )

@@ -260,10 +260,10 @@ def test_sample_books(spark):
     usage = usage_table(spark, [("api_call", 10, NOON), ("api_calls", 10, NOON)])
     charges, unrated = rating.rate(usage, books, rules, NOON)
     charge = charges.first()
-    assert (charge["price_book_id"], charge["subtotal"]) == ("pb-enterprise-v1", Decimal("0.01"))
+    assert (charge["price_book_id"], charge["subtotal"]) == ("agreed", Decimal("0.01"))
     assert unrated.first()["reason"] == "NO_PRICE_RULE"
     volume = usage_table(spark, [("api_call", 12500, NOON)])
-    one = books.filter("price_book_id = 'pb-volume-v1'")
+    one = books.filter("price_book_id = 'graded'")
     assert rating.rate(volume, one, rules, NOON)[0].first()["subtotal"] == Decimal("225.00")
     assert {r["rule_count"] for r in pricebooks.rules_per_book(books, rules).collect()} == {3}
     tables = {"price_rules": rules, "price_books": books, "customers": samples.sample_customers(spark)}
