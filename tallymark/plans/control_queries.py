@@ -10,7 +10,7 @@ from tallymark.plans import workload as W
 from tallymark.plans.invoice_queries import _run_ctes, run
 from tallymark.plans.metering_queries import AS_OF, on_time_usage
 from tallymark.plans.rating_queries import charges, to_rate
-from tallymark.plans.registry import money, query, ts, ts_sql
+from tallymark.plans.registry import money, placed, query, ts, ts_sql
 from tallymark.session import materialise
 from tallymark.sources import tables
 
@@ -657,11 +657,11 @@ def customers_delete(spark, sf_dir):
     return kept.select("customer_id", F.lit("kept").alias("outcome")).unionByName(missing.select("customer_id", F.lit("missing").alias("outcome")))
 
 
-@query(W.sql(["customers"], "SELECT customer_id, name, status FROM customers"))
+@query(W.sql(["customers"], "SELECT customer_id, name, status, CAST(row_number() OVER (ORDER BY customer_id DESC) AS INTEGER) AS place FROM customers"))
 def customers_newest_first(spark, sf_dir):
     """All customers, highest id first."""
     rows = W.customers(spark, sf_dir).withColumn("created_at", F.col("customer_id"))
-    return analytics.newest_first(rows, "created_at", "customer_id").select("customer_id", "name", "status")
+    return placed(analytics.newest_first(rows, "created_at", "customer_id")).select("customer_id", "name", "status", "place")
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import analytics, credits, invoicing
 from tallymark.plans import workload as W
 from tallymark.plans.rating_queries import charges
-from tallymark.plans.registry import id_sql, iso_sql, money, query, ts, ts_sql
+from tallymark.plans.registry import id_sql, iso_sql, money, placed, query, ts, ts_sql
 
 AS_OF = "2024-02-05 00:00:00"
 
@@ -274,11 +274,11 @@ def invoice_lookup_many(spark, sf_dir):
     return found.select("invoice_id", F.lit("found").alias("outcome")).unionByName(missing.select("invoice_id", F.lit("missing").alias("outcome")))
 
 
-@query(W.sql(["order_invoices"], f"SELECT invoice_id, {ts_sql('created_at')} AS created_at, total FROM order_invoices WHERE customer_id = 10"))
+@query(W.sql(["order_invoices"], f"SELECT invoice_id, {ts_sql('created_at')} AS created_at, total, CAST(row_number() OVER (ORDER BY order_invoices.created_at DESC, invoice_id) AS INTEGER) AS place FROM order_invoices WHERE customer_id = 10"))
 def invoices_of_customer(spark, sf_dir):
     """Invoices of one customer, newest first."""
     found = invoicing.invoices_of_customer(W.order_invoices(spark, sf_dir), 10)
-    return found.select("invoice_id", ts("created_at", "created_at"), "total")
+    return placed(found).select("invoice_id", ts("created_at", "created_at"), "total", "place")
 
 
 # --- revenue ---------------------------------------------------------------------------

@@ -8,7 +8,7 @@ from tallymark.functions import money as M
 from tallymark.functions import values as V
 from tallymark.operators import analytics, dedup, metering, reconcile
 from tallymark.plans import workload as W
-from tallymark.plans.registry import iso_sql, query, ts, ts_sql
+from tallymark.plans.registry import iso_sql, placed, query, ts, ts_sql
 from tallymark.sources import intake, tables, topics
 
 AS_OF = "2024-01-20 12:30:00"
@@ -193,13 +193,13 @@ def events_already_stored(spark, sf_dir):
 @query(
     W.sql(
         ["telemetry"],
-        f"SELECT event_id, customer_id, event_type, {ts_sql('event_time')} AS event_time FROM telemetry WHERE event_type = 'purchase' ORDER BY telemetry.event_time DESC, event_id LIMIT 100",
+        f"SELECT event_id, customer_id, event_type, {ts_sql('event_time')} AS event_time, CAST(row_number() OVER (ORDER BY telemetry.event_time DESC, event_id) AS INTEGER) AS place FROM telemetry WHERE event_type = 'purchase' ORDER BY telemetry.event_time DESC, event_id LIMIT 100",
     )
 )
 def event_search(spark, sf_dir):
     """Newest 100 purchases."""
     found = analytics.search_events(W.telemetry(spark, sf_dir), event_type="purchase")
-    return found.select("event_id", "customer_id", "event_type", ts("event_time", "event_time"))
+    return placed(found).select("event_id", "customer_id", "event_type", ts("event_time", "event_time"), "place")
 
 
 @query(

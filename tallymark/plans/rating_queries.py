@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import analytics, metering, pricebooks, rating
 from tallymark.plans import workload as W
 from tallymark.plans.metering_queries import on_time_usage
-from tallymark.plans.registry import money, query, ts, ts_sql
+from tallymark.plans.registry import money, placed, query, ts, ts_sql
 from tallymark.sources import tables
 
 # --- inputs ----------------------------------------------------------------------------
@@ -194,11 +194,11 @@ def book_versions_added(spark, sf_dir):
     return _added_versions(spark, sf_dir)[0].select("price_book_id", ts("effective_until", "effective_until"))
 
 
-@query(W.sql([], f"SELECT price_book_id, {ts_sql('effective_from')} AS effective_from FROM versions", _ORDER_BOOKS))
+@query(W.sql([], f"SELECT price_book_id, {ts_sql('effective_from')} AS effective_from, CAST(row_number() OVER (ORDER BY versions.effective_from DESC, price_book_id) AS INTEGER) AS place FROM versions", _ORDER_BOOKS))
 def books_newest_first(spark, sf_dir):
     """All price books, newest first."""
     ordered = pricebooks.books_newest_first(_order_books(spark, sf_dir))
-    return ordered.select("price_book_id", ts("effective_from", "effective_from"))
+    return placed(ordered).select("price_book_id", ts("effective_from", "effective_from"), "place")
 
 
 def _supplier_rules(spark, sf_dir):
@@ -377,12 +377,12 @@ def charges_in_period(spark, sf_dir):
     return named.select("charge_id", "customer_id", ts("created_at", "created_at"), ts("period_start", "period_start"), "rule_id", F.col("rule_unit").alias("unit"))
 
 
-@query(W.rated_sql(f"SELECT charge_id, metric_type, subtotal, {ts_sql('calculated_at')} AS created_at FROM rated WHERE reason IS NULL AND customer_id = 3"))
+@query(W.rated_sql(f"SELECT charge_id, metric_type, subtotal, {ts_sql('calculated_at')} AS created_at, CAST(row_number() OVER (ORDER BY rated.calculated_at, charge_id) AS INTEGER) AS place FROM rated WHERE reason IS NULL AND customer_id = 3"))
 def charges_of_customer(spark, sf_dir):
     """Charges of one customer, oldest first."""
     found = analytics.charges_of_customer(charges(spark, sf_dir), 3)
     ordered = analytics.oldest_first(found, "created_at", "charge_id")
-    return ordered.select("charge_id", "metric_type", money("subtotal", "subtotal"), ts("created_at", "created_at"))
+    return placed(ordered).select("charge_id", "metric_type", money("subtotal", "subtotal"), ts("created_at", "created_at"), "place")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def query(sql: str | None = None):
     return register
 
 
+def placed(ordered: DataFrame, name: str = "place") -> DataFrame:
+    """An ordered table with the place of each row, as it comes out, so that its order is compared as well."""
+    numbered = ordered.withColumn(name, F.monotonically_increasing_id())
+    return numbered.withColumn(name, F.row_number().over(Window.orderBy(name)))
+
+
 def ts(column, name: str | None = None) -> Column:
     """Timestamp as text, so that both engines print the same."""
     column = F.col(column) if isinstance(column, str) else column
