@@ -214,7 +214,8 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text", mask: str = MA
         )).otherwise(F.concat(out, F.array(s))),
     )
     found = spans(docs, model, text_col).select(F.col("key").alias(key), merged.alias(at))
-    keyed = _keyed(docs, text_col, key, F.struct(*[col(c) for c in docs.columns]))
+    hashable = [col(name) for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    keyed = _keyed(docs, text_col, key, F.struct(*hashable))
     text, places = col(text_col), F.col(at)
     # Each span with the text before it, then the rest.
     pieces = F.transform(
