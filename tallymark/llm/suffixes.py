@@ -42,7 +42,7 @@ from tallymark.session import materialise
 
 LENGTH = 200
 #: Contexts of an anchor that one index may hold, and bytes of an index.
-WIDE, INDEX_BYTES = 4000, 4 << 20
+WIDE, INDEX_BYTES = 4000, 1 << 20
 #: Groups of anchors per partition of the input; a group is handled at once.
 GROUPS_PER_PARTITION = 64
 
@@ -145,7 +145,7 @@ def repeated(text: bytes, length: int = LENGTH) -> np.ndarray:
     _, rank = np.unique(symbols, return_inverse=True)
     while True:
         if width <= length:
-            levels.append((width, rank))
+            levels.append((width, rank.astype(np.int32)))
         after = np.zeros(n, dtype=np.int64)
         after[: n - width] = rank[width:] + 1
         found, rank = np.unique(rank * (n + 1) + after, return_inverse=True)
@@ -271,7 +271,7 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, wide: int
     groups = GROUPS_PER_PARTITION * max(1, docs.rdd.getNumPartitions())
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 4000):
             parts = []
             for doc, body in zip(values(batch, key), doc_bytes(batch, text), strict=True):
                 at, anchor, around = anchors(body, length)
