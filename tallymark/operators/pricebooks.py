@@ -11,7 +11,7 @@ from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.schemas import TIERS_APPLIED as APPLIED
 from tallymark.operators.scans import groups_fit, neighbours
-from tallymark.operators.skew import at_most, keyed_join
+from tallymark.operators.skew import keyed_join
 
 
 STEP_FIELDS = {
@@ -78,8 +78,9 @@ def disjoint_pieces(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 ALL = "_all"
 # Microseconds of all dates Spark knows, before and after 1970, lie within 2 to this power.
 TIME_BITS = 58
-# A piece in memory takes about this many bytes; steps of a search over an array of pieces.
-PIECE_BYTES, SEARCH_BITS = 120, 20
+# A piece in memory takes about this many bytes.  A row meets the array of its group, which is
+# kept short: so many books at most, and a search of so many halvings.
+PIECE_BYTES, GROUP_BOOKS, SEARCH_BITS = 120, 128, 8
 
 
 def _winners(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
@@ -131,26 +132,33 @@ def attach_book(
 ) -> DataFrame:
     """Add price_book_id and price_version valid at ``date``; null where none is.
 
-    The last piece that begins at or before the date answers.  Pieces whose size is
-    checked are broadcast as one sorted array per group, and every fact searches its
-    array by halving; otherwise facts and pieces are put in order together and each
-    piece is carried forward, in parts where a group is too large for one task.
+    The last piece that begins at or before the date answers.  Where their number is
+    checked to be small, pieces are sent to all tasks as one short sorted array per group,
+    and every fact searches its array by halving; otherwise facts and pieces are put in
+    order together and each piece is carried forward, in parts where a group is too large
+    for one task.
     """
     keys = list(keys)
     pieces = disjoint_pieces(books, keys)
-    # A book makes two dates of change at most.
-    most = min(broadcast_rows, settings.BROADCAST_BYTES // PIECE_BYTES, (1 << SEARCH_BITS) - 1)
-    if at_most(books, most // 2):
+    if _short_lists(books, keys, min(broadcast_rows, settings.BROADCAST_BYTES // PIECE_BYTES)):
         return _search_book(facts, pieces, date, keys or [ALL])
     return _carry_book(facts, pieces, date, row_id, keys or [ALL], rows_per_task)
 
 
+def _short_lists(books: DataFrame, keys: list[str], pieces: int) -> bool:
+    """Whether all pieces are at most ``pieces``, and few in every group; a book makes two at most."""
+    sizes = books.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    return (sizes["most"] or 0) <= GROUP_BOOKS and 2 * (sizes["all"] or 0) <= pieces
+
+
 def _search_book(facts: DataFrame, pieces: DataFrame, date: str, groups: list[str]) -> DataFrame:
     listed = pieces.groupBy(*groups).agg(
         F.array_sort(F.collect_list(F.struct("piece_from", "price_book_id", "price_version"))).alias("_pieces")
     )
-    dated = facts if ALL not in groups else facts.withColumn(ALL, F.lit(1))
-    found = dated.join(F.broadcast(listed), groups, "left")
+    if ALL in groups:
+        found = facts.withColumn("_pieces", listed.select("_pieces").scalar())
+    else:
+        found = facts.join(F.broadcast(listed), groups, "left")
     when = F.unix_micros(F.col(date).cast("timestamp"))
 
     def later(count: Column, step: Column) -> Column:
