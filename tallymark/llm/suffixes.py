@@ -271,7 +271,7 @@ def spans(docs: DataFrame, key: str, text: str, length: int = LENGTH, wide: int
     groups = GROUPS_PER_PARTITION * max(1, docs.rdd.getNumPartitions())
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 4000):
+        for batch in slices(batches, 1500):
             parts = []
             for doc, body in zip(values(batch, key), doc_bytes(batch, text), strict=True):
                 at, anchor, around = anchors(body, length)

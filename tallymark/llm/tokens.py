@@ -16,7 +16,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Chunks kept per generation, and the longest that is kept.
-CACHED_CHUNKS, CACHED_LENGTH = 400_000, 64
+CACHED_CHUNKS, CACHED_LENGTH = 280_000, 64
 
 # White space as the tokenizers see it: \s without the four separators that only Python counts.
 _WHITE, _DARK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
