@@ -42,12 +42,15 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return starts
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, digest: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids) of every document; with ``digest`` the ids' crc32 in place of the ids."""
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, digest: bool = False, chunks: int = tokens.CACHED_CHUNKS) -> DataFrame:
+    """(doc_id, piece, start, length, ids) of every document; with ``digest`` the ids' crc32 in place of the ids.
+
+    ``chunks`` bounds what a worker keeps of encoded chunks.
+    """
     schema = pa.schema([*list(_PIECES)[:4], ("ids_crc32", pa.int64())]) if digest else _PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokens.encoder(tokenizer).encode, tokens.packed([end_id])
+        encode, end = tokens.encoder(tokenizer, chunks).encode, tokens.packed([end_id])
         for batch in slices(batches, 500):
             rows = []
             for doc, text in zip(values(batch, id_col), doc_bytes(batch, text_col), strict=True):

@@ -16,7 +16,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Chunks kept per generation, and the longest that is kept.
-CACHED_CHUNKS, CACHED_LENGTH = 280_000, 64
+CACHED_CHUNKS, CACHED_LENGTH = 400_000, 64
 
 # White space as the tokenizers see it: \s without the four separators that only Python counts.
 _WHITE, _DARK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
@@ -75,7 +75,7 @@ def special_pattern(tokenizer: Tokenizer) -> re.Pattern:
 class Encoder:
     """Ids of whole texts as the library gives them, packed."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, chunks: int = CACHED_CHUNKS):
         self.library = load(name)
         self.special = special_pattern(self.library)
         self.normalize = self.library.normalizer.normalize_str if self.library.normalizer else None
@@ -84,7 +84,7 @@ class Encoder:
         byte_level = b'"use_regex":true' in spec
         # The other kind drops white space, so any of it ends a chunk.
         self.chunks = _BYTE_LEVEL.findall if byte_level else lambda text: text.encode().split()
-        self.cache = ChunkCache(self._ids)
+        self.cache = ChunkCache(self._ids, chunks)
 
     def _ids(self, chunk) -> bytes:
         """The library's steps one by one, which spares what else it notes of a short text."""
@@ -106,6 +106,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(name: str) -> Encoder:
+def encoder(name: str, chunks: int = CACHED_CHUNKS) -> Encoder:
     """One encoder per worker process and tokenizer."""
-    return Encoder(name)
+    return Encoder(name, chunks)
