@@ -6,15 +6,17 @@ along the text, give each match's place in code points.
 
 The models are first-order character chains.  Random strings are labelled by the fixed
 patterns (what stands after an assignment, access keys, hex runs, of all documents), and
-ordinary identifiers are words of a bounded sample of documents (``TRAIN_DOCS``, smallest
-hashes of their ids).  A token outside the fixed patterns' spans is a secret if the mean
-log-likelihood ratio per character is above the limit, which lies between the scores of
-the two labelled samples.  Only transition counts, at most two per pair of characters of
+ordinary identifiers are words and numbers of a bounded sample of different texts
+(``TRAIN_DOCS``, smallest hashes of the texts), outside the fixed patterns' spans and too
+short to be secrets themselves, so that secrets do not teach what is ordinary.  A token
+outside the fixed patterns' spans is a secret if the mean log-likelihood ratio per
+character is above the limit, half way between the lower scores of the random strings and
+the upper ones of the words.  Only transition counts, at most two per pair of characters of
 the token alphabet, reach the driver.
 
 Defined cases: a null text is empty and has no spans.  Equal texts are scanned once, so
 copies and repeated rows get equal spans.  Without labelled strings a model gives all
-characters equal shares.  Spans of different kinds may overlap; redaction masks their union.
+characters equal shares.  A character said over and over is filler, not a secret.  Spans of different kinds may overlap; redaction masks their union.
 """
 
 from __future__ import annotations
@@ -40,12 +42,18 @@ BASE_KINDS = KINDS[:3]
 
 TRAIN_DOCS = 2000
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
-_WORDS = r"(?<![A-Za-z])[A-Za-z]{8,}"
+#: Whole tokens of 8 to 11 characters: words, also joined ones, and numbers or dates.
+_WORDS = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z][A-Za-z/_-]{7,10}|[0-9][0-9+/_=-]{7,10})(?![A-Za-z0-9+/_=-])"
+_VALUES = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}"""
 #: Least score per character, in nats, whatever the samples say.
 LEAST = 0.5
 MASK = "[SECRET]"
 #: Weight of the fall-back shares, in characters, and the largest ratio of a pair, in nats.
 BACKOFF, MOST = 5.0, 4.0
+#: Share of repeated characters in ordinary strings, whatever the words say.
+REPEAT = 0.02
+#: Shares of the random strings below, and of the words above, the scores that the limit lies between.
+LOW, HIGH = 0.1, 0.001
 
 _SPAN = "array<struct<kind:string,nth:int,gap:int,length:int,value:string>>"
 
@@ -123,23 +131,37 @@ def _transitions(values: DataFrame, kind: str) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "a", "b", "n")
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
+def _some_texts(docs: DataFrame, text_col: str, rows: int) -> DataFrame:
+    """(text): at most ``rows`` different texts, however often each occurs."""
+    texts = docs.select(col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    different = texts.agg(F.approx_count_distinct(place)).first()[0]
+    bound = int((1 << 30) * min(1.0, 1.5 * rows / max(1, different)))
+    return bounded_sample(texts.filter(place <= bound).dropDuplicates(["text"]), F.col("text"), rows)
+
+
+def _words(texts: DataFrame) -> DataFrame:
+    """(value) of the ordinary words and numbers; assigned values are no words, other base matches are too long."""
+    plain = F.regexp_replace("text", _VALUES, " ")
+    return texts.select(F.explode(F.regexp_extract_all(plain, F.lit(_WORDS), F.lit(0))).alias("value"))
+
+
+def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
     """Both models from labelled strings, and the limit between their scores."""
     random = _long_enough(_matches(_texts(docs, text_col, BASE_KINDS), BASE_KINDS)).select("value")
-    some = bounded_sample(docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")), F.col("id"), train_docs)
-    words = some.select(F.explode(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0))).alias("value"))
+    words = _words(_some_texts(docs, text_col, train_docs))
     labelled = random.withColumn("kind", F.lit("random")).unionByName(words.withColumn("kind", F.lit("word"))).persist()
     try:
         kinds = {k: labelled.filter(F.col("kind") == k) for k in ("random", "word")}
         counted = _transitions(kinds["random"], "random").unionByName(_transitions(kinds["word"], "word")).collect()
         model = Model(_ratios(counted))
         score = model.score(F.col("value"))
-        low = kinds["random"].agg(F.percentile_approx(score, 0.1, 10000)).first()[0]
-        high = kinds["word"].agg(F.percentile_approx(score, 0.9999, 10000)).first()[0]
+        low = kinds["random"].agg(F.percentile_approx(score, LOW, 10000)).first()[0]
+        high = kinds["word"].agg(F.percentile_approx(score, 1 - HIGH, 10000)).first()[0]
     finally:
         labelled.unpersist()
     ends = [x for x in (low, high) if x is not None]
-    model.limit = max(LEAST, sum(ends) / len(ends) if ends else 0.0, high or 0.0)
+    model.limit = max(LEAST, sum(ends) / len(ends) if ends else 0.0)
     return model
 
 
@@ -158,7 +180,7 @@ def _ratios(counted) -> list[float]:
         random, word = sum(n["random"][a]), sum(n["word"][a])
         for b in range(size):
             p_random = 0.5 / size + 0.5 * (n["random"][a][b] + BACKOFF / size) / (random + BACKOFF)
-            p_word = (n["word"][a][b] + BACKOFF * shares[b]) / (word + BACKOFF)
+            p_word = (1 - REPEAT) * (n["word"][a][b] + BACKOFF * shares[b]) / (word + BACKOFF) + REPEAT * (a == b)
             out.append(round(max(-MOST, min(MOST, math.log(p_random / p_word))), 4))
     return out
 

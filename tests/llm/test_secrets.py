@@ -76,3 +76,30 @@ def test_empty_table(docs_of):
     empty = docs_of([])
     model = secrets.fit(empty)
     assert secrets.scan(empty, model).count() == 0 and secrets.redact(empty, model).count() == 0
+
+
+def _tokens(seed, n, size):
+    rng = __import__("random").Random(seed)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return ["".join(rng.choice(alphabet) for _ in range(size)) for _ in range(n)]
+
+
+def _recall(docs, model, tokens):
+    from pyspark.sql import functions as F
+
+    df = docs.sparkSession.createDataFrame([(t,) for t in tokens], "value string")
+    return df.filter(model.score(F.col("value")) > model.limit).count() / len(tokens)
+
+
+def test_secrets_in_the_sample_do_not_blind_the_scan(docs, docs_of):
+    known = docs_of([(1000 + i, f"er in {t} th on") for i, t in enumerate(_tokens(4, 400, 32))])
+    copies = docs_of([(5000 + i, f"on er {_tokens(6, 1, 32)[0]} in") for i in range(300)])
+    model = secrets.fit(docs.unionByName(known).unionByName(copies))
+    assert _recall(docs, model, _tokens(5, 300, 32)) >= 0.98
+
+
+def test_fillers_are_no_secrets(docs_of):
+    rules = docs_of([(i, f"above {c * 40} below") for i, c in enumerate("=-x_")])
+    words = docs_of([(100 + i, "the weather in northern harbours remained moderate") for i in range(3)])
+    both = rules.unionByName(words)
+    assert all(not r.spans for r in secrets.scan(both, secrets.fit(both)).collect())
