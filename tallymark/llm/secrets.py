@@ -8,7 +8,7 @@ The models are first-order character chains.  Random strings are labelled by the
 patterns (what stands after an assignment, access keys, hex runs, of all documents), and
 ordinary identifiers are words and numbers of a bounded sample of different texts
 (``TRAIN_DOCS``, smallest hashes of the texts), outside the fixed patterns' spans and too
-short to be secrets themselves, so that secrets do not teach what is ordinary.  A token
+short to be secrets themselves (below 12 characters, the least length of a token that is scored), so that secrets do not teach what is ordinary.  A token
 outside the fixed patterns' spans is a secret if the mean log-likelihood ratio per
 character is above the limit, half way between the lower scores of the random strings and
 the upper ones of the words.  Only transition counts, at most two per pair of characters of
@@ -35,9 +35,9 @@ PATTERNS = {
     "assign": r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": r"AKIA[A-Z0-9]+",
     "hex": r"[0-9a-f]{16,}",
-    "random": r"[A-Za-z0-9+/_=-]{20,}",
+    "random": r"[A-Za-z0-9+/_=-]{12,}",
 }
-LENGTHS = {"assign": 12, "access": 18, "hex": 16, "random": 20}
+LENGTHS = {"assign": 12, "access": 18, "hex": 16, "random": 12}
 BASE_KINDS = KINDS[:3]
 
 TRAIN_DOCS = 2000
@@ -65,10 +65,17 @@ def _has(text: Column, kinds) -> Column:
     return found
 
 
-def _texts(docs: DataFrame, text_col: str, kinds) -> DataFrame:
-    """(key, text): each different text that may hold spans, once."""
+def _holds(text: Column, model: Model) -> Column:
+    """Whether a text has a base match or a token that scores above the limit; most texts have long words alone."""
+    tokens = F.regexp_extract_all(text, F.lit(PATTERNS["random"]), F.lit(0))
+    return _has(text, BASE_KINDS) | F.exists(tokens, lambda t: model.score(t) > model.limit)
+
+
+def _texts(docs: DataFrame, text_col: str, model: Model | None = None) -> DataFrame:
+    """(key, text): each different text that may hold spans, without a model base spans, once."""
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    found = docs.select(text.alias("text")).filter(_has(F.col("text"), kinds))
+    found = docs.select(text.alias("text"))
+    found = found.filter(_has(F.col("text"), BASE_KINDS) if model is None else _holds(F.col("text"), model))
     return found.select(F.sha2("text", 256).alias("key"), "text").dropDuplicates(["key"])
 
 
@@ -148,7 +155,7 @@ def _words(texts: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
     """Both models from labelled strings, and the limit between their scores."""
-    random = _long_enough(_matches(_texts(docs, text_col, BASE_KINDS), BASE_KINDS)).select("value")
+    random = _long_enough(_matches(_texts(docs, text_col), BASE_KINDS)).select("value")
     words = _words(_some_texts(docs, text_col, train_docs))
     labelled = random.withColumn("kind", F.lit("random")).unionByName(words.withColumn("kind", F.lit("word"))).persist()
     try:
@@ -187,7 +194,7 @@ def _ratios(counted) -> list[float]:
 
 def spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """(key, spans): the spans of each different text that has any, by start, then kind as listed."""
-    found = _long_enough(_matches(_texts(docs, text_col, KINDS), KINDS))
+    found = _long_enough(_matches(_texts(docs, text_col, model), KINDS))
     order = F.lit(0)
     for i, kind in enumerate(KINDS):
         order = F.when(F.col("kind") == kind, i).otherwise(order)
@@ -205,16 +212,16 @@ def spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return found.filter(secret).groupBy("key").agg(listed.alias("spans"))
 
 
-def _keyed(docs: DataFrame, text_col: str, key: str, spread: Column) -> DataFrame:
-    """Rows with the key of their text; texts without any match get keys that meet nothing, spread evenly."""
+def _keyed(docs: DataFrame, model: Model, text_col: str, key: str, spread: Column) -> DataFrame:
+    """Rows with the key of their text; texts without any span get keys that meet nothing, spread evenly."""
     text = F.coalesce(col(text_col).cast("string"), F.lit(""))
-    return docs.withColumn(key, F.when(_has(text, KINDS), F.sha2(text, 256)).otherwise(F.concat(F.lit("-"), F.xxhash64(spread).cast("string"))))
+    return docs.withColumn(key, F.when(_holds(text, model), F.sha2(text, 256)).otherwise(F.concat(F.lit("-"), F.xxhash64(spread).cast("string"))))
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, spans) of every row."""
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
-    keyed = _keyed(rows, "text", "key", F.col("doc_id")).select("doc_id", "key")
+    keyed = _keyed(rows, model, "text", "key", F.col("doc_id")).select("doc_id", "key")
     none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string>>")
     return keyed.join(spans(docs, model, text_col), "key", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
 
@@ -237,7 +244,7 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text", mask: str = MA
     )
     found = spans(docs, model, text_col).select(F.col("key").alias(key), merged.alias(at))
     hashable = [col(name) for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    keyed = _keyed(docs, text_col, key, F.struct(*hashable))
+    keyed = _keyed(docs, model, text_col, key, F.struct(*hashable))
     text, places = col(text_col), F.col(at)
     # Each span with the text before it, then the rest.
     pieces = F.transform(

@@ -103,3 +103,14 @@ def test_fillers_are_no_secrets(docs_of):
     words = docs_of([(100 + i, "the weather in northern harbours remained moderate") for i in range(3)])
     both = rules.unionByName(words)
     assert all(not r.spans for r in secrets.scan(both, secrets.fit(both)).collect())
+
+
+def test_short_tokens_are_found_and_words_of_their_length_are_not(docs, docs_of):
+    known = docs_of([(1000 + i, f"er in token = {t} th on") for i, t in enumerate(_tokens(7, 40, 24))])
+    model = secrets.fit(docs.unionByName(known))
+    tokens = [t for n in (12, 15, 19) for t in _tokens(n, 40, n)]
+    rows = [(i, f"pwd {t}, therinonther on") for i, t in enumerate(tokens)] + [(500 + i, "therinonther ineaoneaerthin") for i in range(9)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secrets.scan(docs_of(rows), model).collect()}
+    assert sum(got[i] == [(4, 4 + len(t))] for i, t in enumerate(tokens)) >= 0.95 * len(tokens)
+    assert not any(got[500 + i] for i in range(9))
+    assert secrets.redact(docs_of(rows[-1:]), model).first().text == "therinonther ineaoneaerthin"
