@@ -3,8 +3,9 @@
 Only lengths matter for what goes together, so the packing is found on the histogram of
 lengths: at most ``capacity`` counters, whatever the number of documents.  From the
 longest length down, an index of the lengths left is asked for what fills the gap exactly:
-nothing, one length, or a pair, each taken as often as the counts allow.  What remains is
-packed best fit, the longest length that fits into the gap first.  Every step uses up at
+nothing, one length, or a pair, each taken as often as the counts allow.  Then gaps are
+filled by three lengths, one of them together with a pair from an index of the sums of the
+pairs left.  What remains is packed best fit, the longest length that fits into the gap first.  Every step uses up at
 least one length, which bounds the number of patterns.
 
 Documents are dealt to patterns by their rank among those of equal length, which each
@@ -74,12 +75,13 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[lis
         left[length] = n
     out: list[tuple[list[int], int]] = []
 
-    def take(lengths: list[int]) -> None:
+    def take(lengths: list[int]) -> int:
         used = np.bincount(lengths, minlength=capacity + 1)
         times = int((left[used > 0] // used[used > 0]).min())
         if times:
             left[:] -= used * times
             out.append((lengths, times))
+        return times
 
     for longest in range(capacity, 0, -1):
         gap = capacity - longest
@@ -94,6 +96,7 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[lis
             a = some[1:]
             if len(some):
                 take([longest, int(some[0]), int(gap - some[0])])
+    _take_triples(left, capacity, take)
     for longest in range(capacity, 0, -1):
         while left[longest]:
             lengths, gap = [longest], capacity - longest
@@ -113,6 +116,38 @@ def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[lis
     return out
 
 
+def _take_triples(left: np.ndarray, capacity: int, take) -> None:
+    """Fill gaps exactly by a pair and one more length, until no four lengths left make a full sequence."""
+    there = left > 0
+    # By sum: how many ordered pairs of lengths that are left make it.
+    pairs = np.rint(np.convolve(there.astype(float), there.astype(float)))[: capacity + 1].astype(np.int64)
+
+    def taken(lengths: list[int]) -> bool:
+        if not take(lengths):
+            return False
+        for x in {x for x in lengths if there[x] and not left[x]}:
+            partners = np.flatnonzero(there[: capacity + 1 - x])
+            np.subtract.at(pairs, partners + x, np.where(partners == x, 1, 2))
+            there[x] = False
+        return True
+
+    for longest in range(capacity, 0, -1):
+        gap = capacity - longest
+        # The shortest of the three is at most a third of the gap.
+        third = np.arange(1, gap // 3 + 1)
+        while there[longest] and len(third):
+            some = third[there[third] & (pairs[gap - third] > 0)]
+            if not len(some):
+                break
+            c = int(some[-1])
+            third = some[:-1]
+            a = np.arange((gap - c + 1) // 2, gap - c)
+            for x in a[there[a] & there[gap - c - a]].tolist():
+                # A length may be wanted more often than it is left.
+                while there[longest] and there[c] and there[x] and there[gap - c - x] and taken([longest, x, gap - c - x, c]):
+                    pass
+
+
 def places(found: list[tuple[list[int], int]], capacity: int = CAPACITY) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """By length: first ranks of its runs, the sequence a run begins with, and the offset there."""
     runs: dict[int, list[tuple[int, int, int]]] = {}

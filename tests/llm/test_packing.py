@@ -67,3 +67,26 @@ def test_cuts():
 
 def test_no_documents(docs_of):
     assert packing.pack(packing.pieces(docs_of([]), digest=True)).count() == 0
+
+
+def _four_parts(seed):
+    """2000 lengths of 350 to 800 that split into 500 full sequences."""
+    rng, counts = random.Random(seed), Counter()
+    while sum(counts.values()) < 2000:
+        parts = [rng.randint(350, 800) for _ in range(3)]
+        if 350 <= 2048 - sum(parts) <= 800:
+            counts.update([*parts, 2048 - sum(parts)])
+    return counts
+
+
+def test_gaps_are_filled_by_three_lengths():
+    for seed in range(3):
+        counts = _four_parts(seed)
+        found = packing.patterns(dict(counts))
+        held = Counter()
+        for lengths, times in found:
+            held.update({x: 0 for x in lengths})
+            for x in lengths:
+                held[x] += times
+        assert held == counts and sum(times for _, times in found) <= 518
+    assert packing.patterns({512: 9}) == [([512] * 4, 2), ([512], 1)]
