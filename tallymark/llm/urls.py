@@ -2,8 +2,10 @@
 
 Host labels are cut into words by a unigram model: the counts are those of the words in
 all page texts, and the best split (Viterbi) maximises the product of the word
-probabilities; an unknown piece costs ten times more for each further letter.  Counts are
-joined to the pieces of host labels, so no task holds the vocabulary.
+probabilities; an unknown piece costs ten times more for each further letter.  Every
+count is one more than found, and the seed words are counted so too, whether pages write
+them or not; an unknown piece that begins or ends with a seed word is cut there.  Counts
+are joined to the pieces of host labels, so no task holds the vocabulary.
 
 The classifier is trained on all pages: pages whose host holds one of the seed words
 stand for what to block, all others for what to allow, and multinomial naive Bayes
@@ -74,11 +76,13 @@ def _tokens(text: Column) -> Column:
     return F.filter(F.split(lower(text), _TOKENS), lambda t: t != "")
 
 
-def word_counts(texts: DataFrame, html_col: str) -> DataFrame:
-    """(word, n) of the words in page texts, markup left out."""
+def word_counts(texts: DataFrame, html_col: str, seeds: list[str] = SEEDS) -> DataFrame:
+    """(word, n) of the words in page texts, markup left out, and of the seeds; n is one more than found."""
     plain = F.regexp_replace(F.coalesce(col(html_col), F.lit("")), "(?s)<[^>]*>", " ")
     words = texts.select(F.explode(F.split(lower(plain), _TOKENS)).alias("word"))
-    return words.filter((F.col("word") != "") & (F.length("word") <= LONGEST_WORD)).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.filter((F.col("word") != "") & (F.length("word") <= LONGEST_WORD)).withColumn("found", F.lit(1))
+    known = texts.sparkSession.createDataFrame([(s, 0) for s in seeds], "word string, found int")
+    return words.unionByName(known).groupBy("word").agg((F.sum("found") + 1).alias("n"))
 
 
 def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
@@ -98,7 +102,26 @@ def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[s
     return words[::-1]
 
 
-def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
+def cut_seeds(word: str, seeds: list[str]) -> list[str]:
+    """An unknown word, cut after the longest seed it begins with or before the longest it ends with."""
+    for seed in sorted(seeds, key=lambda s: (-len(s), s)):
+        if len(word) > len(seed) and word.startswith(seed):
+            return [seed, *cut_seeds(word[len(seed) :], seeds)]
+        if len(word) > len(seed) and word.endswith(seed):
+            return [*cut_seeds(word[: -len(seed)], seeds), seed]
+    return [word]
+
+
+def split_label(label: str, known: dict[tuple[int, int], int], total: int, seeds: list[str]) -> list[str]:
+    """The words of a label, seeds cut off those that are unknown."""
+    words, at = [], 0
+    for word in viterbi(label, known, total):
+        words += [word] if (at, len(word)) in known else cut_seeds(word, seeds)
+        at += len(word)
+    return words
+
+
+def segment(labels: DataFrame, counts: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
     """(label, words) of distinct labels, by the word counts (word, n)."""
     total = counts.agg(F.sum("n")).first()[0] or 1
     starts = F.sequence(F.lit(1), F.length("label"))
@@ -117,7 +140,7 @@ def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
             words = []
             for label, known in zip(values(batch, "label"), values(batch, "known"), strict=True):
                 by_place = {(k["start"], k["length"]): k["n"] for k in known or []}
-                words.append(viterbi(label, by_place, total))
+                words.append(split_label(label, by_place, total, seeds))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
 
     return listed.mapInArrow(run, "label string, words array<string>")
@@ -141,7 +164,7 @@ def judge(pages: DataFrame, rules: list[Rule], seeds: list[str] = SEEDS, url_col
     seen = materialise(rows.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
     hosts = seen.groupBy("host").agg(F.sum("n").alias("n"))
     labels = hosts.select("host", F.posexplode(_tokens(F.col("host"))).alias("nth", "label"))
-    split = segment(labels.select("label").distinct(), word_counts(pages, html_col))
+    split = segment(labels.select("label").distinct(), word_counts(pages, html_col, seeds), seeds)
     words = labels.join(split, "label").groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("nth", "words"))), lambda s: s["words"])).alias("words"))
     words = hosts.join(words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     words = materialise(words.withColumn("block", F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))))

@@ -53,3 +53,19 @@ def test_best_split_against_all_splits():
 def test_no_pages(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge(df, RULES).count() == 0
+
+
+def test_concatenated_seeds_that_no_page_writes(spark):
+    html = "<p>the best house garden win the house near the club and garden</p>"
+    bad = [h for s in urls.SEEDS for h in (f"win{s}", f"{s}club", f"{s}qvk")]
+    good = ["housegarden", "bestclub", "winhouse", "nearclub"] * 20
+    rows = [(i, f"http://{h}.example.com/x/{i}", html) for i, h in enumerate(bad + good)]
+    # Many more words than a seed's single count is worth.
+    rows += [(1000 + i, "http://example.com/", html * 60) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = urls.word_counts(df, "html")
+    labels = spark.createDataFrame([(h,) for h in {*bad, *good}], "label string")
+    got = {r.label: r.words for r in urls.segment(labels, counts).collect()}
+    assert all(set(got[h]) & set(urls.SEEDS) for h in bad), got
+    assert got["housegarden"] == ["house", "garden"] and not any(set(got[h]) & set(urls.SEEDS) for h in good)
+    assert {r.page_id for r in urls.judge(df, []).collect() if r.verdict == "block"} == set(range(len(bad)))
