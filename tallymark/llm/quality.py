@@ -2,8 +2,11 @@
 
 Random splits isolate unusual rows early, so a short mean path over the trees marks a
 document whose statistics are unlike the others'.  Trees grow from a bounded sample of
-labelled rows (``TRAIN_ROWS``, the smallest hashes of their ids); the score above which
-a document is rejected is calibrated on all labelled rows.
+rows labelled good (``TRAIN_ROWS``, the smallest hashes of their ids), so that junk of one
+kind, however frequent, is never ordinary.  Cuts reach beyond the rows of a node by a
+margin for each statistic (``MARGINS``), so that what ordinary rows all share, such as no
+symbols at all, tells others apart too.  The score above which a document is rejected is
+calibrated on all labelled rows.
 
 Defined cases: a null or blank text has no words and fails the base rule.  Labels that
 are null or name no document are ignored; contradicting labels of one id count as good.
@@ -12,6 +15,7 @@ Without labels of both kinds the forest rejects nothing.  Repeated rows are judg
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import bounded_sample, col, doc_bytes, plain_names, slices, values
 
 #: Labelled rows the trees may grow from, trees, and rows per tree.
-TRAIN_ROWS, TREES, SAMPLE = 8192, 100, 256
+TRAIN_ROWS, TREES, SAMPLE = 8192, 100, 1024
 #: Share of the good labelled rows that calibration may give up, and score bins.
 GIVE_UP, SCORE_BINS = 0.002, 2000
 
@@ -38,9 +42,9 @@ _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _MARKS = b"!?"
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-FEATURES = ["symbol_share", "upper_share", "mark_share"]
-#: Shares are rounded to this, so that ordinary documents fall on few points and odd ones stand apart.
-GRAIN = 0.1
+#: Statistics the forest looks at, and how far cuts go beyond the values of a node's rows.
+MARGINS = {"symbol_share": 0.03, "upper_share": 0.05, "mark_share": 0.03, "dup_line_share": 0.1, "repeat_word_share": 0.1, "word_length": 2.0, "log_words": 1.0}
+FEATURES = list(MARGINS)
 
 
 def _repeat_words(words: list[bytes]) -> int:
@@ -60,13 +64,15 @@ def _repeat_words(words: list[bytes]) -> int:
 
 
 def text_statistics(text: bytes) -> tuple[list[int], list[float]]:
-    """Rule statistics of a UTF-8 text: the counts, and the shares the forest looks at."""
+    """Rule statistics of a UTF-8 text: the counts, and what the forest looks at."""
     words = text.split()
     word_chars = len(text.translate(None, _NOT_IN_WORDS))
     symbols, upper, marks = (len(text) - len(text.translate(None, kind)) for kind in (SYMBOLS, _UPPER, _MARKS))
     lines = [line for line in text.split(b"\n") if line.strip(_SPACE)]
-    shares = [round(n / max(1, word_chars) / GRAIN) * GRAIN for n in (symbols, upper, marks)]
-    return [len(words), word_chars, symbols, len(lines) - len(set(lines)), _repeat_words(words)], shares
+    dup_lines, repeat_words, n_words = len(lines) - len(set(lines)), _repeat_words(words), max(1, len(words))
+    shares = [n / max(1, word_chars) for n in (symbols, upper, marks)]
+    shares += [dup_lines / max(1, len(lines)), repeat_words / n_words, word_chars / n_words, math.log(n_words)]
+    return [len(words), word_chars, symbols, dup_lines, repeat_words], shares
 
 
 def _statistics_of(batch: pa.RecordBatch, text_col: str) -> tuple[np.ndarray, np.ndarray]:
@@ -96,17 +102,19 @@ class Forest:
     usual: float
 
     @staticmethod
-    def grow(rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 7) -> Forest:
+    def grow(rows: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = 7, margins=0.0) -> Forest:
+        """Trees over samples of the rows; a node that only the margin of a cut reaches is an empty leaf."""
         rng = np.random.default_rng(seed)
         size = min(sample, len(rows))
-        depth = max(1, int(np.ceil(np.log2(max(2, size)))))
+        # Cuts in the margins part no rows, so there are more of them on the way to a single row.
+        depth = max(1, int(np.ceil(np.log2(max(2, size))))) * (2 if np.any(margins) else 1)
         grown = []
         for _ in range(trees):
             nodes: list[list] = [[-1, 0.0, 0, 0.0]]
             todo = [(0, rows[rng.choice(len(rows), size, replace=False)], 0)]
             while todo:
                 at, here, level = todo.pop()
-                low, high = here.min(axis=0), here.max(axis=0)
+                low, high = (here.min(axis=0) - margins, here.max(axis=0) + margins) if len(here) else (0.0, 0.0)
                 open_ = np.flatnonzero(high > low)
                 if level >= depth or len(here) < 2 or not len(open_):
                     nodes[at] = [-1, 0.0, 0, level + float(_usual_path(len(here)))]
@@ -174,11 +182,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Documents the base rules reject are decided already.
     rows = rows.filter("fine").join(marked, "id").select("id", "shares", "good").persist()
     try:
-        sample = bounded_sample(rows, F.col("id"), train_rows).select("shares", "good").collect()
-        good = np.array([r["good"] for r in sample], dtype=bool)
-        if not good.any() or good.all():
+        if rows.select("good").distinct().count() < 2:
             return Judge(None, 1.0)
-        forest = Forest.grow(np.array([r["shares"] for r in sample]))
+        sample = bounded_sample(rows.filter("good"), F.col("id"), train_rows).select("shares").collect()
+        forest = Forest.grow(np.array([r["shares"] for r in sample]), margins=np.array(list(MARGINS.values())))
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -191,11 +198,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counts = np.zeros((2, SCORE_BINS + 1), dtype=np.int64)
     for r in found:
         counts[int(r["good"]), r["bin"]] += r["count"]
-    # Of the limits that lose few good rows the lowest, in the middle of the scores around it.
+    # Of the limits that lose few good rows the lowest, a quarter of the way up to the next score: labelled junk
+    # shows some ways to be odd, so its scores are no reason to let through what is odd by less.
     above = counts[:, ::-1].cumsum(axis=1)[:, ::-1]
     lowest = int(np.flatnonzero(above[1] <= GIVE_UP * above[1, 0])[0])
     next_up = np.flatnonzero(counts.sum(axis=0)[lowest:])
-    return Judge(forest, (lowest + (int(next_up[0]) if len(next_up) else 0) / 2) / SCORE_BINS)
+    return Judge(forest, (lowest + (int(next_up[0]) if len(next_up) else 0) / 4) / SCORE_BINS)
 
 
 def statistics(docs: DataFrame, judge: Judge, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -88,3 +88,26 @@ def test_scores_are_path_lengths():
     forest = quality.Forest.grow(rows)
     score = forest.score(np.array([[0.0, 0.0], [8.0, 8.0]]))
     assert 0 < score[0] < score[1] < 1
+
+
+def _odd(kind, text, rng):
+    words = text.split()
+    if kind == "lines":
+        return "\n".join([text] + [" ".join(words[:3])] * max(8, len(words) // 15))
+    if kind == "repeats":
+        k = len(words) // 5
+        return " ".join(words[:-k] + words[:k])
+    if kind == "long words":
+        return " ".join("".join(words[i : i + 3]) for i in range(0, len(words) - 2, 3))
+    add = {"symbols": "#", "marks": "!"}.get(kind)
+    return " ".join(w.upper() if add is None and rng.random() < 0.2 else w + (add or "") * (rng.random() < 0.2) for w in words)
+
+
+def test_odd_statistics_that_no_label_shows(fitted):
+    rng = random.Random(5)
+    good = [t for _, t, q in corpus(600, 4) if q and len(t.split()) > 160]
+    for kind in ("lines", "repeats", "long words", "symbols", "marks", "capitals"):
+        counts, shares = (np.array(x) for x in zip(*[quality.text_statistics(_odd(kind, t, rng).encode()) for t in good], strict=True))
+        fine = ~quality.base_failed(counts)
+        kept, _ = fitted.kept(counts, shares)
+        assert fine.sum() >= 20 and kept[fine].mean() <= 0.2, (kind, fine.sum(), kept[fine].mean())
