@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cached_property
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def _has(text: Column, kinds) -> Column:
 def _holds(text: Column, model: Model) -> Column:
     """Whether a text has a base match or a token that scores above the limit; most texts have long words alone."""
     tokens = F.regexp_extract_all(text, F.lit(PATTERNS["random"]), F.lit(0))
-    return _has(text, BASE_KINDS) | F.exists(tokens, lambda t: model.score(t) > model.limit)
+    return _has(text, BASE_KINDS) | F.exists(tokens, model.secret)
 
 
 def _texts(docs: DataFrame, text_col: str, model: Model | None = None) -> DataFrame:
@@ -120,9 +122,14 @@ class Model:
     ratios: list[float]
     limit: float = LEAST
 
+    @cached_property
+    def table(self) -> Column:
+        """The ratios as one literal, not an expression for each."""
+        return F.lit(np.array(self.ratios))
+
     def score(self, value: Column) -> Column:
         """Mean ratio per character of a token."""
-        size, table = len(ALPHABET) + 1, F.lit(self.ratios)
+        size, table = len(ALPHABET) + 1, self.table
         step = lambda a, ch: F.struct(
             _code(ch).alias("at"), (a["sum"] + F.element_at(table, a["at"] * size + _code(ch) + 1)).alias("sum")
         )
@@ -130,6 +137,17 @@ class Model:
         return F.aggregate(F.split(value, ""), start, step, lambda a: a["sum"]) / F.length(value)
 
 
+    def secret(self, value: Column) -> Column:
+        """Whether a token scores above the limit; without a single pair above it the mean cannot be."""
+        size, name = len(ALPHABET) + 1, lambda c: c if c.isalnum() else "\\" + c
+        pairs = []
+        for a in range(size):
+            after = [name(c) for b, c in enumerate(ALPHABET, 1) if self.ratios[a * size + b] > self.limit]
+            if after:
+                pairs.append((name(ALPHABET[a - 1]) if a else "^") + "[" + "".join(after) + "]")
+        return value.rlike("|".join(pairs) or "(?!)") & (self.score(value) > self.limit)
+
+
 def _transitions(values: DataFrame, kind: str) -> DataFrame:
     """(kind, a, b, n): how often character b follows a, by their codes."""
     chars = values.select(F.transform(F.split("value", ""), _code).alias("c"))
@@ -207,7 +225,7 @@ def spans(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     alone = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
     found = found.withColumn("alone", alone)
     # A token is scored only where no base span overlaps it.
-    secret = F.when(F.col("kind") != "random", True).when(F.col("alone"), model.score(F.col("value")) > model.limit).otherwise(False)
+    secret = F.when(F.col("kind") != "random", True).when(F.col("alone"), model.secret(F.col("value"))).otherwise(False)
     listed = F.array_sort(F.collect_list(F.struct("start", "order", "end", "kind")))
     return found.filter(secret).groupBy("key").agg(listed.alias("spans"))
 
