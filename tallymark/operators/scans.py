@@ -40,6 +40,25 @@ def ordered_parts(df: DataFrame, keys: Sequence[str], order: Sequence[Column], p
     return materialise(ranged.withColumn(PART, F.spark_partition_id()))
 
 
+def numbered(ordered: DataFrame, name: str = "place", order: Sequence[Column] = ()) -> DataFrame:
+    """Rows with their place, from 1, in the order they come out, or in that of ``order``.
+
+    Every part of the ordered table numbers its own rows; how many rows the parts before it
+    hold comes from a table of one row per part.  No task sees more than its own part.
+    """
+    if order:
+        ordered = ordered.orderBy(*order)
+    # Part and number within the part; written out once, since bounds of parts come from a sample.
+    rows = materialise(ordered.withColumn(name, F.monotonically_increasing_id()))
+    part = F.shiftright(name, 33)
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(part.alias(PART)).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    within = F.col(name).bitwiseAND((1 << 33) - 1)
+    joined = rows.withColumn(PART, part).join(F.broadcast(offsets), PART)
+    return joined.withColumn(name, F.col("_before") + within + 1).drop(PART, "_before")
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.operators.scans import numbered
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -28,8 +30,7 @@ def query(sql: str | None = None):
 
 def placed(ordered: DataFrame, name: str = "place") -> DataFrame:
     """An ordered table with the place of each row, as it comes out, so that its order is compared as well."""
-    numbered = ordered.withColumn(name, F.monotonically_increasing_id())
-    return numbered.withColumn(name, F.row_number().over(Window.orderBy(name)))
+    return numbered(ordered, name)
 
 
 def ts(column, name: str | None = None) -> Column:

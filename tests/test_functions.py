@@ -124,3 +124,14 @@ def test_ids_are_stable_and_distinct(spark):
     assert first != one(spark, V.stable_id(F.lit("a"), F.lit(2)))
     number = one(spark, V.invoice_number(F.lit("correction"), F.lit(first)))
     assert number == "CORR-" + first[:32]
+
+
+def test_places_of_an_ordered_table_without_one_task_for_all(spark):
+    from tallymark.operators.scans import numbered
+
+    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("x"))
+    got = numbered(df, "n", [F.col("x").desc()])
+    assert "Exchange SinglePartition" not in got.filter("n > 0").select("x", "n")._jdf.queryExecution().toString().split("Join")[0]
+    ranked = sorted((r.x for r in df.collect()), reverse=True)
+    assert [(r.x, r.n) for r in got.orderBy("n").collect()] == [(x, i + 1) for i, x in enumerate(ranked)]
+    assert numbered(df.filter("x < 0"), "n", [F.col("x")]).count() == 0
