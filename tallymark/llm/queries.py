@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, codec, licenses, packing, quality, secrets, similarity, suffixes, topk, urls
+from tallymark.llm import bpe, codec, licenses, packing, quality, resampling, secrets, similarity, suffixes, topk, urls
 from tallymark.llm.common import doc_bytes, slices, table, values
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,42 @@ def op6_ngram_jaccard_join(spark, sf_dir):
 def op5_token_files(spark, sf_dir):
     """Ids of all documents, written in compressed segments and read back."""
     return codec.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH crc AS (
+      SELECT list(c ORDER BY i) AS t
+      FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+    texts AS (
+      SELECT 0 AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+      UNION ALL SELECT 1, row_number() OVER (), item_id, text FROM benchmark),
+    words AS (
+      SELECT side, row, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM texts),
+    features AS (
+      SELECT side, row, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words),
+    counted AS (SELECT side, row, f, count(*) AS n FROM features GROUP BY ALL),
+    hashed AS (
+      SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(encode(f))), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))),
+                            lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+      FROM (SELECT DISTINCT f FROM counted), crc),
+    placed AS (SELECT side, row, bucket, sum(n) AS n FROM counted JOIN hashed USING (f) GROUP BY ALL),
+    totals AS (
+      SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0) AS s, coalesce(sum(n) FILTER (side = 1), 0) AS t FROM placed GROUP BY bucket),
+    sums AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM totals),
+    gains AS (
+      SELECT bucket, floor(1000 * ln(CAST((t + 1) * (ss + 10000) AS DOUBLE) / CAST((s + 1) * (tt + 10000) AS DOUBLE))) AS gain FROM totals, sums),
+    weights AS (SELECT row, sum(n) AS n_features, floor(CAST(sum(n * gain) AS DOUBLE) / CAST(sum(n) AS DOUBLE)) AS weight FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY row),
+    scored AS (
+      SELECT id AS doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+      FROM words LEFT JOIN weights USING (row) WHERE side = 0),
+    ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+    """
+)
+def op11_importance_resampling(spark, sf_dir):
+    """A quarter of the documents, drawn by how much their words are like those of the benchmark."""
+    return resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
