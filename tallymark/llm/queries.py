@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, codec, licenses, packing, quality, resampling, secrets, similarity, suffixes, topk, urls
+from tallymark.llm import bpe, codec, copies, licenses, packing, quality, resampling, secrets, similarity, suffixes, topk, urls
 from tallymark.llm.common import doc_bytes, slices, table, values
+from tallymark.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +176,19 @@ def op5_token_files(spark, sf_dir):
 def op11_importance_resampling(spark, sf_dir):
     """A quarter of the documents, drawn by how much their words are like those of the benchmark."""
     return resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    """
+    WITH texts AS (
+      SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
+    SELECT doc_id, max(doc_id) OVER equal AS keep_id, count(*) OVER equal AS group_size,
+           row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST, row DESC) = 1 AS kept, sha256(norm) AS text_sha256
+    FROM texts WINDOW equal AS (PARTITION BY norm)
+    """
+)
+def op12_exact_dedup(spark, sf_dir):
+    """Copies among all documents, by a stream over an index of digests that is kept on disk."""
+    index = copies.CopyIndex(spark, f"{sf_dir}/documents.parquet", work_path(spark, "copies"))
+    index.advance()
+    return index.rows().select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
