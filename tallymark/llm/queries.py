@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, codec, copies, licenses, packing, quality, resampling, secrets, similarity, suffixes, topk, urls
+from tallymark.llm import bpe, codec, copies, licenses, negatives, packing, quality, resampling, secrets, similarity, suffixes, topk, urls
 from tallymark.llm.common import doc_bytes, slices, table, values
 from tallymark.session import work_path
 
@@ -192,3 +192,35 @@ def op12_exact_dedup(spark, sf_dir):
     index = copies.CopyIndex(spark, f"{sf_dir}/documents.parquet", work_path(spark, "copies"))
     index.advance()
     return index.rows().select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT a.row AS anchor, a.vec_id AS anchor_id, a.label AS anchor_label, c.row, c.vec_id, c.label, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON c.row <> a.row AND len(c.e) = len(a.e)
+      WHERE a.vec_id % 100 = 0),
+    positives AS (
+      SELECT anchor, anchor_id, anchor_label, row AS positive, vec_id AS positive_id, score AS positive_score,
+             row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) AS place
+      FROM scored WHERE label = anchor_label),
+    ranked AS (
+      SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id, row) AS rank
+      FROM positives p JOIN scored s ON s.anchor = p.anchor AND s.label <> p.anchor_label
+       AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+      WHERE place <= 5)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """
+)
+def op13_hard_negatives(spark, sf_dir):
+    """Vectors of other labels that score nearly as high as the best of the anchor's own."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = negatives.integer_rows(table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding")
+    return negatives.mine(vectors, F.col("id") % 100 == 0)
