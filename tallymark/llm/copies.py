@@ -45,6 +45,8 @@ ROWS_A_TASK = 500_000
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A store reserves megabytes for files that stay small where there are many stores.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLACE = ["file", "pos"]
