@@ -76,6 +76,24 @@ def month_key(ts) -> Column:
     return F.substring(_utc_parts(ts)[0].cast("string"), 1, 7)
 
 
+# Slots of time from short to long; the last one holds everything.
+SLOTS = ["hour", "day", "week", "month", "quarter", "year", "decade", "ever"]
+
+
+def slot(ts, unit: str) -> Column:
+    """Number of the UTC slot of time that holds ``ts``; neighbouring slots have neighbouring numbers."""
+    if unit == "ever":
+        return F.lit(0).cast("bigint")
+    micros = F.unix_micros(_col(ts).cast("timestamp"))
+    if unit == "hour":
+        return F.floor(micros / 3_600_000_000)
+    day, _ = _utc_parts(ts)
+    if unit in ("day", "week"):
+        return F.floor(F.unix_date(day) / (1 if unit == "day" else 7))
+    months = F.year(day).cast("bigint") * 12 + F.month(day) - 1
+    return F.floor(months / {"month": 1, "quarter": 3, "year": 12, "decade": 120}[unit])
+
+
 def strategy(metric) -> Column:
     """'sum', 'max' or 'count'."""
     metric = _col(metric)

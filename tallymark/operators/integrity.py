@@ -5,9 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.skew import keyed_join
+from tallymark.session import materialise
+
 
 VIOLATION = ["rule", "row_key"]
 
@@ -111,18 +114,14 @@ def violations(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     """
     rules, table = RULES[name], tables[name]
     references = {rule: r for rule, r in rules.references.items() if r[1] in tables}
-    needed = {rules.key, *(r[0] for r in references.values())}
-    failed = {rule: F.expr(f"NOT ({check})") for rule, check in rules.checks.items()}
-    rows = table.select(*sorted(needed), *[condition.alias(f"_fails_{rule}") for rule, condition in failed.items()])
-    for rule, (column, other, other_key) in references.items():
-        # Each target once; heavy values on the rows' side are split by adaptive execution.
-        targets = tables[other].select(F.col(other_key).alias(f"_to_{rule}")).filter(F.col(f"_to_{rule}").isNotNull()).distinct()
-        rows = rows.join(targets, F.col(column) == F.col(f"_to_{rule}"), "left")
-        rows = rows.withColumn(f"_fails_{rule}", F.col(column).isNotNull() & F.col(f"_to_{rule}").isNull()).drop(f"_to_{rule}")
+    row_key = F.col(rules.key).cast("string").alias("row_key")
     found = []
-    if failed or references:
-        names = F.array_compact(F.array(*[F.when(F.col(f"_fails_{rule}"), F.lit(rule)) for rule in [*failed, *references]]))
-        found.append(rows.select(F.explode(names).alias("rule"), F.col(rules.key).cast("string").alias("row_key")))
+    if rules.checks:
+        # One pass for all checks of a row.
+        failed = F.array_compact(F.array(*[F.when(F.expr(f"NOT ({check})"), F.lit(rule)) for rule, check in rules.checks.items()]))
+        found.append(table.select(F.explode(failed).alias("rule"), row_key))
+    if references:
+        found.append(_dangling(table, references, tables, row_key))
     for rule, (columns, only) in rules.unique.items():
         kept = table.filter(only) if only else table
         repeated = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -134,5 +133,20 @@ def violations(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _dangling(table: DataFrame, references: dict, tables: dict[str, DataFrame], row_key: Column) -> DataFrame:
+    """(rule, row_key) of the references to rows that are not there, for all references in one join.
+
+    Values are made distinct first, so a value in very many rows is one row of the join, and
+    rows without a reference take no part.  Only values that are missing meet the table again.
+    """
+    named = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(column).cast("string").alias("value")) for rule, (column, _, _) in references.items()])
+    given = F.explode(F.filter(named, lambda r: r["value"].isNotNull())).alias("r")
+    there = [tables[other].select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("value")) for rule, (_, other, key) in references.items()]
+    values = table.select(given).select("r.rule", "r.value").distinct()
+    missing = materialise(values.join(reduce(DataFrame.unionByName, there), ["rule", "value"], "left_anti"))
+    rows = table.select(row_key, given).select("r.rule", "r.value", "row_key")
+    return keyed_join(rows, missing, ["rule", "value"], ["row_key"], "inner").select("rule", "row_key")
+
+
 def violation_counts(name: str, tables: dict[str, DataFrame]) -> DataFrame:
     return violations(name, tables).groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))

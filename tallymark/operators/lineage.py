@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallymark.operators.analytics import first_rows
 from tallymark.operators.skew import keyed_join
 from tallymark.session import materialise
 
+#: Invoices of a chain that the driver keeps.
+FRONT = 1000
+
 
 def charge_events(
     charges: DataFrame,
@@ -116,7 +120,61 @@ def correction_chains(invoices: DataFrame) -> DataFrame:
     )
 
 
+def extend_chains(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """(invoice_id, root_invoice_id, depth) of new invoices, by the stored rows of earlier ones.
+
+    The work is that of the new invoices: chains among them are found as in
+    ``correction_chains``, and only the first of each is looked up in what is stored.  An
+    invoice whose predecessor comes after it starts a chain of its own, so invoices are to be
+    given in batches that hold a predecessor no later than its successors.
+    """
+    own = correction_chains(new).withColumnsRenamed({"root_invoice_id": "_first", "depth": "_deeper"})
+    firsts = new.select(F.col("invoice_id").alias("_first"), F.col("reference_invoice_id").alias("_before"))
+    firsts = own.join(firsts, "_first", "left")
+    above = stored.select(F.col("invoice_id").alias("_before"), "root_invoice_id", "depth")
+    # Many corrections may go back to one invoice.
+    asked = firsts.select("_before").filter(F.col("_before").isNotNull()).distinct()
+    found = keyed_join(firsts, above.join(asked, "_before", "left_semi"), ["_before"], ["invoice_id"])
+    return found.select(
+        "invoice_id",
+        F.coalesce("root_invoice_id", "_first").alias("root_invoice_id"),
+        (F.col("_deeper") + F.coalesce(F.col("depth") + 1, F.lit(0))).alias("depth"),
+    )
+
+
 def corrections_of(invoices: DataFrame, invoice_id) -> DataFrame:
-    """One invoice and all corrections that go back to it."""
-    chains = correction_chains(invoices)
-    return invoices.join(chains.filter(F.col("root_invoice_id") == invoice_id), "invoice_id").orderBy("depth", "invoice_id")
+    """One invoice and all corrections that go back to it, with their depth below it.
+
+    Goes down level by level: each step reads the references of the table and keeps those to
+    the invoices found last, so there are as many steps as the chain has levels.  An invoice is
+    found once, also in a cycle.
+    """
+    links = invoices.select("invoice_id", "reference_invoice_id")
+    kind = invoices.schema["invoice_id"].dataType
+    depths = {r.invoice_id: 0 for r in links.filter(F.col("invoice_id") == invoice_id).limit(1).collect()}
+    front, depth = list(depths), 0
+    # As long as few are found, their ids are given to the scan itself.
+    while front and len(depths) <= FRONT:
+        depth += 1
+        below = links.filter(F.col("reference_invoice_id").isin([F.lit(i).cast(kind) for i in front]))
+        front = [r.invoice_id for r in below.select("invoice_id").limit(FRONT + 1).collect()]
+        if len(front) > FRONT:
+            depth -= 1
+            break
+        front = [i for i in dict.fromkeys(front) if i not in depths]
+        depths |= dict.fromkeys(front, depth)
+    found = invoices.sparkSession.createDataFrame(list(depths.items()), StructType([StructField("invoice_id", kind), StructField("depth", LongType())]))
+    if front:
+        found = _further(links, found, depth)
+    return invoices.join(found, "invoice_id").orderBy("depth", "invoice_id")
+
+
+def _further(links: DataFrame, found: DataFrame, depth: int) -> DataFrame:
+    """The levels below ``depth``, where a chain is too wide for the driver."""
+    front = found.filter(F.col("depth") == depth).select("invoice_id")
+    while not front.isEmpty():
+        depth += 1
+        below = links.join(front.select(F.col("invoice_id").alias("reference_invoice_id")), "reference_invoice_id", "left_semi")
+        front = materialise(below.select("invoice_id").distinct().join(found, "invoice_id", "left_anti"))
+        found = found.unionByName(front.withColumn("depth", F.lit(depth).cast("bigint")))
+    return found

@@ -70,12 +70,18 @@ def partial_aggregates(with_average: bool = False) -> list[Column]:
 
 def merge_partials(partials: DataFrame, size: str = settings.WINDOW_SIZE) -> DataFrame:
     """Usage from partial aggregates of several batches."""
-    merged = partials.groupBy(*USAGE_KEY).agg(
+    return _pick(add_partials(partials), size, False)
+
+
+def add_partials(partials: DataFrame, keys: Sequence[str] = USAGE_KEY) -> DataFrame:
+    """One row per window from partial aggregates of several batches, with the columns and types of these."""
+    kinds = {f.name: f.dataType for f in partials.schema.fields}
+    merged = partials.groupBy(*keys).agg(
         F.sum("sum_value").alias("sum_value"),
         F.max("max_value").alias("max_value"),
         F.sum("event_count").alias("event_count"),
     )
-    return _pick(merged, size, False)
+    return merged.select(*[F.col(c).cast(kinds[c]) for c in merged.columns])
 
 
 def window_id(size: str = settings.WINDOW_SIZE) -> Column:

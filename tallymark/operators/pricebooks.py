@@ -56,7 +56,7 @@ def effective_book(books: DataFrame, dates: DataFrame, date: str = "as_of") -> D
     return attach_book(dates.withColumn("_id", V.stable_id(V.utc_text(date))), books, date, ["_id"]).drop("_id")
 
 
-def disjoint_pieces(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def disjoint_pieces(books: DataFrame, keys: Sequence[str] = (), rows_per_task: int = settings.ROWS_PER_TASK) -> DataFrame:
     """Books as disjoint intervals (per ``keys``), the latest start winning, the smaller id among equals.
 
     Books may overlap or be nested.  Between two neighbouring start or end dates the
@@ -65,39 +65,83 @@ def disjoint_pieces(books: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """
     groups = list(keys) or [ALL]
     spans = _spans(books, keys).withColumn(ALL, F.lit(1))
-    starts = F.unix_micros("effective_from").alias("piece_from")
-    dates = spans.select(*groups, starts).unionByName(
-        spans.filter("effective_until IS NOT NULL").select(*groups, F.unix_micros("effective_until").alias("piece_from"))
-    )
-    dates = dates.distinct()
-    return dates.join(_winners(spans, dates, groups), [*groups, "piece_from"], "left").select(
+    ends = F.array(F.unix_micros("effective_from"), F.unix_micros("effective_until"))
+    dates = spans.select(*groups, F.explode(ends).alias("piece_from")).filter("piece_from IS NOT NULL").distinct()
+    winners = (_winners_by_rank if groups_fit(dates, groups, rows_per_task) else _winners_by_time)(spans, dates, groups)
+    return dates.join(winners, [*groups, "piece_from"], "left").select(
         *groups, "piece_from", F.col("_book.price_book_id").alias("price_book_id"), F.col("_book.version").alias("price_version")
     )
 
 
+def listed_pieces(books: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The disjoint pieces of every group as one sorted array ``_pieces``, for groups of at most GROUP_BOOKS books.
+
+    One aggregate gathers the books of a group; each of its dates then takes the best of
+    those in force.
+    """
+    groups = list(keys) or [ALL]
+    book = F.struct(
+        (-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version", F.coalesce(F.unix_micros("effective_until"), F.lit(END)).alias("until")
+    )
+    # Sorted, so that the first one in force is the best.
+    gathered = _spans(books, keys).withColumn(ALL, F.lit(1)).groupBy(*groups).agg(F.array_sort(F.collect_list(book)).alias("_books"))
+    starts = F.transform("_books", lambda b: -b["rank"])
+    ends = F.filter(F.transform("_books", lambda b: b["until"]), lambda until: until < END)
+    dates = F.array_sort(F.array_distinct(F.concat(starts, ends)))
+
+    def piece(date: Column) -> Column:
+        best = F.get(F.filter("_books", lambda b: (-b["rank"] <= date) & (b["until"] > date)), F.lit(0))
+        return F.struct(date.alias("piece_from"), best["price_book_id"].alias("price_book_id"), best["version"].alias("price_version"))
+
+    return gathered.select(*groups, F.transform(dates, piece).alias("_pieces"))
+
+
 ALL = "_all"
 # Microseconds of all dates Spark knows, before and after 1970, lie within 2 to this power.
 TIME_BITS = 58
+END = 1 << TIME_BITS
 # A piece in memory takes about this many bytes.  A row meets the array of its group, which is
 # kept short: so many books at most, and a search of so many halvings.
 PIECE_BYTES, GROUP_BOOKS, SEARCH_BITS = 120, 128, 8
 
 
-def _winners(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
-    """Winner at every date without comparing dates and books in pairs.
+def _winners_by_rank(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
+    """Winner at every date, by slots over the ranks of the group's dates.
 
-    Time is halved again and again into aligned slots.  A book is written to the few
-    largest slots that make up its interval, each slot keeps its best book, and a date
-    asks the one slot per size that contains it.
+    An interval of time is an interval of ranks, and a group with n dates has log2(n) sizes
+    of slots.  A group's dates are ordered in one task.
+    """
+    by_date = Window.partitionBy(*groups).orderBy("piece_from")
+    ranked = dates.withColumn("_rank", F.row_number().over(by_date).cast("long") - 1)
+    dated = spans.select(*groups, F.unix_micros("effective_from").alias("_from"), F.unix_micros("effective_until").alias("_until"), _book())
+    # Both ends of a book in one pass over the dates of its group; an open end lies behind all of them.
+    first = ranked.select(*groups, F.col("piece_from").alias("_from"), F.col("_rank").alias("_a"))
+    last = ranked.select(*groups, F.col("piece_from").alias("_until"), F.col("_rank").alias("_b"))
+    size = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    spread = dated.join(first, [*groups, "_from"]).join(last, [*groups, "_until"], "left").join(size, groups)
+    levels = lambda n: F.explode(F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int"))).alias("_size")
+    sized = spread.select(*groups, "_a", F.coalesce("_b", "_n").alias("_b"), "_book", levels(F.col("_n")))
+    asked = ranked.join(size, groups).select(*groups, "piece_from", "_rank", levels(F.col("_n")))
+    return _best_of_slots(sized, asked, "_rank", groups)
+
+
+def _winners_by_time(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
+    """Winner at every date, by slots over time itself, for groups that one task could not order.
+
+    Time is halved again and again into aligned slots, whatever the dates.
+    """
+    levels = F.explode(F.sequence(F.lit(0), F.lit(TIME_BITS + 1))).alias("_size")
+    until = F.coalesce(F.unix_micros("effective_until"), F.lit(END))
+    sized = spans.select(*groups, F.unix_micros("effective_from").alias("_a"), until.alias("_b"), _book(), levels)
+    return _best_of_slots(sized, dates.select(*groups, "piece_from", levels), "piece_from", groups)
+
+
+def _best_of_slots(sized: DataFrame, asked: DataFrame, place: str, groups: list[str]) -> DataFrame:
+    """Best book at every place without comparing places and books in pairs.
+
+    A book [_a, _b) is written to the few largest aligned slots that make it up, each slot
+    keeps its best book, and a place asks the one slot per size that contains it.
     """
-    size = F.explode(F.sequence(F.lit(0), F.lit(TIME_BITS + 1))).alias("_size")
-    sized = spans.select(
-        *groups,
-        F.unix_micros("effective_from").alias("_a"),
-        F.coalesce(F.unix_micros("effective_until"), F.lit(1 << TIME_BITS)).alias("_b"),
-        F.struct((-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version").alias("_book"),
-        size,
-    )
     # First slot inside the interval, and first slot behind it; slots before 1970 have negative numbers.
     inside = F.expr("shiftright(_a + shiftleft(1L, _size) - 1, _size)")
     behind = F.expr("shiftright(_b, _size)")
@@ -106,11 +150,15 @@ def _winners(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame
         "_slot", F.explode(F.expr("array_compact(array(IF(pmod(_i, 2) = 1, _i, NULL), IF(pmod(_j, 2) = 1, _j - 1, NULL)))"))
     )
     best = slots.groupBy(*groups, "_size", "_slot").agg(F.min("_book").alias("_book"))
-    asked = dates.select(*groups, "piece_from", size).withColumn("_slot", F.expr("shiftright(piece_from, _size)"))
-    answers = asked.join(best, [*groups, "_size", "_slot"])
+    answers = asked.withColumn("_slot", F.expr(f"shiftright({place}, _size)")).join(best, [*groups, "_size", "_slot"])
     return answers.groupBy(*groups, "piece_from").agg(F.min("_book").alias("_book"))
 
 
+def _book() -> Column:
+    """A book as it is compared: later starts first, then smaller ids."""
+    return F.struct((-F.unix_micros("effective_from")).alias("rank"), "price_book_id", "version").alias("_book")
+
+
 def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
     valid = F.col("effective_until").isNull() | (F.col("effective_until") > F.col("effective_from"))
     return books.filter(valid).select(*keys, "price_book_id", "version", "effective_from", "effective_until")
@@ -139,38 +187,43 @@ def attach_book(
     for one task.
     """
     keys = list(keys)
-    pieces = disjoint_pieces(books, keys)
-    if _short_lists(books, keys, min(broadcast_rows, settings.BROADCAST_BYTES // PIECE_BYTES)):
-        return _search_book(facts, pieces, date, keys or [ALL])
-    return _carry_book(facts, pieces, date, row_id, keys or [ALL], rows_per_task)
+    most, pieces = _list_sizes(books, keys)
+    if most > GROUP_BOOKS:
+        return _carry_book(facts, disjoint_pieces(books, keys, rows_per_task), date, row_id, keys or [ALL], rows_per_task)
+    listed = listed_pieces(books, keys)
+    if not keys:
+        found = facts.withColumn("_pieces", listed.select("_pieces").scalar())
+    else:
+        small = pieces <= min(broadcast_rows, settings.BROADCAST_BYTES // PIECE_BYTES)
+        found = keyed_join(facts, listed, keys, row_id, "left", None, broadcast_rows, rows_per_task, small)
+    return _search_book(found, date).select(*facts.columns, "price_book_id", "price_version")
 
 
-def _short_lists(books: DataFrame, keys: list[str], pieces: int) -> bool:
-    """Whether all pieces are at most ``pieces``, and few in every group; a book makes two at most."""
+def _list_sizes(books: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """(books of the largest group, bound on all pieces); a book makes two pieces at most."""
     sizes = books.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
-    return (sizes["most"] or 0) <= GROUP_BOOKS and 2 * (sizes["all"] or 0) <= pieces
+    return sizes["most"] or 0, 2 * (sizes["all"] or 0)
 
 
-def _search_book(facts: DataFrame, pieces: DataFrame, date: str, groups: list[str]) -> DataFrame:
-    listed = pieces.groupBy(*groups).agg(
-        F.array_sort(F.collect_list(F.struct("piece_from", "price_book_id", "price_version"))).alias("_pieces")
-    )
-    if ALL in groups:
-        found = facts.withColumn("_pieces", listed.select("_pieces").scalar())
-    else:
-        found = facts.join(F.broadcast(listed), groups, "left")
-    when = F.unix_micros(F.col(date).cast("timestamp"))
+def _search_book(found: DataFrame, date: str) -> DataFrame:
+    """The last of the sorted ``_pieces`` that begins at or before the date."""
+    piece = search("_pieces", "piece_from", F.unix_micros(F.col(date).cast("timestamp")), SEARCH_BITS)
+    # A struct, so that the search is done once for both columns.
+    found = found.withColumn("_piece", piece)
+    return found.select("*", F.col("_piece.price_book_id").alias("price_book_id"), F.col("_piece.price_version").alias("price_version"))
+
+
+def search(pieces: str, start: str, when: Column, bits: int) -> Column:
+    """The last entry of a sorted array (of less than 2**(bits + 1)) whose ``start`` is at or before ``when``, by halving."""
 
     def later(count: Column, step: Column) -> Column:
-        """Number of pieces known to begin at or before the date, after one more halving."""
-        reached = (count + step <= F.size("_pieces")) & (F.get("_pieces", count + step - 1)["piece_from"] <= when)
+        """Number of entries known to begin at or before it, after one more halving."""
+        reached = (count + step <= F.size(pieces)) & (F.get(pieces, count + step - 1)[start] <= when)
         return F.when(reached, count + step).otherwise(count)
 
-    steps = F.array(*[F.lit(1 << bit) for bit in range(SEARCH_BITS - 1, -1, -1)])
-    count = F.aggregate(F.filter(steps, lambda s: s <= F.size("_pieces")), F.lit(0), later)
-    # A struct, so that the search is done once for both columns.
-    found = found.withColumn("_piece", F.when(F.col("_pieces").isNotNull(), F.get("_pieces", count - 1)))
-    return found.select(*facts.columns, F.col("_piece.price_book_id").alias("price_book_id"), F.col("_piece.price_version").alias("price_version"))
+    steps = F.array(*[F.lit(1 << bit) for bit in range(bits, -1, -1)])
+    count = F.aggregate(F.filter(steps, lambda s: s <= F.size(pieces)), F.lit(0), later)
+    return F.when(F.col(pieces).isNotNull(), F.get(pieces, count - 1))
 
 
 def _carry_book(facts: DataFrame, pieces: DataFrame, date: str, row_id: Sequence[str], groups: list[str], rows_per_task: int) -> DataFrame:

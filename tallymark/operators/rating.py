@@ -224,7 +224,31 @@ def charges_for_periods(
 ) -> DataFrame:
     """Charges whose ``basis`` time lies in a billing period, both ends included.
 
-    ``periods`` has customer_id, period_start, period_end and any further columns.
+    ``periods`` has customer_id, period_start, period_end and any further columns; they may
+    overlap and be of any length.  A period is filed under the one or two slots of time of
+    the shortest unit that covers it with so few; a charge asks its own slot of every unit in
+    use.  So a charge is compared with the few periods around it, whatever the number of its
+    customer's periods, and each pair is met in one slot only.
     """
+    filed = _filed(periods)
+    units = sorted(r.unit for r in filed.select(F.col("_slots.unit").alias("unit")).distinct().collect())
+    if not units:
+        units = [len(V.SLOTS) - 1]
+    asked = F.array(*[F.struct(F.lit(u).alias("_unit"), V.slot(basis, V.SLOTS[u]).alias("_slot")) for u in units])
+    dated = charges.filter(F.col(basis).isNotNull())
+    dated = dated.withColumn("_at", F.explode(asked) if len(units) > 1 else asked[0]).select(*charges.columns, "_at.*")
+    spread = filed.withColumn("_slot", F.explode("_slots.slots")).withColumn("_unit", F.col("_slots.unit")).drop("_slots")
     inside = F.col(basis).between(F.col("period_start"), F.col("period_end"))
-    return keyed_join(charges, periods, ["customer_id"], [row_id], "inner", inside, **limits)
+    found = keyed_join(dated, spread, ["customer_id", "_unit", "_slot"], [row_id], "inner", inside, **limits)
+    return found.drop("_unit", "_slot")
+
+
+def _filed(periods: DataFrame) -> DataFrame:
+    """Periods with ``_slots``: the shortest unit that covers them with one or two slots, and these."""
+    ends = F.transform(F.array("period_start", "period_end"), lambda t: F.array(*[V.slot(t, unit) for unit in V.SLOTS]))
+    units = F.array(*[F.lit(n) for n in range(len(V.SLOTS))])
+    # Both ends of a period lie in the last unit's only slot.
+    pairs = F.transform(units, lambda n: F.struct(n.alias("unit"), F.array_distinct(F.transform("_ends", lambda e: F.get(e, n))).alias("slots")))
+    near = F.filter(pairs, lambda p: F.element_at(p["slots"], -1) - F.get(p["slots"], F.lit(0)) <= 1)
+    usable = periods.filter(F.col("period_start") <= F.col("period_end")).withColumn("_ends", ends)
+    return usable.withColumn("_slots", F.get(near, F.lit(0))).drop("_ends")

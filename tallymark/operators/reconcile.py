@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymark import settings
 from tallymark.functions import values as V
+from tallymark.operators.agreement import differences  # noqa: F401
 from tallymark.operators.skew import keyed_join
 
 MONEY = "decimal(18,2)"
@@ -231,13 +232,6 @@ def correction_balance(corrections: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
-def differences(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows of one run that the other lacks; empty when the runs agree."""
-    columns = first.columns
-    only_first = first.exceptAll(second.select(*columns)).withColumn("side", F.lit("first"))
-    return only_first.unionByName(second.select(*columns).exceptAll(first).withColumn("side", F.lit("second")))
-
-
 def conservation(events: DataFrame, usage: DataFrame) -> DataFrame:
     """Is every event counted in exactly one window?"""
     counted = usage.agg(F.coalesce(F.sum("event_count"), F.lit(0)).alias("counted_events"))

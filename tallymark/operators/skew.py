@@ -50,6 +50,9 @@ def keyed_join(
     if small:
         return _join(facts, F.broadcast(lookup), list(keys), condition, how)
     keys = list(keys)
+    # So few facts hold no heavy key.
+    if counts is None and at_most(facts, rows_per_task):
+        return _join(facts, lookup, keys, condition, how)
     # At most rows / rows_per_task keys can be this heavy, which bounds the broadcast.
     if counts is None:
         counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

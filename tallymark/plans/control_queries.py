@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymark.functions import values as V
-from tallymark.operators import analytics, integrity, lineage, metering, rating, reconcile, rerating
+from tallymark.operators import agreement, analytics, integrity, lineage, metering, rating, reconcile, rerating
 from tallymark.plans import workload as W
 from tallymark.plans.invoice_queries import _run_ctes, run
 from tallymark.plans.metering_queries import AS_OF, on_time_usage
@@ -212,16 +212,42 @@ def conservation_all(spark, sf_dir):
     return reconcile.conservation(events, metering.meter(events, "1 day"))
 
 
+_CHANGED = {
+    "stored": "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem",
+    "second": """SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 5 AND l_linenumber = 2 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+      FROM stored WHERE NOT (l_orderkey % 89 = 3 AND l_linenumber = 1)
+      UNION ALL SELECT * FROM stored WHERE l_orderkey % 101 = 7 AND l_linenumber = 3""",
+}
+
+
+@query(
+    W.sql(
+        [],
+        f"""SELECT 'first' AS side, l_orderkey, l_linenumber, l_quantity, l_returnflag, {ts_sql('l_shipdate')} AS l_shipdate FROM (SELECT * FROM stored EXCEPT ALL SELECT * FROM second)
+            UNION ALL SELECT 'second', l_orderkey, l_linenumber, l_quantity, l_returnflag, {ts_sql('l_shipdate')} FROM (SELECT * FROM second EXCEPT ALL SELECT * FROM stored)""",
+        _CHANGED,
+    )
+)
+def agreement_differences(spark, sf_dir):
+    """Rows changed, removed and repeated between two tables, found by fingerprints of key ranges."""
+    stored = W.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    more = F.when((key % 97 == 5) & (line == 2), F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    second = stored.filter(~((key % 89 == 3) & (line == 1))).withColumn("l_quantity", more)
+    second = second.unionByName(stored.filter((key % 101 == 7) & (line == 3)))
+    found = agreement.differences(stored, second, ["l_orderkey"], rows_to_join=50_000)
+    return found.select("side", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", ts("l_shipdate", "l_shipdate"))
+
+
 # --- lineage ---------------------------------------------------------------------------
 
 
 def _traced(spark, sf_dir, rated=None):
-    """Events behind charges; charges and usage are stored tables, written once."""
+    """Events behind charges."""
     events = W.telemetry(spark, sf_dir)
     on_time, late = metering.split_late(events, F.col("ingestion_time"))
     counted = metering.usage_events(on_time, carry=["event_time", "metric_type"])
-    usage = materialise(on_time_usage(spark, sf_dir).select("aggregation_id", "event_count"))
-    return lineage.charge_events(rated or materialise(charges(spark, sf_dir)), counted, late, usage)
+    return lineage.charge_events(rated or materialise(charges(spark, sf_dir)), counted, late)
 
 
 _TRACED = {
@@ -301,6 +327,26 @@ def correction_chains(spark, sf_dir):
     return lineage.correction_chains(_chained(spark, sf_dir))
 
 
+@query(
+    W.sql(
+        ["order_invoices"],
+        "SELECT invoice_id, root_invoice_id, depth FROM chain",
+        {
+            "linked": "SELECT invoice_id, CASE WHEN invoice_id % 60 >= 3 THEN invoice_id - 3 END AS ref FROM order_invoices",
+            "chain": """SELECT * FROM (WITH RECURSIVE c AS (SELECT invoice_id, invoice_id AS root_invoice_id, CAST(0 AS BIGINT) AS depth FROM linked WHERE ref IS NULL
+                UNION ALL SELECT l.invoice_id, c.root_invoice_id, c.depth + 1 FROM linked l JOIN c ON l.ref = c.invoice_id) SELECT * FROM c)""",
+        },
+    )
+)
+def correction_chains_extended(spark, sf_dir):
+    """Root and depth of every invoice, stored as three batches of invoices come in."""
+    invoices, place = _chained(spark, sf_dir), F.col("invoice_id") % 60
+    stored = lineage.correction_chains(invoices.filter(place < 20))
+    for new in (invoices.filter((place >= 20) & (place < 40)), invoices.filter(place >= 40)):
+        stored = materialise(stored.unionByName(lineage.extend_chains(stored, new)))
+    return stored
+
+
 @query(W.sql(["order_invoices"], "SELECT invoice_id, total, CAST((invoice_id - 61) // 3 AS BIGINT) AS depth FROM order_invoices WHERE invoice_id BETWEEN 60 AND 119 AND invoice_id % 3 = 1"))
 def corrections_of_invoice(spark, sf_dir):
     """One invoice and everything that corrects it."""
@@ -310,19 +356,23 @@ def corrections_of_invoice(spark, sf_dir):
 # --- re-rating -------------------------------------------------------------------------
 
 
-def _rerated(spark, sf_dir):
-    """The usage rated again after two prices were corrected."""
+def _job(spark, sf_dir):
+    """(new charges, differences) after two prices were corrected."""
     rule = F.col("rule_id")
     price = F.when(rule == "b-peak", "2.75").when(rule == "a-comp", "0.74").cast("decimal(12,6)")
     tiers = F.transform("tiers", lambda t: t.withField("unitPrice", F.coalesce(price, t["unitPrice"])))
-    rules = W.rules(spark).withColumn("tiers", tiers)
+    books, rules = W.books(spark), W.rules(spark)
+    corrected = rules.withColumn("tiers", tiers)
+    options = rating.RatingOptions(trail=False)
     usage = to_rate(spark, sf_dir).filter("aggregation_id IS NOT NULL")
-    return rating.rate(usage, W.books(spark), rules, F.lit("2024-02-10").cast("timestamp"), rating.RatingOptions(trail=False))[0]
+    changed = materialise(rerating.changed_usage(usage, rerating.price_changes((books, rules), (books, corrected), options)))
+    # What is stored for this usage; there is no stored table of charges here.
+    stored = rating.rate(changed, books, rules, F.col("calculated_at"), options)[0]
+    return rerating.rerate(changed, stored, books, corrected, F.lit("2024-02-10").cast("timestamp"), options)
 
 
 def _differences(spark, sf_dir):
-    original = charges(spark, sf_dir).filter("aggregation_id IS NOT NULL")
-    return rerating.charge_differences(original, _rerated(spark, sf_dir))
+    return _job(spark, sf_dir)[1]
 
 
 _RERATED = {
@@ -343,7 +393,7 @@ def rerate_differences(spark, sf_dir):
 @query(W.rated_sql("SELECT sha256('job-1|' || charge_id) AS charge_id, 'job-1' AS rerating_job_id, charge_id AS supersedes_charge_id, rerated_subtotal AS subtotal FROM changed", extra=_RERATED))
 def rerate_charges(spark, sf_dir):
     """New charges that replace the differing ones."""
-    rows = rerating.superseding_charges(_rerated(spark, sf_dir), _differences(spark, sf_dir), "job-1")
+    rows = rerating.superseding_charges(*_job(spark, sf_dir), "job-1")
     return rows.select("charge_id", "rerating_job_id", "supersedes_charge_id", money("subtotal", "subtotal"))
 
 
@@ -492,7 +542,9 @@ def violations_charges(spark, sf_dir):
     """Charges whose usage window or rule does not exist."""
     usage = on_time_usage(spark, sf_dir).filter("customer_id % 10 <> 1")
     rules = W.rules(spark).filter("rule_id <> 'a-peak'")
-    known = {"rated_charges": charges(spark, sf_dir), "aggregated_usage": usage, "price_rules": rules, "price_books": W.books(spark)}
+    # Stored tables, written once.
+    rated, usage = materialise(charges(spark, sf_dir)), materialise(usage)
+    known = {"rated_charges": rated, "aggregated_usage": usage, "price_rules": rules, "price_books": W.books(spark)}
     return integrity.violations("rated_charges", known)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallymark.operators import analytics, credits, invoicing
+from tallymark.operators.summaries import Summary
 from tallymark.plans import workload as W
 from tallymark.plans.rating_queries import charges
 from tallymark.plans.registry import id_sql, iso_sql, money, placed, query, ts, ts_sql
@@ -333,3 +334,25 @@ def revenue_top_customers(spark, sf_dir):
 def table_counts(spark, sf_dir):
     """Rows per table."""
     return analytics.table_counts({t: W.table(spark, sf_dir, t) for t in ("customer", "events", "orders", "lineitem")})
+
+
+@query(
+    """SELECT l_returnflag AS metric_type, l_linenumber AS line_number, count(*) AS rows, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS revenue,
+         CAST(max(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS largest
+       FROM lineitem WHERE NOT (l_orderkey % 4 = 1 OR (l_orderkey % 4 = 2 AND l_extendedprice > 30000)) GROUP BY ALL"""
+)
+def revenue_kept_by_changes(spark, sf_dir):
+    """Revenue per metric and line number after three rounds of lines added and withdrawn."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    lines = W.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_returnflag").alias("metric_type"), F.col("l_linenumber").alias("line_number"), price.alias("amount"), "l_extendedprice"
+    )
+    kept = Summary(["metric_type", "line_number"], {"revenue": "amount"}, {"largest": "amount"})
+    key, none = F.col("l_orderkey") % 4, F.lit(False)
+    rounds = [(key == 1, none), (key == 2, key == 1), (key == 3, (key == 2) & (F.col("l_extendedprice") > 30000))]
+    there, summary = key == 0, kept.full(lines.filter(key == 0))
+    for added, withdrawn in rounds:
+        there = (there | added) & ~withdrawn
+        summary = kept.changed(summary, lines.filter(added), lines.filter(withdrawn), lines.filter(there))
+    revenue = F.col("revenue").cast("decimal(18,2)").alias("revenue")
+    return summary.select("metric_type", "line_number", "rows", revenue, "largest")

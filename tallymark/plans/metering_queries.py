@@ -9,7 +9,8 @@ from tallymark.functions import values as V
 from tallymark.operators import analytics, dedup, metering, reconcile
 from tallymark.plans import workload as W
 from tallymark.plans.registry import iso_sql, placed, query, ts, ts_sql
-from tallymark.sources import intake, tables, topics
+from tallymark.session import materialise, work_path
+from tallymark.sources import intake, retention, tables, topics
 
 AS_OF = "2024-01-20 12:30:00"
 
@@ -573,6 +574,19 @@ def money_arithmetic(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,12)) AS parsed, CAST(l_tax AS DECIMAL(20,4)) AS at_four, CAST(l_tax AS DECIMAL(17,1)) AS at_one,
+         l_returnflag = '0' AS flag_is_number FROM lineitem"""
+)
+def money_precisions(spark, sf_dir):
+    """Amounts read from text, and rates at other precisions; what is no number is null."""
+    lines = W.table(spark, sf_dir, "lineitem")
+    return lines.select(
+        "l_orderkey", "l_linenumber", M.to_decimal(F.col("l_extendedprice").cast("string")).alias("parsed"), M.money_at("l_tax", 4).alias("at_four"),
+        M.money_at("l_tax", 1).alias("at_one"), M.to_decimal("l_returnflag").isNotNull().alias("flag_is_number"),
+    )
+
+
 # --- event tables ----------------------------------------------------------------------
 
 
@@ -590,6 +604,54 @@ def event_retention(spark, sf_dir):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("events"), F.sum("value").cast("decimal(28,6)").alias("value"))
 
 
+@query(
+    W.sql(
+        ["telemetry"],
+        """SELECT strftime(event_time, '%Y-%m') AS month, metric_type, count(*) AS events, CAST(count(DISTINCT customer_id) AS BIGINT) AS customers
+           FROM telemetry WHERE event_time < TIMESTAMP '2024-02-01' GROUP BY ALL""",
+    )
+)
+def event_table_saved(spark, sf_dir):
+    """Events stored by month in two saves and scanned again with the declared columns."""
+    path, events = work_path(spark, "events"), W.telemetry(spark, sf_dir)
+    for rest in (0, 1):
+        tables.write_table(events.filter(F.col("event_id") % 2 == rest), path, "telemetry_events")
+    stored = tables.read_table(spark, path, "telemetry_events").filter("month < '2024-02'")
+    metric = W.telemetry(spark, sf_dir).select("event_type", "metric_type").distinct()
+    return stored.join(F.broadcast(metric), "event_type").groupBy("month", "metric_type").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("customer_id").alias("customers")
+    )
+
+
+@query(
+    W.sql(
+        ["telemetry"],
+        """SELECT step, CASE WHEN event_time < before THEN 'archive' ELSE 'live' END AS part, count(*) AS events, CAST(sum(value) AS DECIMAL(28,6)) AS value
+           FROM telemetry, (VALUES ('1 copied', TIMESTAMP '2024-01-15'), ('2 repeated', TIMESTAMP '2024-01-15'), ('3 next', TIMESTAMP '2024-01-21')) AS steps(step, before)
+           GROUP BY ALL""",
+    )
+)
+def event_retention_repeated(spark, sf_dir):
+    """Rows of both parts after a run that stopped half-way, after it was repeated, and after the next one."""
+    live, archive = work_path(spark, "live"), work_path(spark, "archive")
+    tables.write_by_month(W.telemetry(spark, sf_dir), "event_time", live, "overwrite")
+    moved = retention.Retention(spark, live, archive, "event_time")
+
+    def parts(step: str):
+        both = moved.live().withColumn("part", F.lit("live")).unionByName(moved.archived().withColumn("part", F.lit("archive")))
+        counted = both.groupBy("part").agg(F.count(F.lit(1)).alias("events"), F.sum("value").cast("decimal(28,6)").alias("value"))
+        # Files change with the next step, so the counts are taken now.
+        return materialise(counted.withColumn("step", F.lit(step)))
+
+    moved.copy("first", "2024-02-14")
+    found = parts("1 copied")
+    for _ in range(2):
+        moved.run("first", "2024-02-14")
+    found = found.unionByName(parts("2 repeated"))
+    moved.run("second", "2024-02-20")
+    return found.unionByName(parts("3 next"))
+
+
 @query(
     W.sql(
         ["telemetry"],

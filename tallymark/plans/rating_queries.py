@@ -377,6 +377,27 @@ def charges_in_period(spark, sf_dir):
     return named.select("charge_id", "customer_id", ts("created_at", "created_at"), ts("period_start", "period_start"), "rule_id", F.col("rule_unit").alias("unit"))
 
 
+@query(
+    W.rated_sql(
+        """SELECT customer_id, p.n, count(*) AS charges, CAST(sum(subtotal) AS DECIMAL(18,2)) AS subtotal FROM rated JOIN periods p USING (customer_id)
+           WHERE reason IS NULL AND calculated_at BETWEEN p.period_start AND p.period_end GROUP BY customer_id, p.n""",
+        extra={
+            "periods": """SELECT c_custkey AS customer_id, n, TIMESTAMP '2024-01-01' + to_days(CAST(3 * n AS INTEGER)) + to_hours(c_custkey % 5) AS period_start,
+              TIMESTAMP '2024-01-01' + to_days(CAST(3 * n AS INTEGER)) + to_hours(c_custkey % 5 + n * n * n * n) AS period_end FROM customer, range(12) AS r(n)"""
+        },
+    )
+)
+def charges_in_overlapping_periods(spark, sf_dir):
+    """Charges of twelve periods a customer that overlap, from none to twenty months long."""
+    customers = W.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    numbered = customers.withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long"))))
+    start = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("n").cast("int") * 3, (F.col("customer_id") % 5).cast("int"))
+    periods = numbered.withColumn("period_start", start)
+    periods = periods.withColumn("period_end", start + F.make_dt_interval(F.lit(0), (F.col("n") * F.col("n") * F.col("n") * F.col("n")).cast("int")))
+    found = rating.charges_for_periods(charges(spark, sf_dir), periods)
+    return found.groupBy("customer_id", "n").agg(F.count(F.lit(1)).alias("charges"), F.sum("subtotal").cast("decimal(18,2)").alias("subtotal"))
+
+
 @query(W.rated_sql(f"SELECT charge_id, metric_type, subtotal, {ts_sql('calculated_at')} AS created_at, CAST(row_number() OVER (ORDER BY rated.calculated_at, charge_id) AS INTEGER) AS place FROM rated WHERE reason IS NULL AND customer_id = 3"))
 def charges_of_customer(spark, sf_dir):
     """Charges of one customer, oldest first."""

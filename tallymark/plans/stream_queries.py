@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallymark.operators import metering
+from tallymark.operators import lags, metering
 from tallymark.plans import workload as W
 from tallymark.plans.registry import money, query, ts, ts_sql
 from tallymark.session import work_path
-from tallymark.sources import intake, topics
+from tallymark.sources import files, intake, topics
 from tallymark.streaming import jobs
 
 ONCE = {"availableNow": True}
@@ -44,6 +44,69 @@ def stream_usage(spark, sf_dir):
     return usage.select("aggregation_id", "customer_id", "metric_type", ts("window_start", "window_start"), "value", "event_count")
 
 
+def _arriving(spark, sf_dir, parts: int, again: int = 0):
+    """Events as a stream of ``parts`` files, one a batch; each file from the second on also holds copies of the one before."""
+    folder = work_path(spark, "arriving")
+    events = W.telemetry(spark, sf_dir)
+    part = F.pmod(F.col("event_id"), F.lit(parts))
+    first = events.withColumn("arrival", part)
+    if again:
+        copies = events.filter(F.pmod(F.col("event_id") / parts, F.lit(again)).cast("int") == 0).withColumn("arrival", part + 1)
+        first = first.unionByName(copies.filter(F.col("arrival") < parts).withColumn("ingestion_time", F.col("ingestion_time") + F.expr("interval 1 hour")))
+    first.repartition(parts, "arrival").write.partitionBy("arrival").parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder).drop("arrival")
+
+
+@query(W.sql(["usage"], f"SELECT aggregation_id, customer_id, metric_type, {ts_sql('window_start')} AS window_start, value, event_count FROM usage"))
+def stream_usage_merged(spark, sf_dir):
+    """Usage windows counted in ten batches, whose parts are merged on the way."""
+    folder = work_path(spark, "merged")
+    jobs.route_events(_arriving(spark, sf_dir, 10), folder, f"{folder}/_state", clock=F.col("ingestion_time"), trigger=ONCE).awaitTermination()
+    usage = jobs.current_usage(spark, folder)
+    return usage.select("aggregation_id", "customer_id", "metric_type", ts("window_start", "window_start"), "value", "event_count")
+
+
+@query(W.sql(["usage"], "SELECT aggregation_id, value, event_count FROM usage"))
+def stream_usage_restarted(spark, sf_dir):
+    """Usage windows of a stream that was stopped three times, once after it wrote a batch it had not noted yet."""
+    folder = work_path(spark, "restarted")
+    events = W.telemetry(spark, sf_dir)
+    for part in range(3):
+        events.filter(F.pmod("event_id", F.lit(3)) == part).write.mode("append").parquet(f"{folder}/events")
+        for _ in range(2):
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+            jobs.route_events(stream, f"{folder}/out", f"{folder}/_state", clock=F.col("ingestion_time"), trigger=ONCE).awaitTermination()
+            # As if the stream had stopped before it noted its last batch: it is run again.
+            commits = f"{folder}/_state/commits"
+            files.remove(spark, f"{commits}/{max((n for n in files.children(spark, commits) if n.isdigit()), key=int)}")
+    return jobs.current_usage(spark, f"{folder}/out").select("aggregation_id", "value", "event_count")
+
+
+@query(
+    W.sql(
+        ["telemetry"],
+        """SELECT event_id, CAST(1 AS BIGINT) AS times_stored,
+             CAST(CASE WHEN CAST(event_id // 10 AS BIGINT) % 3 = 0 AND event_id % 10 < 9 THEN 1 ELSE 0 END AS BIGINT) AS times_refused,
+             CAST(1 AS BIGINT) AS times_published FROM telemetry""",
+    )
+)
+def stream_known_ids(spark, sf_dir):
+    """Events of ten batches stored and published once; copies that come a batch later are refused by the index of ids."""
+    folder = work_path(spark, "stored")
+    events = _arriving(spark, sf_dir, 10, again=3).withColumn("source", F.lit(None).cast("string"))
+
+    def publish(rows) -> None:
+        rows.write.mode("append").parquet(f"{folder}/published")
+
+    jobs.store_and_publish(events, folder, f"{folder}/_state", publish, ONCE).awaitTermination()
+    stored = spark.read.parquet(f"{folder}/events").select("event_id", F.lit(1).alias("s"), F.lit(0).alias("r"), F.lit(0).alias("p"))
+    refused = spark.read.parquet(f"{folder}/refused").select("event_id", F.lit(0).alias("s"), F.col("copies").alias("r"), F.lit(0).alias("p"))
+    published = spark.read.parquet(f"{folder}/published").select(F.get_json_object("value", "$.eventId").cast("long").alias("event_id"), F.lit(0).alias("s"), F.lit(0).alias("r"), F.lit(1).alias("p"))
+    every = stored.unionByName(refused).unionByName(published)
+    return every.groupBy("event_id").agg(F.sum("s").alias("times_stored"), F.sum("r").alias("times_refused"), F.sum("p").alias("times_published"))
+
+
 @query(W.sql(["usage"], "SELECT aggregation_id, value, event_count FROM usage WHERE window_end <= TIMESTAMP '2024-01-20 12:30:00' - INTERVAL 1 HOUR"))
 def stream_final_usage(spark, sf_dir):
     """Windows of the stream that are due at a processing time."""
@@ -112,3 +175,57 @@ def stream_windowed_usage(spark, sf_dir):
     rows = spark.read.parquet(f"{folder}/out")
     latest = rows.groupBy("customer_id", "metric_type", "window_start").agg(F.max(F.struct("batch_id", "value", "event_count")).alias("last"))
     return latest.select("customer_id", "metric_type", ts("window_start", "window_start"), F.col("last.value").alias("value"), F.col("last.event_count").alias("event_count"))
+
+
+_SESSIONS = f"""SELECT customer_id, {ts_sql('min(event_time)')} AS session_start, {ts_sql('max(event_time) + INTERVAL 2 HOUR')} AS session_end,
+      count(*) AS event_count, CAST(sum(value) AS DECIMAL(20,6)) AS value
+    FROM (SELECT *, sum(CASE WHEN before IS NULL OR event_time >= before + INTERVAL 2 HOUR THEN 1 ELSE 0 END)
+             OVER (PARTITION BY customer_id ORDER BY event_time, event_id) AS session
+          FROM (SELECT *, lag(event_time) OVER (PARTITION BY customer_id ORDER BY event_time, event_id) AS before FROM telemetry))
+    GROUP BY customer_id, session"""
+
+
+@query(W.sql(["telemetry"], _SESSIONS))
+def stream_sessions(spark, sf_dir):
+    """Sessions of a stream that was stopped between its batches and started again."""
+    folder = work_path(spark, "sessions")
+    events = W.telemetry(spark, sf_dir).select("customer_id", "event_time", "value")
+    # Every other event comes with the second start, so that sessions grow together over it.
+    parts = [events.filter("unix_micros(event_time) % 2000 < 1000"), events.filter("unix_micros(event_time) % 2000 >= 1000")]
+    end = events.limit(1).withColumns({"customer_id": F.lit(-1).cast("bigint"), "event_time": F.lit("2100-01-01").cast("timestamp")})
+    for part in (*parts, end):
+        part.select(*events.columns).write.mode("append").parquet(f"{folder}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/events")
+        sessions = jobs.windowed_sessions(stream, "2 hours", "60 days", ["customer_id"])
+        sink = sessions.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{folder}/_state")
+        sink.trigger(**ONCE).start(f"{folder}/out").awaitTermination()
+    found = spark.read.schema(sessions.schema).parquet(f"{folder}/out")
+    return found.select("customer_id", ts("session_start", "session_start"), ts("session_end", "session_end"), "event_count", "value")
+
+
+_LAGS = {
+    "lagging": """SELECT date_trunc('hour', ingestion_time) AS hour, CAST(customer_id % 4 AS VARCHAR) AS partition,
+        greatest(epoch_us(ingestion_time) - epoch_us(event_time), 0) // 1000 AS lag FROM telemetry""",
+    "slotted": """SELECT partition, greatest(length(bin(lag)) - 8, 0) * 128 + (lag >> greatest(length(bin(lag)) - 8, 0)) AS slot FROM lagging""",
+    "counted": """SELECT partition, slot, CAST(sum(count(*)) OVER (PARTITION BY partition ORDER BY slot) AS BIGINT) AS seen,
+        CAST(sum(count(*)) OVER (PARTITION BY partition) AS BIGINT) AS events FROM slotted GROUP BY partition, slot""",
+    "reached": "SELECT partition, max(events) AS events, min(slot) AS slot FROM counted WHERE seen >= ceil(events * 0.99) GROUP BY partition",
+}
+
+
+@query(
+    W.sql(
+        ["telemetry"],
+        f"""SELECT r.partition, events, ((slot - greatest(slot // 128 - 1, 0) * 128 + 1) << greatest(slot // 128 - 1, 0)) - 1 AS p99_lag_ms, {ts_sql('w.watermark')} AS watermark
+            FROM reached r JOIN (SELECT CAST(customer_id % 4 AS VARCHAR) AS partition, max(event_time) AS watermark FROM telemetry GROUP BY 1) w USING (partition)""",
+        _LAGS,
+    )
+)
+def stream_lags(spark, sf_dir):
+    """99th percentile of the lag and watermark per source partition, from what a stream of ten batches stored."""
+    folder = work_path(spark, "lags")
+    events = _arriving(spark, sf_dir, 10)
+    jobs.watch_lags(events, folder, f"{folder}/_state", F.col("customer_id") % 4, F.col("ingestion_time"), ONCE).awaitTermination()
+    slow = lags.lag_quantile(jobs.lags_of(spark, folder), 0.99, ["partition"])
+    come = jobs.progress_of(spark, folder).groupBy("partition").agg(F.max("watermark").alias("watermark"))
+    return slow.join(come, "partition").select("partition", "events", F.col("lag_ms").alias("p99_lag_ms"), ts("watermark", "watermark"))

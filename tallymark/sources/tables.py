@@ -38,10 +38,10 @@ def write_table(df: DataFrame, path: str, name: str, mode: str = "append") -> No
     if name not in TIME_COLUMNS:
         rows.write.mode(mode).parquet(path)
         return
-    _write_by_month(rows, TIME_COLUMNS[name], path, mode)
+    write_by_month(rows, TIME_COLUMNS[name], path, mode)
 
 
-def _write_by_month(rows: DataFrame, time: str, path: str, mode: str) -> None:
+def write_by_month(rows: DataFrame, time: str, path: str, mode: str) -> None:
     """Rows of a month meet in few files; a heavy month is split, light ones merged."""
     dated = rows.withColumn(MONTH, V.month_key(time))
     dated.hint("rebalance", F.col(MONTH)).write.mode(mode).partitionBy(MONTH).parquet(path)
@@ -89,5 +89,5 @@ def split_by_age(table: DataFrame, time: str, as_of, keep: str = "30 days") -> t
 def archive(table: DataFrame, time: str, as_of, live_path: str, archive_path: str, keep: str = "30 days") -> None:
     """Write both parts, each laid out by month; the source is left as it is."""
     live, old = split_by_age(table, time, as_of, keep)
-    _write_by_month(old, time, archive_path, "append")
-    _write_by_month(live, time, live_path, "overwrite")
+    write_by_month(old, time, archive_path, "append")
+    write_by_month(live, time, live_path, "overwrite")

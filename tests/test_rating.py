@@ -310,3 +310,64 @@ def test_late_event_becomes_a_charge_request(spark, rows):
     late = rows("event_id string, customer_id string, metric_type string, event_time timestamp, metadata string", "('e', 'c', 'api_calls', '2024-01-01 12:00:00', '{\"value\":100}')")
     row = rating.late_events_to_rate(late).first()
     assert (row["quantity"], row["aggregation_id"], row["source_event_id"]) == (100, None, "e")
+
+
+def brute_books(books, dates):
+    """The book in force at each (group, date): latest start, then smallest id."""
+    out = {}
+    for group, date in dates:
+        fit = [(-a, i) for i, g, a, b in books if g == group and a <= date and (b is None or b > date) and (b is None or b > a)]
+        out[(group, date)] = min(fit)[1] if fit else None
+    return out
+
+
+@pytest.mark.parametrize("path", ["lists", "ranks", "times"])
+def test_every_way_of_looking_up_a_book_gives_the_same(spark, path, monkeypatch):
+    rng = random.Random(5)
+    books = []
+    for n in range(160):
+        start = rng.randrange(-40, 60)
+        books.append((f"b{n:03}", f"g{rng.randrange(6)}", start, rng.choice([None, start, start - 3, start + rng.randrange(1, 90)])))
+    dates = [(f"g{g}", d) for g in range(7) for d in range(-45, 160, 3)]
+    want = brute_books(books, dates)
+    day = lambda c: F.timestamp_micros(F.col(c) * 86_400_000_000)
+    table = spark.createDataFrame([(i, g, a, b, "v") for i, g, a, b in books], "price_book_id string, g string, a long, b long, version string")
+    table = table.select("price_book_id", "g", day("a").alias("effective_from"), day("b").alias("effective_until"), "version")
+    facts = spark.createDataFrame(dates, "g string, d long").withColumn("at", day("d"))
+    if path != "lists":
+        monkeypatch.setattr(pricebooks, "GROUP_BOOKS", 0)
+    if path == "times":
+        monkeypatch.setattr(pricebooks, "groups_fit", lambda *a: False)
+    for keys, lookup in ((["g"], want), ([], brute_books([(i, 0, a, b) for i, _, a, b in books], [(0, d) for _, d in dates]))):
+        for limit in (200_000, 1):
+            found = pricebooks.attach_book(facts, table.drop(*({"g"} - set(keys))), "at", ["g", "d"], keys, broadcast_rows=limit)
+            assert {(r.g if keys else 0, r.d): r.price_book_id for r in found.collect()} == lookup
+
+
+def test_periods_of_any_length_meet_each_charge_once(spark):
+    rng = random.Random(8)
+    hour = lambda c: F.timestamp_micros(F.col(c) * 3_600_000_000)
+    at = lambda: rng.randrange(-20_000, 600_000)
+    charges = [(f"c{n}", f"u{rng.randrange(4)}", at()) for n in range(400)] + [("none", "u1", None)]
+    lengths = [0, 1, 5, 24, 70, 24 * 7, 24 * 20, 24 * 31, 24 * 80, 24 * 365, 24 * 3000, 24 * 30_000, -5]
+    periods = []
+    for n in range(120):
+        start = rng.choice([c[2] for c in charges if c[2] is not None]) - rng.choice([0, 0, 3, 500])
+        periods.append((n, f"u{rng.randrange(5)}", start, start + rng.choice(lengths)))
+    want = sorted((c, n) for c, u, t in charges for n, v, a, b in periods if u == v and t is not None and a <= t <= b)
+    left = spark.createDataFrame(charges, "charge_id string, customer_id string, t long").select("charge_id", "customer_id", hour("t").alias("created_at"))
+    right = spark.createDataFrame([*periods, (900, "u1", None, 5), (901, "u1", 5, None)], "n long, customer_id string, a long, b long")
+    right = right.select("n", "customer_id", hour("a").alias("period_start"), hour("b").alias("period_end"))
+    for limits in ({}, {"broadcast_rows": 0, "rows_per_task": 20}):
+        found = rating.charges_for_periods(left, right, **limits)
+        assert set(found.columns) == {"customer_id", "charge_id", "created_at", "n", "period_start", "period_end"}
+        assert sorted((r.charge_id, r.n) for r in found.collect()) == want and len(want) > 300
+
+
+def test_a_charge_is_compared_with_two_of_a_hundred_and_twenty_months(spark):
+    months = spark.range(120).select(F.lit(1).alias("customer_id"), F.expr("timestamp'2015-01-01' + make_ym_interval(0, int(id))").alias("period_start"))
+    months = months.withColumn("period_end", F.expr("period_start + make_ym_interval(0, 1) - interval 1 second"))
+    filed = rating._filed(months).select(F.explode("_slots.slots").alias("slot"), F.col("_slots.unit").alias("unit"))
+    assert filed.select("unit").distinct().count() == 1
+    assert filed.groupBy("slot").count().agg(F.max("count")).first()[0] <= 2
+    assert rating.charges_for_periods(months.limit(0).select("customer_id", F.lit("c").alias("charge_id"), F.col("period_start").alias("created_at")), months.limit(0)).count() == 0

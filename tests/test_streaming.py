@@ -36,7 +36,8 @@ def test_no_event_is_lost_over_restarts(spark, sf_dir, tmp_path):
     routed = spark.read.parquet(f"{out}/late_events")
     assert same(routed.select("event_id"), late.select("event_id"))
     assert same(spark.read.parquet(f"{out}/usage_events").select("event_id"), on_time.select("event_id"))
-    assert len(glob.glob(f"{out}/usage_parts/batch_id=*")) > 1
+    runs = jobs.usage_store(spark, out).runs()
+    assert len(glob.glob(f"{out}/late_events/batch_id=*")) == 6 and [(r.level, r.last) for r in runs] == [(1, 3), (0, 4), (0, 5)]
     recent = jobs.final_usage(spark, out, "2024-01-20", since="2024-01-10")
     wanted = metering.finalise(usage, "2024-01-20").filter("is_final AND window_start >= '2024-01-10'")
     assert same(recent, wanted)
