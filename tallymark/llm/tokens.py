@@ -2,7 +2,9 @@
 
 A text is cut where the tokenizer's own splitting always cuts, so that the ids of the
 chunks, put together, are the ids of the text.  Chunks repeat, and a task keeps the ids
-of recent ones in two generations of bounded size.
+of recent ones in two generations of bounded size.  A new chunk of a byte-level tokenizer
+is cut once more behind the word it begins with, whose ids are often known from a chunk
+with other marks behind it.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ CACHED_CHUNKS, CACHED_LENGTH = 400_000, 64
 
 # White space as the tokenizers see it: \s without the four separators that only Python counts.
 _WHITE, _DARK = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"
+# A word in Latin letters and what follows it; letters are one piece for the tokenizers, up to a mark, digit or blank.
+_WORD = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([\s0-9!-&(-/:-@\[-`{-~].*)?", re.DOTALL)
 _BYTE_LEVEL = re.compile(rf" ?{_DARK}+|{_WHITE}+(?!{_DARK})|{_WHITE}+")
 
 
@@ -36,10 +40,10 @@ class ChunkCache:
         if None in found:
             for i, ids in enumerate(found):
                 if ids is None:
-                    found[i] = self._one(chunks[i])
+                    found[i] = self.one(chunks[i])
         return found
 
-    def _one(self, chunk: str) -> bytes:
+    def one(self, chunk: str) -> bytes:
         ids = self.new.get(chunk)
         if ids is None:
             ids = self.old.get(chunk)
@@ -52,6 +56,16 @@ class ChunkCache:
         return ids
 
 
+def _byte_signs() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: printable ones as they are, the others by the signs from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTE_SIGNS = _byte_signs()
+
+
 def load(name: str) -> Tokenizer:
     """A public tokenizer by file name, without truncation and padding."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
@@ -84,11 +98,18 @@ class Encoder:
         byte_level = b'"use_regex":true' in spec
         # The other kind drops white space, so any of it ends a chunk.
         self.chunks = _BYTE_LEVEL.findall if byte_level else lambda text: text.encode().split()
+        self.plain_bytes = byte_level and self.normalize is None and b'"add_prefix_space":false' in spec
         self.cache = ChunkCache(self._ids, chunks)
 
     def _ids(self, chunk) -> bytes:
         """The library's steps one by one, which spares what else it notes of a short text."""
         text = chunk if isinstance(chunk, str) else chunk.decode()
+        word = _WORD.fullmatch(text) if self.plain_bytes else None
+        if word is not None:
+            if word[2]:
+                return self.cache.one(word[1]) + self.cache.one(word[2])
+            # One piece: its bytes, as the vocabulary writes them, go straight to the merges.
+            return packed(token.id for token in self.merge(text.encode().decode("latin-1").translate(_BYTE_SIGNS)))
         if self.normalize is not None:
             text = self.normalize(text)
         return packed(token.id for part, _ in self.split(text) for token in self.merge(part))

@@ -90,3 +90,16 @@ def test_gaps_are_filled_by_three_lengths():
                 held[x] += times
         assert held == counts and sum(times for _, times in found) <= 518
     assert packing.patterns({512: 9}) == [([512] * 4, 2), ([512], 1)]
+
+
+def test_encoder_gives_the_ids_of_the_library():
+    import random
+
+    from tallymark.llm import tokens
+
+    encoder, library, rng = tokens.Encoder(packing.TOKENIZER, 50), tokens.load(packing.TOKENIZER), random.Random(4)
+    signs = "aZé ñ.,'\"1 9\n\t-_ß×÷·ªºµ  \u0301日🙂s t re ve don't I'm ½Ⅷ²x \u2003\u00a0 \x1c\x85"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+    texts += ["Grüße, naïve words;and más... (été) x1y2 O'Neill's l'été <|endoftext|> end", "a" * 5000 + "," + "é" * 3000]
+    for text in texts:
+        assert encoder.encode(text) == tokens.packed(library.encode(text, add_special_tokens=False).ids), text
