@@ -5,18 +5,24 @@ Everything runs on built-in functions.  A regular expression gives the matches o
 along the text, give each match's place in code points.
 
 The models are first-order character chains.  Random strings are labelled by the fixed
-patterns (what stands after an assignment, access keys, hex runs, of all documents), and
-ordinary identifiers are words and numbers of a bounded sample of different texts
-(``TRAIN_DOCS``, smallest hashes of the texts), outside the fixed patterns' spans and too
-short to be secrets themselves (below 12 characters, the least length of a token that is scored), so that secrets do not teach what is ordinary.  A token
-outside the fixed patterns' spans is a secret if the mean log-likelihood ratio per
-character is above the limit, half way between the lower scores of the random strings and
-the upper ones of the words.  Only transition counts, at most two per pair of characters of
-the token alphabet, reach the driver.
+patterns: what stands after an assignment, access keys, hex runs, of all documents.  Ordinary
+identifiers come from a bounded sample of different texts (TRAIN_DOCS, smallest hashes),
+outside the fixed patterns' spans: short words and numbers as they stand; three words in a
+row joined the way identifiers are (IDENTIFIERS of them: with ``_``, ``-``, ``/``, in camel
+case or capitals, with numbers, as dates); and tokens of the scored length that three or
+more different texts hold.  So one secret, however often copied, teaches nothing.
+
+A token outside the fixed patterns' spans is a secret if the mean log-likelihood ratio per
+character is above the limit.  That lies a quarter of the way (NEAR) from the upper scores
+of the identifiers to the lower ones of the labelled strings that mix letters and digits,
+and is never below LEAST.  UUIDs are identifiers by policy, not secrets.  Only transition counts, at most
+two per pair of characters of the token alphabet, and the hashes of the sample reach the
+driver.
 
 Defined cases: a null text is empty and has no spans.  Equal texts are scanned once, so
 copies and repeated rows get equal spans.  Without labelled strings a model gives all
-characters equal shares.  A character said over and over is filler, not a secret.  Spans of different kinds may overlap; redaction masks their union.
+characters equal shares.  A character said over and over is filler, not a secret.  Spans of
+different kinds may overlap; redaction masks their union.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import bounded_sample, col, free_name
+from tallymark.llm.common import col, free_name
 
 # Patterns by kind, and the length from which a match (an assignment's value) counts.
 KINDS = ["assign", "access", "hex", "random"]
@@ -42,13 +48,20 @@ PATTERNS = {
 LENGTHS = {"assign": 12, "access": 18, "hex": 16, "random": 12}
 BASE_KINDS = KINDS[:3]
 
-TRAIN_DOCS = 2000
+#: Different texts, and joined words of them, that ordinary identifiers are learnt from.
+TRAIN_DOCS, IDENTIFIERS = 2000, 20_000
+#: A token of a secret's length is ordinary if so many different texts of the sample hold it.
+RECURRING = 3
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 #: Whole tokens of 8 to 11 characters: words, also joined ones, and numbers or dates.
 _WORDS = r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z][A-Za-z/_-]{7,10}|[0-9][0-9+/_=-]{7,10})(?![A-Za-z0-9+/_=-])"
 _VALUES = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}"""
+#: Whole words, for joining.
+_PLAIN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{2,11}(?![A-Za-z0-9+/_=-])"
+_BASE = r"AKIA[A-Z0-9]+|[0-9a-f]{16,}"
+_UUID = r"(?i)(^|[=/])[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
 #: Least score per character, in nats, whatever the samples say.
-LEAST = 0.5
+LEAST = 0.75
 MASK = "[SECRET]"
 #: Weight of the fall-back shares, in characters, and the largest ratio of a pair, in nats.
 BACKOFF, MOST = 5.0, 4.0
@@ -56,6 +69,8 @@ BACKOFF, MOST = 5.0, 4.0
 REPEAT = 0.02
 #: Shares of the random strings below, and of the words above, the scores that the limit lies between.
 LOW, HIGH = 0.1, 0.001
+#: Where between them it lies, from the words on: labelled strings may be of one alphabet, others are of many.
+NEAR = 0.25
 
 _SPAN = "array<struct<kind:string,nth:int,gap:int,length:int,value:string>>"
 
@@ -136,7 +151,6 @@ class Model:
         start = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"))
         return F.aggregate(F.split(value, ""), start, step, lambda a: a["sum"]) / F.length(value)
 
-
     def secret(self, value: Column) -> Column:
         """Whether a token scores above the limit; without a single pair above it the mean cannot be."""
         size, name = len(ALPHABET) + 1, lambda c: c if c.isalnum() else "\\" + c
@@ -145,7 +159,7 @@ class Model:
             after = [name(c) for b, c in enumerate(ALPHABET, 1) if self.ratios[a * size + b] > self.limit]
             if after:
                 pairs.append((name(ALPHABET[a - 1]) if a else "^") + "[" + "".join(after) + "]")
-        return value.rlike("|".join(pairs) or "(?!)") & (self.score(value) > self.limit)
+        return value.rlike("|".join(pairs) or "(?!)") & (self.score(value) > self.limit) & ~value.rlike(_UUID)
 
 
 def _transitions(values: DataFrame, kind: str) -> DataFrame:
@@ -156,37 +170,73 @@ def _transitions(values: DataFrame, kind: str) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "a", "b", "n")
 
 
-def _some_texts(docs: DataFrame, text_col: str, rows: int) -> DataFrame:
-    """(text): at most ``rows`` different texts, however often each occurs."""
-    texts = docs.select(col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    different = texts.agg(F.approx_count_distinct(place)).first()[0]
-    bound = int((1 << 30) * min(1.0, 1.5 * rows / max(1, different)))
-    return bounded_sample(texts.filter(place <= bound).dropDuplicates(["text"]), F.col("text"), rows)
-
+def _smallest(df: DataFrame, place: Column, rows: int) -> DataFrame:
+    """The rows with the ``rows`` smallest of their places, which differ but for chance; only numbers are put in order."""
+    count = df.agg(F.approx_count_distinct(place)).first()[0]
+    bound = int((1 << 30) * min(1.0, 1.5 * rows / max(1, count)))
+    places = df.select(place.alias("at")).filter(F.col("at") <= bound).distinct().orderBy("at").limit(rows).collect()
+    return df.filter(place <= (places[-1].at if places else -1))
 
-def _words(texts: DataFrame) -> DataFrame:
-    """(value) of the ordinary words and numbers; assigned values are no words, other base matches are too long."""
-    plain = F.regexp_replace("text", _VALUES, " ")
-    return texts.select(F.explode(F.regexp_extract_all(plain, F.lit(_WORDS), F.lit(0))).alias("value"))
 
-
-def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS) -> Model:
+def _some_texts(docs: DataFrame, text_col: str, rows: int) -> DataFrame:
+    """(text): about ``rows`` different texts, however often each occurs."""
+    texts = docs.select(col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
+    return _smallest(texts, F.pmod(F.xxhash64("text"), F.lit(1 << 30)), rows).dropDuplicates(["text"])
+
+
+def _ordinary(texts: DataFrame, identifiers: int = IDENTIFIERS) -> DataFrame:
+    """(value) of ordinary words, numbers and identifiers; assigned values and other base matches are none."""
+    plain = texts.select(F.regexp_replace(F.regexp_replace("text", _VALUES, " "), _BASE, " ").alias("text"))
+    words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0))).alias("value"))
+    tokens = plain.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERNS["random"]), F.lit(0)))).alias("value"))
+    known = tokens.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= RECURRING).select("value")
+    return words.unionByName(known).unionByName(_joined(plain, identifiers))
+
+
+def _joined(plain: DataFrame, rows: int) -> DataFrame:
+    """(value): three words in a row of the texts, joined in one of the ways below, by their hash."""
+    listed = plain.select(F.regexp_extract_all("text", F.lit(_PLAIN), F.lit(0)).alias("w")).filter(F.size("w") >= 3)
+    three = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.transform(F.slice("w", i, 3), F.lower))
+    triples = listed.select(F.explode(three).alias("t"))
+    triples = _smallest(triples, F.pmod(F.xxhash64("t"), F.lit(1 << 30)), rows).dropDuplicates(["t"])
+    a, b, c = (F.get("t", F.lit(i)) for i in range(3))
+    number = F.pmod(F.xxhash64("t", F.lit(1)), F.lit(1000)).cast("int")
+    text, digit = number.cast("string"), (number % 10).cast("string")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    year = (F.pmod(F.xxhash64("t", F.lit(2)), F.lit(80)) + 1970).cast("string")
+    month, day, hour = two(number % 12 + 1), two(number % 28 + 1), two(number % 24)
+    ways = [
+        F.concat_ws("_", a, b, c), F.upper(F.concat_ws("_", a, b, c)), F.concat_ws("_", a, b, text), F.upper(F.concat_ws("_", a, b, text)),
+        F.concat(a, F.initcap(b), F.initcap(c)), F.concat(F.initcap(a), F.initcap(b), F.initcap(c)), F.concat(F.initcap(a), F.initcap(b), digit),
+        F.concat(F.upper(a), F.initcap(b), F.initcap(c)), F.concat(F.upper(a), F.lit("-v"), digit, F.lit("-"), b, digit),
+        F.concat_ws("-", a, b, c), F.concat(F.lit("/"), F.concat_ws("/", a, b, c)), F.concat_ws("/", a, b, F.initcap(c)), F.concat(a, F.lit("/"), b, digit, F.lit("/"), c),
+        F.concat(a, b, c), F.concat(a, F.lit("="), b, text), F.concat(year, month, day, F.lit("_"), a, b),
+        F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), hour), F.concat_ws("-", F.lpad(text, 3, "0"), two(number % 97), F.lpad((number * 13 % 10000).cast("string"), 4, "0"), digit),
+    ]
+    way = F.pmod(F.xxhash64("t", F.lit(3)), F.lit(len(ways))).cast("int") + 1
+    return triples.select(F.element_at(F.array(*ways), way).alias("value")).filter(F.length("value") >= LENGTHS["random"])
+
+
+def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS, identifiers: int = IDENTIFIERS) -> Model:
     """Both models from labelled strings, and the limit between their scores."""
     random = _long_enough(_matches(_texts(docs, text_col), BASE_KINDS)).select("value")
-    words = _words(_some_texts(docs, text_col, train_docs))
+    texts = _some_texts(docs, text_col, train_docs).persist()
+    words = _ordinary(texts, identifiers)
     labelled = random.withColumn("kind", F.lit("random")).unionByName(words.withColumn("kind", F.lit("word"))).persist()
     try:
         kinds = {k: labelled.filter(F.col("kind") == k) for k in ("random", "word")}
         counted = _transitions(kinds["random"], "random").unionByName(_transitions(kinds["word"], "word")).collect()
         model = Model(_ratios(counted))
         score = model.score(F.col("value"))
-        low = kinds["random"].agg(F.percentile_approx(score, LOW, 10000)).first()[0]
-        high = kinds["word"].agg(F.percentile_approx(score, 1 - HIGH, 10000)).first()[0]
+        mixed = kinds["random"].filter(F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]"))
+        low = mixed.agg(F.percentile_approx(score, LOW, 10000)).first()[0]
+        long = kinds["word"].filter(F.length("value") >= LENGTHS["random"])
+        high = long.agg(F.percentile_approx(score, 1 - HIGH, 10000)).first()[0]
     finally:
         labelled.unpersist()
-    ends = [x for x in (low, high) if x is not None]
-    model.limit = max(LEAST, sum(ends) / len(ends) if ends else 0.0)
+        texts.unpersist()
+    if high is not None:
+        model.limit = max(LEAST, high if low is None else high + NEAR * (low - high))
     return model
 
 

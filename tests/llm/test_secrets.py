@@ -114,3 +114,53 @@ def test_short_tokens_are_found_and_words_of_their_length_are_not(docs, docs_of)
     assert sum(got[i] == [(4, 4 + len(t))] for i, t in enumerate(tokens)) >= 0.95 * len(tokens)
     assert not any(got[500 + i] for i in range(9))
     assert secrets.redact(docs_of(rows[-1:]), model).first().text == "therinonther ineaoneaerthin"
+
+
+ENGLISH = """connection status readme local library python array list request response window server value count max user name
+    message error handler report total index table column builder factory manager service default session number""".split()
+
+
+@pytest.fixture(scope="module")
+def english(spark):
+    """A model fitted on plain English prose with some labelled secrets."""
+    rng = __import__("random").Random(11)
+    common = "the and with from this that have were been they which their would there about".split()
+    prose = [" ".join(rng.choice(ENGLISH if rng.random() < 0.5 else common) for _ in range(150)) for _ in range(120)]
+    rows = [(i, t) for i, t in enumerate(prose)] + [(1000 + i, f"the token = {t} was there") for i, t in enumerate(_tokens(21, 30, 24))]
+    return secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def _secret(spark, model, values):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    return {r.value for r in df.filter(model.secret(F.col("value"))).collect()}
+
+
+def test_ordinary_identifiers_are_no_secrets(spark, english):
+    named = ["MAX_CONNECTION_COUNT", "HTTP_STATUS_OK_200", "README-v1-beta2", "/usr/local/lib/python3", "java/util/ArrayList", "XMLHttpRequest",
+             "2024-01-15T10", "550e8400-e29b-41d4-a716-446655440000", "id=550E8400-E29B-41D4-A716-446655440000", "hunter2hunter2", "2024-01-15", "default_session_timeout"]
+    assert _secret(spark, english, named) == set()
+    rng = __import__("random").Random(12)
+    # Held out: other joins of other words, some of them never seen.
+    words = [*ENGLISH, "cluster", "payload", "widget", "gateway", "invoice", "matrix"]
+    ways = [lambda a, b, c, n: f"{a}_{b}_{c}", lambda a, b, c, n: f"{a}.{b}".replace(".", "-") + f"-{n}", lambda a, b, c, n: a + b.title() + c.title(), lambda a, b, c, n: f"{a}_{b}{n}".upper(),
+            lambda a, b, c, n: f"/{a}/{b}/{c}{n}", lambda a, b, c, n: a.title() + b.title() + "V" + str(n % 10), lambda a, b, c, n: f"{a}={b}_{n}", lambda a, b, c, n: f"20{n % 90 + 10}-0{n % 9 + 1}-1{n % 9}T1{n % 9}"]
+    held = [w for w in (rng.choice(ways)(*rng.choices(words, k=3), rng.randrange(1000)) for _ in range(600)) if len(w) >= 12]
+    assert len(_secret(spark, english, held)) <= 0.02 * len(held)
+
+
+@pytest.mark.parametrize("size", [12, 16, 24, 40])
+def test_random_tokens_are_secrets(spark, english, size):
+    tokens = _tokens(100 + size, 300, size)
+    assert len(_secret(spark, english, tokens)) >= 0.95 * len(tokens)
+
+
+def test_a_token_of_many_texts_is_ordinary_and_one_of_copies_is_not(docs, docs_of):
+    token, copied = _tokens(31, 2, 20)
+    several = docs_of([(1000 + i, f"er in {token} th on {'on ' * i}") for i in range(40)])
+    copies = docs_of([(2000 + i, f"on er {copied} in") for i in range(40)])
+    model = secrets.fit(docs.unionByName(several).unionByName(copies))
+    plain = secrets._ordinary(secrets._some_texts(several.unionByName(copies), "text", 2000)).collect()
+    assert token in {r.value for r in plain} and copied not in {r.value for r in plain}
+    assert _secret(docs.sparkSession, model, [copied]) == {copied}
