@@ -3,18 +3,24 @@
 Host labels are cut into words by a unigram model: the counts are those of the words in
 all page texts, and the best split (Viterbi) maximises the product of the word
 probabilities; an unknown piece costs ten times more for each further letter.  Every
-count is one more than found, and the seed words are counted so too, whether pages write
-them or not; an unknown piece that begins or ends with a seed word is cut there.  Counts
-are joined to the pieces of host labels, so no task holds the vocabulary.
-
-The classifier is trained on all pages: pages whose host holds one of the seed words
-stand for what to block, all others for what to allow, and multinomial naive Bayes
-carries the seeds over to the words and path tokens that come with them.  Scores are
-kept per distinct host and per distinct path shape; pages are joined to both.
+count of a word that is found is one more, and a seed word has a prior share besides
+(SEED_SHARE), whether pages write it or not.  With that share a seed of six letters or more is found
+beside unknown letters, and a shorter one beside words that pages write: ``winporn`` is cut,
+``adulthood`` and ``downloads`` are not.  Counts are joined to the pieces of host labels,
+of the lengths that words have, so no task holds the vocabulary.
+
+The classifier is trained on all pages.  No table says which pages are unwanted, so pages
+whose host holds one of the seed words stand for what to block, all others for what to
+allow; a caller who knows better passes a table of labelled hosts, which goes before the
+seeds.  Multinomial naive Bayes carries the labels over to the words and path tokens that
+come with them.  Scores are kept per distinct host and per distinct path shape; pages are
+joined to both.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and is
 judged by the class shares alone.  Of rules that fit the longest wins, among equals the
-first given.  Repeated rows are judged alike.
+first given.  Repeated rows are judged alike.  Hosts and words may be of any length; the
+time for a label grows with its length and with the words found in it.  Without pages
+there are no verdicts.
 """
 
 from __future__ import annotations
@@ -34,8 +40,8 @@ from tallymark.session import materialise
 # Words that mark a host as unwanted when the classifier is trained.
 SEEDS = ["adult", "ads", "bets", "casino", "escort", "payday", "pills", "porn", "spam", "viagra", "warez", "xxx"]
 
-#: Longest word a label may be cut into.
-LONGEST_WORD = 24
+#: Share of all words that each seed has before any is read.
+SEED_SHARE = 5e-6
 _TOKENS = "[^a-z0-9]+"
 
 
@@ -76,25 +82,34 @@ def _tokens(text: Column) -> Column:
     return F.filter(F.split(lower(text), _TOKENS), lambda t: t != "")
 
 
-def word_counts(texts: DataFrame, html_col: str, seeds: list[str] = SEEDS) -> DataFrame:
-    """(word, n) of the words in page texts, markup left out, and of the seeds; n is one more than found."""
+def word_counts(texts: DataFrame, html_col: str, seeds: list[str] = SEEDS, seed_share: float = SEED_SHARE) -> DataFrame:
+    """(word, n) of the words in page texts, markup left out, and of the seeds; n is one more than found, and for seeds their share more."""
     plain = F.regexp_replace(F.coalesce(col(html_col), F.lit("")), "(?s)<[^>]*>", " ")
-    words = texts.select(F.explode(F.split(lower(plain), _TOKENS)).alias("word"))
-    words = words.filter((F.col("word") != "") & (F.length("word") <= LONGEST_WORD)).withColumn("found", F.lit(1))
-    known = texts.sparkSession.createDataFrame([(s, 0) for s in seeds], "word string, found int")
-    return words.unionByName(known).groupBy("word").agg((F.sum("found") + 1).alias("n"))
-
-
-def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
-    """The most likely split of a label; ``known`` counts its pieces by (start, length)."""
+    words = texts.select(F.explode(F.split(lower(plain), _TOKENS)).alias("word")).filter(F.col("word") != "")
+    found = materialise(words.groupBy("word").agg((F.count(F.lit(1)) + 1).cast("double").alias("n")))
+    prior = max(1e-9, seed_share * (found.agg(F.sum("n")).first()[0] or 0.0))
+    known = texts.sparkSession.createDataFrame([(s, prior) for s in seeds], "word string, n double")
+    return found.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def viterbi(label: str, known: dict[tuple[int, int], float], total: float) -> list[str]:
+    """The most likely split of a label; ``known`` counts its pieces by (start, length), of equal splits that with the longer last piece.
+
+    Two unknown pieces side by side are never better than one, so an unknown piece is either
+    gone on with or begun anew, and its length needs no bound.
+    """
+    ends: dict[int, list[tuple[int, float]]] = {}
+    for (start, length), n in known.items():
+        ends.setdefault(start + length, []).append((length, n))
+    letter, begin = math.log(10), math.log(10 / total)
     best: list[tuple[float, int]] = [(0.0, 0)]
+    unknown, since = -math.inf, 0
     for end in range(1, len(label) + 1):
-        options = []
-        for length in range(1, min(LONGEST_WORD, end) + 1):
-            n = known.get((end - length, length))
-            cost = math.log(n / total) if n else math.log(10 / total) - length * math.log(10)
-            options.append((best[end - length][0] + cost, length))
-        best.append(max(options))
+        if best[-1][0] + begin > unknown:
+            unknown, since = best[-1][0] + begin, end - 1
+        unknown -= letter
+        options = [(best[end - length][0] + math.log(n / total), length) for length, n in ends.get(end, [])]
+        best.append(max([*options, (unknown, end - since)]))
     words, at = [], len(label)
     while at:
         words.append(label[at - best[at][1] : at])
@@ -102,36 +117,18 @@ def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[s
     return words[::-1]
 
 
-def cut_seeds(word: str, seeds: list[str]) -> list[str]:
-    """An unknown word, cut after the longest seed it begins with or before the longest it ends with."""
-    for seed in sorted(seeds, key=lambda s: (-len(s), s)):
-        if len(word) > len(seed) and word.startswith(seed):
-            return [seed, *cut_seeds(word[len(seed) :], seeds)]
-        if len(word) > len(seed) and word.endswith(seed):
-            return [*cut_seeds(word[: -len(seed)], seeds), seed]
-    return [word]
-
-
-def split_label(label: str, known: dict[tuple[int, int], int], total: int, seeds: list[str]) -> list[str]:
-    """The words of a label, seeds cut off those that are unknown."""
-    words, at = [], 0
-    for word in viterbi(label, known, total):
-        words += [word] if (at, len(word)) in known else cut_seeds(word, seeds)
-        at += len(word)
-    return words
-
-
-def segment(labels: DataFrame, counts: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
+def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """(label, words) of distinct labels, by the word counts (word, n)."""
-    total = counts.agg(F.sum("n")).first()[0] or 1
+    sizes = counts.groupBy(F.length("word").alias("length")).agg(F.sum("n").alias("n")).collect()
+    total = sum(r.n for r in sizes) or 1.0
+    # As many lengths as words have; most labels are shorter than most of them.
+    lengths = F.array(*[F.lit(r.length) for r in sorted(sizes)]).cast("array<int>")
     starts = F.sequence(F.lit(1), F.length("label"))
-    pieces = labels.select("label", F.explode(starts).alias("start")).withColumn(
-        "piece", F.explode(F.transform(F.sequence(F.lit(1), F.lit(LONGEST_WORD)), lambda n: F.substring(F.col("label"), F.col("start"), n)))
-    )
-    # Near the end of a label longer pieces come out shorter; each is needed once.
-    pieces = pieces.dropDuplicates(["label", "start", "piece"])
+    pieces = labels.select("label", F.explode(starts).alias("start"))
+    fitting = F.filter(lengths, lambda n: n <= F.length("label") - F.col("start") + 1)
+    pieces = pieces.withColumn("length", F.explode(fitting)).withColumn("piece", F.substring(F.col("label"), F.col("start"), F.col("length")))
     found = pieces.join(counts, pieces["piece"] == counts["word"]).select(
-        "label", F.struct((F.col("start") - 1).alias("start"), F.length("piece").alias("length"), "n").alias("known")
+        "label", F.struct((F.col("start") - 1).alias("start"), "length", "n").alias("known")
     )
     listed = labels.join(found.groupBy("label").agg(F.collect_list("known").alias("known")), "label", "left")
 
@@ -139,8 +136,7 @@ def segment(labels: DataFrame, counts: DataFrame, seeds: list[str] = SEEDS) -> D
         for batch in slices(batches, 1000):
             words = []
             for label, known in zip(values(batch, "label"), values(batch, "known"), strict=True):
-                by_place = {(k["start"], k["length"]): k["n"] for k in known or []}
-                words.append(split_label(label, by_place, total, seeds))
+                words.append(viterbi(label, {(k["start"], k["length"]): k["n"] for k in known or []}, total))
             yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("label")), pa.array(words, pa.list_(pa.string()))], names=["label", "words"])
 
     return listed.mapInArrow(run, "label string, words array<string>")
@@ -152,8 +148,19 @@ def _attach(facts: DataFrame, scores: DataFrame, key: str) -> DataFrame:
     return facts.join(F.broadcast(scores) if size <= BROADCAST_BYTES else scores, key, "left")
 
 
-def judge(pages: DataFrame, rules: list[Rule], seeds: list[str] = SEEDS, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of every row; score is the log odds for blocking."""
+def judge(
+    pages: DataFrame,
+    rules: list[Rule],
+    seeds: list[str] = SEEDS,
+    url_col: str = "url",
+    html_col: str = "html",
+    id_col: str = "page_id",
+    labelled: DataFrame | None = None,
+) -> DataFrame:
+    """(page_id, host, path, rule, verdict, score) of every row; score is the log odds for blocking.
+
+    ``labelled`` is a table (host, block), each host once.
+    """
     host, path = parse(col(url_col))
     rows = pages.select(col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     # Numbers in paths are all the same token.
@@ -164,10 +171,14 @@ def judge(pages: DataFrame, rules: list[Rule], seeds: list[str] = SEEDS, url_col
     seen = materialise(rows.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n")))
     hosts = seen.groupBy("host").agg(F.sum("n").alias("n"))
     labels = hosts.select("host", F.posexplode(_tokens(F.col("host"))).alias("nth", "label"))
-    split = segment(labels.select("label").distinct(), word_counts(pages, html_col, seeds), seeds)
+    split = segment(labels.select("label").distinct(), word_counts(pages, html_col, seeds))
     words = labels.join(split, "label").groupBy("host").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("nth", "words"))), lambda s: s["words"])).alias("words"))
     words = hosts.join(words, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
-    words = materialise(words.withColumn("block", F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))))
+    block = F.arrays_overlap("words", F.array(*[F.lit(s) for s in seeds]))
+    if labelled is not None:
+        words = words.join(labelled.select("host", F.col("block").alias("label")), "host", "left")
+        block = F.coalesce("label", block)
+    words = materialise(words.select("host", "n", "words", block.alias("block")))
 
     of_hosts = words.select("block", "n", F.explode("words").alias("token"))
     of_paths = seen.join(words.select("host", "block"), "host").groupBy("block", "shape").agg(F.sum("n").alias("n"))
