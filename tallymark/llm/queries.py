@@ -31,16 +31,16 @@ def query(sql: str | None = None):
 @query(
     """
     WITH v AS (
-      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
       FROM embeddings
       WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scored AS (
-      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+      SELECT q.row AS query, q.vec_id AS query_id, c.row, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON c.row <> q.row AND len(c.e) = len(q.e)
       WHERE q.vec_id % 50 = 0),
     ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+      SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id, row) AS rank FROM scored)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """
 )

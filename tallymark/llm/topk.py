@@ -9,10 +9,14 @@ next pass's range, until it is one score wide.  The last pass keeps scores above
 k-th value, and of those equal to it the k smallest ids of a block; ties are broken
 by id at the end.  Nothing a block reports grows with the number of vectors.
 
+Candidates are packed into blocks and dealt to a fixed number of places, some for every
+core; queries are sent once to each place, not to each block.
+
 Defined cases: vectors that are null, empty, hold null or non-finite components, or
-have a null id, take no part as query or candidate.  A query is compared with vectors
-of its own length only, and never with rows of its own id.  Rows with the same id
-count as separate candidates.  Fewer than k candidates: all of them.
+have a null id, take no part as query or candidate; nor do those of a length of 2**31 or
+more, whose scores need not fit a long.  A query is compared with vectors of its own length
+only, and with every row but its own.  Rows with the same id count as separate queries and
+candidates; each such query has its own ranks.  Fewer than k candidates: all of them.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import col
-from tallymark.session import materialise
+from tallymark.session import materialise, work_path
 
 #: Vectors in a block; a task holds one block of each side and their scores.
 BLOCK = 4096
@@ -34,22 +38,23 @@ QUERY_BLOCK = 512
 #: Bins of a score range.
 BINS = 2048
 
-_BLOCKS = "part long, dim int, n int, ids binary, matrix binary"
+_BLOCKS = "part long, dim int, n int, rows binary, ids binary, matrix binary"
+_PLACES_A_CORE = 4
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """(id, v): floor(scale * x) of every component; unusable rows left out."""
+    """(row, id, v): floor(scale * x) of every component, written once; unusable rows left out."""
     x = col(vector_col)
-    limit = float(2**62)
-    usable = (
-        col(id_col).isNotNull()
-        & x.isNotNull()
-        & (F.size(x) > 0)
-        & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double") * scale) < limit))
-    )
-    # A when() keeps the function away from arrays that hold nulls or infinities.
-    ints = F.when(usable, F.transform(x, lambda e: F.floor(e.cast("double") * scale)))
-    return df.select(col(id_col).cast("long").alias("id"), ints.alias("v")).filter(F.col("v").isNotNull())
+    scaled = F.transform(x, lambda e: F.floor(e.cast("double") * scale).cast("double"))
+    finite = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double")) != float("inf")))
+    usable = x.isNotNull() & (F.size(x) > 0) & F.coalesce(finite, F.lit(False))
+    # A when() keeps the functions away from arrays that hold nulls or infinities.
+    square = F.when(usable, F.aggregate(scaled, F.lit(0.0), lambda a, e: a + e * e))
+    ints = F.when(square < float(2**62), F.transform(scaled, lambda e: e.cast("long")))
+    rows = df.select(col(id_col).cast("long").alias("id"), ints.alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
+    path = work_path(df.sparkSession, "vectors")
+    rows.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "v").write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _blocks(df: DataFrame, size: int) -> DataFrame:
@@ -61,17 +66,15 @@ def _blocks(df: DataFrame, size: int) -> DataFrame:
         part = TaskContext.get().partitionId()
 
         def block(dim, rows):
-            ids = np.array([r[0] for r in rows], dtype=np.int64)
-            matrix = np.array([r[1] for r in rows], dtype=np.int64)
-            return pa.RecordBatch.from_pydict(
-                {"part": [(part << 32) + made], "dim": [dim], "n": [len(rows)], "ids": [ids.tobytes()], "matrix": [matrix.tobytes()]},
-                schema=pa.schema([("part", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("matrix", pa.binary())]),
-            )
+            data = {"part": [(part << 32) + made], "dim": [dim], "n": [len(rows)]}
+            data |= {n: [np.array(c, dtype=np.int64).tobytes()] for n, c in zip(("rows", "ids", "matrix"), zip(*rows, strict=True), strict=True)}
+            kinds = [("part", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("rows", pa.binary()), ("ids", pa.binary()), ("matrix", pa.binary())]
+            return pa.RecordBatch.from_pydict(data, schema=pa.schema(kinds))
 
         for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, i, v in zip(*(batch.column(n).to_pylist() for n in range(3)), strict=True):
                 rows = waiting.setdefault(len(v), [])
-                rows.append((i, v))
+                rows.append((row, i, v))
                 if len(rows) == size:
                     yield block(len(v), waiting.pop(len(v)))
                     made += 1
@@ -79,7 +82,7 @@ def _blocks(df: DataFrame, size: int) -> DataFrame:
             yield block(dim, rows)
             made += 1
 
-    return df.select("id", "v").mapInArrow(pack, _BLOCKS)
+    return df.select("row", "id", "v").mapInArrow(pack, _BLOCKS)
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -91,7 +94,7 @@ def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, query_block: int = QUERY_BLOCK, bins: int = BINS) -> DataFrame:
-    """The k best of ``vectors`` for each of ``queries``, both (id, v array<long>).
+    """The k best of ``vectors`` for each of ``queries``, both (row, id, v array<long>); ``row`` tells rows apart.
 
     Returns query_id long, rank int, vec_id long, score long.
     """
@@ -100,15 +103,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, block: int = BLOCK, qu
     tasks = vectors.sparkSession.sparkContext.defaultParallelism
     candidates = materialise(_blocks(vectors.repartition(tasks), block))
     asked = materialise(_blocks(queries.repartition(tasks), query_block)).select(
-        F.col("part").alias("q_part"), "dim", F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
+        F.col("part").alias("q_part"), "dim", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")
     )
     square = F.aggregate(F.col("v"), F.lit(0).cast("double"), lambda a, e: a + e.cast("double") * e.cast("double"))
     longest, asking = (df.agg(F.max(square)).first()[0] or 0.0 for df in (vectors, queries))
     # |q . c| <= |q| |c|: the first range of every query.
     bound = int(min((longest * asking) ** 0.5 + 1, 2**62 - 1))
 
-    # Blocks of candidates are dealt to as many places as there are blocks; queries go to all places.
-    places = max(1, candidates.count())
+    # Some blocks of candidates share a place; queries go to all places.
+    places = max(1, min(candidates.count(), _PLACES_A_CORE * tasks))
     placed = candidates.withColumn("place", F.pmod(F.xxhash64("part"), F.lit(places)).cast("int")).drop("n")
 
     def pairs(bounds: DataFrame) -> DataFrame:
@@ -149,10 +152,10 @@ def _count(pairs: DataFrame, k: int, bins: int) -> DataFrame:
         for batch in batches:
             at = {n: batch.schema.get_field_index(n) for n in batch.schema.names}
             for i in range(batch.num_rows):
-                ids, q_ids, q, c, low, high, _ = _read(batch, at, i)
+                rows, ids, q_rows, q_ids, q, c, low, high, _ = _read(batch, at, i)
                 scores = _scores(q, c)
                 width = -(-(high - low) // bins)
-                shut = (q_ids[:, None] == ids[None, :]) | (scores < low[:, None])
+                shut = (q_rows[:, None] == rows[None, :]) | (scores < low[:, None])
                 # Scores above the range were counted by an earlier pass.
                 shut |= scores >= high[:, None]
                 bin_of = np.where(shut, -1, (scores - low[:, None]) // width[:, None])
@@ -175,7 +178,7 @@ def _read(batch: pa.RecordBatch, at: dict, i: int):
     get = lambda n: batch.column(at[n])[i].as_py()
     dim = get("dim")
     longs = lambda n: np.frombuffer(get(n), dtype=np.int64)
-    return longs("ids"), longs("q_ids"), longs("q_matrix").reshape(-1, dim), longs("matrix").reshape(-1, dim), longs("low"), longs("high"), longs("above")
+    return longs("rows"), longs("ids"), longs("q_rows"), longs("q_ids"), longs("q_matrix").reshape(-1, dim), longs("matrix").reshape(-1, dim), longs("low"), longs("high"), longs("above")
 
 
 def _narrow(counts: DataFrame, bounds: DataFrame, k: int, bins: int) -> DataFrame:
@@ -219,10 +222,10 @@ def _keep(pairs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             at = {n: batch.schema.get_field_index(n) for n in batch.schema.names}
             for i in range(batch.num_rows):
-                ids, q_ids, q, c, low, _, _ = _read(batch, at, i)
+                rows, ids, q_rows, q_ids, q, c, low, _, _ = _read(batch, at, i)
                 order = np.argsort(ids, kind="stable")
-                ids, scores = ids[order], _scores(q, c[order])
-                scores_ok = q_ids[:, None] != ids[None, :]
+                rows, ids, scores = rows[order], ids[order], _scores(q, c[order])
+                scores_ok = q_rows[:, None] != rows[None, :]
                 over = scores_ok & (scores > low[:, None])
                 tied = scores_ok & (scores == low[:, None])
                 take = over | (tied & (np.cumsum(tied, axis=1) <= k))
