@@ -79,6 +79,8 @@ def test_the_same_differences_as_rating_everything(spark, name, lookup):
     assert {(r.aggregation_id, r.difference) for r in differences.collect()} == want
     assert bool(want) == (name not in ("nothing", "a tier cut in two"))
     assert changed.count() <= FEW.get(name, 600)
+    if name != "a limit":
+        return
     # Shuffled instead of broadcast, with a metric that is split over tasks.
     spread = rerating.changed_usage(usage, rerating.price_changes(old, new, options), broadcast_rows=0, rows_per_task=20)
     assert spread.count() == changed.count()
