@@ -7,15 +7,17 @@ kept for ever, and holds per digest the first row seen (number of its batch and
 row that stays (largest id) and the number of rows.  Rows are combined per task before they
 reach the state, so that a text with very many copies costs one entry per task.
 
-A digest alone decides nothing.  After each batch of the index, the texts of all rows whose
-digest was seen before or more than once are read again at their places, together with the
-first row's, and compared byte for byte: texts are grouped as a whole, within tasks first.
-Digests with two different texts are written down, and the groups of their rows are formed
-from the whole texts instead of the digest.  Every row is compared, so a digest that is not
-written down has one text.
+A digest alone decides nothing.  Once the index has taken in what is new, the texts of all
+new rows whose digest was seen before or more than once are read again at their places,
+together with the first row's, and compared byte for byte: texts are grouped as a whole,
+within tasks first.  Only files with such rows are read, once in a run however many batches
+it has.  Digests with two different texts are written down, and the groups of their rows are
+formed from the whole texts instead of the digest.  Every row is compared, so a digest that
+is not written down has one text.
 
 A stopped run goes on where it stopped: both streams keep their offsets, files of a batch
-that are complete are not written again, and hits and findings of a batch are replaced.
+that are complete are not written again, hits of a batch are replaced, and what was compared
+is noted last.
 
 Defined cases: null texts are empty texts.  Of rows with equal texts and equal ids, one
 stays, the one at the last place.  Null ids are smaller than all others; a group of them
@@ -34,11 +36,15 @@ from pyspark.sql import functions as F
 
 from tallymark.llm.common import BROADCAST_BYTES, col
 from tallymark.operators.skew import keyed_join
+from tallymark.session import materialise
+from tallymark.sources import files
 
 #: Parquet bytes a batch of the intake gives every core; rows of the index take about a thirtieth of their texts.
 BYTES_A_CORE, INDEX_SHARE = 32 << 20, 30
 #: Bytes of a row with digest and place in memory, rounded up.
 ROW_BYTES = 512
+#: Files that a filter may name; more of them are found by the join alone.
+FILES_NAMED = 10_000
 #: A digest with more rows is joined by several tasks.
 ROWS_A_TASK = 500_000
 
@@ -88,7 +94,8 @@ class CopyIndex:
         with _settings(self.spark, _STATE):
             self._run(self._texts(self._stream()).select("id", *_PLACE, self.digest(F.col("norm")).alias("digest")), "intake", "append", self._take_in)
             if self._read("rows") is not None:
-                self._run(self._grouped(), "index", "update", self._check)
+                self._run(self._grouped(), "index", "update", self._note_hits)
+                self._compare()
 
     def rows(self) -> DataFrame:
         """Id, keep_id, group_size, kept and digest of every row taken in, with its file and place."""
@@ -128,7 +135,8 @@ class CopyIndex:
         batch = self.spark.read.parquet(self.source)
         reader = self.spark.readStream.schema(batch.schema).option("maxBytesPerTrigger", str(self.bytes_a_batch))
         # A pattern that matches the path alone: a stream takes a folder or a pattern, not one file.
-        return reader.parquet(f"{self.source[:-1]}[{self.source[-1]}]")
+        path = self.source.rstrip("/")
+        return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
     def _texts(self, source: DataFrame) -> DataFrame:
         place = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"))
@@ -136,7 +144,7 @@ class CopyIndex:
 
     def _take_in(self, batch: DataFrame, number: int) -> None:
         path = f"{self.folder}/rows/batch={number}"
-        if not _complete(self.spark, path):
+        if not files.exists(self.spark, f"{path}/_SUCCESS"):
             batch.write.mode("overwrite").parquet(path)
 
     def _grouped(self) -> DataFrame:
@@ -148,33 +156,38 @@ class CopyIndex:
             first.alias("first"), F.max(F.col("batch").cast("long")).alias("last"), _last().alias("keep"), F.count(F.lit(1)).alias("n")
         )
 
-    def _check(self, changed: DataFrame, number: int) -> None:
-        """Compare the texts of all rows behind hits of this batch of the index."""
-        spark = changed.sparkSession
-        # Written first, and once: every use of the batch itself would update the state again.
+    def _note_hits(self, changed: DataFrame, number: int) -> None:
+        """Digests of a batch of the index that have several rows; written at once, since each use of the batch would update the state."""
         changed.filter("n > 1").select("digest", "first", "last").write.mode("overwrite").parquet(f"{self.folder}/hits/at={number}")
-        hits = spark.read.parquet(f"{self.folder}/hits/at={number}")
-        since = 0
-        if number:
-            since = spark.read.parquet(f"{self.folder}/since/at={number - 1}").first()["since"]
-        reached = hits.agg(F.max("last").alias("since")).first()["since"]
-        if reached is not None:
-            new = spark.read.parquet(f"{self.folder}/rows").filter(F.col("batch") >= since).filter(F.col("batch") <= reached)
-            few = hits.count() * ROW_BYTES <= BROADCAST_BYTES
-            asked = F.broadcast(hits.select("digest")) if few else hits.select("digest")
-            new = new.select("digest", *_PLACE).join(asked, "digest", "left_semi")
-            # Earlier rows were compared with the first one, so it stands for them.
-            before = hits.filter(F.col("first.batch") < since).select("digest", *[F.col(f"first.{c}").alias(c) for c in _PLACE])
-            texts = self._at(new.unionByName(before))
-            different = texts.groupBy("digest", "norm").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-            different.filter("n > 1").select("digest").write.mode("overwrite").parquet(f"{self.folder}/mixed/at={number}")
-        spark.createDataFrame([(max(since, reached or 0),)], "since long").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/since/at={number}")
+
+    def _compare(self) -> None:
+        """Compare the texts of all new rows behind hits; earlier rows were compared with the first one, so it stands for them."""
+        spark = self.spark
+        done = [[int(x) for x in n.split("-")] for n in files.children(spark, f"{self.folder}/compared") if n[0].isdigit()]
+        upto, since = max(done, default=[-1, 0])
+        hits = spark.read.parquet(f"{self.folder}/hits").filter(F.col("at") > upto)
+        found = hits.agg(F.max("at").alias("at"), F.max("last").alias("last")).first()
+        if found["at"] is None:
+            return
+        hits = hits.groupBy("digest").agg(F.min("first").alias("first"))
+        few = hits.count() * ROW_BYTES <= BROADCAST_BYTES
+        new = spark.read.parquet(f"{self.folder}/rows").filter(F.col("batch").between(since, found["last"])).select("digest", *_PLACE)
+        new = new.join(F.broadcast(hits.select("digest")) if few else hits.select("digest"), "digest", "left_semi")
+        before = hits.filter(F.col("first.batch") < since).select("digest", *[F.col(f"first.{c}").alias(c) for c in _PLACE])
+        texts = self._at(materialise(new.unionByName(before)))
+        different = texts.groupBy("digest", "norm").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+        different.filter("n > 1").select("digest").write.mode("overwrite").parquet(f"{self.folder}/mixed/at={found['at']}")
+        files.put_new(spark, f"{self.folder}/compared/{found['at']}-{max(since, found['last'])}", "")
 
     def _at(self, places: DataFrame) -> DataFrame:
         """The given rows (digest, file, pos, ...) with their normal text, read at their places."""
-        source = self._texts(places.sparkSession.read.parquet(self.source)).drop("id")
+        source = places.sparkSession.read.parquet(self.source)
+        named = [r.file for r in places.select("file").distinct().limit(FILES_NAMED + 1).collect()]
+        if len(named) <= FILES_NAMED:
+            # Other files are not opened.
+            source = source.filter(F.col("_metadata.file_path").isin(named))
         few = places.count() * ROW_BYTES <= BROADCAST_BYTES
-        return source.join(F.broadcast(places) if few else places, _PLACE)
+        return self._texts(source).drop("id").join(F.broadcast(places) if few else places, _PLACE)
 
     def _answer(self, rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
         counts = groups.select(*keys, "n")
@@ -205,13 +218,6 @@ def _last() -> Column:
     return F.max(F.struct("id", *_PLACE))
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to the folder was committed."""
-    jvm = spark._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
-
-
 @contextmanager
 def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
     """Session settings for as long as the block runs; streams keep those they were started with."""
