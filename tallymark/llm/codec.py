@@ -262,18 +262,24 @@ def write_segment(docs: list[tuple[int | None, bytes]], vocabulary: int, block_i
 
 
 def read_segment(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
-    """(document id, ids) in order; raises ValueError where a checksum fails."""
+    """(document id, ids) in order; raises ValueError where a checksum fails or the segment is cut off."""
+    if len(data) < _HEAD.size:
+        raise ValueError("the segment is cut off")
     magic, version, n_docs, n_ids, n_blocks, vocabulary, _ = _HEAD.unpack_from(data)
     if magic != _MAGIC or version != _VERSION:
         raise ValueError("not a segment of this format")
     entry, block = struct.Struct("<BqQ"), struct.Struct("<III")
     end = _HEAD.size + n_docs * entry.size + n_blocks * block.size
+    if len(data) < end + 4:
+        raise ValueError("the segment is cut off")
     if struct.unpack_from("<I", data, end)[0] != zlib.crc32(data[:end]):
         raise ValueError("the head of the segment is damaged")
     docs = [entry.unpack_from(data, _HEAD.size + i * entry.size) for i in range(n_docs)]
     first = _HEAD.size + n_docs * entry.size
     index = [block.unpack_from(data, first + i * block.size) for i in range(n_blocks)]
     at, payloads = end + 4, []
+    if len(data) < at + sum(size for _, _, size in index):
+        raise ValueError("the segment is cut off")
     for _, _, size in index:
         payloads.append(data[at : at + size])
         at += size

@@ -38,6 +38,9 @@ def test_damage_is_found():
             list(codec.read_segment(bytes(bad)))
     with pytest.raises(ValueError, match="format"):
         list(codec.read_segment(b"none" + bytes(data[4:])))
+    for size in (0, 5, 40, len(data) // 2, len(data) - 1):
+        with pytest.raises(ValueError, match="cut off|damaged"):
+            list(codec.read_segment(bytes(data[:size])))
 
 
 def test_files_of_documents(spark, docs_of):
