@@ -103,6 +103,8 @@ END = 1 << TIME_BITS
 # A piece in memory takes about this many bytes.  A row meets the array of its group, which is
 # kept short: so many books at most, and a search of so many halvings.
 PIECE_BYTES, GROUP_BOOKS, SEARCH_BITS = 120, 128, 8
+# So does a price step, and a tier in its trail.
+STEP_BYTES, TIER_BYTES = 300, 150
 
 
 def _winners_by_rank(spans: DataFrame, dates: DataFrame, groups: list[str]) -> DataFrame:
@@ -165,8 +167,13 @@ def _spans(books: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _few_steps(rules: DataFrame, limit: int) -> bool:
-    """Whether there are at most ``limit`` price steps; a rule has up to its tiers plus two."""
-    return (rules.agg(F.sum(F.coalesce(F.size("tiers"), F.lit(0)) + 2).alias("n")).first()["n"] or 0) <= limit
+    """Whether there are at most ``limit`` price steps, of bounded size in all.
+
+    A rule has up to its tiers plus two, each with the tiers below it in its trail.
+    """
+    steps = F.coalesce(F.size("tiers"), F.lit(0)) + 2
+    sizes = rules.agg(F.sum(steps).alias("rows"), F.sum(steps.cast("long") * (STEP_BYTES + TIER_BYTES * steps)).alias("bytes")).first()
+    return (sizes["rows"] or 0) <= limit and (sizes["bytes"] or 0) <= settings.BROADCAST_BYTES
 
 
 def attach_book(

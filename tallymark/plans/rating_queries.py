@@ -418,3 +418,25 @@ def charges_top_customers(spark, sf_dir):
         F.count(F.lit(1)).alias("charges"), money(F.sum("subtotal"), "total")
     )
     return totals.orderBy(F.col("total").desc(), "customer_id").limit(10)
+
+
+@query(
+    W.rated_sql(
+        """SELECT customer_id, metric_type, aggregation_id, source_event_id, price_book_id, CASE WHEN reason IS NULL AND subtotal <= 9999999999.99 THEN rule_id END AS rule_id,
+             CASE WHEN reason IS NULL AND subtotal <= 9999999999.99 THEN subtotal END AS subtotal, CASE WHEN reason IS NULL AND subtotal > 9999999999.99 THEN 'CALCULATION_ERROR' ELSE reason END AS reason
+           FROM rated""",
+        source="large_usage",
+        before=W.MANY_SQL,
+    )
+)
+def charges_many_books(spark, sf_dir):
+    """Usage rated by a book for each supplier with all pricing models; some quantities are too large for an amount."""
+    usage = to_rate(spark, sf_dir)
+    large = F.lit("90000000000000").cast("decimal(20,6)")
+    usage = usage.withColumn("quantity", F.when(F.col("customer_id") % 50 == 1, large).otherwise(F.col("quantity")))
+    books, rules = W.many_books(spark, sf_dir), W.many_rules(spark, sf_dir)
+    found, unrated = rating.rate(usage, books, rules, F.col("calculated_at"), rating.RatingOptions(trail=False))
+    key = ["customer_id", "metric_type", "aggregation_id", "source_event_id", "price_book_id"]
+    none = F.lit(None).cast("string")
+    charged = found.select(*key, "rule_id", money("subtotal", "subtotal"), none.alias("reason"))
+    return charged.unionByName(unrated.select(*key, none.alias("rule_id"), money(F.lit(None), "subtotal"), "reason"))

@@ -75,6 +75,52 @@ def rules(spark: SparkSession) -> DataFrame:
     return table.withColumn("tiers", F.from_json("tiers", TIERS))
 
 
+# --- catalogue of many books: one for each supplier, with a rule for each of four metrics ---------
+
+MANY_METRICS = ["api_calls", "bandwidth_mb", "compute_hours", "storage_gb_peak"]
+MANY_MODELS = ["flat", "per_unit", "tiered", "volume", "committed"]
+
+
+def many_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("s_suppkey")
+    start = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=(key * 7 % 700).cast("int"))
+    until = F.when(key % 4 != 0, start + F.make_dt_interval(days=(key % 9 + 1).cast("int")))
+    return table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s-"), key).alias("price_book_id"), F.concat(F.lit("v"), key).alias("version"),
+        start.alias("effective_from"), until.alias("effective_until"),
+    )
+
+
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, n = F.col("s_suppkey"), F.col("n")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.posexplode(F.array(*[F.lit(m) for m in MANY_METRICS])).alias("n", "metric_type"))
+    limit = (key % 20 + 5).cast("decimal(20,6)")
+    price = lambda k: (F.lit("0.0125").cast("decimal(5,4)") * (k % 7 + 1).cast("int")).cast("decimal(12,6)")
+
+    def tier(number: int, up_to, unit_price, fee):
+        return F.struct(F.lit(number).alias("tier"), up_to.alias("upTo"), unit_price.alias("unitPrice"), fee.cast("decimal(12,2)").alias("flatFee"))
+
+    second = F.when(key % 6 == 0, (limit * 4).cast("decimal(20,6)"))
+    tiers = [tier(1, limit, price(key), F.lit(0)), tier(2, second, price(key + n), key % 3)]
+    model = F.element_at(F.array(*[F.lit(m) for m in MANY_MODELS]), ((key + n) % 5 + 1).cast("int"))
+    return rows.select(
+        F.concat_ws("-", F.lit("s"), key, "metric_type").alias("rule_id"), F.concat(F.lit("s-"), key).alias("price_book_id"), "metric_type",
+        model.alias("pricing_model"), F.lit("count").alias("unit"), F.array(*tiers).cast(TIERS).alias("tiers"),
+    )
+
+
+MANY_SQL = {
+    "books": """SELECT 's-' || s_suppkey AS price_book_id, 'v' || s_suppkey AS version, TIMESTAMP '2024-01-01' + to_hours(CAST(s_suppkey * 7 % 700 AS INTEGER)) AS effective_from,
+        CASE WHEN s_suppkey % 4 <> 0 THEN TIMESTAMP '2024-01-01' + to_hours(CAST(s_suppkey * 7 % 700 AS INTEGER)) + to_days(CAST(s_suppkey % 9 + 1 AS INTEGER)) END AS effective_until
+      FROM supplier""",
+    "tiers": f"""SELECT 's-' || s_suppkey || '-' || metric_type AS rule_id, 's-' || s_suppkey AS price_book_id, metric_type, {MANY_MODELS}[(s_suppkey + m - 1) % 5 + 1] AS pricing_model,
+        'count' AS unit, CAST(tier AS INTEGER) AS tier, CAST(CASE WHEN tier = 1 THEN s_suppkey % 20 + 5 WHEN s_suppkey % 6 = 0 THEN (s_suppkey % 20 + 5) * 4 END AS DECIMAL(20,6)) AS up_to,
+        CAST(CAST(0.0125 AS DECIMAL(5,4)) * CASE WHEN tier = 1 THEN s_suppkey % 7 + 1 ELSE (s_suppkey + m - 1) % 7 + 1 END AS DECIMAL(12,6)) AS unit_price,
+        CAST(CASE WHEN tier = 2 THEN s_suppkey % 3 ELSE 0 END AS DECIMAL(12,2)) AS flat_fee, 2 AS tier_count
+      FROM supplier, (SELECT unnest({MANY_METRICS}) AS metric_type, unnest(range(1, 5)) AS m) AS metrics, range(1, 3) AS t(tier)""",
+    "large_usage": """SELECT * REPLACE (CASE WHEN customer_id % 50 = 1 THEN CAST(90000000000000 AS DECIMAL(20,6)) ELSE quantity END AS quantity) FROM to_rate""",
+}
+
 # --- tables ----------------------------------------------------------------------------
 
 
@@ -338,7 +384,8 @@ def sql(needs: list[str], body: str, extra: dict[str, str] | None = None) -> str
 
     for name in needs:
         add(name)
-    parts = [f"{name} AS ({CTES[name][1]})" for name in ordered]
+    # A name given anew goes before the one known here.
+    parts = [f"{name} AS ({CTES[name][1]})" for name in ordered if name not in (extra or {})]
     parts += [f"{name} AS ({text})" for name, text in (extra or {}).items()]
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
 

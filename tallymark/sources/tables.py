@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallymark.functions import values as V
+from tallymark.operators.skew import keyed_join
 from tallymark.schemas import TABLES
 
 # Event-like tables are laid out by month of these times, so that scans prune.
@@ -74,9 +75,11 @@ def delete(current: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, Dat
 def append_checked(
     current: DataFrame, new: DataFrame, parents: DataFrame, parent_key: str, reason: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(table with the new rows whose parent exists, refused rows with reason)."""
-    accepted = new.join(parents.select(parent_key), parent_key, "left_semi")
-    refused = new.join(parents.select(parent_key), parent_key, "left_anti").withColumn("reason", F.lit(reason))
+    """(table with the new rows whose parent exists, refused rows with reason); many rows may have one parent."""
+    known = parents.select(parent_key).distinct().withColumn("_known", F.lit(True))
+    judged = keyed_join(new, known, [parent_key], [c for c in new.columns if c != parent_key])
+    accepted = judged.filter("_known").select(*new.columns)
+    refused = judged.filter("_known IS NULL").select(*new.columns).withColumn("reason", F.lit(reason))
     return current.unionByName(accepted), refused
 
 
