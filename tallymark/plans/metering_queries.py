@@ -200,7 +200,7 @@ def events_already_stored(spark, sf_dir):
 def event_search(spark, sf_dir):
     """Newest 100 purchases."""
     found = analytics.search_events(W.telemetry(spark, sf_dir), event_type="purchase")
-    return placed(found).select("event_id", "customer_id", "event_type", ts("event_time", "event_time"), "place")
+    return placed(found, few=True).select("event_id", "customer_id", "event_type", ts("event_time", "event_time"), "place")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.operators.scans import numbered
@@ -28,9 +28,15 @@ def query(sql: str | None = None):
     return register
 
 
-def placed(ordered: DataFrame, name: str = "place") -> DataFrame:
-    """An ordered table with the place of each row, as it comes out, so that its order is compared as well."""
-    return numbered(ordered, name)
+def placed(ordered: DataFrame, name: str = "place", few: bool = False) -> DataFrame:
+    """An ordered table with the place of each row, as it comes out, so that its order is compared as well.
+
+    ``few`` says that a limit bounds the rows, which are then numbered in one task.
+    """
+    if not few:
+        return numbered(ordered, name)
+    counted = ordered.withColumn(name, F.monotonically_increasing_id())
+    return counted.withColumn(name, F.row_number().over(Window.orderBy(name)))
 
 
 def ts(column, name: str | None = None) -> Column:
