@@ -14,8 +14,9 @@ from tallymark import settings
 from tallymark.functions import values as V
 from tallymark.functions.money import plain_number
 from tallymark.operators.pricebooks import attach_book, price_lookup, price_steps
-from tallymark.operators.skew import keyed_join
+from tallymark.operators.skew import at_most, keyed_join
 from tallymark.schemas import TIERS_APPLIED as APPLIED
+from tallymark.session import materialise
 
 
 @dataclass(frozen=True)
@@ -230,25 +231,42 @@ def charges_for_periods(
     use.  So a charge is compared with the few periods around it, whatever the number of its
     customer's periods, and each pair is met in one slot only.
     """
-    filed = _filed(periods)
+    # Written out once, since the units in use are asked for before the join.
+    filed = materialise(_filed(periods))
     units = sorted(r.unit for r in filed.select(F.col("_slots.unit").alias("unit")).distinct().collect())
     if not units:
         units = [len(V.SLOTS) - 1]
     asked = F.array(*[F.struct(F.lit(u).alias("_unit"), V.slot(basis, V.SLOTS[u]).alias("_slot")) for u in units])
-    dated = charges.filter(F.col(basis).isNotNull())
-    dated = dated.withColumn("_at", F.explode(asked) if len(units) > 1 else asked[0]).select(*charges.columns, "_at.*")
+    asking = charges.filter(F.col(basis).isNotNull() & F.col("customer_id").isNotNull())
+    dated = asking.withColumn("_at", F.explode(asked) if len(units) > 1 else asked[0]).select(*charges.columns, "_at.*")
     spread = filed.withColumn("_slot", F.explode("_slots.slots")).withColumn("_unit", F.col("_slots.unit")).drop("_slots")
     inside = F.col(basis).between(F.col("period_start"), F.col("period_end"))
-    found = keyed_join(dated, spread, ["customer_id", "_unit", "_slot"], [row_id], "inner", inside, **limits)
+    keys = ["customer_id", "_unit", "_slot"]
+    small = limits.pop("small", None)
+    if small is None:
+        small = at_most(spread, limits.get("broadcast_rows", settings.BROADCAST_ROWS))
+    counts = None
+    if not small:
+        # No slot holds more charges than its customer, and these are counted before they ask several units.
+        per_customer = asking.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+        if per_customer.filter(F.col("n") > limits.get("rows_per_task", settings.ROWS_PER_TASK)).isEmpty():
+            counts = dated.select(*keys, F.lit(0).alias("n")).limit(0)
+    found = keyed_join(dated, spread, keys, [row_id], "inner", inside, small=small, counts=counts, **limits)
     return found.drop("_unit", "_slot")
 
 
 def _filed(periods: DataFrame) -> DataFrame:
-    """Periods with ``_slots``: the shortest unit that covers them with one or two slots, and these."""
-    ends = F.transform(F.array("period_start", "period_end"), lambda t: F.array(*[V.slot(t, unit) for unit in V.SLOTS]))
-    units = F.array(*[F.lit(n) for n in range(len(V.SLOTS))])
+    """Periods with ``_slots``: the shortest unit that covers them with one or two slots, and these.
+
+    The slots of both ends are columns of their own, so that each is worked out once a period.
+    """
+    ends = {f"_{end}{n}": V.slot(f"period_{name}", unit) for n, unit in enumerate(V.SLOTS) for end, name in (("a", "start"), ("b", "end"))}
+    usable = periods.filter(F.col("period_start") <= F.col("period_end")).withColumns(ends)
+    slots = F.lit(None)
     # Both ends of a period lie in the last unit's only slot.
-    pairs = F.transform(units, lambda n: F.struct(n.alias("unit"), F.array_distinct(F.transform("_ends", lambda e: F.get(e, n))).alias("slots")))
-    near = F.filter(pairs, lambda p: F.element_at(p["slots"], -1) - F.get(p["slots"], F.lit(0)) <= 1)
-    usable = periods.filter(F.col("period_start") <= F.col("period_end")).withColumn("_ends", ends)
-    return usable.withColumn("_slots", F.get(near, F.lit(0))).drop("_ends")
+    for n in range(len(V.SLOTS) - 1, -1, -1):
+        near = F.col(f"_b{n}") - F.col(f"_a{n}") <= 1
+        slots = F.when(near, F.struct(F.lit(n).alias("unit"), F.col(f"_a{n}").alias("a"), F.col(f"_b{n}").alias("b"))).otherwise(slots)
+    placed = usable.withColumn("_near", slots).drop(*ends)
+    both = F.array_distinct(F.array("_near.a", "_near.b"))
+    return placed.withColumn("_slots", F.struct("_near.unit", both.alias("slots"))).drop("_near")

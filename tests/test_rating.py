@@ -371,3 +371,21 @@ def test_a_charge_is_compared_with_two_of_a_hundred_and_twenty_months(spark):
     assert filed.select("unit").distinct().count() == 1
     assert filed.groupBy("slot").count().agg(F.max("count")).first()[0] <= 2
     assert rating.charges_for_periods(months.limit(0).select("customer_id", F.lit("c").alias("charge_id"), F.col("period_start").alias("created_at")), months.limit(0)).count() == 0
+
+
+def test_slots_of_periods_are_plain_arithmetic(spark):
+    moments = [datetime(1969, 12, 31, 23), datetime(2024, 1, 1), datetime(2024, 1, 15, 23, 59), datetime(2024, 2, 29), datetime(2031, 5, 1)]
+    rows = [(a, b) for a in moments for b in moments] + [(None, moments[0]), (moments[0], None)]
+    periods = spark.createDataFrame(rows, "period_start timestamp, period_end timestamp")
+    filed = rating._filed(periods)
+    # A lambda is worked out anew for every use of its result.
+    assert "lambda" not in filed._jdf.queryExecution().optimizedPlan().toString()
+    found = filed.collect()
+    assert len(found) == 15
+    for r in found:
+        day = lambda t: (t - datetime(1970, 1, 1)).days
+        month = lambda t: t.year * 12 + t.month - 1
+        hour = lambda t: (t - datetime(1970, 1, 1)) // timedelta(hours=1)
+        ways = [hour, day, lambda t: day(t) // 7, month, *[lambda t, n=n: month(t) // n for n in (3, 12, 120)], lambda t: 0]
+        unit, first, last = next((n, w(r.period_start), w(r.period_end)) for n, w in enumerate(ways) if w(r.period_end) - w(r.period_start) <= 1)
+        assert (r._slots.unit, r._slots.slots) == (unit, list(dict.fromkeys([first, last])))
