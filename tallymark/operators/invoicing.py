@@ -264,7 +264,8 @@ class InvoiceRun:
 
     @property
     def line_charges(self) -> DataFrame:
-        return line_charges(self._headers, self._billable, small=self._few_requests, **self._limits)
+        counts = self._sums.groupBy(*PERIOD).agg(F.sum("charge_count").alias("n"))
+        return line_charges(self._headers, self._billable, small=self._few_requests, counts=counts, **self._limits)
 
     @property
     def adjustments(self) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark import settings
+from tallymark.session import materialise
 
 SALT = "_salt"
 SPLITS = "_splits"
@@ -50,15 +51,16 @@ def keyed_join(
     if small:
         return _join(facts, F.broadcast(lookup), list(keys), condition, how)
     keys = list(keys)
-    # So few facts hold no heavy key.
-    if counts is None and at_most(facts, rows_per_task):
-        return _join(facts, lookup, keys, condition, how)
     # At most rows / rows_per_task keys can be this heavy, which bounds the broadcast.
     if counts is None:
         counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     heavy = counts.filter(F.col("n") > rows_per_task).select(
         *keys, F.ceil(F.col("n") / rows_per_task).cast("int").alias(SPLITS)
     )
+    # Written out, so that the facts are worked out once for it, however many joins hang on this one.
+    heavy = materialise(heavy)
+    if heavy.isEmpty():
+        return _join(facts, lookup, keys, condition, how)
     place = F.xxhash64(*row_id)
     unmatched = reduce(or_, [F.col(key).isNull() for key in keys])
     salted = facts.join(F.broadcast(heavy), keys, "left").withColumn(
