@@ -18,6 +18,7 @@ from tallymark.operators.skew import at_most
 from tallymark.session import materialise
 
 PART = "_part"
+PLACE = "_place"
 
 
 def groups_fit(df: DataFrame, keys: Sequence[str], rows_per_task: int = settings.ROWS_PER_TASK) -> bool:
@@ -152,8 +153,11 @@ def neighbours(
 
 def _scan(df, keys, order, previous, following, next_row) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
-    onwards = window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     added = {o: F.lag(c).over(window) for o, c in previous.items()}
     added |= {o: F.lead(c).over(window) for o, c in next_row.items()}
-    added |= {o: F.first(c, ignorenulls=True).over(onwards) for o, c in following.items()}
-    return df.withColumns(added)
+    if not following:
+        return df.withColumns(added)
+    # A frame that ends with the group is gone through again for every row, so rows are taken from the last one on.
+    numbered_rows = df.withColumns(added | {PLACE: F.row_number().over(window)})
+    backwards = Window.partitionBy(*keys).orderBy(F.col(PLACE).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return numbered_rows.withColumns({o: F.last(c, ignorenulls=True).over(backwards) for o, c in following.items()}).drop(PLACE)

@@ -113,3 +113,19 @@ def test_usable_credits(spark, rows):
     )
     assert [r["credit_id"] for r in credits.usable_credits(given, "2024-01-01").collect()] == ["a"]
     assert sorted(r["credit_id"] for r in credits.usable_credits(given, "2024-01-01", honour_expiry=True).collect()) == ["a", "b"]
+
+
+def test_following_rows_are_not_gone_through_for_every_row(skewed):
+    found = neighbours(skewed, ["k"], [F.col("id").asc()], following={"coming": "mark"}, split=False)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "currentrow$(), unboundedfollowing$()" not in plan.lower()
+    rows = sorted((r.k, r.id, r.mark, r.coming) for r in found.collect())
+    for i, (k, _, _, coming) in enumerate(rows):
+        assert coming == next((m for other, _, m, _ in rows[i:] if other == k and m is not None), None)
+
+
+def test_facts_without_heavy_keys_are_counted_once_and_not_salted(skewed):
+    lookup = skewed.select("k").distinct().withColumn("name", F.upper("k"))
+    joined = keyed_join(skewed, lookup, ["k"], ["id"], "left", small=False, rows_per_task=700)
+    assert "_salt" not in joined._jdf.queryExecution().analyzed().toString()
+    assert joined.filter(F.col("name") == F.upper("k")).count() == 900
