@@ -57,7 +57,8 @@ def line_events(line_items: DataFrame, line_charges: DataFrame, traced: DataFram
     joined once, on the charge.
     """
     named = line_items.select("line_item_id", "invoice_id", "description", "amount")
-    counts = line_items.select("line_item_id", F.col("charge_count").alias("n"))
+    # One row a line, also where lines come twice.
+    counts = line_items.groupBy("line_item_id").agg(F.max("charge_count").alias("n")) if "charge_count" in line_items.columns else None
     placed = keyed_join(line_charges, named, ["line_item_id"], ["charge_id"], "inner", small=False, counts=counts, **limits)
     return keyed_join(traced, placed, ["charge_id"], ["event_id"], "inner", small=False, **limits)
 
