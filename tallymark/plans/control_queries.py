@@ -11,7 +11,7 @@ from tallymark.plans.invoice_queries import _run_ctes, run
 from tallymark.plans.metering_queries import AS_OF, on_time_usage
 from tallymark.plans.rating_queries import charges, to_rate
 from tallymark.plans.registry import money, placed, query, ts, ts_sql
-from tallymark.session import materialise
+from tallymark.session import materialise, stored
 from tallymark.sources import tables
 
 # --- events, usage, charges ------------------------------------------------------------
@@ -543,7 +543,7 @@ def violations_charges(spark, sf_dir):
     usage = on_time_usage(spark, sf_dir).filter("customer_id % 10 <> 1")
     rules = W.rules(spark).filter("rule_id <> 'a-peak'")
     # Stored tables, written once.
-    rated, usage = materialise(charges(spark, sf_dir)), materialise(usage)
+    rated, usage = stored(charges(spark, sf_dir), "charges"), stored(usage, "usage")
     known = {"rated_charges": rated, "aggregated_usage": usage, "price_rules": rules, "price_books": W.books(spark)}
     return integrity.violations("rated_charges", known)
 

@@ -125,3 +125,25 @@ def test_conservation(spark, sf_dir):
     events = workload.telemetry(spark, sf_dir)
     assert reconcile.conservation(events, metering.meter(events)).first()["conserved"]
     assert not reconcile.conservation(events, metering.meter(events.filter("event_id > 5"))).first()["conserved"]
+
+
+def test_stored_tables_are_read_in_pieces(spark):
+    from tallymark.session import stored
+
+    rows = spark.range(0, 200_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        kept = stored(rows, "pieces")
+        # A checkpoint would keep the one part.
+        assert kept.dtypes == rows.dtypes and kept.rdd.getNumPartitions() > 4
+        assert kept.exceptAll(rows).isEmpty() and kept.count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_heavy_lines_that_come_twice_are_joined_as_often_as_they_come(spark):
+    line = spark.sql("SELECT 'l' AS line_item_id, 'i' AS invoice_id, 'd' AS description, 1 AS amount, 6L AS charge_count")
+    charges = spark.range(6).select(F.lit("l").alias("line_item_id"), F.col("id").cast("string").alias("charge_id"))
+    traced = spark.range(6).select(F.col("id").cast("string").alias("charge_id"), F.col("id").alias("event_id"))
+    found = lineage.line_events(line.unionAll(line), charges, traced, rows_per_task=2)
+    assert sorted(r.event_id for r in found.collect()) == sorted([*range(6)] * 2)
