@@ -1,22 +1,23 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and ordinary words.
 
-Everything runs on built-in functions.  A regular expression gives the matches of a text
+Scans run on built-in functions.  A regular expression gives the matches of a text
 (``regexp_extract_all``) and the text between them (``split``); their lengths, summed
 along the text, give each match's place in code points.
 
-The models are first-order character chains.  Random strings are labelled by the fixed
-patterns: what stands after an assignment, access keys, hex runs, of all documents.  Ordinary
-identifiers come from a bounded sample of different texts (TRAIN_DOCS, smallest hashes),
-outside the fixed patterns' spans: short words and numbers as they stand; three words in a
-row joined the way identifiers are (IDENTIFIERS of them: with ``_``, ``-``, ``/``, in camel
-case or capitals, with numbers, as dates); and tokens of the scored length that three or
-more different texts hold.  So one secret, however often copied, teaches nothing.
+The models are first-order character chains, counted over all documents.  Random strings
+are labelled by the fixed patterns: what stands after an assignment, access keys, hex runs.
+Ordinary identifiers come from each different text, outside the fixed patterns' spans: short
+words and numbers as they stand; every three words in a row, joined in one of the ways
+identifiers are (with ``_``, ``-``, ``/``, in camel case or capitals, with numbers, as dates);
+and tokens of the scored length that three or more different texts hold.  So one secret,
+however often copied, teaches nothing.  Texts hold about as many joined words as words, so
+joined ones have a weight together: that of JOINED a text.
 
 A token outside the fixed patterns' spans is a secret if the mean log-likelihood ratio per
 character is above the limit.  That lies a quarter of the way (NEAR) from the upper scores
 of the identifiers to the lower ones of the labelled strings that mix letters and digits,
 and is never below LEAST.  UUIDs are identifiers by policy, not secrets.  Only transition counts, at most
-two per pair of characters of the token alphabet, and the hashes of the sample reach the
+four per pair of characters of the token alphabet, and counts of scores in BINS steps reach the
 driver.
 
 Defined cases: a null text is empty and has no spans.  Equal texts are scanned once, so
@@ -28,14 +29,18 @@ different kinds may overlap; redaction masks their union.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import col, free_name
+from tallymark.llm.common import col, free_name, slices
+from tallymark.session import stored
 
 # Patterns by kind, and the length from which a match (an assignment's value) counts.
 KINDS = ["assign", "access", "hex", "random"]
@@ -48,9 +53,9 @@ PATTERNS = {
 LENGTHS = {"assign": 12, "access": 18, "hex": 16, "random": 12}
 BASE_KINDS = KINDS[:3]
 
-#: Different texts, and joined words of them, that ordinary identifiers are learnt from.
-TRAIN_DOCS, IDENTIFIERS = 2000, 20_000
-#: A token of a secret's length is ordinary if so many different texts of the sample hold it.
+#: Weight of the joined words, as so many of them a text, and at least in all.
+JOINED, JOINED_LEAST = 10, 20_000
+#: A token of a secret's length is ordinary if so many different texts hold it.
 RECURRING = 3
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 #: Whole tokens of 8 to 11 characters: words, also joined ones, and numbers or dates.
@@ -71,6 +76,12 @@ REPEAT = 0.02
 LOW, HIGH = 0.1, 0.001
 #: Where between them it lies, from the words on: labelled strings may be of one alphabet, others are of many.
 NEAR = 0.25
+#: Steps of the scores, from -MOST to MOST, that upper ones are counted in.
+BINS = 80_000
+#: Kinds of strings that the models are counted from.
+TRAINED = ["random", "word", "known", "joined"]
+#: Strings that a task counts at once.
+STRINGS = 20_000
 
 _SPAN = "array<struct<kind:string,nth:int,gap:int,length:int,value:string>>"
 
@@ -162,90 +173,184 @@ class Model:
         return value.rlike("|".join(pairs) or "(?!)") & (self.score(value) > self.limit) & ~value.rlike(_UUID)
 
 
-def _transitions(values: DataFrame, kind: str) -> DataFrame:
-    """(kind, a, b, n): how often character b follows a, by their codes."""
-    chars = values.select(F.transform(F.split("value", ""), _code).alias("c"))
-    pairs = chars.select(F.explode(F.arrays_zip(F.concat(F.array(F.lit(0)), "c").alias("a"), F.col("c").alias("b"))).alias("p"))
-    pairs = pairs.select("p.a", "p.b").filter(F.col("b").isNotNull())
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "a", "b", "n")
+def _strings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the kind, length) of the strings of a batch, and for each character its pair with the one before."""
+    column = pa.array(batch.column("value").cast(pa.large_string()))
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    codes = np.zeros(256, np.int64)
+    codes[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, len(ALPHABET) + 1)
+    code = codes[data]
+    before = np.concatenate([[0], code[:-1]])
+    # Strings begin after code 0.
+    before[ends[:-1] - ends[0]] = 0
+    return np.asarray(batch.column("kind")), np.diff(ends), before * (len(ALPHABET) + 1) + code
 
 
-def _smallest(df: DataFrame, place: Column, rows: int) -> DataFrame:
-    """The rows with the ``rows`` smallest of their places, which differ but for chance; only numbers are put in order."""
-    count = df.agg(F.approx_count_distinct(place)).first()[0]
-    bound = int((1 << 30) * min(1.0, 1.5 * rows / max(1, count)))
-    places = df.select(place.alias("at")).filter(F.col("at") <= bound).distinct().orderBy("at").limit(rows).collect()
-    return df.filter(place <= (places[-1].at if places else -1))
+def _transitions(strings: DataFrame, make=iter) -> DataFrame:
+    """(kind, a, b, n): how often character b follows a in the strings of a kind, by their codes, one row or more for each.
+
+    ``make`` makes batches of strings of those of ``strings``; values are not empty.
+    """
+    size = len(ALPHABET) + 1
+
+    def count(batches):
+        n = np.zeros(len(TRAINED) * size * size, np.int64)
+        for batch in slices(make(batches), STRINGS):
+            kind, lengths, pairs = _strings(batch)
+            n += np.bincount(np.repeat(kind, lengths) * size * size + pairs, minlength=n.size)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at // size**2, at // size % size, at % size, n[at])], ["kind", "a", "b", "n"])
+
+    return strings.mapInArrow(count, "kind long, a long, b long, n long")
+
+
+def _scores(strings: DataFrame, model: Model, make=iter) -> DataFrame:
+    """(kind, bin, n): how many strings of a kind score so much, one row or more for each; ``make`` as above."""
+    table = np.array(model.ratios)
+
+    def count(batches):
+        n = np.zeros(len(TRAINED) * BINS, np.int64)
+        for batch in slices(make(batches), STRINGS):
+            kind, lengths, pairs = _strings(batch)
+            score = np.add.reduceat(table[pairs], np.cumsum(lengths) - lengths) / lengths
+            step = np.clip((score + MOST) * (BINS / (2 * MOST)), 0, BINS - 1).astype(np.int64)
+            n += np.bincount(kind * BINS + step, minlength=n.size)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at // BINS, at % BINS, n[at])], ["kind", "bin", "n"])
+
+    return strings.mapInArrow(count, "kind long, bin long, n long")
+
+
+def _different(docs: DataFrame, text_col: str) -> DataFrame:
+    """Each different text once: its base values (``found``) and, outside of these, its words, tokens, and words for joining."""
+    text = col(text_col).cast("string")
+    rows = docs.select(text.alias("text")).filter(F.col("text").isNotNull())
+    found = []
+    for kind in BASE_KINDS:
+        values = F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(2 if kind == "assign" else 0))
+        found.append(F.filter(values, lambda v, least=LENGTHS[kind]: F.length(v) >= least))
+    none = F.array().cast("array<string>")
+    rows = rows.select(
+        F.sha2("text", 256).alias("key"), F.regexp_replace(F.regexp_replace("text", _VALUES, " "), _BASE, " ").alias("plain"),
+        F.when(_has(F.col("text"), BASE_KINDS), F.concat(*found)).otherwise(none).alias("found"),
+    )
+    # The words for joining are of A-Z and a-z alone, so they can be lowered together.
+    rows = rows.select(
+        "key", "found", F.regexp_extract_all("plain", F.lit(_WORDS), F.lit(0)).alias("words"),
+        F.array_distinct(F.regexp_extract_all("plain", F.lit(PATTERNS["random"]), F.lit(0))).alias("tokens"),
+        F.lower(F.array_join(F.regexp_extract_all("plain", F.lit(_PLAIN), F.lit(0)), " ")).alias("listed"),
+    )
+    return rows.dropDuplicates(["key"]).drop("key")
 
 
 def _some_texts(docs: DataFrame, text_col: str, rows: int) -> DataFrame:
-    """(text): about ``rows`` different texts, however often each occurs."""
-    texts = docs.select(col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    return _smallest(texts, F.pmod(F.xxhash64("text"), F.lit(1 << 30)), rows).dropDuplicates(["text"])
-
-
-def _ordinary(texts: DataFrame, identifiers: int = IDENTIFIERS) -> DataFrame:
-    """(value) of ordinary words, numbers and identifiers; assigned values and other base matches are none."""
-    plain = texts.select(F.regexp_replace(F.regexp_replace("text", _VALUES, " "), _BASE, " ").alias("text"))
-    words = plain.select(F.explode(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0))).alias("value"))
-    tokens = plain.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(PATTERNS["random"]), F.lit(0)))).alias("value"))
-    known = tokens.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= RECURRING).select("value")
-    return words.unionByName(known).unionByName(_joined(plain, identifiers))
-
-
-def _joined(plain: DataFrame, rows: int) -> DataFrame:
-    """(value): three words in a row of the texts, joined in one of the ways below, by their hash."""
-    listed = plain.select(F.regexp_extract_all("text", F.lit(_PLAIN), F.lit(0)).alias("w")).filter(F.size("w") >= 3)
-    three = F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.transform(F.slice("w", i, 3), F.lower))
-    triples = listed.select(F.explode(three).alias("t"))
-    triples = _smallest(triples, F.pmod(F.xxhash64("t"), F.lit(1 << 30)), rows).dropDuplicates(["t"])
-    a, b, c = (F.get("t", F.lit(i)) for i in range(3))
-    number = F.pmod(F.xxhash64("t", F.lit(1)), F.lit(1000)).cast("int")
-    text, digit = number.cast("string"), (number % 10).cast("string")
-    two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    year = (F.pmod(F.xxhash64("t", F.lit(2)), F.lit(80)) + 1970).cast("string")
-    month, day, hour = two(number % 12 + 1), two(number % 28 + 1), two(number % 24)
+    """(text): at most ``rows`` different texts, to look at what ``_ordinary`` takes from them; models are fitted on all."""
+    return docs.select(col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull()).dropDuplicates(["text"]).limit(rows)
+
+
+def _ordinary(texts: DataFrame) -> DataFrame:
+    """(kind, value) of ordinary words, numbers and identifiers; assigned values and other base matches are none."""
+    plain = _different(texts, "text")
+    joined = plain.select("listed").mapInArrow(_joined, "kind long, value string")
+    return _listed_as(plain, "word", "words").unionByName(_known(plain)).unionByName(joined)
+
+
+def _listed_as(texts: DataFrame, kind: str, column: str) -> DataFrame:
+    return texts.select(_kind(kind), F.explode(column).alias("value"))
+
+
+def _kind(name: str) -> Column:
+    return F.lit(TRAINED.index(name)).cast("long").alias("kind")
+
+
+def _known(texts: DataFrame) -> DataFrame:
+    """(kind, value): tokens of a secret's length that several texts hold."""
+    known = texts.select(F.explode("tokens").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return known.filter(F.col("n") >= RECURRING).select(_kind("known"), "value")
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, value): all three words in a row of the texts, joined in one of the ways below, by their hash."""
+    upper, title = pc.ascii_upper, pc.ascii_capitalize
     ways = [
-        F.concat_ws("_", a, b, c), F.upper(F.concat_ws("_", a, b, c)), F.concat_ws("_", a, b, text), F.upper(F.concat_ws("_", a, b, text)),
-        F.concat(a, F.initcap(b), F.initcap(c)), F.concat(F.initcap(a), F.initcap(b), F.initcap(c)), F.concat(F.initcap(a), F.initcap(b), digit),
-        F.concat(F.upper(a), F.initcap(b), F.initcap(c)), F.concat(F.upper(a), F.lit("-v"), digit, F.lit("-"), b, digit),
-        F.concat_ws("-", a, b, c), F.concat(F.lit("/"), F.concat_ws("/", a, b, c)), F.concat_ws("/", a, b, F.initcap(c)), F.concat(a, F.lit("/"), b, digit, F.lit("/"), c),
-        F.concat(a, b, c), F.concat(a, F.lit("="), b, text), F.concat(year, month, day, F.lit("_"), a, b),
-        F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit("T"), hour), F.concat_ws("-", F.lpad(text, 3, "0"), two(number % 97), F.lpad((number * 13 % 10000).cast("string"), 4, "0"), digit),
+        lambda a, b, c, n: (a, "_", b, "_", c), lambda a, b, c, n: (upper(a), "_", upper(b), "_", upper(c)),
+        lambda a, b, c, n: (a, "_", b, "_", _digits(n % 1000)), lambda a, b, c, n: (upper(a), "_", upper(b), "_", _digits(n % 1000)),
+        lambda a, b, c, n: (a, title(b), title(c)), lambda a, b, c, n: (title(a), title(b), title(c)),
+        lambda a, b, c, n: (title(a), title(b), _digits(n % 10)), lambda a, b, c, n: (upper(a), title(b), title(c)),
+        lambda a, b, c, n: (upper(a), "-v", _digits(n % 10), "-", b, _digits(n % 10)),
+        lambda a, b, c, n: (a, "-", b, "-", c), lambda a, b, c, n: ("/", a, "/", b, "/", c), lambda a, b, c, n: (a, "/", b, "/", title(c)),
+        lambda a, b, c, n: (a, "/", b, _digits(n % 10), "/", c), lambda a, b, c, n: (a, b, c), lambda a, b, c, n: (a, "=", b, _digits(n % 1000)),
+        lambda a, b, c, n: (_digits(n % 80 + 1970), _digits(n // 80 % 12 + 1, 2), _digits(n // 960 % 28 + 1, 2), "_", a, b),
+        lambda a, b, c, n: (_digits(n % 80 + 1970), "-", _digits(n // 80 % 12 + 1, 2), "-", _digits(n // 960 % 28 + 1, 2), "T", _digits(n // 26880 % 24, 2)),
+        lambda a, b, c, n: (_digits(n % 1000, 3), "-", _digits(n // 1000 % 97, 2), "-", _digits(n // 97000 % 10000, 4), "-", _digits(n % 10)),
     ]
-    way = F.pmod(F.xxhash64("t", F.lit(3)), F.lit(len(ways))).cast("int") + 1
-    return triples.select(F.element_at(F.array(*ways), way).alias("value")).filter(F.length("value") >= LENGTHS["random"])
-
-
-def fit(docs: DataFrame, text_col: str = "text", train_docs: int = TRAIN_DOCS, identifiers: int = IDENTIFIERS) -> Model:
-    """Both models from labelled strings, and the limit between their scores."""
-    random = _long_enough(_matches(_texts(docs, text_col), BASE_KINDS)).select("value")
-    texts = _some_texts(docs, text_col, train_docs).persist()
-    words = _ordinary(texts, identifiers)
-    labelled = random.withColumn("kind", F.lit("random")).unionByName(words.withColumn("kind", F.lit("word"))).persist()
-    try:
-        kinds = {k: labelled.filter(F.col("kind") == k) for k in ("random", "word")}
-        counted = _transitions(kinds["random"], "random").unionByName(_transitions(kinds["word"], "word")).collect()
-        model = Model(_ratios(counted))
-        score = model.score(F.col("value"))
-        mixed = kinds["random"].filter(F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]"))
-        low = mixed.agg(F.percentile_approx(score, LOW, 10000)).first()[0]
-        long = kinds["word"].filter(F.length("value") >= LENGTHS["random"])
-        high = long.agg(F.percentile_approx(score, 1 - HIGH, 10000)).first()[0]
-    finally:
-        labelled.unpersist()
-        texts.unpersist()
-    if high is not None:
+    for batch in slices(batches, 200):
+        words = pc.split_pattern(pc.fill_null(batch.column(0).cast(pa.large_string()), ""), " ")
+        flat, text = words.flatten(), np.asarray(pc.list_parent_indices(words))
+        first = np.flatnonzero(text[:-2] == text[2:])
+        hashes = _hashes(flat)
+        mixed = hashes[first] * np.uint64(3) + hashes[first + 1] * np.uint64(5) + hashes[first + 2] * np.uint64(7)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        way, number = (mixed >> np.uint64(40)) % np.uint64(len(ways)), ((mixed >> np.uint64(8)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        for w, join in enumerate(ways):
+            at = first[way == w]
+            if len(at):
+                parts = join(*(flat.take(pa.array(at + k)) for k in range(3)), number[way == w])
+                value = pc.binary_join_element_wise(*(pa.scalar(x, flat.type) if isinstance(x, str) else x for x in [*parts, ""]))
+                value = value.filter(pc.greater_equal(pc.binary_length(value), LENGTHS["random"]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), TRAINED.index("joined"))), value.cast(pa.string())], ["kind", "value"])
+
+
+def _digits(n: np.ndarray, width: int = 0) -> pa.Array:
+    return pc.ascii_lpad(pa.array(n).cast(pa.large_string()), width, "0")
+
+
+def _hashes(words: pa.LargeStringArray) -> np.ndarray:
+    """A number for each word, from its letters and their places."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]] if words.buffers()[2] else np.zeros(0, np.uint8)
+    starts = ends - ends[0]
+    place = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
+    factors = np.cumprod(np.full(12, 0x9E3779B97F4A7C15, np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * factors[place], dtype=np.uint64)])
+    return sums[starts[1:]] - sums[starts[:-1]]
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> Model:
+    """Both models from labelled strings, and the limit between their scores; all texts are counted."""
+    texts = stored(_different(docs, text_col), "secret-texts")
+    random, words = _listed_as(texts, "random", "found"), _listed_as(texts, "word", "words")
+    # Tokens of many texts are grouped once for both passes.
+    known, listed = stored(_known(texts), "secret-known"), texts.select("listed")
+    single = random.unionByName(words).unionByName(known)
+    counted = _summed(_transitions(single).unionByName(_transitions(listed, _joined)))
+    joined = TRAINED.index("joined")
+    # Each string has one transition from code 0.
+    strings = sum(r.n for r in counted if r.kind == joined and r.a == 0)
+    weight = min(1.0, max(JOINED_LEAST, JOINED * texts.count()) / max(1, strings))
+    model = Model(_ratios([(r.kind == 0, r.a, r.b, r.n * weight if r.kind == joined else r.n) for r in counted]))
+    mixed = random.filter(F.col("value").rlike("[A-Za-z]") & F.col("value").rlike("[0-9]"))
+    low = mixed.agg(F.percentile_approx(model.score(F.col("value")), LOW, 10000)).first()[0]
+    scores = _summed(_scores(known, model).unionByName(_scores(listed, model, _joined)))
+    scores = sorted((r.bin, r.n * weight if r.kind == joined else r.n) for r in scores)
+    if scores:
+        ends = np.cumsum([n for _, n in scores])
+        high = scores[int(np.searchsorted(ends, (1 - HIGH) * ends[-1]))][0] * (2 * MOST / BINS) - MOST
         model.limit = max(LEAST, high if low is None else high + NEAR * (low - high))
     return model
 
 
+def _summed(counts: DataFrame) -> list:
+    return counts.groupBy(*[c for c in counts.columns if c != "n"]).agg(F.sum("n").alias("n")).collect()
+
+
 def _ratios(counted) -> list[float]:
     """Log-likelihood ratios of all pairs, bounded so that one character cannot decide alone."""
     size = len(ALPHABET) + 1
     n = {kind: [[0] * size for _ in range(size)] for kind in ("random", "word")}
-    for r in counted:
-        n[r["kind"]][r["a"]][r["b"]] += r["n"]
+    for random, a, b, times in counted:
+        n["random" if random else "word"][a][b] += times
     # Words fall back on the shares of their characters, random strings on equal shares:
     # labelled secrets are of a few alphabets, others may use any.
     chars = [sum(row[b] for row in n["word"]) + 0.5 for b in range(size)]
