@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm import packing, quality, secrets, similarity, suffixes
+from tallymark.llm import packing, quality, secret_models, secrets, similarity, suffixes
 from tallymark.llm.common import table
 from tallymark.session import work_path
 
@@ -40,7 +40,7 @@ def passage_stage(spark, docs, sf_dir):
 
 
 def secret_stage(spark, docs, sf_dir):
-    return _counted(secrets.redact(docs, secrets.fit(docs)))
+    return _counted(secrets.redact(docs, secret_models.fit(docs)))
 
 
 def packing_stage(spark, docs, sf_dir):
