@@ -82,6 +82,21 @@ def test_violations(rows):
     assert [r["row_key"] for r in integrity.violations("telemetry_events", {"telemetry_events": events}).collect()] == ["e"]
 
 
+def test_repeated_values_are_counted_in_parts_of_bounded_size(spark, monkeypatch):
+    # Half of the rows hold one value, three rows a null, one value comes twice.
+    key = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id").isin(1, 3, 5), None).when(F.col("id").isin(7, 9), "two").otherwise(F.concat(F.lit("k"), "id"))
+    lines = spark.range(1000).select(key.alias("line_item_id"), F.lit(1).alias("line_number"), F.array("id").alias("charge_ids"))
+
+    def found():
+        return integrity.violations("invoice_line_items", {"invoice_line_items": lines})
+
+    want = sorted(r["row_key"] for r in found().collect())
+    monkeypatch.setattr(integrity, "ROWS_PER_PART", 40)
+    assert sorted(r["row_key"] for r in found().collect()) == want == ["", "hot", "two"]
+    # The aggregate has a part for every 40 rows, whatever the bytes.
+    assert found().filter("rule = 'line_key'").rdd.getNumPartitions() >= 25
+
+
 def test_tables_round_trip(spark, sf_dir, tmp_path):
     from tallymark.plans import workload
 
