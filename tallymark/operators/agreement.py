@@ -3,7 +3,8 @@
 Rows are dealt by a hash of their key into the leaves of a tree.  The fingerprint of a leaf is
 the number of its rows and the sums of two hashes of them, which do not depend on their order
 or place.  Tables that agree are read once each.  Where leaves differ, each is divided again
-and only their rows are looked at, until what is left is little enough to be joined.
+and only their rows, written out once, are looked at, until what is left is little enough to be
+joined or does not become less.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ def differences(
     """
     columns = first.columns
     key, tables = list(key or columns), [first, second.select(*columns)]
-    within = None
+    within = before = None
     for level in range(LEVELS):
         sides = [fingerprints(t, key, level, within, branches) for t in tables]
         named = [s.select(PATH, *[F.col(c).alias(f"_{n}_{c}") for c in _SUMS]) for n, s in enumerate(sides)]
@@ -66,13 +67,16 @@ def differences(
         held = F.coalesce("_0_rows", F.lit(0)) + F.coalesce("_1_rows", F.lit(0))
         within = materialise(named[0].join(named[1], PATH, "full_outer").filter(differ).select(PATH, held.alias("rows")))
         left = within.agg(F.sum("rows").alias("n")).first()["n"] or 0
-        if left <= rows_to_join:
+        if not left:
+            return first.limit(0).withColumn("side", F.lit("first"))
+        # Tables may be dear to work out: of the leaves that differ, rows are written once for all steps that follow.
+        tables = [materialise(_inside(_placed(t, key, level + 1, branches), within).select(*columns)) for t in tables]
+        # Where differences lie in most leaves, more levels would leave nothing out.
+        if left <= rows_to_join or (before is not None and 2 * left > before):
             break
-    if not left:
-        return first.limit(0).withColumn("side", F.lit("first"))
-    parts = [_inside(_placed(t, key, level + 1, branches), within).select(*columns) for t in tables]
-    only_first = parts[0].exceptAll(parts[1]).withColumn("side", F.lit("first"))
-    return only_first.unionByName(parts[1].exceptAll(parts[0]).withColumn("side", F.lit("second")))
+        before = left
+    only_first = tables[0].exceptAll(tables[1]).withColumn("side", F.lit("first"))
+    return only_first.unionByName(tables[1].exceptAll(tables[0]).withColumn("side", F.lit("second")))
 
 
 def agree(first: DataFrame, second: DataFrame, key: Sequence[str] | None = None) -> bool:

@@ -54,3 +54,16 @@ def test_order_and_parts_do_not_matter_but_numbers_do(spark):
     assert not agreement.agree(first, first.unionByName(first))
     assert not agreement.agree(first.filter("k < 1"), first.filter("k < 0"))
     assert agreement.agree(first.filter("k < 0"), first.filter("k > 100"))
+
+
+def test_differences_in_every_leaf_are_not_narrowed_again(spark, monkeypatch):
+    calls = []
+    plain = agreement.fingerprints
+    monkeypatch.setattr(agreement, "fingerprints", lambda *a: calls.append(a) or plain(*a))
+    first = table(spark, 300)
+    second = first.withColumn("v", F.col("v") + 1)
+    found = agreement.differences(first, second, ["k"], rows_to_join=0, branches=8)
+    # Two levels of each table, not four, and what is left to compare does not work the tables out again.
+    assert len(calls) == 4
+    assert "Range" not in found._jdf.queryExecution().toString()
+    assert {r["side"]: r["count"] for r in found.groupBy("side").count().collect()} == {"first": 300, "second": 300}
