@@ -114,7 +114,11 @@ def on_time_value(metadata, metric=None) -> Column:
     A missing, null, empty, false or numerically zero value counts as 1, while the
     text "0" stays 0.  Metrics that only count never look at the value.
     """
-    parsed = F.try_parse_json(_col(metadata))
+    return parsed_value(F.try_parse_json(_col(metadata)), metric)
+
+
+def parsed_value(parsed: Column, metric=None) -> Column:
+    """The same of metadata parsed into a variant."""
     found = F.try_variant_get(parsed, "$.value", "variant")
     kind = F.schema_of_variant(found)
     text = F.try_variant_get(parsed, "$.value", "string")

@@ -41,7 +41,9 @@ def late_envelope(late: DataFrame, as_of, lateness: str = settings.ALLOWED_LATEN
 
 def event_values(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable, refused) events with ``value`` read from the metadata."""
-    valued = events.withColumn("value", V.on_time_value("metadata", "metric_type"))
+    # Exploded, so that metadata is parsed and the value read once, and not again for every use of them.
+    parsed = events.withColumn("_parsed", F.explode(F.array(F.try_parse_json("metadata"))))
+    valued = parsed.withColumn("value", F.explode(F.array(V.parsed_value(F.col("_parsed"), "metric_type")))).drop("_parsed")
     refused = valued.filter(F.col("value").isNull()).withColumn("reason", F.lit("CALCULATION_ERROR"))
     return valued.filter(F.col("value").isNotNull()), refused
 

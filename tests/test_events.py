@@ -232,3 +232,24 @@ def test_sample_events(spark):
     assert (on_time.count(), late.count()) == (5, 11)
     usage = metering.meter(usable)
     assert usage.count() == 4 and usage.agg(F.sum("event_count")).first()[0] == 16
+
+
+def test_the_value_of_an_event_is_parsed_once(rows):
+    given = [('{"value": 5}', 5), ('{"value": "7.5"}', 7.5), ('{"value": 0}', 1), ('{"value": "0"}', 0), ('{"value": true}', None), ("{}", 1), ("x", 1), ('{"value": "a"}', None)]
+    sent = rows("id int, metadata string, metric_type string", ", ".join(f"({n}, '{text}', 'api_calls')" for n, (text, _) in enumerate(given))).repartition(2)
+    usable, refused = metering.event_values(sent)
+    assert usable.columns == [*sent.columns, "value"]
+    assert {r["id"]: float(r["value"]) for r in usable.collect()} == {n: value for n, (_, value) in enumerate(given) if value is not None}
+    assert {(r["id"], r["reason"]) for r in refused.collect()} == {(4, "CALCULATION_ERROR"), (7, "CALCULATION_ERROR")}
+    for found in (usable, refused):
+        assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("parse_json(") + found._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_a_message_is_parsed_once(rows):
+    values = ["null", "'x'", "'{\"eventId\":\"a\"}'", "'[1'", "''", "'{\"eventId\":\"b\",\"eventTime\":\"2024-01-01T00:00:00Z\"}'"]
+    sent = rows("key string, value string", ", ".join(f"('{n}', {value})" for n, value in enumerate(values))).repartition(2)
+    events, dead = intake.decode_messages(sent)
+    assert [(r["event_id"], r["metadata"]) for r in events.collect()] == [("b", "{}")]
+    assert sorted(r["key"] for r in dead.collect()) == ["0", "1", "2", "3", "4"]
+    for found in (events, dead):
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
