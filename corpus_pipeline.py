@@ -44,8 +44,8 @@ def secret_stage(spark, docs, sf_dir):
 
 
 def packing_stage(spark, docs, sf_dir):
-    # Workers of all stages live side by side, so this one keeps less than the operator alone would.
-    return packing.pack(packing.pieces(docs, digest=True, chunks=150_000))
+    # Workers go on to the stages of a next run, so this one keeps less than the operator alone would, and nothing between tasks.
+    return packing.pack(packing.pieces(docs, digest=True, chunks=150_000, forget=True))
 
 
 STAGES = [

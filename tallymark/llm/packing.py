@@ -43,15 +43,16 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return starts
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, digest: bool = False, chunks: int = tokens.CACHED_CHUNKS) -> DataFrame:
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, end_id: int = END_ID, capacity: int = CAPACITY, digest: bool = False, chunks: int = tokens.CACHED_CHUNKS, forget: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids) of every document; with ``digest`` the ids' crc32 in place of the ids.
 
-    ``chunks`` bounds what a worker keeps of encoded chunks.
+    ``chunks`` bounds what a worker keeps of encoded chunks; with ``forget`` it keeps none from one task to the next.
     """
     schema = pa.schema([*list(_PIECES)[:4], ("ids_crc32", pa.int64())]) if digest else _PIECES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = tokens.encoder(tokenizer, chunks).encode, tokens.packed([end_id])
+        encoder, end = tokens.encoder(tokenizer, chunks), tokens.packed([end_id])
+        encode = encoder.encode
         for batch in slices(batches, 500):
             rows = []
             for doc, text in zip(values(batch, id_col), doc_bytes(batch, text_col), strict=True):
@@ -61,6 +62,8 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                     rows.append((doc, number, start, length, zlib.crc32(own) if digest else own))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        if forget:
+            encoder.cache.clear()
 
     ddl = "doc_id long, piece int, start long, length long, " + ("ids_crc32 long" if digest else "ids binary")
     return docs.select(col(id_col).cast("long").alias(id_col), col(text_col)).mapInArrow(run, ddl)

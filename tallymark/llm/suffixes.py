@@ -42,9 +42,11 @@ from tallymark.session import materialise
 
 LENGTH = 200
 #: Contexts of an anchor that one index may hold, and bytes of an index.
-WIDE, INDEX_BYTES = 4000, 1 << 20
+WIDE, INDEX_BYTES = 4000, 1 << 18
 #: Groups of anchors per partition of the input; a group is handled at once.
 GROUPS_PER_PARTITION = 64
+#: Parts of a group whose texts are indexed together, packed rows unpacked and run ends measured at a time.
+PARTS_PER_GROUP, PACKS, PIECE = 64, 256, 1 << 16
 
 _ENTRY = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("at", "<u4"), ("many", "u1")])
 _WINDOW = np.dtype([("hash", "<u8"), ("anchor", "<u8"), ("doc", "<i8"), ("at", "<u4")])
@@ -138,55 +140,75 @@ def repeated(text: bytes, length: int = LENGTH) -> np.ndarray:
     raw = np.frombuffer(text, dtype=np.uint8)
     # Segment ends differ from each other, so that no match crosses one.
     stops = np.flatnonzero(raw == 0xFF)
-    symbols = raw.astype(np.int64)
-    symbols[stops] = 256 + np.arange(len(stops))
+    symbols = raw.astype(np.int32)
+    symbols[stops] = 256 + np.arange(len(stops), dtype=np.int32)
     # Order of the first 1, 2, 4, ... bytes, until all suffixes differ.
     width, levels = 1, []
-    _, rank = np.unique(symbols, return_inverse=True)
+    rank, found = _ranks(symbols)
     while True:
         if width <= length:
-            levels.append((width, rank.astype(np.int32)))
-        after = np.zeros(n, dtype=np.int64)
-        after[: n - width] = rank[width:] + 1
-        found, rank = np.unique(rank * (n + 1) + after, return_inverse=True)
+            levels.append((width, rank))
+        keys = rank.astype(np.int64)
+        keys *= n + 1
+        keys[: n - width] += rank[width:]
+        keys[: n - width] += 1
+        rank, found = _ranks(keys)
         width *= 2
-        if len(found) == n:
+        if found == n:
             break
-    order = np.empty(n, dtype=np.int64)
-    order[rank] = np.arange(n)
+    del keys
+    order = np.empty(n, dtype=np.int32)
+    order[rank] = np.arange(n, dtype=np.int32)
     transform = symbols[order - 1]
     new_run = np.ones(n, dtype=bool)
     new_run[1:] = transform[1:] != transform[:-1]
+    del symbols, transform
 
-    best = np.zeros(n, dtype=np.int64)
+    repeats = np.zeros(n, dtype=bool)
     for side in (-1, 1):
         # Run heads look at the suffix before, run tails at the one after.
-        ends = np.flatnonzero(new_run if side < 0 else np.roll(new_run, -1))
-        sampled = np.sort((order[ends] - 1) % n)
-        other = rank[sampled] + side
-        inside = (other >= 0) & (other < n)
-        measured = np.zeros(len(sampled), dtype=np.int64)
-        measured[inside] = _common(levels, sampled[inside], order[other[inside]], length)
+        sampled = np.zeros(n, dtype=bool)
+        sampled[(order[new_run if side < 0 else np.roll(new_run, -1)] - 1) % n] = True
+        # The first sampled suffix at or after each place.
+        following = np.cumsum(sampled, dtype=np.int32) - sampled
+        sampled = np.flatnonzero(sampled).astype(np.int32)
+        measured = np.empty(len(sampled), dtype=np.int32)
+        for i in range(0, len(sampled), PIECE):
+            some = sampled[i : i + PIECE]
+            other = rank[some] + side
+            inside = (other >= 0) & (other < n)
+            shared = np.zeros(len(some), dtype=np.int32)
+            shared[inside] = _common(levels, some[inside], order[other[inside]], length)
+            # Where the match ends, if it may be as long as wished for.
+            measured[i : i + PIECE] = shared + some
         # From a run end the match grows by one byte per step to the left.
-        following = np.searchsorted(sampled, np.arange(n))
-        reach = np.zeros(n, dtype=np.int64)
-        known = following < len(sampled)
-        to = following[known]
-        reach[known] = np.minimum(measured[to] + sampled[to] - np.flatnonzero(known), length)
-        best = np.maximum(best, reach)
-    return np.flatnonzero(best >= length)
+        last = int(sampled[-1]) + 1
+        repeats[:last] |= measured[following[:last]] - np.arange(last, dtype=np.int32) >= length
+    return np.flatnonzero(repeats)
+
+
+def _ranks(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Rank of each key among the different ones, and the number of these."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.zeros(len(keys), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    del ordered
+    rank = np.empty(len(keys), dtype=np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32)
+    return rank, int(rank[order[-1]]) + 1
 
 
 def _common(levels, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
     """Bytes that two suffixes share, up to ``length``."""
     n = len(levels[0][1])
-    shared = np.zeros(len(a), dtype=np.int64)
+    shared = np.zeros(len(a), dtype=np.int32)
     for width, ranks in reversed(levels):
         i, j = a + shared, b + shared
         fits = (i < n) & (j < n)
         same = fits.copy()
         same[fits] = ranks[i[fits]] == ranks[j[fits]]
-        shared += same * width
+        shared[same] += width
     return np.minimum(shared, length)
 
 
@@ -219,7 +241,7 @@ def _deal(entries: np.ndarray, key: str, groups: int) -> Iterator[pa.RecordBatch
 def _by_group(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
     """The entries of each group, from rows sorted by group."""
     current, packs = None, []
-    for batch in batches:
+    for batch in slices(batches, PACKS):
         for group, packed in zip(values(batch, "group"), values(batch, "packed"), strict=True):
             if group != current and packs:
                 yield np.frombuffer(b"".join(packs), dtype=kind)
@@ -320,7 +342,7 @@ def _checked(docs: DataFrame, key: str, text: str, found: DataFrame, length: int
                 for w in wants:
                     if w["kind"] == CHECK:
                         start, end = (int(x) for x in context(w["start"], len(body), length))
-                        group = ((w["anchor"] % (1 << 64)) >> 20) % groups
+                        group = ((w["anchor"] % (1 << 64)) >> 20) % (groups * PARTS_PER_GROUP)
                         rows.append((group, doc, start, body[start:end]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["group", "doc", "start", "text"]
@@ -328,9 +350,9 @@ def _checked(docs: DataFrame, key: str, text: str, found: DataFrame, length: int
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size, current = [], 0, None
-        for batch in batches:
+        for batch in slices(batches, 1000):
             for row in zip(*(values(batch, c) for c in ("group", "doc", "start", "text")), strict=True):
-                # Groups are kept whole.
+                # The texts of an anchor are kept together.
                 if size > INDEX_BYTES and row[0] != current:
                     yield _search(waiting, length)
                     waiting, size = [], 0

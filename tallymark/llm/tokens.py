@@ -43,6 +43,9 @@ class ChunkCache:
                     found[i] = self.one(chunks[i])
         return found
 
+    def clear(self) -> None:
+        self.new, self.old = {}, {}
+
     def one(self, chunk: str) -> bytes:
         ids = self.new.get(chunk)
         if ids is None:

@@ -3,6 +3,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -103,3 +105,19 @@ def test_encoder_gives_the_ids_of_the_library():
     texts += ["Grüße, naïve words;and más... (été) x1y2 O'Neill's l'été <|endoftext|> end", "a" * 5000 + "," + "é" * 3000]
     for text in texts:
         assert encoder.encode(text) == tokens.packed(library.encode(text, add_special_tokens=False).ids), text
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_workers_forget_chunks_between_tasks(spark, docs_of, forget):
+    bound = 1234 + forget  # an encoder of its own
+    docs = docs_of([(i, f"words number {i} and more") for i in range(40)]).repartition(1)
+    got = packing.pieces(docs, chunks=bound, forget=forget).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, packing.pieces(docs).collect()))
+
+    def kept(batches):
+        for batch in batches:
+            cache = tokens.encoder(packing.TOKENIZER, bound).cache
+            yield pa.RecordBatch.from_pydict({"n": [len(cache.new) + len(cache.old)] * batch.num_rows})
+
+    counts = [r.n for _ in range(8) for r in spark.range(0, 16, 1, 16).mapInArrow(kept, "n long").collect()]
+    assert (max(counts) == 0) == forget

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -51,6 +52,17 @@ def test_matching_statistics_against_brute_force():
         assert suffixes.repeated(b"".join(s + b"\xff" for s in segments), length).tolist() == want
 
 
+def test_index_stays_small():
+    text = np.random.default_rng(0).integers(97, 123, 1 << 18).astype(np.uint8).tobytes()
+    text += text[:1000] + b"\xff"
+    tracemalloc.start()
+    hits = suffixes.repeated(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(hits) == 2 * (1000 - suffixes.LENGTH + 1)
+    assert peak < 100 * len(text)
+
+
 def test_every_window_holds_an_anchor():
     text = bytes(random.Random(2).choice(b"abc") for _ in range(3000)) + b"a" * 500
     at, _, _ = suffixes.anchors(text, 40)
